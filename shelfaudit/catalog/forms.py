@@ -11,8 +11,10 @@ from shelfaudit.catalog.codes import (
     DOC_FIRST_DAY, DOC_LAST_DAY, EVENT_DAY, TEST_CODES, VISIT_FIRST_DAY, VISIT_LAST_DAY,
 )
 from shelfaudit.functions.period import day_parts_equal, in_period, period_bounds
+from shelfaudit.plans import extract as ext
 from shelfaudit.plans import report as rpt
 from shelfaudit.plans import sections as sec
+from shelfaudit.plans import staging as stg
 from shelfaudit.sources import analog
 
 C = TEST_CODES
@@ -22,11 +24,11 @@ def _bounds():
     return period_bounds(VISIT_FIRST_DAY, VISIT_LAST_DAY), period_bounds(DOC_FIRST_DAY, DOC_LAST_DAY)
 
 
-def _inputs(spark: SparkSession, d: str, staged: bool = True, item_ids: bool = False):
+def _inputs(spark: SparkSession, d: str, staged: bool = True, item_ids: bool = False, facts: bool = True):
     tables = analog.tables(spark, d, C, item_ids=item_ids)
     vb, db = _bounds()
-    visits, tdocs, facts = rpt.report_inputs(spark, tables, C, vb, db, staged=staged)
-    return tables, visits, tdocs, facts
+    visits, tdocs, fx = rpt.report_inputs(spark, tables, C, vb, db, staged=staged, facts=facts)
+    return tables, visits, tdocs, fx
 
 
 def q01_period(spark: SparkSession, d: str) -> DataFrame:
@@ -38,6 +40,52 @@ def q01_period(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+def q02_filter_set(spark: SparkSession, d: str) -> DataFrame:
+    _, visits, _, _ = _inputs(spark, d, staged=False, facts=False)
+    return ext.visit_filter(visits, C).rows
+
+
+def q02_doc_filter(spark: SparkSession, d: str) -> DataFrame:
+    _, db = _bounds()
+    return ext.document_filter(spark, db, C).rows
+
+
+def q03_filtered_faces(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, _, _ = _inputs(spark, d, staged=False, facts=False)
+    return ext.extract_faces(tables.faces, ext.visit_filter(visits, C), C)
+
+
+def q03_filtered_docs(spark: SparkSession, d: str) -> DataFrame:
+    _, _, tdocs, _ = _inputs(spark, d, staged=False, facts=False)
+    return tdocs
+
+
+def _temp(spark, d, staged=True):
+    tables, visits, tdocs, _ = _inputs(spark, d, staged=staged, facts=False, item_ids=True)
+    temp = stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C)
+    return tables, visits, tdocs, temp
+
+
+def q04_banner_visits(spark: SparkSession, d: str) -> DataFrame:
+    return _temp(spark, d, staged=False)[3]
+
+
+def q05_listing_counts(spark: SparkSession, d: str) -> DataFrame:
+    tables, _, _, temp = _temp(spark, d)
+    return stg.listing_counts(temp, tables.objattrs, tables.items, C)
+
+
+def q06_facing_init(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
+    return stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
+
+
+def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
+    return stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
+
+
 def q08_order_facts(spark: SparkSession, d: str) -> DataFrame:
     _, _, _, facts = _inputs(spark, d, staged=False)
     return facts
@@ -89,6 +137,14 @@ def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_period": q01_period,
+    "q02_filter_set": q02_filter_set,
+    "q02_doc_filter": q02_doc_filter,
+    "q03_filtered_faces": q03_filtered_faces,
+    "q03_filtered_docs": q03_filtered_docs,
+    "q04_banner_visits": q04_banner_visits,
+    "q05_listing_counts": q05_listing_counts,
+    "q06_facing_init": q06_facing_init,
+    "q07_facing_counts": q07_facing_counts,
     "q08_order_facts": q08_order_facts,
     "q09_assortment": q09_assortment,
     "q10_stock_lookup": q10_stock_lookup,

@@ -47,6 +47,7 @@ def report_inputs(
     doc_bounds=None,
     base_filter: FilterSet | None = None,
     staged: bool = True,
+    facts: bool = True,
 ):
     """Visits, document extract and order facts of one report run."""
     doc_bounds = visit_bounds if doc_bounds is None else doc_bounds
@@ -55,10 +56,12 @@ def report_inputs(
     if staged:
         visits = stage(visits, "visits")
         tdocs = stage(tdocs, "documents")
-    facts = order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
+    if not facts:
+        return visits, tdocs, None
+    fx = order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
     if staged:
-        facts = stage(facts, "order_facts")
-    return visits, tdocs, facts
+        fx = stage(fx, "order_facts")
+    return visits, tdocs, fx
 
 
 
