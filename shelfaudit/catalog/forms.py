@@ -15,6 +15,13 @@ from shelfaudit.plans import extract as ext
 from shelfaudit.plans import report as rpt
 from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
+from shelfaudit.plans import photos as ph
+from shelfaudit.operators.adjacent import band_join, offset_join
+from shelfaudit.functions.text import blank_zero, count_total, presence_percent
+from shelfaudit.functions.period import date_in_period
+from shelfaudit.operators.eav import master_attribute
+from shelfaudit.operators.latest import latest_documents
+from dataclasses import replace as _replace
 from shelfaudit.sources import analog
 
 C = TEST_CODES
@@ -135,6 +142,116 @@ def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
     return rpt.audit_report(visits, tdocs, facts, tables.items, C)
 
 
+def _turns(spark: SparkSession, d: str):
+    conv = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role")
+    a = conv.where(F.col("role") == "user").select(F.col("conv_id").alias("conv_a"), F.col("turn").alias("turn_a"))
+    b = conv.where(F.col("role") == "assistant").select(F.col("conv_id").alias("conv_b"), F.col("turn").alias("turn_b"))
+    return a, b
+
+
+def q16_adjacent(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _turns(spark, d)
+    out = offset_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", [1])
+    return out.select(F.col("conv_a").alias("conv_id"), "turn_a", "turn_b")
+
+
+def q17_band(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _turns(spark, d)
+    out = band_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", 1, 7)
+    return out.select(
+        F.col("conv_a").alias("conv_id"), "turn_a", "turn_b",
+        F.when((F.col("turn_b") - F.col("turn_a")).between(1, 4), 1).otherwise(0).alias("within_4"),
+    )
+
+
+def q18_neighbour(spark: SparkSession, d: str) -> DataFrame:
+    a, b = _turns(spark, d)
+    out = offset_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", [-1, 1], how="left")
+    return out.select(F.col("conv_a").alias("conv_id"), "turn_a", "turn_b")
+
+
+def q19_format(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, tdocs, temp = _temp(spark, d)
+    listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
+    fc = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
+    banner = master_attribute(tables.objattrs, C.obj_banner_attr, C.outlet_dict).select(
+        F.col("id").alias("_bid"), F.col("attrtext").alias("banner"))
+    lst = listing.select(F.col("attrtext").alias("_lb"), F.col("iid").alias("_li"),
+                         F.col("datebegin").alias("_ld"), "listed")
+    out = fc.join(banner, fc.mfid == banner._bid, "left").join(
+        lst, (lst._lb == F.col("banner")) & (lst._ld == fc.datebegin) & (lst._li == fc.itid), "left")
+    return out.select(
+        "mfid", "orid", "itid", "datebegin",
+        blank_zero("facing").alias("facing_txt"), blank_zero("shelf").alias("shelf_txt"),
+        blank_zero("store").alias("store_txt"), blank_zero("listed").alias("listed_txt"),
+        count_total("facing", "shelf", "store", "listed").alias("total_qty"),
+        presence_percent("facing", "listed").alias("presence_pct"),
+    )
+
+
+URL_FIELDS = {
+    "gorod": r"^[a-z]+://([^/?#]+)",
+    "street": r"^[a-z]+://[^/]+/([a-z][a-z])/",
+    "dom": r"^[a-z]+://[^/]+/[a-z][a-z]/([0-9]+)",
+    "nomertt": r"[?&]page=([0-9]+)",
+}
+
+
+def q19_address(spark: SparkSession, d: str) -> DataFrame:
+    pages = spark.read.parquet(f"{d}/pages.parquet").select(
+        F.col("page_id").alias("fid"), F.col("url").alias("faddress"))
+    return ext.with_address_parts(pages, _replace(C, address_fields=URL_FIELDS))
+
+
+def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, tdocs, _ = _inputs(spark, d, facts=False)
+    _, db = _bounds()
+    vis = visits.select("masterfid", "fid", "vdate", "datebegin")
+    outlet = tables.faces.select(F.col("fid").alias("_of"), F.col("fname").alias("outlet_name"))
+    agent = tables.agents.select(F.col("fid").alias("_af"), F.col("fname").alias("agent_name"))
+    banner = master_attribute(tables.objattrs, C.obj_banner_attr, C.outlet_dict).select(
+        F.col("id").alias("_bid"), F.col("attrtext").alias("banner"))
+    email = master_attribute(tables.objattrs, C.obj_email_attr, active=True).select(
+        F.col("id").alias("_eid"), F.col("attrtext").alias("email"))
+    comments = tables.visit_comments.select(F.col("fid").alias("_cf"), F.col("vdate").alias("_cd"),
+                                            F.col("comment").alias("visit_comment"))
+    photo_docs = tdocs.where((F.col("ortype") == C.doc_photo) & date_in_period("ordate", db))
+    photo = latest_documents(photo_docs, C.doc_photo).select(
+        F.col("masterfid").alias("_pm"), F.col("mfid").alias("_pf"), F.col("orid").alias("photo_orid"))
+    out = (
+        vis.join(outlet, vis.fid == outlet._of, "left")
+        .join(agent, vis.masterfid == agent._af, "left")
+        .join(banner, vis.fid == banner._bid, "left")
+        .join(email, vis.fid == email._eid, "left")
+        .join(comments, (vis.fid == comments._cf) & (vis.vdate == comments._cd), "left")
+        .join(photo, (vis.masterfid == photo._pm) & (vis.fid == photo._pf), "left")
+    )
+    return out.select(
+        "masterfid", "fid", "vdate", "datebegin", "outlet_name", "agent_name", "banner", "email",
+        "visit_comment", "photo_orid",
+        ph.concat_strict(F.col("_pm"), F.col("photo_orid")).alias("photo"),
+    )
+
+
+def _photo_candidates(spark: SparkSession, d: str) -> DataFrame:
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source", "lang")
+    att = spark.read.parquet(f"{d}/labels.parquet").select(
+        F.col("doc_id").alias("_att_doc"), F.col("doc_id").alias("fileid"))
+    return ph.photo_candidates(docs, att, [("doc_id", "_att_doc")])
+
+
+def q21_top_files(spark: SparkSession, d: str) -> DataFrame:
+    sel = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid")
+    return sel.select("doc_id", "source", "fileid", "rnk")
+
+
+def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
+    sel = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid")
+    named = ph.photo_names(sel, "fileid", "lang", "source", C.labels.photo_extension)
+    return named.select("doc_id", "source", "fileid", "rnk", "file_name")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_period": q01_period,
     "q02_filter_set": q02_filter_set,
@@ -153,4 +270,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q13_main_places": q13_main_places,
     "q14_promo_actions": q14_promo_actions,
     "q15_audit_report": q15_audit_report,
+    "q16_adjacent": q16_adjacent,
+    "q17_band": q17_band,
+    "q18_neighbour": q18_neighbour,
+    "q19_format": q19_format,
+    "q19_address": q19_address,
+    "q20_role_lookups": q20_role_lookups,
+    "q21_top_files": q21_top_files,
+    "q22_file_names": q22_file_names,
 }

@@ -30,6 +30,14 @@ class ReportLabels:
     photo_extension: str = ".jpg"
 
 
+DEFAULT_ADDRESS_FIELDS = {
+    "gorod": r"г\.\s*([^,]+)",
+    "street": r"ул\.\s*([^,]+)",
+    "dom": r"д\.\s*([^,]+)",
+    "nomertt": r"№\s*([0-9]+)",
+}
+
+
 @dataclass(frozen=True)
 class AuditCodes:
     """All codes one report run depends on.
@@ -85,6 +93,9 @@ class AuditCodes:
     extra_places_dict: int | None = 1         # DictId test of 612
     promo_dict: int | None = None             # 611 has none
     labels: ReportLabels = field(default_factory=ReportLabels)
+    # address parts appended to outlets: column -> pattern (group 1 is kept).
+    # The original's parser is not in its file; these patterns are ours.
+    address_fields: dict[str, str] = field(default_factory=lambda: dict(DEFAULT_ADDRESS_FIELDS))
 
 
 # The codes of the original report, in the order the report

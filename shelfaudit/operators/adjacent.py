@@ -42,9 +42,9 @@ def offset_join(
     if len(offs) == 1:
         probe = left.withColumn("_probe", F.col(left_pos) + F.lit(offs[0]))
     else:
-        probe = left.withColumn(
-            "_probe", F.col(left_pos) + F.explode(F.array(*[F.lit(o) for o in offs]))
-        )
+        probe = left.withColumn("_off", F.explode(F.array(*[F.lit(o) for o in offs]))).withColumn(
+            "_probe", F.col(left_pos) + F.col("_off")
+        ).drop("_off")
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
     cond.append(F.col("_probe") == F.col(right_pos))
     return probe.join(right, on=cond, how=how).drop("_probe")
@@ -91,9 +91,8 @@ def _unmatched(left, right, keys, left_pos, right_pos, offs) -> DataFrame:
     its duplicates are kept)."""
     rkeys = [rk for _, rk in keys]
     back = right.select(
-        *rkeys,
-        (F.col(right_pos) - F.explode(F.array(*[F.lit(o) for o in offs]))).alias("_back"),
-    )
+        *rkeys, F.col(right_pos).alias("_rpos"), F.explode(F.array(*[F.lit(o) for o in offs])).alias("_off")
+    ).select(*rkeys, (F.col("_rpos") - F.col("_off")).alias("_back"))
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
     cond.append(F.col(left_pos) == F.col("_back"))
     return left.join(back, on=cond, how="left_anti")

@@ -73,3 +73,11 @@ def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes) -> Da
         codes.flt_outlet: Binding("mfid"),
     }
     return apply_filters(orders, fs, bindings, period_column="ordate").select(*ORDER_COLS)
+
+
+def with_address_parts(faces: DataFrame, codes: AuditCodes, source_col: str = "faddress") -> DataFrame:
+    """Append the address columns (city, street, building, outlet no.) split
+    from the address text; a part that is not found is ''."""
+    from shelfaudit.functions.text import split_address
+
+    return faces.withColumns(split_address(source_col, codes.address_fields))
