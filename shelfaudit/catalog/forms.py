@@ -16,6 +16,7 @@ from shelfaudit.plans import report as rpt
 from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
 from shelfaudit.plans import photos as ph
+from shelfaudit.plans import full_report as fr
 from shelfaudit.operators.adjacent import band_join, offset_join
 from shelfaudit.functions.text import blank_zero, count_total, presence_percent
 from shelfaudit.functions.period import date_in_period
@@ -252,6 +253,20 @@ def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
     return named.select("doc_id", "source", "fileid", "rnk", "file_name")
 
 
+def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
+    tables, visits, tdocs, temp = _temp(spark, d)
+    vb, _ = _bounds()
+    listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
+    facing = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
+    line_attrs = analog.attrs(spark, d, tables.orders)
+    faces = ext.with_address_parts(tables.faces, C)
+    return fr.full_report(
+        visits, tables.orders, tdocs, line_attrs, tables.objattrs, tables.items, faces, tables.agents,
+        facing, listing, tables.visit_comments, C, vb,
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_period": q01_period,
     "q02_filter_set": q02_filter_set,
@@ -278,4 +293,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q20_role_lookups": q20_role_lookups,
     "q21_top_files": q21_top_files,
     "q22_file_names": q22_file_names,
+    "q23_full_report": q23_full_report,
 }

@@ -32,12 +32,12 @@ def offset_join(
     Columns of ``left`` and ``right`` must not share names.
     """
     offs = sorted(set(int(o) for o in offsets))
-    if how == "left":
+    if how == "left" and len(offs) > 1:
         matched = offset_join(left, right, keys, left_pos, right_pos, offs, "inner")
         return matched.unionByName(
             _unmatched(left, right, keys, left_pos, right_pos, offs), allowMissingColumns=True
         )
-    if how != "inner":
+    if how not in ("inner", "left"):
         raise ValueError(f"offset_join supports inner and left, not {how!r}")
     if len(offs) == 1:
         probe = left.withColumn("_probe", F.col(left_pos) + F.lit(offs[0]))
