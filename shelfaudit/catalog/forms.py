@@ -23,6 +23,7 @@ from shelfaudit.functions.period import date_in_period
 from shelfaudit.operators.eav import master_attribute
 from shelfaudit.operators.latest import latest_documents
 from dataclasses import replace as _replace
+from shelfaudit.session import stage
 from shelfaudit.sources import analog
 
 C = TEST_CODES
@@ -256,10 +257,11 @@ def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
     tables, visits, tdocs, temp = _temp(spark, d)
     vb, _ = _bounds()
-    listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
+    # the two staging tables of the original are temp tables: staged once
+    listing = stage(stg.listing_counts(temp, tables.objattrs, tables.items, C), "listing")
     init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
-    facing = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
-    line_attrs = analog.attrs(spark, d, tables.orders)
+    facing = stage(stg.facing_counts(init, tdocs, tables.attrs, tables.items, C), "facing")
+    line_attrs = analog.tables(spark, d, C).attrs
     faces = ext.with_address_parts(tables.faces, C)
     return fr.full_report(
         visits, tables.orders, tdocs, line_attrs, tables.objattrs, tables.items, faces, tables.agents,

@@ -96,3 +96,39 @@ def _unmatched(left, right, keys, left_pos, right_pos, offs) -> DataFrame:
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
     cond.append(F.col(left_pos) == F.col("_back"))
     return left.join(back, on=cond, how="left_anti")
+
+
+def distance_lookup(
+    keys_df: DataFrame,
+    right: DataFrame,
+    keys: Sequence[tuple[str, str]],
+    left_pos: str,
+    right_pos: str,
+    offsets: Sequence[int] | None = None,
+    band: tuple[int, int] | None = None,
+) -> DataFrame:
+    """Partners of every distinct ``(keys, left_pos)`` of ``keys_df``; a row
+    with NULL partner columns where there is none (left-join semantics).
+
+    Build it from the small inputs that determine the keys (e.g. visit keys
+    times the day's documents), then ``attach`` it to a wide row set: the
+    wide plan is then joined once instead of being repeated in an inner and
+    an anti branch.
+    """
+    lk = [lk for lk, _ in keys]
+    distinct = keys_df.select(*lk, left_pos).distinct()
+    if band is not None:
+        return band_join(distinct, right, keys, left_pos, right_pos, band[0], band[1], how="left")
+    return offset_join(distinct, right, keys, left_pos, right_pos, list(offsets or []), how="left")
+
+
+def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], pos: str, prefix: str = "_lk") -> DataFrame:
+    """Left-join a ``distance_lookup`` on its keys, NULL-safe on the position
+    (a row whose position is NULL gets the lookup's NULL partner row)."""
+    renamed = lookup.select(
+        *[F.col(k).alias(f"{prefix}_{k}") for k in [*keys, pos]],
+        *[c for c in lookup.columns if c not in (*keys, pos)],
+    )
+    cond = [df[k] == renamed[f"{prefix}_{k}"] for k in keys]
+    cond.append(df[pos].eqNullSafe(renamed[f"{prefix}_{pos}"]))
+    return df.join(renamed, cond, "left").drop(*[f"{prefix}_{k}" for k in [*keys, pos]])

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.period import date_in_period
 from shelfaudit.functions.text import blank_zero, concat_strict, count_total, dot_to_comma, presence_percent
-from shelfaudit.operators.adjacent import band_join, offset_join
+from shelfaudit.operators.adjacent import attach, distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_dates, latest_documents
 
@@ -78,7 +78,20 @@ def full_report(
 
     # stock-check document of the day
     d607 = _day_headers(orders, codes.doc_stock_check, day_bounds, "607")
-    r = _left(r, d607, (r.masterfid == d607._607_m) & (r.fid == d607._607_f))
+    r = _left(r, d607, (r.masterfid == d607._607_m) & (r.fid == d607._607_f)).drop("_607_m", "_607_f")
+    # distance chains are resolved on (visit keys x day documents), which is
+    # small, and attached to the wide rows afterwards
+    vkeys = visits.select("masterfid", "fid").distinct()
+    k607 = vkeys.join(d607, (vkeys.masterfid == d607._607_m) & (vkeys.fid == d607._607_f), "left").select(
+        "masterfid", "fid", "orid607")
+    d612 = _day_headers(orders, codes.doc_extra_places, day_bounds, "612")
+    m612 = distance_lookup(k607, d612, _keys("612"), "orid607", "orid612", offsets=[1])
+    d608 = _day_headers(orders, codes.doc_main_places, day_bounds, "608")
+    m608 = distance_lookup(m612, d608, _keys("608"), "orid612", "orid608", offsets=[1])
+    d611 = _day_headers(orders, codes.doc_promo, day_bounds, "611")
+    m611 = distance_lookup(k607, d611, _keys("611"), "orid607", "orid611", band=(1, 4))
+    d610 = _day_headers(orders, codes.doc_order_info, day_bounds, "610")
+    m610 = distance_lookup(k607, d610, _keys("610"), "orid607", "orid610", band=(1, 7))
     banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).select(
         F.col("id").alias("_b_id"), F.col("attrtext").alias("banner"))
     r = _left(r, banner, F.col("fid") == F.col("_b_id"))
@@ -95,10 +108,9 @@ def full_report(
               & (F.col("_ls_i") == F.col("itid")))
 
     # extra places: next document id after the stock check
-    d612 = _day_headers(orders, codes.doc_extra_places, day_bounds, "612")
-    r = offset_join(r, d612, _keys("612"), "orid607", "orid612", [1], how="left")
+    r = attach(r, m612, ["masterfid", "fid"], "orid607")
     l612 = _latest_ids(tdocs, latest, codes.doc_extra_places, "612")
-    r = _left(r, l612, (F.col("_612_m") == F.col("_l612_m")) & (F.col("_612_f") == F.col("_l612_f"))
+    r = _left(r, l612, (F.col("masterfid") == F.col("_l612_m")) & (F.col("fid") == F.col("_l612_f"))
               & (F.col("orid612") == F.col("t612_orid")))
     docs612 = tdocs.where(F.col("ortype") == codes.doc_extra_places).select("orid", "masterfid")
     lines612 = attrs.where(F.col("attrid").isin(list(codes.extra_places.values())) & (F.col("activeflag") == 1)
@@ -112,10 +124,9 @@ def full_report(
     r = _left(r, n612, F.col("_n612") == F.col("id612"))
 
     # main places: next document id after the extra places
-    d608 = _day_headers(orders, codes.doc_main_places, day_bounds, "608")
-    r = offset_join(r, d608, _keys("608"), "orid612", "orid608", [1], how="left")
+    r = attach(r, m608, ["masterfid", "fid"], "orid612")
     l608 = _latest_ids(tdocs, latest, codes.doc_main_places, "608")
-    r = _left(r, l608, (F.col("_608_m") == F.col("_l608_m")) & (F.col("_608_f") == F.col("_l608_f"))
+    r = _left(r, l608, (F.col("masterfid") == F.col("_l608_m")) & (F.col("fid") == F.col("_l608_f"))
               & (F.col("orid608") == F.col("t608_orid")))
     docs608 = tdocs.where(F.col("ortype") == codes.doc_main_places).select("orid", "masterfid")
     lines608 = attrs.where(F.col("id").isin(list(codes.main_places.values())) & (F.col("activeflag") == 1)
@@ -128,10 +139,9 @@ def full_report(
               & (F.col("_p608_i") == F.col("itid")))
 
     # promo actions: 1-4 document ids after the stock check
-    d611 = _day_headers(orders, codes.doc_promo, day_bounds, "611")
-    r = band_join(r, d611, _keys("611"), "orid607", "orid611", 1, 4, how="left")
+    r = attach(r, m611, ["masterfid", "fid"], "orid607")
     l611 = _latest_ids(tdocs, latest, codes.doc_promo, "611")
-    r = _left(r, l611, (F.col("_611_m") == F.col("_l611_m")) & (F.col("_611_f") == F.col("_l611_f"))
+    r = _left(r, l611, (F.col("masterfid") == F.col("_l611_m")) & (F.col("fid") == F.col("_l611_f"))
               & (F.col("orid611") == F.col("t611_orid")))
     # the original joins these lines to documents on the agent only: an
     # existence test (the MAX hides the fan-out)
@@ -147,8 +157,7 @@ def full_report(
     r = _left(r, n611, F.col("_n611") == F.col("id611"))
 
     # order information: 1-7 document ids after the stock check
-    d610 = _day_headers(orders, codes.doc_order_info, day_bounds, "610")
-    r = band_join(r, d610, _keys("610"), "orid607", "orid610", 1, 7, how="left")
+    r = attach(r, m610, ["masterfid", "fid"], "orid607")
     l610 = _latest_ids(tdocs, latest, codes.doc_order_info, "610")
     r = _left(r, l610, (F.col("_l610_m") == F.col("masterfid")) & (F.col("_l610_f") == F.col("fid"))
               & (F.col("t610_orid") == F.col("orid610")))
@@ -169,7 +178,12 @@ def full_report(
     photo_docs = tdocs.where((F.col("ortype") == codes.doc_photo) & date_in_period("ordate", day_bounds))
     d5 = photo_docs.groupBy("masterfid", "mfid", "orid").agg(F.max("ordate").alias("d5_date")).select(
         F.col("masterfid").alias("_d5_m"), F.col("mfid").alias("_d5_f"), F.col("orid").alias("d5_orid"), "d5_date")
-    r = offset_join(r, d5, [("masterfid", "_d5_m"), ("fid", "_d5_f")], "fc_orid", "d5_orid", [-1, 1], how="left")
+    vf = visits.select("masterfid", "fid", "datebegin").join(
+        fc.select("_fc_m", "_fc_d", "fc_orid"),
+        (F.col("_fc_m") == F.col("fid")) & (F.col("_fc_d") == F.col("datebegin")), "left",
+    ).select("masterfid", "fid", "fc_orid")
+    m5 = distance_lookup(vf, d5, [("masterfid", "_d5_m"), ("fid", "_d5_f")], "fc_orid", "d5_orid", offsets=[-1, 1])
+    r = attach(r, m5, ["masterfid", "fid"], "fc_orid")
     doc5 = tdocs.where(F.col("ortype") == codes.doc_photo).select(
         F.col("masterfid").alias("_p_m"), F.col("mfid").alias("_p_f"), F.col("ordate").alias("_p_d"),
         F.col("orid").alias("_p_o"))

@@ -54,7 +54,8 @@ def report_inputs(
     visits = extract_visits(tables.visit_source, caller_filter(spark, visit_bounds, codes, base_filter), codes)
     tdocs = extract_documents(tables.orders, document_filter(spark, doc_bounds, codes), codes)
     if staged:
-        visits = stage(visits, "visits")
+        # the visit extract is a pushed-down filter of one table and cheap to
+        # re-read; the document extract feeds eight branches and is staged
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None

@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfaudit.session import stage
 from shelfaudit.sources.tables import AuditTables
 
 # Fixed values of the analog: priority -> document type, in priority order.
@@ -160,16 +161,33 @@ def visit_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tables(spark: SparkSession, sf_dir: str, codes, item_ids: bool = False) -> AuditTables:
-    docs = orders(spark, sf_dir)
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def _staged(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Derive an analog view once per application and data folder and keep it
+    as Parquet, so that it behaves like the base table it stands for."""
+    full = (spark.sparkContext.applicationId,) + key
+    if full not in _STAGED:
+        _STAGED[full] = stage(build(), "analog_" + "_".join(str(k) for k in key[1:]))
+    return _STAGED[full]
+
+
+def tables(spark: SparkSession, sf_dir: str, codes, item_ids: bool = False, staged: bool = True) -> AuditTables:
+    """The report's inputs over the test tables (staged once unless ``staged=False``)."""
+    def get(name, build):
+        return _staged(spark, (sf_dir, name), build) if staged else build()
+
+    docs = get("orders", lambda: orders(spark, sf_dir))
     return AuditTables(
         orders=docs,
-        attrs=attrs(spark, sf_dir, docs, item_ids=item_ids),
-        objattrs=objattrs(spark, sf_dir, codes.obj_banner_attr, codes.obj_email_attr,
-                          codes.outlet_dict, codes.product_dict),
+        attrs=get(f"attrs_items{int(item_ids)}", lambda: attrs(spark, sf_dir, docs, item_ids=item_ids)),
+        objattrs=get(f"objattrs_{codes.obj_banner_attr}_{codes.obj_email_attr}",
+                     lambda: objattrs(spark, sf_dir, codes.obj_banner_attr, codes.obj_email_attr,
+                                      codes.outlet_dict, codes.product_dict)),
         items=items(spark, sf_dir),
-        visit_source=visit_source(docs),
-        faces=faces(spark, sf_dir, codes.outlet_face_type),
+        visit_source=get("visit_source", lambda: visit_source(docs)),
+        faces=get(f"faces_{codes.outlet_face_type}", lambda: faces(spark, sf_dir, codes.outlet_face_type)),
         agents=agents(spark, sf_dir),
-        visit_comments=visit_comments(spark, sf_dir),
+        visit_comments=get("visit_comments", lambda: visit_comments(spark, sf_dir)),
     )
