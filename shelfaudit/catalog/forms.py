@@ -173,16 +173,17 @@ def q18_neighbour(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q19_format(spark: SparkSession, d: str) -> DataFrame:
+    """Counters as text, their total and the presence percent, for facing
+    rows against the listed count of the outlet's banner and product."""
     tables, visits, tdocs, temp = _temp(spark, d)
-    listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
+    counts = stg.listed_counts(temp, tables.objattrs, tables.items, C)
     init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
     fc = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
     banner = master_attribute(tables.objattrs, C.obj_banner_attr, C.outlet_dict).select(
         F.col("id").alias("_bid"), F.col("attrtext").alias("banner"))
-    lst = listing.select(F.col("attrtext").alias("_lb"), F.col("iid").alias("_li"),
-                         F.col("datebegin").alias("_ld"), "listed")
+    lst = counts.select(F.col("attrtext").alias("_lb"), F.col("iid").alias("_li"), "listed")
     out = fc.join(banner, fc.mfid == banner._bid, "left").join(
-        lst, (lst._lb == F.col("banner")) & (lst._ld == fc.datebegin) & (lst._li == fc.itid), "left")
+        lst, (lst._lb == F.col("banner")) & (lst._li == fc.itid), "left")
     return out.select(
         "mfid", "orid", "itid", "datebegin",
         blank_zero("facing").alias("facing_txt"), blank_zero("shelf").alias("shelf_txt"),

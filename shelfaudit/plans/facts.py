@@ -12,30 +12,56 @@ from shelfaudit.functions.period import in_period
 FACT_COLS = ("masterfid", "mfid", "orid", "ortype", "attrid", "ordate", "attrtext", "id", "dictid")
 
 
-def order_facts(
+def order_heads(
     orders: DataFrame,
-    attrs: DataFrame,
     visits: DataFrame,
     bounds: tuple[Column, Column],
     doc_types: Sequence[int],
 ) -> DataFrame:
     """Headers in the period with a fact type, of a visited agent and of a
-    visited outlet, joined to their active lines.
+    visited outlet.
 
     Agent and outlet are two separate semi-joins, so an agent-outlet pair
-    that never met still passes (the original's two INs). The outer join
-    of the original is cancelled by its WHERE on the line side, so it is
-    written as an inner join. Period and type reach the scan as pushed
-    filters; the semi-joins become broadcasts only when AQE measures the
-    visit keys small.
+    that never met still passes (the original's two INs). Period and type
+    reach the scan as pushed filters; the semi-joins become broadcasts only
+    when the visit keys are known or measured small, else shuffle joins.
     """
-    heads = (
+    return (
         orders.where(in_period("ordate", bounds) & F.col("ortype").isin(list(doc_types)))
         .where(F.col("masterfid").isin(visits.select("masterfid")))
         .where(F.col("mfid").isin(visits.select("fid")))
         .select("masterfid", "mfid", "orid", "ortype", "ordate")
     )
-    lines = attrs.where(F.col("activeflag") == 1).select(
-        "masterfid", "orid", "attrid", "attrtext", "id", "dictid"
-    )
+
+
+def facts_from_heads(heads: DataFrame, attrs: DataFrame, id_range: tuple | None = None) -> DataFrame:
+    """Join headers to their active lines.
+
+    The original's outer join is cancelled by its WHERE on the line side,
+    so it is an inner join. ``id_range`` (the headers' smallest and largest
+    document id) adds a superset filter on the lines that reaches the scan:
+    where lines are stored clustered by document id, the report day's lines
+    are read without scanning the whole table.
+    """
+    lines = attrs.where(F.col("activeflag") == 1)
+    if id_range is not None:
+        lines = lines.where(F.col("orid").between(F.lit(id_range[0]), F.lit(id_range[1])))
+    lines = lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid")
     return heads.join(lines, on=["masterfid", "orid"], how="inner").select(*FACT_COLS)
+
+
+def id_range(heads: DataFrame) -> tuple:
+    """(min, max) document id of the headers: one small aggregate, two scalars."""
+    row = heads.agg(F.min("orid").alias("lo"), F.max("orid").alias("hi")).first()
+    return (row.lo, row.hi)
+
+
+def order_facts(
+    orders: DataFrame,
+    attrs: DataFrame,
+    visits: DataFrame,
+    bounds: tuple[Column, Column],
+    doc_types: Sequence[int],
+) -> DataFrame:
+    """Headers of visited agents and outlets joined to their active lines."""
+    return facts_from_heads(order_heads(orders, visits, bounds, doc_types), attrs)

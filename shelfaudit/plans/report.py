@@ -23,7 +23,7 @@ from shelfaudit.config import AuditCodes
 from shelfaudit.operators.filters import FilterSet
 from shelfaudit.operators.latest import latest_dates
 from shelfaudit.plans.extract import caller_filter, document_filter, extract_documents, extract_visits
-from shelfaudit.plans.facts import order_facts
+from shelfaudit.plans.facts import facts_from_heads, id_range, order_facts, order_heads
 from shelfaudit.plans.sections import (
     assortment,
     extra_places,
@@ -59,9 +59,10 @@ def report_inputs(
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None
-    fx = order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
-    if staged:
-        fx = stage(fx, "order_facts")
+    if not staged:
+        return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
+    heads = stage(order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types), "order_heads")
+    fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads)), "order_facts")
     return visits, tdocs, fx
 
 

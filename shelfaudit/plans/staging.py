@@ -44,15 +44,15 @@ def banner_visits(faces: DataFrame, objattrs: DataFrame, visits: DataFrame, item
     return out.select(*TEMP_COLS)
 
 
-def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
-    """Distinct (banner, product, visit start) with the listed count.
+def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
+    """Listed count per (banner, named product): the source of C3's update.
 
     The original counts listing rows joined to every banner-visit row of the
     same banner, i.e. ``listing rows x banner-visit rows``. That product is
     computed from two pre-counts instead of materialising the join, which
-    would be quadratic in the rows of a popular banner.
+    would be quadratic in the rows of a popular banner. Banners absent from
+    the banner-visit rows drop out (the original's IN test).
     """
-    initial = temp.select("attrtext", "iid", "datebegin").distinct()
     named = items.where(contains_any("iname", codes.listing_name_parts)).select("iid")
     listed = master_attribute(objattrs, codes.obj_banner_attr, codes.product_dict, active=True)
     n_list = (
@@ -61,9 +61,16 @@ def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes
         .agg(F.count(F.lit(1)).alias("_n_list"))
     )
     n_temp = temp.where(F.col("attrtext").isNotNull()).groupBy("attrtext").agg(F.count(F.lit(1)).alias("_n_temp"))
-    counts = n_list.join(n_temp, "attrtext").select(
-        "attrtext", "iid", (F.col("_n_list") * F.col("_n_temp")).alias("_listed")
+    return n_list.join(n_temp, "attrtext").select(
+        "attrtext", "iid", (F.col("_n_list") * F.col("_n_temp")).alias("listed")
     )
+
+
+def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
+    """Distinct (banner, product, visit start) with the listed count, 0 where
+    the update finds no row (C3)."""
+    initial = temp.select("attrtext", "iid", "datebegin").distinct()
+    counts = listed_counts(temp, objattrs, items, codes).withColumnRenamed("listed", "_listed")
     out = initial.join(counts, ["attrtext", "iid"], "left")
     return out.select("attrtext", "iid", F.coalesce("_listed", F.lit(0).cast("long")).alias("listed"), "datebegin")
 
