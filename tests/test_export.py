@@ -18,3 +18,20 @@ def test_export_writes_one_file_per_named_row(spark):
     assert sorted(os.listdir(target)) == ["5_177.jpg", "6_279.jpg"]
     with open(os.path.join(target, "5_177.jpg"), "rb") as fh:
         assert fh.read() == b"abc"
+
+
+def test_export_photos_guard_and_selection(spark):
+    from shelfaudit.plans.photos import export_photos
+
+    docs = spark.createDataFrame([(1, 77, 230), (1, 78, 230)], "masterfid int, orid int, ortype int")
+    att = spark.createDataFrame(
+        [(1, 77, f, bytes([f])) for f in (5, 6, 7, 8)] + [(1, 78, 9, b"x")],
+        "masterfid int, docid int, fileid int, filedata binary")
+    target = tempfile.mkdtemp(prefix="photos-")
+    res = export_photos(docs, att, [("masterfid", "masterfid"), ("orid", "docid")], "orid", "fileid",
+                        "masterfid", "orid", "filedata", target)
+    assert sorted(r.file_name for r in res.collect()) == ["5_177.jpg", "6_177.jpg", "7_177.jpg", "9_178.jpg"]
+    assert sorted(os.listdir(target)) == ["5_177.jpg", "6_177.jpg", "7_177.jpg", "9_178.jpg"]
+    empty = docs.where("orid < 0")
+    assert export_photos(empty, att, [("masterfid", "masterfid"), ("orid", "docid")], "orid", "fileid",
+                         "masterfid", "orid", "filedata", target) is None
