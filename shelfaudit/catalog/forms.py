@@ -33,10 +33,12 @@ def _bounds():
     return period_bounds(VISIT_FIRST_DAY, VISIT_LAST_DAY), period_bounds(DOC_FIRST_DAY, DOC_LAST_DAY)
 
 
-def _inputs(spark: SparkSession, d: str, staged: bool = True, item_ids: bool = False, facts: bool = True):
+def _inputs(spark: SparkSession, d: str, stage_docs: bool = False, stage_facts: bool = False,
+            item_ids: bool = False, facts: bool = True):
     tables = analog.tables(spark, d, C, item_ids=item_ids)
     vb, db = _bounds()
-    visits, tdocs, fx = rpt.report_inputs(spark, tables, C, vb, db, staged=staged, facts=facts)
+    visits, tdocs, fx = rpt.report_inputs(spark, tables, C, vb, db, stage_docs=stage_docs,
+                                          stage_facts=stage_facts, facts=facts)
     return tables, visits, tdocs, fx
 
 
@@ -50,7 +52,7 @@ def q01_period(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q02_filter_set(spark: SparkSession, d: str) -> DataFrame:
-    _, visits, _, _ = _inputs(spark, d, staged=False, facts=False)
+    _, visits, _, _ = _inputs(spark, d, facts=False)
     return ext.visit_filter(visits, C).rows
 
 
@@ -60,23 +62,23 @@ def q02_doc_filter(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q03_filtered_faces(spark: SparkSession, d: str) -> DataFrame:
-    tables, visits, _, _ = _inputs(spark, d, staged=False, facts=False)
+    tables, visits, _, _ = _inputs(spark, d, facts=False)
     return ext.extract_faces(tables.faces, ext.visit_filter(visits, C), C)
 
 
 def q03_filtered_docs(spark: SparkSession, d: str) -> DataFrame:
-    _, _, tdocs, _ = _inputs(spark, d, staged=False, facts=False)
+    _, _, tdocs, _ = _inputs(spark, d, facts=False)
     return tdocs
 
 
-def _temp(spark, d, staged=True):
-    tables, visits, tdocs, _ = _inputs(spark, d, staged=staged, facts=False, item_ids=True)
+def _temp(spark, d, stage_docs=False):
+    tables, visits, tdocs, _ = _inputs(spark, d, stage_docs=stage_docs, facts=False, item_ids=True)
     temp = stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C)
     return tables, visits, tdocs, temp
 
 
 def q04_banner_visits(spark: SparkSession, d: str) -> DataFrame:
-    return _temp(spark, d, staged=False)[3]
+    return _temp(spark, d)[3]
 
 
 def q05_listing_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -96,7 +98,7 @@ def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q08_order_facts(spark: SparkSession, d: str) -> DataFrame:
-    _, _, _, facts = _inputs(spark, d, staged=False)
+    _, _, _, facts = _inputs(spark, d)
     return facts
 
 
@@ -108,7 +110,7 @@ def q09_assortment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q10_stock_lookup(spark: SparkSession, d: str) -> DataFrame:
-    _, visits, _, facts = _inputs(spark, d)
+    _, visits, _, facts = _inputs(spark, d, stage_facts=True)  # four reads of the facts
     a = sec.assortment(facts, C.doc_stock)
     v = visits.select("masterfid", F.col("fid").alias("mfid"), "vdate")
     base = v.join(a, ["masterfid", "mfid"])
@@ -140,7 +142,7 @@ def q14_promo_actions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
-    tables, visits, tdocs, facts = _inputs(spark, d)
+    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True, stage_facts=True)
     return rpt.audit_report(visits, tdocs, facts, tables.items, C)
 
 
@@ -256,7 +258,7 @@ def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
-    tables, visits, tdocs, temp = _temp(spark, d)
+    tables, visits, tdocs, temp = _temp(spark, d, stage_docs=True)
     vb, _ = _bounds()
     # the two staging tables of the original are temp tables: staged once
     listing = stage(stg.listing_counts(temp, tables.objattrs, tables.items, C), "listing")

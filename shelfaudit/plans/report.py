@@ -46,28 +46,31 @@ def report_inputs(
     visit_bounds,
     doc_bounds=None,
     base_filter: FilterSet | None = None,
-    staged: bool = True,
+    stage_docs: bool = True,
+    stage_facts: bool = True,
     facts: bool = True,
 ):
-    """Visits, document extract and order facts of one report run."""
+    """Visits, document extract and order facts of one report run.
+
+    Stage what several branches read: the document extract (latest dates
+    and section joins) and the order facts (every section). A consumer that
+    reads them once should not stage them. The visit extract is a pushed
+    filter over one table and is re-read rather than staged.
+    """
     doc_bounds = visit_bounds if doc_bounds is None else doc_bounds
     visits = extract_visits(tables.visit_source, caller_filter(spark, visit_bounds, codes, base_filter), codes)
     tdocs = extract_documents(tables.orders, document_filter(spark, doc_bounds, codes), codes)
-    if staged:
-        # the visit extract is a pushed-down filter of one table and cheap to
-        # re-read; the document extract feeds eight branches and is staged
+    if stage_docs:
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None
-    if not staged:
+    if not stage_facts:
         return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
     heads = stage(order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types), "order_heads")
     fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads)), "order_facts")
     return visits, tdocs, fx
 
 
-
-
 def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes,
                 latest: DataFrame) -> DataFrame:
     """613 assortment with stock lookups, main places (by product) and name."""
@@ -168,8 +171,7 @@ def run_audit_report(
     visit_bounds,
     doc_bounds=None,
     base_filter: FilterSet | None = None,
-    staged: bool = True,
 ) -> DataFrame:
     """Whole live report for one period (the procedure's entry point)."""
-    visits, tdocs, facts = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter, staged)
+    visits, tdocs, facts = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter)
     return audit_report(visits, tdocs, facts, tables.items, codes)
