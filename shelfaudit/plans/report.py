@@ -66,7 +66,9 @@ def report_inputs(
         return visits, tdocs, None
     if not stage_facts:
         return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
-    heads = stage(order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types), "order_heads")
+    # the headers are one filtered scan plus two semi-joins: cheap to compute
+    # twice (once for their id range, once for the join), never staged
+    heads = order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types)
     fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads)), "order_facts")
     return visits, tdocs, fx
 
