@@ -35,17 +35,36 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
+_SCRATCH: dict[str, str] = {}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names; a scratch one only if unset."""
-    found = spark.sparkContext.getCheckpointDir()
-    if found:
-        return found
+    """The shared checkpoint folder the cluster names; a scratch one only if unset.
+
+    Works for classic sessions (``SparkContext.getCheckpointDir``) and for
+    sessions without a context (the ``spark.checkpoint.dir`` setting).
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         # Only reached outside a cluster (tests): nothing names a shared folder.
-        configured = tempfile.mkdtemp(prefix="shelfaudit-ckpt-")
-    spark.sparkContext.setCheckpointDir(configured)
-    return spark.sparkContext.getCheckpointDir() or configured
+        configured = _SCRATCH.setdefault(application_id(spark), tempfile.mkdtemp(prefix="shelfaudit-ckpt-"))
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir() or configured
+    return configured
+
+
+def application_id(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:
+        return spark.conf.get("spark.app.id", "session")
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfaudit.session import stage
+from shelfaudit.session import application_id, stage
 from shelfaudit.sources.tables import AuditTables
 
 # Fixed values of the analog: priority -> document type, in priority order.
@@ -167,7 +167,7 @@ _STAGED: dict[tuple, DataFrame] = {}
 def _staged(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Derive an analog view once per application and data folder and keep it
     as Parquet, so that it behaves like the base table it stands for."""
-    full = (spark.sparkContext.applicationId,) + key
+    full = (application_id(spark),) + key
     if full not in _STAGED:
         _STAGED[full] = stage(build(), "analog_" + "_".join(str(k) for k in key[1:]))
     return _STAGED[full]
