@@ -55,3 +55,12 @@ def test_period_row_and_pushdown(spark):
         "ordate timestamp_ntz, ortype int")
     got = apply_filters(docs, fs, {C.flt_doc_type: Binding("ortype")}, period_column="ordate").collect()
     assert [(r.ortype, r.ordate.hour) for r in got] == [(611, 8)]
+
+
+def test_caller_rows_copied_without_extra_columns(spark):
+    rows = spark.createDataFrame([(440003, 5, None, None, None, None, None, "x")],
+                                 "type int, id long, id2 long, id3 long, id4 long, id5 long, idstr string, "
+                                 "datjoin string")
+    fs = FilterSet.from_rows(rows, [440003])
+    assert fs.rows.columns == ["type", "id", "id2", "id3", "id4", "id5", "idstr"]
+    assert fs.cleared().rows.count() == 0
