@@ -31,14 +31,18 @@ def top_by_running_count(
     """Rows whose running-count rank is ``< below`` (rank 0 rows included).
 
     A value repeated ``below`` times or more already ranks too high, so at
-    most ``below - 1`` rows per group qualify. That lets the work stay
-    bounded on skewed groups: counts per (group, value) are pre-combined
-    map-side, the ``below - 1`` smallest values per group are kept by a
-    group limit before the shuffle, and only those few keys are joined back
-    to the rows. No group is ever sorted whole.
+    most ``below - 1`` rows per group qualify. That keeps the work bounded
+    on skewed groups: counts per (group, value) are pre-combined map-side,
+    the ``below - 1`` smallest values per group are kept by a group limit
+    before the shuffle, and only those keys are joined back to the rows.
+    No group is ever sorted whole. Rank-0 rows (NULL group or value) need
+    no join and never enter the shuffle, so a mass of NULL files cannot
+    make a hot join key.
     """
     k = below - 1
-    keyed = df.where(F.col(part).isNotNull() & F.col(order).isNotNull())
+    is_zero = F.col(part).isNull() | F.col(order).isNull()
+    zeros = df.where(is_zero).withColumn(name, F.lit(0).cast("long"))
+    keyed = df.where(~is_zero)
     counts = keyed.groupBy(part, order).agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(part).orderBy(F.col(order))
     smallest = counts.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= k)
@@ -49,12 +53,6 @@ def top_by_running_count(
     keep = ranked.select(
         F.col(part).alias("_kp"), F.col(order).alias("_ko"), F.col(name).cast("long").alias("_rank")
     )
-    joined = df.join(
-        keep, on=[F.col(part) == F.col("_kp"), F.col(order) == F.col("_ko")], how="left"
-    )
-    is_zero = F.col(part).isNull() | F.col(order).isNull()
-    return (
-        joined.where(is_zero | F.col("_rank").isNotNull())
-        .withColumn(name, F.when(is_zero, F.lit(0).cast("long")).otherwise(F.col("_rank")))
-        .drop("_kp", "_ko", "_rank")
-    )
+    hits = keyed.join(keep, on=[F.col(part) == F.col("_kp"), F.col(order) == F.col("_ko")], how="inner")
+    hits = hits.withColumn(name, F.col("_rank")).drop("_kp", "_ko", "_rank")
+    return hits.unionByName(zeros)
