@@ -34,26 +34,38 @@ def order_heads(
     )
 
 
+# Headers below this many rows (5 narrow columns, ~40 bytes a row) are
+# broadcast to the line scan; above it the join stays a shuffle join.
+BROADCAST_HEAD_ROWS = 2_000_000
+
+
 def facts_from_heads(heads: DataFrame, attrs: DataFrame, id_range: tuple | None = None) -> DataFrame:
     """Join headers to their active lines.
 
     The original's outer join is cancelled by its WHERE on the line side,
-    so it is an inner join. ``id_range`` (the headers' smallest and largest
-    document id) adds a superset filter on the lines that reaches the scan:
-    where lines are stored clustered by document id, the report day's lines
-    are read without scanning the whole table.
+    so it is an inner join. ``id_range`` = (smallest id, largest id, header
+    count), measured on the headers:
+
+    * the id range becomes a superset filter on the lines that reaches the
+      scan (row groups skip where lines are clustered by document id) and
+      that drops all other days' lines before any shuffle;
+    * the count is the size check for a broadcast: the day's headers are
+      broadcast to the line scan only when counted small, so the line
+      table is never shuffled for them; otherwise a sort-merge join.
     """
     lines = attrs.where(F.col("activeflag") == 1)
     if id_range is not None:
         lines = lines.where(F.col("orid").between(F.lit(id_range[0]), F.lit(id_range[1])))
+        if id_range[2] is not None and id_range[2] <= BROADCAST_HEAD_ROWS:
+            heads = F.broadcast(heads)
     lines = lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid")
     return heads.join(lines, on=["masterfid", "orid"], how="inner").select(*FACT_COLS)
 
 
 def id_range(heads: DataFrame) -> tuple:
-    """(min, max) document id of the headers: one small aggregate, two scalars."""
-    row = heads.agg(F.min("orid").alias("lo"), F.max("orid").alias("hi")).first()
-    return (row.lo, row.hi)
+    """(min id, max id, row count) of the headers: one aggregate, three scalars."""
+    row = heads.agg(F.min("orid").alias("lo"), F.max("orid").alias("hi"), F.count(F.lit(1)).alias("n")).first()
+    return (row.lo, row.hi, row.n)
 
 
 def order_facts(

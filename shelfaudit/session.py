@@ -74,3 +74,30 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
+    """Runtime SQL settings for a report run on a cluster.
+
+    ``shuffle_bytes`` is the largest volume one exchange moves. For the daily
+    report that is one day of order lines after the id-range filter, not the
+    table size. Shuffle partitions are an upper bound sized to
+    ``partition_bytes`` each (at least two waves of the cores); AQE coalesces
+    small ones and splits skewed ones. File splits stay at ``partition_bytes``
+    so scan tasks fit executor memory.
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    for key, value in conf.items():
+        spark.conf.set(key, value)

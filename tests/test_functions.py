@@ -80,3 +80,11 @@ def test_split_address(spark):
     r = df.select(*[c.alias(k) for k, c in T.split_address("a", DEFAULT_ADDRESS_FIELDS).items()]).collect()
     assert tuple(r[0]) == ("Тверь", "Ленина", "5", "12")
     assert tuple(r[1]) == ("", "", "", "")
+
+
+def test_scale_conf_partitions():
+    from shelfaudit.session import scale_conf
+
+    assert scale_conf(shuffle_bytes=1 << 40, total_cores=1000)["spark.sql.shuffle.partitions"] == "8192"
+    assert scale_conf(shuffle_bytes=1 << 40, total_cores=8000)["spark.sql.shuffle.partitions"] == "16000"
+    assert scale_conf(1 << 20, 16)["spark.sql.shuffle.partitions"] == "32"
