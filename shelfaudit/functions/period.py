@@ -49,12 +49,13 @@ def in_period(col: str | Column, bounds: tuple[Column, Column]) -> Column:
 def same_calendar_day(col: str | Column, day) -> Column:
     """Year, month and day parts equal those of ``day``.
 
-    Written as equality of dates rather than three part tests so that the
-    predicate stays sargable for the scan.
+    Written as the half-open range ``[midnight, next midnight)`` on the bare
+    column, so the predicate reaches the Parquet scan (three part tests or a
+    cast of the column would not).
     """
     c = F.col(col) if isinstance(col, str) else col
-    d = day if isinstance(day, Column) else ts_literal(day)
-    return F.to_date(c) == F.to_date(d)
+    start = day_start(day)
+    return (c >= start) & (c < start + F.expr("INTERVAL 1 DAY"))
 
 
 def day_parts_equal(col: str | Column, day) -> Column:
@@ -69,6 +70,13 @@ def day_parts_equal(col: str | Column, day) -> Column:
 
 
 def date_in_period(col: str | Column, bounds: tuple[Column, Column]) -> Column:
-    """``CAST(col AS DATE) BETWEEN begin AND end`` (dates compared as timestamps)."""
+    """``CAST(col AS DATE) BETWEEN begin AND end``.
+
+    The day of ``col`` lies in the period exactly when ``col`` lies in
+    ``[midnight(begin), midnight(end) + 1 day)``; written that way on the bare
+    column it is pushed to the scan.
+    """
     c = F.col(col) if isinstance(col, str) else col
-    return F.to_date(c).cast("timestamp_ntz").between(bounds[0], bounds[1])
+    lo = F.date_trunc("day", bounds[0]).cast("timestamp_ntz")
+    hi = F.date_trunc("day", bounds[1]).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    return (c >= lo) & (c < hi)

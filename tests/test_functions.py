@@ -88,3 +88,14 @@ def test_scale_conf_partitions():
     assert scale_conf(shuffle_bytes=1 << 40, total_cores=1000)["spark.sql.shuffle.partitions"] == "8192"
     assert scale_conf(shuffle_bytes=1 << 40, total_cores=8000)["spark.sql.shuffle.partitions"] == "16000"
     assert scale_conf(1 << 20, 16)["spark.sql.shuffle.partitions"] == "32"
+
+
+def test_date_in_period_matches_cast_form(spark):
+    rows = [(ts(x),) for x in ("2024-01-14 23:59:59.9", "2024-01-15 00:00:00", "2024-01-16 23:59:59.999",
+                               "2024-01-17 00:00:00")]
+    df = spark.createDataFrame(rows, "t timestamp_ntz")
+    b = P.period_bounds("2024-01-15", "2024-01-16")
+    got = [r.x for r in df.select(P.date_in_period("t", b).alias("x")).collect()]
+    assert got == [False, True, True, False]
+    plan = df.where(P.date_in_period("t", b))._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast(" not in plan.split("Filter")[1].split("\n")[0].lower()
