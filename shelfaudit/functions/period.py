@@ -28,9 +28,13 @@ def ts_literal(value: str | _dt.date | _dt.datetime) -> Column:
 
 
 def day_start(value) -> Column:
-    """Midnight of the given moment (``dateonly``)."""
+    """Midnight of the given moment (``dateonly``).
+
+    Through a date, not ``date_trunc``: no session time zone is involved,
+    so a zone whose clocks skip midnight cannot shift the bound.
+    """
     c = value if isinstance(value, Column) else ts_literal(value)
-    return F.date_trunc("day", c).cast("timestamp_ntz")
+    return F.to_date(c).cast("timestamp_ntz")
 
 
 def period_bounds(first_day, last_day=None) -> tuple[Column, Column]:
@@ -77,6 +81,6 @@ def date_in_period(col: str | Column, bounds: tuple[Column, Column]) -> Column:
     column it is pushed to the scan.
     """
     c = F.col(col) if isinstance(col, str) else col
-    lo = F.date_trunc("day", bounds[0]).cast("timestamp_ntz")
-    hi = F.date_trunc("day", bounds[1]).cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    lo = day_start(bounds[0])
+    hi = day_start(bounds[1]) + F.expr("INTERVAL 1 DAY")
     return (c >= lo) & (c < hi)

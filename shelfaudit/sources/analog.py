@@ -90,7 +90,7 @@ def visit_source(docs: DataFrame) -> DataFrame:
         F.col("ordate").alias("dateend"),
         F.lit("").alias("otkazstr"),
         F.lit(0).alias("pda"),
-        F.date_trunc("day", F.col("ordate")).cast("timestamp_ntz").alias("vdateonly"),
+        F.to_date("ordate").cast("timestamp_ntz").alias("vdateonly"),
     ).distinct()
 
 
