@@ -63,3 +63,35 @@ def test_banner_visits_product_by_outlet_id_and_listing_inflation(spark):
     got = sorted((r.iid if r.iid is not None else -1, r.listed) for r in listing.collect())
     # banner B has 4 banner-visit rows; one active listing row of product 2
     assert got == [(-1, 0), (2, 4), (2, 4), (2, 4)]
+
+
+def test_listing_precount_equals_literal_join(spark):
+    """The two pre-counts give the count of the original's join of listing
+    rows to every banner-visit row, on random data with a hot banner."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    rnd = random.Random(11)
+    banners = ["HOT"] * 6 + ["A", "B", "C", None]
+    temp_rows = [(i, rnd.choice(banners), None, None, None, None, rnd.choice([None, 1, 2, 3]))
+                 for i in range(400)]
+    temp = spark.createDataFrame(
+        temp_rows, "fid long, attrtext string, datebegin timestamp_ntz, dateend timestamp_ntz, "
+                   "vdate timestamp_ntz, vdateonly timestamp_ntz, iid long")
+    obj = spark.createDataFrame(
+        [(rnd.choice([1, 2, 3, 4]), 1, 611, rnd.choice(["HOT", "A", "B", "Z"]), rnd.choice([0, 1]))
+         for _ in range(60)],
+        "id long, dictid int, attrid int, attrtext string, activeflag int")
+    items = _items(spark)
+    got = sorted((r.attrtext, r.iid, r.listed) for r in stg.listed_counts(temp, obj, items, C).collect())
+    named = items.where(F.col("iname").contains("red") | F.col("iname").contains("bolt"))
+    o = obj.where("attrid = 611 AND activeflag = 1 AND dictid = 1")
+    o = o.join(temp.select("attrtext").distinct(), "attrtext", "left_semi")
+    literal = (
+        o.join(named, named.iid == o.id)
+        .join(temp.select(F.col("attrtext").alias("t_attr")), F.col("t_attr") == o.attrtext, "left")
+        .groupBy(o.attrtext, named.iname, named.iid).count()
+    )
+    expect = sorted((r.attrtext, r.iid, r["count"]) for r in literal.collect())
+    assert got == expect and len(got) > 0
