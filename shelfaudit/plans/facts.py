@@ -77,3 +77,15 @@ def order_facts(
 ) -> DataFrame:
     """Headers of visited agents and outlets joined to their active lines."""
     return facts_from_heads(order_heads(orders, visits, bounds, doc_types), attrs)
+
+
+def lines_of_documents(attrs: DataFrame, docs: DataFrame, probe: tuple | None = None) -> DataFrame:
+    """The EAV lines restricted to the documents' id range (a pushed superset
+    filter; the exact match is the caller's join)."""
+    lo, hi, _ = probe if probe is not None else id_range(docs)
+    return attrs.where(F.col("orid").between(F.lit(lo), F.lit(hi)))
+
+
+def small_side(df: DataFrame, rows: int | None, limit: int = BROADCAST_HEAD_ROWS) -> DataFrame:
+    """Mark ``df`` for broadcast when its counted ``rows`` are within ``limit``."""
+    return F.broadcast(df) if rows is not None and rows <= limit else df

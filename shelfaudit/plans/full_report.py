@@ -19,6 +19,7 @@ from shelfaudit.functions.text import blank_zero, concat_strict, count_total, do
 from shelfaudit.operators.adjacent import attach, distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_dates, latest_documents
+from shelfaudit.plans.facts import lines_of_documents
 
 FULL_COLUMNS = (
     "employee_name", "audit_date", "outlet_no", "store_category", "banner", "city", "district", "street",
@@ -73,6 +74,9 @@ def full_report(
     latest = latest_dates(
         tdocs, [codes.doc_extra_places, codes.doc_main_places, codes.doc_promo, codes.doc_order_info]
     )
+    # every line lookup below ends in a join to an extracted document, so
+    # only lines inside the extract's id range can matter: cut them at the scan
+    attrs = lines_of_documents(attrs, tdocs)
     names = items.select("iid", "iname")
     r = visits.select("masterfid", "fid", "vdate", "datebegin", "otkazstr")
 
@@ -145,9 +149,12 @@ def full_report(
               & (F.col("orid611") == F.col("t611_orid")))
     # the original joins these lines to documents on the agent only: an
     # existence test (the MAX hides the fan-out)
-    agents611 = tdocs.where(F.col("ortype") == codes.doc_promo).select("masterfid")
+    # Only groups of a latest promo document survive the join below, so the
+    # lines can also be restricted to promo documents' ids (same result).
+    docs611 = tdocs.where(F.col("ortype") == codes.doc_promo)
     lines611 = attrs.where(F.col("attrid").isin(list(codes.promo_actions.values())) & (F.col("activeflag") == 1)
-                           & F.col("masterfid").isin(agents611))
+                           & F.col("masterfid").isin(docs611.select("masterfid"))
+                           & F.col("orid").isin(docs611.select("orid")))
     p611 = pivot_max(lines611, ["orid", "id", "masterfid"], "attrid", codes.promo_actions)
     first = next(iter(codes.promo_actions))
     p611 = p611.select(F.col("orid").alias("_p611_o"), F.col("masterfid").alias("_p611_m"), F.col("id").alias("id611"),

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import contains_any, prefix_in
 from shelfaudit.operators.eav import master_attribute
+from shelfaudit.plans.facts import id_range, lines_of_documents, small_side
 
 TEMP_COLS = ("fid", "attrtext", "datebegin", "dateend", "vdate", "vdateonly", "iid")
 FACING_COLS = ("mfid", "facing", "shelf", "store", "orcomment", "datebegin", "orid", "itid")
@@ -76,10 +77,17 @@ def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes
 
 
 def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: AuditCodes, attr_ids) -> DataFrame:
+    """Stock-check documents joined to their lines of ``attr_ids`` and to named products.
+
+    The lines are cut to the documents' id range before the join, and the
+    documents are broadcast when counted small (see ``plans.facts``).
+    """
     docs = tdocs.where(F.col("ortype") == codes.doc_stock_check).select("masterfid", "orid", "mfid", "ordate")
-    lines = attrs.where(F.col("attrid").isin(list(attr_ids))).select("masterfid", "orid", "id", "attrid", "objdate")
+    probe = id_range(docs)
+    lines = lines_of_documents(attrs, docs, probe).where(F.col("attrid").isin(list(attr_ids))).select(
+        "masterfid", "orid", "id", "attrid", "objdate")
     named = items.where(prefix_in("iname", codes.facing_name_prefixes)).select("iid")
-    return docs.join(lines, ["masterfid", "orid"]).join(named, named.iid == lines.id)
+    return small_side(docs, probe[2]).join(lines, ["masterfid", "orid"]).join(named, named.iid == lines.id)
 
 
 def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs: DataFrame,
