@@ -67,11 +67,20 @@ def application_id(spark: SparkSession) -> str:
         return spark.conf.get("spark.app.id", "session")
 
 
+def staged_root(spark: SparkSession) -> str:
+    """Folder of this application's staged intermediates (drop it after the run)."""
+    return os.path.join(checkpoint_dir(spark), "staged", application_id(spark))
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once as Parquet in the checkpoint folder and read it back."""
+    """Write ``df`` once as Parquet in the checkpoint folder and read it back.
+
+    The write goes through Spark's commit protocol, so a task lost with its
+    executor is simply redone; readers of the result never recompute the
+    lineage behind it.
+    """
     spark = df.sparkSession
-    base = checkpoint_dir(spark)
-    path = os.path.join(base, "staged", f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(staged_root(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
 
