@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace as _replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,19 +11,17 @@ from pyspark.sql import functions as F
 from shelfaudit.catalog.codes import (
     DOC_FIRST_DAY, DOC_LAST_DAY, EVENT_DAY, TEST_CODES, VISIT_FIRST_DAY, VISIT_LAST_DAY,
 )
-from shelfaudit.functions.period import day_parts_equal, in_period, period_bounds
+from shelfaudit.functions.period import date_in_period, day_parts_equal, in_period, period_bounds
+from shelfaudit.functions.text import blank_zero, concat_strict, count_total, presence_percent
+from shelfaudit.operators.adjacent import band_join, offset_join
+from shelfaudit.operators.eav import master_attribute
+from shelfaudit.operators.latest import latest_documents
 from shelfaudit.plans import extract as ext
+from shelfaudit.plans import full_report as fr
+from shelfaudit.plans import photos as ph
 from shelfaudit.plans import report as rpt
 from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
-from shelfaudit.plans import photos as ph
-from shelfaudit.plans import full_report as fr
-from shelfaudit.operators.adjacent import band_join, offset_join
-from shelfaudit.functions.text import blank_zero, count_total, presence_percent
-from shelfaudit.functions.period import date_in_period
-from shelfaudit.operators.eav import master_attribute
-from shelfaudit.operators.latest import latest_documents
-from dataclasses import replace as _replace
 from shelfaudit.session import stage
 from shelfaudit.sources import analog
 
@@ -235,7 +234,7 @@ def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
     return out.select(
         "masterfid", "fid", "vdate", "datebegin", "outlet_name", "agent_name", "banner", "email",
         "visit_comment", "photo_orid",
-        ph.concat_strict(F.col("_pm"), F.col("photo_orid")).alias("photo"),
+        concat_strict(F.col("_pm"), F.col("photo_orid")).alias("photo"),
     )
 
 

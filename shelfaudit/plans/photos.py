@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.functions.text import concat_strict
-
-__all__ = ["photo_candidates", "photo_selection", "photo_names", "concat_strict"]
 from shelfaudit.operators.ranking import top_by_running_count
 
 
