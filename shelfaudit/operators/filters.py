@@ -37,7 +37,7 @@ def _typed_rows(type_code: int, **cols: Column) -> list[Column]:
 class FilterSet:
     """Filter rows plus what is known about them when the plan is built."""
 
-    rows: DataFrame
+    raw: DataFrame  # union of all added rows; duplicates allowed (semi-joins ignore them)
     types: frozenset[int] = frozenset()
     period: tuple[Column, Column] | None = None
     period_type: int | None = None
@@ -45,6 +45,11 @@ class FilterSet:
     # a literal IN list, which the scan can use for row-group skipping
     constants: tuple[tuple[int, tuple[int, ...]], ...] = ()
 
+    @property
+    def rows(self) -> DataFrame:
+        """The set's rows, duplicates collapsed (the original's UNION / DISTINCT)."""
+        return self.raw.distinct()
+
     @staticmethod
     def empty(spark: SparkSession) -> FilterSet:
         return FilterSet(spark.createDataFrame([], FILTER_SCHEMA))
@@ -55,7 +60,7 @@ class FilterSet:
         return FilterSet(rows.select("type", *_ID_FIELDS, "idstr"), frozenset(types))
 
     def _with(self, extra: DataFrame, type_code: int, const_ids: tuple[int, ...] | None = None) -> FilterSet:
-        rows = self.rows.unionByName(extra).distinct()
+        rows = self.raw.unionByName(extra)
         consts = dict(self.constants)
         if const_ids is not None and (type_code not in self.types or type_code in consts):
             consts[type_code] = tuple(dict.fromkeys(consts.get(type_code, ()) + const_ids))
@@ -65,11 +70,11 @@ class FilterSet:
 
     def add_period(self, bounds: tuple[Column, Column], period_type: int) -> FilterSet:
         """Add the report period as one row and as pushed-down bounds."""
-        spark = self.rows.sparkSession
+        spark = self.raw.sparkSession
         text = F.concat_ws(";", bounds[0].cast("string"), bounds[1].cast("string"))
         row = spark.range(1).select(*_typed_rows(period_type, idstr=text))
         fs = self._with(row, period_type)
-        return FilterSet(fs.rows, fs.types, bounds, period_type, fs.constants)
+        return FilterSet(fs.raw, fs.types, bounds, period_type, fs.constants)
 
     def add_ids(self, type_code: int, source: DataFrame, id_col: str, **fixed: int | str) -> FilterSet:
         """Add one typed row per distinct value of ``source[id_col]``.
@@ -85,17 +90,17 @@ class FilterSet:
 
     def add_constants(self, type_code: int, ids: Sequence[int]) -> FilterSet:
         """Add constant typed rows (a literal allowlist); duplicates collapse."""
-        spark = self.rows.sparkSession
+        spark = self.raw.sparkSession
         uniq = tuple(int(i) for i in dict.fromkeys(ids))
         data = [(type_code, i, None, None, None, None, None) for i in uniq]
         return self._with(spark.createDataFrame(data, FILTER_SCHEMA), type_code, const_ids=uniq)
 
     def cleared(self) -> FilterSet:
         """An empty set on the same session (the set is rebuilt, not edited)."""
-        return FilterSet.empty(self.rows.sparkSession)
+        return FilterSet.empty(self.raw.sparkSession)
 
     def ids(self, type_code: int, field: str = "id") -> DataFrame:
-        return self.rows.where(F.col("type") == type_code).select(F.col(field).alias("_fid"))
+        return self.raw.where(F.col("type") == type_code).select(F.col(field).alias("_fid"))
 
 
 @dataclass(frozen=True)
