@@ -42,7 +42,7 @@ def _inputs(spark: SparkSession, d: str, stage_docs: bool = False, stage_facts:
 
 
 def q01_period(spark: SparkSession, d: str) -> DataFrame:
-    ev = spark.read.parquet(f"{d}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    ev = analog.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
     b = period_bounds(EVENT_DAY)
     return ev.where(in_period("ts", b)).select(
         "event_id", "ts", "user_id", "event_type",
@@ -146,7 +146,7 @@ def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _turns(spark: SparkSession, d: str):
-    conv = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role")
+    conv = analog.table(spark, d, "conversations").select("conv_id", "turn", "role")
     a = conv.where(F.col("role") == "user").select(F.col("conv_id").alias("conv_a"), F.col("turn").alias("turn_a"))
     b = conv.where(F.col("role") == "assistant").select(F.col("conv_id").alias("conv_b"), F.col("turn").alias("turn_b"))
     return a, b
@@ -203,7 +203,7 @@ URL_FIELDS = {
 
 
 def q19_address(spark: SparkSession, d: str) -> DataFrame:
-    pages = spark.read.parquet(f"{d}/pages.parquet").select(
+    pages = analog.table(spark, d, "pages").select(
         F.col("page_id").alias("fid"), F.col("url").alias("faddress"))
     return ext.with_address_parts(pages, _replace(C, address_fields=URL_FIELDS))
 
@@ -239,8 +239,8 @@ def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _photo_candidates(spark: SparkSession, d: str) -> DataFrame:
-    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "source", "lang")
-    att = spark.read.parquet(f"{d}/labels.parquet").select(
+    docs = analog.table(spark, d, "documents").select("doc_id", "source", "lang")
+    att = analog.table(spark, d, "labels").select(
         F.col("doc_id").alias("_att_doc"), F.col("doc_id").alias("fileid"))
     return ph.photo_candidates(docs, att, [("doc_id", "_att_doc")])
 

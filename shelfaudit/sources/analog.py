@@ -29,8 +29,19 @@ LOW_PRIORITY = "5-LOW"
 EMAIL_DOMAIN = "@example.com"
 
 
+_TABLES: dict[tuple, DataFrame] = {}
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A test table, resolved once per application (the definition, not data)."""
+    key = (application_id(spark), sf_dir, name)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return _TABLES[key]
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*cols)
+    return table(spark, sf_dir, name).select(*cols)
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
