@@ -2,7 +2,8 @@
 
 Prints one JSON line. Each query is timed from building its DataFrame
 (staging writes included) to a full evaluation through the ``noop`` sink,
-median of $BENCH_REPS runs. Deriving the analog input views from the test
+median of $BENCH_REPS runs after $BENCH_WARMUP untimed passes over all
+queries (warm JVM). Deriving the analog input views from the test
 tables (the stand-ins for base tables) is timed once as ``prepare_sec``
 and not counted in the query times.
 """
@@ -35,6 +36,12 @@ def main() -> None:
         analog.tables(spark, sf_dir, TEST_CODES, item_ids=item_ids)
     prepare = time.time() - t0
 
+    warmup = int(os.environ.get("BENCH_WARMUP", "1"))
+    for _ in range(warmup):  # untimed pass: JIT and the first-job costs of every plan shape
+        for name, fn in QUERIES.items():
+            if not only or name in only:
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+
     times: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name, fn in QUERIES.items():
@@ -59,6 +66,7 @@ def main() -> None:
         "sf": sf,
         "cpus": cpus,
         "reps": reps,
+        "warmup_passes": warmup,
         "spark": spark.version,
     }))
     spark.stop()

@@ -13,8 +13,9 @@ Parquet scan as a pushed filter instead of a range join.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,9 +36,15 @@ def _typed_rows(type_code: int, **cols: Column) -> list[Column]:
 
 @dataclass(frozen=True)
 class FilterSet:
-    """Filter rows plus what is known about them when the plan is built."""
+    """Filter rows plus what is known about them when the plan is built.
 
-    raw: DataFrame  # union of all added rows; duplicates allowed (semi-joins ignore them)
+    Rows are kept as recipes and become a DataFrame only when read (``rows``
+    for display, ``ids`` for a data-derived type): applying a set of
+    constant types and a period needs no DataFrame at all.
+    """
+
+    spark: SparkSession
+    parts: tuple[tuple[int, Callable[[], DataFrame]], ...] = ()
     types: frozenset[int] = frozenset()
     period: tuple[Column, Column] | None = None
     period_type: int | None = None
@@ -45,6 +52,17 @@ class FilterSet:
     # a literal IN list, which the scan can use for row-group skipping
     constants: tuple[tuple[int, tuple[int, ...]], ...] = ()
 
+    @cached_property
+    def raw(self) -> DataFrame:
+        """Union of all added rows; duplicates allowed (semi-joins ignore them)."""
+        frames = [make() for _, make in self.parts]
+        if not frames:
+            return self.spark.createDataFrame([], FILTER_SCHEMA)
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out
+
     @property
     def rows(self) -> DataFrame:
         """The set's rows, duplicates collapsed (the original's UNION / DISTINCT)."""
@@ -52,29 +70,34 @@ class FilterSet:
 
     @staticmethod
     def empty(spark: SparkSession) -> FilterSet:
-        return FilterSet(spark.createDataFrame([], FILTER_SCHEMA))
+        return FilterSet(spark)
 
     @staticmethod
     def from_rows(rows: DataFrame, types: Iterable[int]) -> FilterSet:
         """A caller-supplied set: copy it, dropping columns outside the schema."""
-        return FilterSet(rows.select("type", *_ID_FIELDS, "idstr"), frozenset(types))
+        types = frozenset(types)
+        part = (-1, lambda: rows.select("type", *_ID_FIELDS, "idstr"))
+        return FilterSet(rows.sparkSession, (part,), types)
 
-    def _with(self, extra: DataFrame, type_code: int, const_ids: tuple[int, ...] | None = None) -> FilterSet:
-        rows = self.raw.unionByName(extra)
+    def _with(self, make: Callable[[], DataFrame], type_code: int,
+              const_ids: tuple[int, ...] | None = None) -> FilterSet:
         consts = dict(self.constants)
         if const_ids is not None and (type_code not in self.types or type_code in consts):
             consts[type_code] = tuple(dict.fromkeys(consts.get(type_code, ()) + const_ids))
         else:
             consts.pop(type_code, None)
-        return FilterSet(rows, self.types | {type_code}, self.period, self.period_type, tuple(consts.items()))
+        return replace(self, parts=self.parts + ((type_code, make),), types=self.types | {type_code},
+                       constants=tuple(consts.items()))
 
     def add_period(self, bounds: tuple[Column, Column], period_type: int) -> FilterSet:
         """Add the report period as one row and as pushed-down bounds."""
-        spark = self.raw.sparkSession
-        text = F.concat_ws(";", bounds[0].cast("string"), bounds[1].cast("string"))
-        row = spark.range(1).select(*_typed_rows(period_type, idstr=text))
-        fs = self._with(row, period_type)
-        return FilterSet(fs.raw, fs.types, bounds, period_type, fs.constants)
+        spark = self.spark
+
+        def make() -> DataFrame:
+            text = F.concat_ws(";", bounds[0].cast("string"), bounds[1].cast("string"))
+            return spark.range(1).select(*_typed_rows(period_type, idstr=text))
+
+        return replace(self._with(make, period_type), period=bounds, period_type=period_type)
 
     def add_ids(self, type_code: int, source: DataFrame, id_col: str, **fixed: int | str) -> FilterSet:
         """Add one typed row per distinct value of ``source[id_col]``.
@@ -83,24 +106,40 @@ class FilterSet:
         value in ``id2``: pass ``target="id2"``.
         """
         target = str(fixed.pop("target", "id"))
-        cols = {k: F.lit(v) for k, v in fixed.items()}
-        cols[target] = F.col(id_col)
-        extra = source.select(*_typed_rows(type_code, **cols))
-        return self._with(extra, type_code)
+
+        def make() -> DataFrame:
+            cols = {k: F.lit(v) for k, v in fixed.items()}
+            cols[target] = F.col(id_col)
+            return source.select(*_typed_rows(type_code, **cols))
+
+        return self._with(make, type_code)
 
     def add_constants(self, type_code: int, ids: Sequence[int]) -> FilterSet:
         """Add constant typed rows (a literal allowlist); duplicates collapse."""
-        spark = self.raw.sparkSession
+        spark = self.spark
         uniq = tuple(int(i) for i in dict.fromkeys(ids))
-        data = [(type_code, i, None, None, None, None, None) for i in uniq]
-        return self._with(spark.createDataFrame(data, FILTER_SCHEMA), type_code, const_ids=uniq)
+
+        def make() -> DataFrame:
+            data = [(type_code, i, None, None, None, None, None) for i in uniq]
+            return spark.createDataFrame(data, FILTER_SCHEMA)
+
+        return self._with(make, type_code, const_ids=uniq)
 
     def cleared(self) -> FilterSet:
         """An empty set on the same session (the set is rebuilt, not edited)."""
-        return FilterSet.empty(self.raw.sparkSession)
+        return FilterSet.empty(self.spark)
 
     def ids(self, type_code: int, field: str = "id") -> DataFrame:
-        return self.raw.where(F.col("type") == type_code).select(F.col(field).alias("_fid"))
+        """Ids of one type; built from that type's own rows when it has them."""
+        own = [make for t, make in self.parts if t == type_code]
+        if own and all(t != -1 for t, _ in self.parts):
+            frames = [m() for m in own]
+            out = frames[0]
+            for f in frames[1:]:
+                out = out.unionByName(f)
+        else:
+            out = self.raw
+        return out.where(F.col("type") == type_code).select(F.col(field).alias("_fid"))
 
 
 @dataclass(frozen=True)

@@ -184,6 +184,14 @@ def _staged(spark: SparkSession, key: tuple, build) -> DataFrame:
     return _STAGED[full]
 
 
+def _defined(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """A projection of a test table, defined once per application."""
+    full = (application_id(spark), "def") + key
+    if full not in _TABLES:
+        _TABLES[full] = build()
+    return _TABLES[full]
+
+
 def tables(spark: SparkSession, sf_dir: str, codes, item_ids: bool = False, staged: bool = True) -> AuditTables:
     """The report's inputs over the test tables (staged once unless ``staged=False``)."""
     def get(name, build):
@@ -196,9 +204,9 @@ def tables(spark: SparkSession, sf_dir: str, codes, item_ids: bool = False, stag
         objattrs=get(f"objattrs_{codes.obj_banner_attr}_{codes.obj_email_attr}",
                      lambda: objattrs(spark, sf_dir, codes.obj_banner_attr, codes.obj_email_attr,
                                       codes.outlet_dict, codes.product_dict)),
-        items=items(spark, sf_dir),
+        items=_defined(spark, (sf_dir, "items"), lambda: items(spark, sf_dir)),
         visit_source=get("visit_source", lambda: visit_source(docs)),
         faces=get(f"faces_{codes.outlet_face_type}", lambda: faces(spark, sf_dir, codes.outlet_face_type)),
-        agents=agents(spark, sf_dir),
+        agents=_defined(spark, (sf_dir, "agents"), lambda: agents(spark, sf_dir)),
         visit_comments=get("visit_comments", lambda: visit_comments(spark, sf_dir)),
     )
