@@ -70,6 +70,17 @@ def q03_filtered_docs(spark: SparkSession, d: str) -> DataFrame:
     return tdocs
 
 
+def q03_filtered_extract(spark: SparkSession, d: str) -> DataFrame:
+    """Documents through one set holding the period, the type allowlist and
+    the visits' agents and outlets: each type restricts (AND between types)."""
+    tables, visits, _, _ = _inputs(spark, d, facts=False)
+    _, db = _bounds()
+    fs = (ext.document_filter(spark, db, C)
+          .add_ids(C.flt_agent, visits, "masterfid")
+          .add_ids(C.flt_outlet, visits, "fid"))
+    return ext.extract_documents(tables.orders, fs, C)
+
+
 def _temp(spark, d, stage_docs=False):
     tables, visits, tdocs, _ = _inputs(spark, d, stage_docs=stage_docs, facts=False, item_ids=True)
     temp = stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C)
@@ -278,6 +289,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q02_doc_filter": q02_doc_filter,
     "q03_filtered_faces": q03_filtered_faces,
     "q03_filtered_docs": q03_filtered_docs,
+    "q03_filtered_extract": q03_filtered_extract,
     "q04_banner_visits": q04_banner_visits,
     "q05_listing_counts": q05_listing_counts,
     "q06_facing_init": q06_facing_init,
