@@ -101,10 +101,13 @@ def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs:
     lines = _stock_lines(tdocs, attrs, items, codes, codes.facing_init_attrs).where(
         F.col("objdate") == F.col("ordate")
     )
-    docs = lines.select(F.col("orid").alias("_orid"), F.col("mfid").alias("_dmfid"), "ordate",
-                        F.col("id").alias("_itid")).distinct()
+    docs = lines.select(F.col("orid").alias("_orid"), F.col("mfid").alias("_dmfid"), F.col("id").alias("_itid"))
     f = faces.where(F.col("ftype") == codes.outlet_face_type).select("fid")
-    vis = visits.select(F.col("fid").alias("_vfid"), "datebegin")
+    # The result is DISTINCT and pairs every visit start of an outlet with
+    # every (document, product) of it: de-duplicate both sides first so a busy
+    # outlet multiplies distinct values only.
+    vis = visits.select(F.col("fid").alias("_vfid"), "datebegin").distinct()
+    docs = docs.select("_orid", "_dmfid", "_itid").distinct()
     out = f.join(vis, f.fid == vis._vfid, "left").join(docs, F.col("_dmfid") == f.fid, "left")
     zero = F.lit(0).cast("long")
     return out.select(
