@@ -217,3 +217,37 @@ def full_report(
     )
     return out.orderBy(F.col("supervisor_name").asc_nulls_first(), F.col("audit_date").asc_nulls_first(),
                        F.col("_order_orid").asc_nulls_first()).drop("_order_orid")
+
+
+def run_full_report(
+    spark,
+    tables,
+    codes: AuditCodes,
+    day_bounds,
+    base_filter=None,
+    staged: bool = True,
+) -> DataFrame:
+    """The whole full report for one day, from base tables (the procedure's
+    dormant result): visits, outlets and persons of the visits, the listing
+    and facing staging, then the 42-column ordered report.
+
+    ``tables.attrs`` must carry product ids in ``id`` (both the facing
+    staging and the report read it).
+    """
+    from shelfaudit.plans.extract import extract_faces, visit_filter, with_address_parts
+    from shelfaudit.plans.report import report_inputs
+    from shelfaudit.plans.staging import banner_visits, facing_counts, facing_initial, listing_counts
+    from shelfaudit.session import stage
+
+    visits, tdocs, _ = report_inputs(spark, tables, codes, day_bounds, None, base_filter,
+                                     stage_docs=staged, facts=False)
+    people = extract_faces(tables.faces, visit_filter(visits, codes), codes)
+    temp = banner_visits(people, tables.objattrs, visits, tables.items, codes)
+    listing = listing_counts(temp, tables.objattrs, tables.items, codes)
+    facing = facing_counts(facing_initial(people, visits, tdocs, tables.attrs, tables.items, codes),
+                           tdocs, tables.attrs, tables.items, codes)
+    if staged:
+        facing = stage(facing, "facing")
+    return full_report(visits, tables.orders, tdocs, tables.attrs, tables.objattrs, tables.items,
+                       with_address_parts(people, codes), people, facing, listing,
+                       tables.visit_comments, codes, day_bounds)

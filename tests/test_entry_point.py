@@ -58,3 +58,33 @@ def test_run_audit_report_from_parquet(spark):
     assert {r[5] for r in rows if r[0] == "Shelf SKU"} == {"on shelf"}
     assert {r[7] for r in rows if r[6] == "Rack SKU"} == {"rack"}
     assert {r[8] for r in rows} == {"10,5"}
+
+
+
+def test_run_full_report_from_parquet(spark):
+    from shelfaudit.plans.full_report import FULL_COLUMNS, run_full_report
+
+    root = tempfile.mkdtemp(prefix="audit-full-")
+    d = DAY + " 10:00:00"
+    orders = H.orders(spark, [(1, 100, d, 10, R.doc_stock_check), (1, 101, d, 10, R.doc_extra_places)])
+    attrs = H.attrs(spark, [(1, 100, 501, 1, R.facing_attrs[0], "1", 1, d),
+                            (1, 101, 555, 1, R.extra_places["racks"], "r1", 1, d)])
+    visits = H.visits(spark, [(1, 10, DAY + " 09:00:00")])
+    items = spark.createDataFrame([(501, "СКИТ item"), (555, "rack item")], "iid long, iname string")
+    faces = spark.createDataFrame([(10, "Outlet", "10", 7, 1, "г. Тверь, ул. Мира, д. 3"), (1, "Agent", "1", 1, 1, None)],
+                                  "fid long, fname string, exid string, ftype int, ownerdistid int, faddress string")
+    objattrs = spark.createDataFrame([(10, 2, R.obj_banner_attr, "B", 1)],
+                                     "id long, dictid int, attrid int, attrtext string, activeflag int")
+    comments = spark.createDataFrame([], "fid long, vdate timestamp_ntz, comment string")
+    att = spark.createDataFrame([], "masterfid int, docid long, fileid long, filedata binary")
+    for name, df in (("orders", orders), ("order_attributes", attrs), ("object_attributes", objattrs),
+                     ("items", items), ("visits", visits), ("faces", faces), ("visit_comments", comments),
+                     ("attachments", att)):
+        df.write.parquet(f"{root}/{name}")
+    out = run_full_report(spark, AuditTables.from_parquet(spark, root), R, period_bounds(DAY))
+    assert tuple(out.columns) == FULL_COLUMNS
+    rows = out.collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.employee_name, r.supervisor_name, r.city, r.banner) == ("Outlet", "Agent", "Тверь", "B")
+    assert (r.item_name, r.facing, r.racks_612, r.item612_name) == ("СКИТ item", "1", "r1", "rack item")
