@@ -44,21 +44,3 @@ def master_attribute(
     if active:
         cond = cond & (F.col("activeflag") == 1)
     return objattrs.where(cond)
-
-
-def attribute_rows(
-    facts: DataFrame,
-    doc_type: int,
-    attr_id: int,
-    keys: Sequence[str] = ("masterfid", "mfid", "id"),
-    value_col: str = "attrtext",
-    alias: str = "value",
-) -> DataFrame:
-    """One document type's rows of one attribute, keyed for a lookup join.
-
-    Kept as rows, not pivoted: several matching rows must multiply the
-    report lines as the original's joins do.
-    """
-    return facts.where((F.col("ortype") == doc_type) & (F.col("attrid") == attr_id)).select(
-        *keys, F.col(value_col).alias(alias)
-    )

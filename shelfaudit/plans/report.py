@@ -78,32 +78,19 @@ def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: Aud
     """613 assortment with stock lookups, main places (by product) and name."""
     base = assortment(facts, codes.doc_stock).withColumnRenamed("id", "id613")
     looked = stock_lookups(base, facts, codes, id_col="id613")
-    mp = main_places(facts, tdocs, codes, latest).drop("orid")
-    mp = mp.select(
-        F.col("masterfid").alias("_m"), F.col("mfid").alias("_f"), F.col("id").alias("_i"),
-        *[F.col(c) for c in codes.main_places],
-    )
-    joined = looked.join(
-        mp,
-        (looked.masterfid == mp._m) & (looked.mfid == mp._f) & (looked.id613 == mp._i),
-        "left",
-    ).drop("_m", "_f", "_i")
+    mp = main_places(facts, tdocs, codes, latest).selectExpr(
+        "masterfid", "mfid", "id AS id613", *[f"`{c}`" for c in codes.main_places])
+    joined = looked.join(mp, on=["masterfid", "mfid", "id613"], how="left")
     return with_item_name(joined, items, "id613", "item613_name")
 
 
 def places_block(assort: DataFrame, pivot: DataFrame, items: DataFrame, cols, suffix: str) -> DataFrame:
     """An assortment with its pivot joined on the product, and the name."""
-    base = assort.withColumnRenamed("id", f"id{suffix}")
-    pv = pivot.select(
-        F.col("masterfid").alias("_m"), F.col("mfid").alias("_f"), F.col("id").alias("_i"),
-        *[F.col(c).alias(f"{c}_{suffix}") for c in cols],
-    )
-    joined = base.join(
-        pv,
-        (base.masterfid == pv._m) & (base.mfid == pv._f) & (base[f"id{suffix}"] == pv._i),
-        "left",
-    ).drop("_m", "_f", "_i")
-    return with_item_name(joined, items, f"id{suffix}", f"item{suffix}_name")
+    key = f"id{suffix}"
+    base = assort.withColumnRenamed("id", key)
+    pv = pivot.selectExpr("masterfid", "mfid", f"id AS {key}", *[f"`{c}` AS `{c}_{suffix}`" for c in cols])
+    joined = base.join(pv, on=["masterfid", "mfid", key], how="left")
+    return with_item_name(joined, items, key, f"item{suffix}_name")
 
 
 def report_columns(codes: AuditCodes) -> list[str]:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import dot_to_comma, row_total, text_or_zero
-from shelfaudit.operators.eav import attribute_rows, pivot_max
+from shelfaudit.operators.eav import pivot_max
 from shelfaudit.operators.latest import latest_documents
 
 DOC_KEYS = ["masterfid", "mfid", "orid"]
@@ -78,8 +78,8 @@ def promo_actions(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest:
 
 def with_item_name(df: DataFrame, items: DataFrame, id_col: str = "id", name: str = "iname") -> DataFrame:
     """Product name by id: the scalar lookup as a left join (ids are unique)."""
-    names = items.select(F.col("iid").alias("_iid"), F.col("iname").alias(name))
-    return df.join(names, df[id_col] == names["_iid"], "left").drop("_iid")
+    names = items.selectExpr(f"iid AS `{id_col}`", f"iname AS `{name}`")
+    return df.join(names, on=id_col, how="left")
 
 
 def stock_lookups(base: DataFrame, facts: DataFrame, codes: AuditCodes, id_col: str = "id",
@@ -93,11 +93,9 @@ def stock_lookups(base: DataFrame, facts: DataFrame, codes: AuditCodes, id_col:
     out = base
     for attr, name in ((codes.attr_facing, "facing"), (codes.attr_shelf, "shelf_qty"),
                        (codes.attr_store, "store_qty")):
-        look = attribute_rows(facts, codes.doc_stock, attr, alias=f"_{name}").select(
-            *[F.col(k).alias(f"_{k}") for k in keys], F.col("id").alias("_id"), f"_{name}"
-        )
-        cond = [out[k] == look[f"_{k}"] for k in keys] + [out[id_col] == look["_id"]]
-        out = out.join(look, cond, "left").drop(*[f"_{k}" for k in keys], "_id")
+        look = facts.where((F.col("ortype") == codes.doc_stock) & (F.col("attrid") == attr)).selectExpr(
+            *keys, f"id AS `{id_col}`", f"attrtext AS `_{name}`")
+        out = out.join(look, on=[*keys, id_col], how="left")
     return out.select(
         *[c for c in base.columns],
         text_or_zero("_facing").alias("facing"),
