@@ -1,8 +1,10 @@
 """File sink of the photo export: one file per selected attachment.
 
 Each task writes the files of its own rows to the shared target folder
-(write to a temporary name, then rename), and reports what it wrote, so a
-retried task after a lost executor simply rewrites the same names.
+(write to a temporary name, then move), and reports what it wrote, so a
+retried task after a lost executor simply rewrites the same names. The
+target is a local path or a filesystem URI understood by ``pyarrow.fs``
+(e.g. ``hdfs://`` or an object store), opened on the executors.
 Rows without a name (a NULL part) are skipped, like a failed shell call.
 """
 
@@ -19,6 +21,14 @@ from pyspark.sql import functions as F
 RESULT_SCHEMA = "file_name string, n_bytes long"
 
 
+def _filesystem(target: str):
+    from pyarrow import fs as pafs
+
+    if "://" in target:
+        return pafs.FileSystem.from_uri(target)
+    return pafs.LocalFileSystem(), os.path.abspath(target)
+
+
 def export_files(df: DataFrame, name_col: str, data_col: str, target_dir: str) -> DataFrame:
     """Lazily write ``data_col`` bytes to ``target_dir/<name_col>``; returns names and sizes.
 
@@ -31,16 +41,17 @@ def export_files(df: DataFrame, name_col: str, data_col: str, target_dir: str) -
     )
 
     def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(target_dir, exist_ok=True)
+        fs, root = _filesystem(target_dir)
+        fs.create_dir(root, recursive=True)
         for pdf in batches:
             out_names, out_sizes = [], []
             for name, data in zip(pdf["_name"], pdf["_data"]):
                 payload = b"" if data is None else bytes(data)
-                final = os.path.join(target_dir, os.path.basename(name))
+                final = f"{root}/{os.path.basename(name)}"
                 tmp = f"{final}.{uuid.uuid4().hex}.part"
-                with open(tmp, "wb") as fh:
-                    fh.write(payload)
-                os.replace(tmp, final)
+                with fs.open_output_stream(tmp) as out:
+                    out.write(payload)
+                fs.move(tmp, final)
                 out_names.append(name)
                 out_sizes.append(len(payload))
             yield pd.DataFrame({"file_name": out_names, "n_bytes": pd.Series(out_sizes, dtype="int64")})

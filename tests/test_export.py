@@ -13,7 +13,7 @@ def test_export_writes_one_file_per_named_row(spark):
     named = photo_names(df, "fileid", "masterfid", "orid", ".jpg")
     assert sorted(str(r.file_name) for r in named.collect()) == ["5_177.jpg", "6_279.jpg", "None"]
     target = tempfile.mkdtemp(prefix="export-")
-    res = export_files(named, "file_name", "filedata", target).collect()
+    res = export_files(named, "file_name", "filedata", "file://" + target).collect()
     assert sorted((r.file_name, r.n_bytes) for r in res) == [("5_177.jpg", 3), ("6_279.jpg", 0)]
     assert sorted(os.listdir(target)) == ["5_177.jpg", "6_279.jpg"]
     with open(os.path.join(target, "5_177.jpg"), "rb") as fh:
