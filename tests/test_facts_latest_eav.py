@@ -129,3 +129,39 @@ def test_header_broadcast_is_size_checked(spark, monkeypatch):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_latest_and_pivot_match_brute_force(spark):
+    import datetime as dt
+    import random
+
+    rnd = random.Random(5)
+    base = dt.datetime(2024, 1, 15)
+    docs = []
+    for orid in range(400):
+        when = None if rnd.random() < 0.05 else base + dt.timedelta(hours=rnd.randrange(6))
+        docs.append((rnd.randrange(3), orid, when, rnd.randrange(4), rnd.choice([610, 611, 612])))
+    td = H.orders(spark, docs)
+    for t, req in ((612, True), (610, False)):
+        got = sorted(r.orid for r in latest_documents(td, t, require_type=req).collect())
+        best = {}
+        for m, o, w, f, ty in docs:
+            if ty == t and w is not None:
+                best[(m, f)] = max(best.get((m, f), w), w)
+        expect = sorted(o for m, o, w, f, ty in docs
+                        if w is not None and (not req or ty == t) and best.get((m, f)) == w)
+        assert got == expect, (t, req)
+
+    rows = [(rnd.randrange(5), rnd.randrange(6), rnd.choice([None, "a", "b", "zz", "9"])) for _ in range(300)]
+    df = spark.createDataFrame(rows, "k int, a int, v string")
+    mapping = {"c1": 1, "c3": 3, "c5": 5}
+    got = {r.k: (r.c1, r.c3, r.c5) for r in pivot_max(df, ["k"], "a", mapping, "v").collect()}
+    expect = {}
+    for k in {r[0] for r in rows}:
+        vals = []
+        for code in mapping.values():
+            cands = [(v if a == code else "") for kk, a, v in rows if kk == k]
+            cands = [c for c in cands if c is not None]
+            vals.append(max(cands) if cands else None)
+        expect[k] = tuple(vals)
+    assert got == expect
