@@ -1,18 +1,25 @@
 """Latest document per (agent, outlet, type), ties kept.
 
 The original tests ``OrDate = (SELECT MAX(OrDate) ... same agent, outlet,
-type)`` inside a join condition; Spark refuses that correlated form, so it
-is an aggregate joined back on the date. The maximum is always taken over
-one document type, but the rows tested against it need not be of that type
-(``require_type=False``, the order-information quirk). NULL dates never
-pass the equality.
+type)`` inside a join condition; Spark refuses that correlated form.
+
+* When the tested rows are of the same type (the usual case) it is
+  ``rank() = 1`` over (agent, outlet) by date descending: ties keep rank 1,
+  the extract is read once, and Spark puts a group limit before and after
+  the shuffle, so a hot (agent, outlet) ships only its latest rows.
+  Measured at sf0.1: 0.43 s against 0.72 s for aggregate + join.
+* When they are not (``require_type=False``, the order-information quirk:
+  the maximum is over one type, the tested rows are any type), it is the
+  aggregate ``MAX(date)`` joined back on the date.
+
+NULL dates never pass the equality.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEYS = ("masterfid", "mfid")
@@ -41,7 +48,18 @@ def latest_documents(
     date_col: str = "ordate",
     type_col: str = "ortype",
 ) -> DataFrame:
-    """Rows of ``docs`` dated at the latest ``doc_type`` date of their key."""
+    """Rows of ``docs`` dated at the latest ``doc_type`` date of their key.
+
+    ``latest`` (a shared ``latest_dates``) is used by the aggregate form only.
+    """
+    if require_type:
+        w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
+        return (
+            docs.where((F.col(type_col) == doc_type) & F.col(date_col).isNotNull())
+            .withColumn("_latest_rank", F.rank().over(w))
+            .where(F.col("_latest_rank") == 1)
+            .drop("_latest_rank")
+        )
     if latest is None:
         latest = latest_dates(docs, [doc_type], keys, date_col, type_col)
     lat = latest.where(F.col(type_col) == doc_type).select(

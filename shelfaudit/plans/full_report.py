@@ -18,7 +18,7 @@ from shelfaudit.functions.period import date_in_period
 from shelfaudit.functions.text import blank_zero, concat_strict, count_total, dot_to_comma, presence_percent
 from shelfaudit.operators.adjacent import attach, distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
-from shelfaudit.operators.latest import latest_dates, latest_documents
+from shelfaudit.operators.latest import latest_documents
 from shelfaudit.plans.facts import lines_of_documents
 
 FULL_COLUMNS = (
@@ -71,9 +71,7 @@ def full_report(
 
     ``faces`` must carry the address parts (``with_address_parts``).
     """
-    latest = latest_dates(
-        tdocs, [codes.doc_extra_places, codes.doc_main_places, codes.doc_promo, codes.doc_order_info]
-    )
+    latest = None  # every section here tests the document type: rank form
     # every line lookup below ends in a join to an extracted document, so
     # only lines inside the extract's id range can matter: cut them at the scan
     attrs = lines_of_documents(attrs, tdocs)

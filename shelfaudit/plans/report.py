@@ -117,9 +117,9 @@ def audit_report(
 ) -> DataFrame:
     """The 38-column live report from staged visits, documents and facts."""
     lab = codes.labels
-    latest = latest_dates(
-        tdocs, [codes.doc_order_info, codes.doc_main_places, codes.doc_extra_places, codes.doc_promo]
-    )
+    # typed sections take their latest documents by rank; the aggregate form
+    # is needed only for order information (maximum of one type, rows of any)
+    latest = latest_dates(tdocs, [codes.doc_order_info])
     b613 = stock_block(facts, tdocs, items, codes, latest)
     b612 = places_block(assortment(facts, codes.doc_extra_places),
                         extra_places(facts, tdocs, codes, latest), items, codes.extra_places, "612")
