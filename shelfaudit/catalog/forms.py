@@ -103,8 +103,9 @@ def q06_facing_init(spark: SparkSession, d: str) -> DataFrame:
 
 def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
     tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
-    return stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
+    probe = stg.stock_check_probe(tdocs, C)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
+    return stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe)
 
 
 def q08_order_facts(spark: SparkSession, d: str) -> DataFrame:
@@ -189,8 +190,9 @@ def q19_format(spark: SparkSession, d: str) -> DataFrame:
     rows against the listed count of the outlet's banner and product."""
     tables, visits, tdocs, temp = _temp(spark, d)
     counts = stg.listed_counts(temp, tables.objattrs, tables.items, C)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
-    fc = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C)
+    probe = stg.stock_check_probe(tdocs, C)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
+    fc = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe)
     banner = master_attribute(tables.objattrs, C.obj_banner_attr, C.outlet_dict).select(
         F.col("id").alias("_bid"), F.col("attrtext").alias("banner"))
     lst = counts.select(F.col("attrtext").alias("_lb"), F.col("iid").alias("_li"), "listed")
@@ -273,8 +275,9 @@ def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
     # the facing table is read twice (rows and photo neighbours): staged once;
     # the listing table is read once and stays a plan
     listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
-    facing = stage(stg.facing_counts(init, tdocs, tables.attrs, tables.items, C), "facing")
+    probe = stg.stock_check_probe(tdocs, C)
+    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
+    facing = stage(stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe), "facing")
     line_attrs = analog.tables(spark, d, C).attrs
     faces = ext.with_address_parts(tables.faces, C)
     return fr.full_report(

@@ -234,7 +234,9 @@ def run_full_report(
     """
     from shelfaudit.plans.extract import extract_faces, visit_filter, with_address_parts
     from shelfaudit.plans.report import report_inputs
-    from shelfaudit.plans.staging import banner_visits, facing_counts, facing_initial, listing_counts
+    from shelfaudit.plans.staging import (
+        banner_visits, facing_counts, facing_initial, listing_counts, stock_check_probe,
+    )
     from shelfaudit.session import stage
 
     visits, tdocs, _ = report_inputs(spark, tables, codes, day_bounds, None, base_filter,
@@ -242,8 +244,9 @@ def run_full_report(
     people = extract_faces(tables.faces, visit_filter(visits, codes), codes)
     temp = banner_visits(people, tables.objattrs, visits, tables.items, codes)
     listing = listing_counts(temp, tables.objattrs, tables.items, codes)
-    facing = facing_counts(facing_initial(people, visits, tdocs, tables.attrs, tables.items, codes),
-                           tdocs, tables.attrs, tables.items, codes)
+    probe = stock_check_probe(tdocs, codes)
+    facing = facing_counts(facing_initial(people, visits, tdocs, tables.attrs, tables.items, codes, probe),
+                           tdocs, tables.attrs, tables.items, codes, probe)
     if staged:
         facing = stage(facing, "facing")
     return full_report(visits, tables.orders, tdocs, tables.attrs, tables.objattrs, tables.items,

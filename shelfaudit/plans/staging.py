@@ -76,14 +76,25 @@ def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes
     return out.select("attrtext", "iid", F.coalesce("_listed", F.lit(0).cast("long")).alias("listed"), "datebegin")
 
 
-def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: AuditCodes, attr_ids) -> DataFrame:
+def _stock_docs(tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
+    return tdocs.where(F.col("ortype") == codes.doc_stock_check).select("masterfid", "orid", "mfid", "ordate")
+
+
+def stock_check_probe(tdocs: DataFrame, codes: AuditCodes) -> tuple:
+    """Id range and count of the stock-check documents, measured once and
+    shared by ``facing_initial`` and ``facing_counts``."""
+    return id_range(_stock_docs(tdocs, codes))
+
+
+def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: AuditCodes, attr_ids,
+                 probe: tuple | None = None) -> DataFrame:
     """Stock-check documents joined to their lines of ``attr_ids`` and to named products.
 
     The lines are cut to the documents' id range before the join, and the
     documents are broadcast when counted small (see ``plans.facts``).
     """
-    docs = tdocs.where(F.col("ortype") == codes.doc_stock_check).select("masterfid", "orid", "mfid", "ordate")
-    probe = id_range(docs)
+    docs = _stock_docs(tdocs, codes)
+    probe = probe if probe is not None else id_range(docs)
     lines = lines_of_documents(attrs, docs, probe).where(F.col("attrid").isin(list(attr_ids))).select(
         "masterfid", "orid", "id", "attrid", "objdate")
     named = items.where(prefix_in("iname", codes.facing_name_prefixes)).select("iid")
@@ -91,14 +102,14 @@ def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: Au
 
 
 def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs: DataFrame,
-                   items: DataFrame, codes: AuditCodes) -> DataFrame:
+                   items: DataFrame, codes: AuditCodes, probe: tuple | None = None) -> DataFrame:
     """Initial facing rows: outlet x visit x stock-check document x named
     product, counters 0 and the comment ``'0'`` (C4).
 
     Lines match their document on the exact timestamp. The original's outer
     join to the lines is cancelled by the inner join to products after it.
     """
-    lines = _stock_lines(tdocs, attrs, items, codes, codes.facing_init_attrs).where(
+    lines = _stock_lines(tdocs, attrs, items, codes, codes.facing_init_attrs, probe).where(
         F.col("objdate") == F.col("ordate")
     )
     docs = lines.select(F.col("orid").alias("_orid"), F.col("mfid").alias("_dmfid"), F.col("id").alias("_itid"))
@@ -117,7 +128,7 @@ def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs:
 
 
 def facing_counts(initial: DataFrame, tdocs: DataFrame, attrs: DataFrame, items: DataFrame,
-                  codes: AuditCodes) -> DataFrame:
+                  codes: AuditCodes, probe: tuple | None = None) -> DataFrame:
     """Overwrite the three counters of the initial rows (C4).
 
     Facing and shelf lines match their document on the calendar day, store
@@ -125,7 +136,7 @@ def facing_counts(initial: DataFrame, tdocs: DataFrame, attrs: DataFrame, items:
     aggregate with conditional counts, one pass over the lines.
     """
     every = tuple(codes.facing_attrs) + tuple(codes.shelf_attrs) + tuple(codes.store_attrs)
-    j = _stock_lines(tdocs, attrs, items, codes, every)
+    j = _stock_lines(tdocs, attrs, items, codes, every, probe)
     day = F.to_date("objdate") == F.to_date("ordate")
     attr = F.col("attrid")
     d = j.groupBy(
