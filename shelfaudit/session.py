@@ -82,7 +82,8 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(staged_root(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    # the schema is known: reading it back needs no footer pass
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
