@@ -1,8 +1,8 @@
 """Report sections built on the order facts (C5-C8) and their lookups.
 
-Every section joins the facts to the latest document of its type. The
-latest dates are one aggregate by (agent, outlet, type) over the document
-extract, shared by all sections.
+Every section joins the facts to the latest document of its type
+(``operators.latest``): by rank where the document's type is tested, by a
+MAX aggregate joined back for order information, where it is not.
 """
 
 from __future__ import annotations
