@@ -10,19 +10,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfaudit.session import stage
 
-def running_count_rank(df: DataFrame, part: str, order: str, name: str = "rnk") -> DataFrame:
-    """Every row with its running-count rank (one window sort per group)."""
-    w = (
-        Window.partitionBy(part)
-        .orderBy(F.col(order).asc_nulls_first())
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    rank = F.count(F.col(order)).over(w)
-    return df.withColumn(
-        name,
-        F.when(F.col(part).isNull() | F.col(order).isNull(), F.lit(0).cast("long")).otherwise(rank),
-    )
+
+def running_count_rank(df: DataFrame, part: str, order: str, name: str = "rnk",
+                       slices: int | None = None) -> DataFrame:
+    """Every row with its running-count rank, without sorting a group whole.
+
+    Two-level prefix sum: counts per (group, value) are pre-combined
+    map-side; a range repartition on (group, value) cuts even a hot group
+    into bounded slices (staged, so every reader sees the same slices); a running sum runs inside each slice; each slice's
+    offset is the sum of the earlier slices of its group (a table of at most
+    ``slices`` rows per group); the ranks are joined back on (group, value).
+    Rows with a NULL group or value rank 0.
+    """
+    is_zero = F.col(part).isNull() | F.col(order).isNull()
+    zeros = df.where(is_zero).withColumn(name, F.lit(0).cast("long"))
+    keyed = df.where(~is_zero)
+    n = slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = keyed.groupBy(part, order).agg(F.count(F.lit(1)).alias("_n"))
+    # staged once: the slice of a (group, value) must be the same for the
+    # running sums and for the offsets, which two separate range exchanges
+    # would not guarantee
+    ranged = stage(counts.repartitionByRange(n, part, order).withColumn("_slice", F.spark_partition_id()),
+                   "rank_slices")
+    inside = Window.partitionBy(part, "_slice").orderBy(order).rowsBetween(Window.unboundedPreceding,
+                                                                             Window.currentRow)
+    local = ranged.withColumn("_local", F.sum("_n").over(inside))
+    totals = ranged.groupBy(part, "_slice").agg(F.sum("_n").alias("_t"))
+    earlier = Window.partitionBy(part).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(earlier), F.lit(0).cast("long")))
+    ranks = local.join(offsets.select(part, "_slice", "_off"), [part, "_slice"]).select(
+        F.col(part).alias("_kp"), F.col(order).alias("_ko"), (F.col("_local") + F.col("_off")).alias("_rank"))
+    hits = keyed.join(ranks, on=[F.col(part) == F.col("_kp"), F.col(order) == F.col("_ko")], how="inner")
+    hits = hits.withColumn(name, F.col("_rank").cast("long")).drop("_kp", "_ko", "_rank")
+    return hits.unionByName(zeros)
 
 
 def top_by_running_count(
