@@ -64,3 +64,24 @@ def test_caller_rows_copied_without_extra_columns(spark):
     fs = FilterSet.from_rows(rows, [440003])
     assert fs.rows.columns == ["type", "id", "id2", "id3", "id4", "id5", "idstr"]
     assert fs.cleared().rows.count() == 0
+
+
+def test_caller_filter_restricts_visits(spark):
+    """The caller's rows (an agent) plus the report period restrict the visit extract."""
+    visit_rows = spark.createDataFrame(
+        [(1, 10, 100, ts("2024-01-15 10:00:00"), ts("2024-01-15 10:00:00"), ts("2024-01-15 10:00:00"), "", 0,
+          ts("2024-01-15 00:00:00")),
+         (1, 11, 101, ts("2024-01-15 11:00:00"), ts("2024-01-15 11:00:00"), ts("2024-01-15 11:00:00"), "", 0,
+          ts("2024-01-15 00:00:00")),
+         (1, 10, 102, ts("2024-01-16 09:00:00"), ts("2024-01-16 09:00:00"), ts("2024-01-16 09:00:00"), "", 0,
+          ts("2024-01-16 00:00:00"))],
+        "ownerdistid int, masterfid int, fid long, vdate timestamp_ntz, datebegin timestamp_ntz, "
+        "dateend timestamp_ntz, otkazstr string, pda int, vdateonly timestamp_ntz")
+    caller = spark.createDataFrame([(C.flt_agent, 10, None, None, None, None, None, "ignored")],
+                                   "type int, id long, id2 long, id3 long, id4 long, id5 long, idstr string, "
+                                   "datjoin string")
+    base = FilterSet.from_rows(caller, [C.flt_agent])
+    fs = ext.caller_filter(spark, period_bounds("2024-01-15"), C, base)
+    got = [(r.masterfid, r.fid) for r in ext.extract_visits(visit_rows, fs, C).collect()]
+    assert got == [(10, 100)]
+    assert sorted(r.type for r in fs.rows.collect()) == sorted([C.flt_agent, C.flt_period])
