@@ -20,6 +20,7 @@ from shelfaudit.operators.adjacent import attach, distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_documents
 from shelfaudit.plans.facts import lines_of_documents
+from shelfaudit.session import stage
 
 FULL_COLUMNS = (
     "employee_name", "audit_date", "outlet_no", "store_category", "banner", "city", "district", "street",
@@ -72,6 +73,15 @@ def full_report(
     ``faces`` must carry the address parts (``with_address_parts``).
     """
     latest = None  # every section here tests the document type: rank form
+    # the day's headers of the five chained types, read from the base table
+    # once and staged (small): five chains then read this copy
+    day_types = [codes.doc_stock_check, codes.doc_extra_places, codes.doc_main_places, codes.doc_promo,
+                 codes.doc_order_info]
+    orders = stage(
+        orders.where(F.col("ortype").isin(day_types) & date_in_period("ordate", day_bounds))
+        .select("masterfid", "mfid", "orid", "ortype", "ordate"),
+        "day_headers",
+    )
     # every line lookup below ends in a join to an extracted document, so
     # only lines inside the extract's id range can matter: cut them at the scan
     attrs = lines_of_documents(attrs, tdocs)
@@ -237,7 +247,6 @@ def run_full_report(
     from shelfaudit.plans.staging import (
         banner_visits, facing_counts, facing_initial, listing_counts, stock_check_probe,
     )
-    from shelfaudit.session import stage
 
     visits, tdocs, _ = report_inputs(spark, tables, codes, day_bounds, None, base_filter,
                                      stage_docs=staged, facts=False)
