@@ -5,7 +5,8 @@ Each is planned as an equi-join: the left side is expanded by the allowed
 offsets and joined on ``keys + (left.pos + offset = right.pos)``. Work per
 row is bounded by the number of offsets, so a hot key never turns into all
 pairs of its group. Wide bands switch to bucket keys of the band's width
-(two buckets per left row) plus an exact residual test.
+(each right row placed in the at most two left buckets it can reach) plus
+an exact residual test.
 """
 
 from __future__ import annotations
@@ -60,29 +61,38 @@ def band_join(
     hi: int,
     how: str = "inner",
 ) -> DataFrame:
-    """Rows with ``right_pos - left_pos BETWEEN lo AND hi`` and equal keys."""
+    """Rows with ``right_pos - left_pos BETWEEN lo AND hi`` and equal keys.
+
+    Narrow bands expand the left side by the offsets. Wide bands use bucket
+    keys of the band's width: a left row has one bucket, a right row is
+    expanded into the (at most two) left buckets it can partner with, and an
+    exact residual test follows. Either way no row is expanded by more than
+    the band allows, and a left join keeps unmatched rows once (an anti-join
+    on the same keys, the left side never expanded).
+    """
     if hi < lo:
         raise ValueError("empty band")
-    if hi - lo + 1 <= _MAX_EXPLODE or how == "left":
+    if how not in ("inner", "left"):
+        raise ValueError(f"band_join supports inner and left, not {how!r}")
+    if hi - lo + 1 <= _MAX_EXPLODE:
         return offset_join(left, right, keys, left_pos, right_pos, range(lo, hi + 1), how)
     width = hi - lo + 1
-    lb = left.withColumn(
-        "_bucket",
-        F.explode(
-            F.array_distinct(
-                F.array(
-                    F.floor((F.col(left_pos) + lo) / width),
-                    F.floor((F.col(left_pos) + hi) / width),
-                )
-            )
-        ),
+    lb = left.withColumn("_lb", F.floor(F.col(left_pos) / width))
+    rb = right.withColumn(
+        "_rb",
+        F.explode(F.array_distinct(F.array(
+            F.floor((F.col(right_pos) - hi) / width),
+            F.floor((F.col(right_pos) - lo) / width),
+        ))),
     )
-    rb = right.withColumn("_rbucket", F.floor(F.col(right_pos) / width))
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
-    cond.append(F.col("_bucket") == F.col("_rbucket"))
-    diff = F.col(right_pos) - F.col(left_pos)
-    cond.append(diff.between(lo, hi))
-    return lb.join(rb, on=cond, how=how).drop("_bucket", "_rbucket")
+    cond.append(F.col("_lb") == F.col("_rb"))
+    cond.append((F.col(right_pos) - F.col(left_pos)).between(lo, hi))
+    inner = lb.join(rb, on=cond, how="inner").drop("_lb", "_rb")
+    if how == "inner":
+        return inner
+    unmatched = lb.join(rb, on=cond, how="left_anti").drop("_lb")
+    return inner.unionByName(unmatched, allowMissingColumns=True)
 
 
 def _unmatched(left, right, keys, left_pos, right_pos, offs) -> DataFrame:
