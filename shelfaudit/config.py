@@ -86,6 +86,9 @@ class AuditCodes:
     flt_doc_type: int = 440011
     flt_flag: int = 440200
     flt_period: int = 440001
+    # the original's text tests follow an unknown, often case-insensitive
+    # collation; binary by default (Q10)
+    names_ci: bool = False
     # quirk switches (see README "Quirks")
     extra_places_filter_on: str = "id"        # live: filter on object id (Q5)
     promo_filter_on: str = "id"

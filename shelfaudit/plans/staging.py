@@ -36,7 +36,7 @@ def banner_visits(faces: DataFrame, objattrs: DataFrame, visits: DataFrame, item
         F.col("id").alias("_oid"), "attrtext"
     )
     vis = visits.select(F.col("fid").alias("_vfid"), "datebegin", "dateend", "vdate", "vdateonly")
-    named = items.where(contains_any("iname", codes.listing_name_parts)).select("iid")
+    named = items.where(contains_any("iname", codes.listing_name_parts, ci=codes.names_ci)).select("iid")
     out = (
         f.join(banner, f.fid == banner._oid, "left")
         .join(vis, f.fid == vis._vfid, "left")
@@ -54,7 +54,7 @@ def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes:
     would be quadratic in the rows of a popular banner. Banners absent from
     the banner-visit rows drop out (the original's IN test).
     """
-    named = items.where(contains_any("iname", codes.listing_name_parts)).select("iid")
+    named = items.where(contains_any("iname", codes.listing_name_parts, ci=codes.names_ci)).select("iid")
     listed = master_attribute(objattrs, codes.obj_banner_attr, codes.product_dict, active=True)
     n_list = (
         listed.join(named, named.iid == listed.id)
@@ -97,7 +97,7 @@ def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: Au
     probe = probe if probe is not None else id_range(docs)
     lines = lines_of_documents(attrs, docs, probe).where(F.col("attrid").isin(list(attr_ids))).select(
         "masterfid", "orid", "id", "attrid", "objdate")
-    named = items.where(prefix_in("iname", codes.facing_name_prefixes)).select("iid")
+    named = items.where(prefix_in("iname", codes.facing_name_prefixes, ci=codes.names_ci)).select("iid")
     return small_side(docs, probe[2]).join(lines, ["masterfid", "orid"]).join(named, named.iid == lines.id)
 
 

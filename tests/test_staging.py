@@ -95,3 +95,17 @@ def test_listing_precount_equals_literal_join(spark):
     )
     expect = sorted((r.attrtext, r.iid, r["count"]) for r in literal.collect())
     assert got == expect and len(got) > 0
+
+
+def test_case_insensitive_name_tests(spark):
+    from dataclasses import replace
+
+    faces = _faces(spark, [1, 2])
+    obj = spark.createDataFrame([(1, 2, 611, "B", 1), (2, 2, 611, "B", 1)],
+                                "id long, dictid int, attrid int, attrtext string, activeflag int")
+    items = spark.createDataFrame([(1, "RED cup"), (2, "Old BOLT")], "iid long, iname string")
+    vis = H.visits(spark, [(1, 1, DAY + " 09:00:00")])
+    binary = stg.banner_visits(faces, obj, vis, items, C)
+    assert sorted(r.iid for r in binary.collect() if r.iid is not None) == []
+    ci = stg.banner_visits(faces, obj, vis, items, replace(C, names_ci=True))
+    assert sorted(r.iid for r in ci.collect() if r.iid is not None) == [1, 2]
