@@ -34,6 +34,23 @@ def order_heads(
     )
 
 
+# If the line table carries this column (= orid div ORID_BLOCK_SIZE, e.g. as
+# its partition column), the id-range filter also prunes whole partitions.
+ORID_BLOCK_COL = "orid_block"
+ORID_BLOCK_SIZE = 1_000_000
+
+
+def id_filter(attrs: DataFrame, lo, hi) -> DataFrame:
+    """``orid BETWEEN lo AND hi``, plus the matching block range when the
+    table has the block column (partition pruning instead of footer reads)."""
+    out = attrs.where(F.col("orid").between(F.lit(lo), F.lit(hi)))
+    if ORID_BLOCK_COL in attrs.columns:
+        blo = None if lo is None else lo // ORID_BLOCK_SIZE
+        bhi = None if hi is None else hi // ORID_BLOCK_SIZE
+        out = out.where(F.col(ORID_BLOCK_COL).between(F.lit(blo), F.lit(bhi)))
+    return out
+
+
 # Headers below this many rows (5 narrow columns, ~40 bytes a row) are
 # broadcast to the line scan; above it the join stays a shuffle join.
 BROADCAST_HEAD_ROWS = 2_000_000
@@ -55,7 +72,7 @@ def facts_from_heads(heads: DataFrame, attrs: DataFrame, id_range: tuple | None
     """
     lines = attrs.where(F.col("activeflag") == 1)
     if id_range is not None:
-        lines = lines.where(F.col("orid").between(F.lit(id_range[0]), F.lit(id_range[1])))
+        lines = id_filter(lines, id_range[0], id_range[1])
         if id_range[2] is not None and id_range[2] <= BROADCAST_HEAD_ROWS:
             heads = F.broadcast(heads)
     lines = lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid")
@@ -83,7 +100,7 @@ def lines_of_documents(attrs: DataFrame, docs: DataFrame, probe: tuple | None =
     """The EAV lines restricted to the documents' id range (a pushed superset
     filter; the exact match is the caller's join)."""
     lo, hi, _ = probe if probe is not None else id_range(docs)
-    return attrs.where(F.col("orid").between(F.lit(lo), F.lit(hi)))
+    return id_filter(attrs, lo, hi)
 
 
 def small_side(df: DataFrame, rows: int | None, limit: int = BROADCAST_HEAD_ROWS) -> DataFrame:

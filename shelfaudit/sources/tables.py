@@ -45,9 +45,12 @@ class AuditTables:
             return spark.read.parquet(os.path.join(root, name)).select(*cols)
 
         faces = read("faces", FACE_COLS)
+        lines = spark.read.parquet(os.path.join(root, "order_attributes"))
+        # keep the document-id block (a partition column) when the table has one
+        line_cols = ATTR_COLS + (("orid_block",) if "orid_block" in lines.columns else ())
         return AuditTables(
             orders=read("orders", ORDER_COLS),
-            attrs=read("order_attributes", ATTR_COLS),
+            attrs=lines.select(*line_cols),
             objattrs=read("object_attributes", OBJATTR_COLS),
             items=read("items", ITEM_COLS),
             visit_source=read("visits", VISIT_COLS),

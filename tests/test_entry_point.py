@@ -88,3 +88,22 @@ def test_run_full_report_from_parquet(spark):
     r = rows[0]
     assert (r.employee_name, r.supervisor_name, r.city, r.banner) == ("Outlet", "Agent", "Тверь", "B")
     assert (r.item_name, r.facing, r.racks_612, r.item612_name) == ("СКИТ item", "1", "r1", "rack item")
+
+
+def test_line_blocks_prune_partitions(spark):
+    from pyspark.sql import functions as F
+
+    import shelfaudit.plans.facts as facts_mod
+    from shelfaudit.plans.facts import facts_from_heads, id_range
+
+    root = tempfile.mkdtemp(prefix="lines-") + "/order_attributes"
+    d = DAY + " 10:00:00"
+    attrs = H.attrs(spark, [(1, o, 1, 1, 0, "x", 1, d) for o in (5, 1_500_000, 2_500_000, 3_700_000)])
+    attrs.withColumn("orid_block", (F.col("orid") / facts_mod.ORID_BLOCK_SIZE).cast("long")) \
+        .write.partitionBy("orid_block").parquet(root)
+    lines = spark.read.parquet(root)
+    heads = H.orders(spark, [(1, 2_500_000, d, 10, 613)]).select("masterfid", "mfid", "orid", "ortype", "ordate")
+    out = facts_from_heads(heads, lines, id_range(heads))
+    assert [r.orid for r in out.collect()] == [2_500_000]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(orid_block" in plan and "orid_block#" in plan
