@@ -84,3 +84,17 @@ def date_in_period(col: str | Column, bounds: tuple[Column, Column]) -> Column:
     lo = day_start(bounds[0])
     hi = day_start(bounds[1]) + F.expr("INTERVAL 1 DAY")
     return (c >= lo) & (c < hi)
+
+
+def period_filter(df, col: str, bounds: tuple[Column, Column]):
+    """``df`` restricted to ``col BETWEEN begin AND end``.
+
+    If ``df`` also has ``<col>_day`` (the day of ``col``, typically the
+    partition column), the matching day range is added, so partition
+    pruning applies instead of a scan of every partition.
+    """
+    out = df.where(in_period(col, bounds))
+    day_col = f"{col}_day"
+    if day_col in df.columns:
+        out = out.where(F.col(day_col).between(F.to_date(bounds[0]), F.to_date(bounds[1])))
+    return out

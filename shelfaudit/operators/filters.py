@@ -20,7 +20,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfaudit.functions.period import in_period
+from shelfaudit.functions.period import period_filter
 
 FILTER_SCHEMA = "type int, id bigint, id2 bigint, id3 bigint, id4 bigint, id5 bigint, idstr string"
 _ID_FIELDS = ("id", "id2", "id3", "id4", "id5")
@@ -164,7 +164,7 @@ def apply_filters(
     nothing.
     """
     if period_column is not None and fs.period is not None:
-        df = df.where(in_period(period_column, fs.period))
+        df = period_filter(df, period_column, fs.period)
     groups: dict[str, list[Column]] = {}
     consts = dict(fs.constants)
     for type_code, b in bindings.items():

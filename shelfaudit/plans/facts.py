@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfaudit.functions.period import in_period
+from shelfaudit.functions.period import period_filter
 
 FACT_COLS = ("masterfid", "mfid", "orid", "ortype", "attrid", "ordate", "attrtext", "id", "dictid")
 
@@ -27,7 +27,7 @@ def order_heads(
     when the visit keys are known or measured small, else shuffle joins.
     """
     return (
-        orders.where(in_period("ordate", bounds) & F.col("ortype").isin(list(doc_types)))
+        period_filter(orders, "ordate", bounds).where(F.col("ortype").isin(list(doc_types)))
         .where(F.col("masterfid").isin(visits.select("masterfid")))
         .where(F.col("mfid").isin(visits.select("fid")))
         .select("masterfid", "mfid", "orid", "ortype", "ordate")

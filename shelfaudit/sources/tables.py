@@ -42,7 +42,10 @@ class AuditTables:
         """Tables stored as ``<root>/<name>`` Parquet folders with the columns above."""
 
         def read(name: str, cols) -> DataFrame:
-            return spark.read.parquet(os.path.join(root, name)).select(*cols)
+            df = spark.read.parquet(os.path.join(root, name))
+            # keep day partition columns (e.g. ordate_day) so period filters prune
+            extra = [c for c in df.columns if c.endswith("_day") and c[:-4] in cols]
+            return df.select(*cols, *extra)
 
         faces = read("faces", FACE_COLS)
         lines = spark.read.parquet(os.path.join(root, "order_attributes"))

@@ -107,3 +107,27 @@ def test_line_blocks_prune_partitions(spark):
     assert [r.orid for r in out.collect()] == [2_500_000]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(orid_block" in plan and "orid_block#" in plan
+
+
+def test_day_partitions_prune_document_extract(spark):
+    from pyspark.sql import functions as F
+
+    from shelfaudit.plans.extract import document_filter, extract_documents
+
+    root = tempfile.mkdtemp(prefix="parts-")
+    orders = H.orders(spark, [(1, 1, DAY + " 10:00:00", 10, R.doc_promo), (1, 2, "2016-08-30 10:00:00", 10, R.doc_promo),
+                              (1, 3, "2016-08-28 23:59:59", 10, R.doc_promo)])
+    orders.withColumn("ordate_day", F.to_date("ordate")).write.partitionBy("ordate_day").parquet(f"{root}/orders")
+    for name, ddl in (("order_attributes", H.ATTRS), ("object_attributes", "id long, dictid int, attrid int, attrtext string, activeflag int"),
+                      ("items", "iid long, iname string"), ("visits", H.VISITS),
+                      ("faces", "fid long, fname string, exid string, ftype int, ownerdistid int, faddress string"),
+                      ("visit_comments", "fid long, vdate timestamp_ntz, comment string"),
+                      ("attachments", "masterfid int, docid long, fileid long, filedata binary")):
+        spark.createDataFrame([], ddl).write.parquet(f"{root}/{name}")
+    tables = AuditTables.from_parquet(spark, root)
+    assert "ordate_day" in tables.orders.columns
+    docs = extract_documents(tables.orders, document_filter(spark, period_bounds(DAY), R), R)
+    assert [r.orid for r in docs.collect()] == [1]
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ordate_day" in plan
+    assert run_audit_report(spark, tables, R, period_bounds(DAY)).count() == 0
