@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
-from shelfaudit.functions.period import date_in_period
+from shelfaudit.functions.period import date_in_period, period_filter
 from shelfaudit.functions.text import blank_zero, concat_strict, count_total, dot_to_comma, presence_percent
 from shelfaudit.operators.adjacent import attach, distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
@@ -78,7 +78,7 @@ def full_report(
     day_types = [codes.doc_stock_check, codes.doc_extra_places, codes.doc_main_places, codes.doc_promo,
                  codes.doc_order_info]
     orders = stage(
-        orders.where(F.col("ortype").isin(day_types) & date_in_period("ordate", day_bounds))
+        period_filter(orders, "ordate", day_bounds, by_day=True).where(F.col("ortype").isin(day_types))
         .select("masterfid", "mfid", "orid", "ortype", "ordate"),
         "day_headers",
     )
