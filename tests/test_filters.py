@@ -85,3 +85,23 @@ def test_caller_filter_restricts_visits(spark):
     got = [(r.masterfid, r.fid) for r in ext.extract_visits(visit_rows, fs, C).collect()]
     assert got == [(10, 100)]
     assert sorted(r.type for r in fs.rows.collect()) == sorted([C.flt_agent, C.flt_period])
+
+
+def test_filter_semantics_match_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = [(rnd.randrange(8), rnd.randrange(8), rnd.randrange(3)) for _ in range(200)]
+    df = spark.createDataFrame(rows, "a long, b long, c long")
+    ids_a = {rnd.randrange(8) for _ in range(3)}
+    ids_b = {rnd.randrange(8) for _ in range(3)}
+    ids_c = {rnd.randrange(3)}
+    src = lambda vals: spark.createDataFrame([(v,) for v in vals] or [], "v long")
+    fs = (FilterSet.empty(spark).add_ids(1, src(ids_a), "v").add_ids(2, src(ids_b), "v")
+          .add_ids(3, src(ids_c), "v").add_constants(9, [1]))
+    bind = {1: Binding("a", group="g"), 2: Binding("b", group="g"), 3: Binding("c")}
+    got = sorted(tuple(r) for r in apply_filters(df, fs, bind).collect())
+    expect = sorted(r for r in rows if (r[0] in ids_a or r[1] in ids_b) and r[2] in ids_c)
+    assert got == expect
+    empty = FilterSet.empty(spark).add_ids(3, src([]), "v")
+    assert apply_filters(df, empty, bind).count() == 0
