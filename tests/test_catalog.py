@@ -50,3 +50,19 @@ def test_plan_shapes(spark):
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text, name
     info = q["q11_latest_info"](spark, SF)
     assert "scalar-subquery" not in info._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_invariants_listing_rows_and_documents_without_files(spark, con):
+    from pyspark.sql import functions as F
+
+    from shelfaudit.catalog.codes import TEST_CODES
+    from shelfaudit.catalog.forms import _temp
+    from shelfaudit.plans import staging as stg
+
+    tables, _, _, temp = _temp(spark, SF)
+    initial = temp.select("attrtext", "iid", "datebegin").distinct().count()
+    assert stg.listing_counts(temp, tables.objattrs, tables.items, TEST_CODES).count() == initial
+    top = E.queries()["q21_top_files"](spark, SF)
+    no_file = con.execute("SELECT COUNT(*) FROM documents d WHERE NOT EXISTS "
+                          "(SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)").fetchone()[0]
+    assert top.where(F.col("fileid").isNull()).count() == no_file
