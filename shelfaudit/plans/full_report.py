@@ -104,20 +104,15 @@ def full_report(
     m611 = distance_lookup(k607, d611, _keys("611"), "orid607", "orid611", band=(1, 4))
     d610 = _day_headers(orders, codes.doc_order_info, day_bounds, "610")
     m610 = distance_lookup(k607, d610, _keys("610"), "orid607", "orid610", band=(1, 7))
-    banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).select(
-        F.col("id").alias("_b_id"), F.col("attrtext").alias("banner"))
-    r = _left(r, banner, F.col("fid") == F.col("_b_id"))
-    fc = facing.select(
-        F.col("mfid").alias("_fc_m"), F.col("datebegin").alias("_fc_d"), F.col("orid").alias("fc_orid"),
-        F.col("itid").alias("itid"), F.col("facing").alias("_facing"), F.col("shelf").alias("_shelf"),
-        F.col("store").alias("_store"), F.col("orcomment").alias("facing_comment"))
-    r = _left(r, fc, (F.col("_fc_m") == F.col("fid")) & (F.col("_fc_d") == F.col("datebegin")))
-    n607 = names.select(F.col("iid").alias("_n607"), F.col("iname").alias("item_name"))
-    r = _left(r, n607, F.col("_n607") == F.col("itid"))
-    ls = listing.select(F.col("attrtext").alias("_ls_b"), F.col("datebegin").alias("_ls_d"),
-                        F.col("iid").alias("_ls_i"), F.col("listed").alias("_listed"))
-    r = _left(r, ls, (F.col("_ls_b") == F.col("banner")) & (F.col("_ls_d") == F.col("datebegin"))
-              & (F.col("_ls_i") == F.col("itid")))
+    banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).selectExpr(
+        "id AS fid", "attrtext AS banner")
+    r = r.join(banner, on="fid", how="left")
+    fc = facing.selectExpr("mfid AS fid", "datebegin", "orid AS fc_orid", "itid", "facing AS _facing",
+                           "shelf AS _shelf", "store AS _store", "orcomment AS facing_comment")
+    r = r.join(fc, on=["fid", "datebegin"], how="left")
+    r = r.join(names.selectExpr("iid AS itid", "iname AS item_name"), on="itid", how="left")
+    ls = listing.selectExpr("attrtext AS banner", "datebegin", "iid AS itid", "listed AS _listed")
+    r = r.join(ls, on=["banner", "datebegin", "itid"], how="left")
 
     # extra places: next document id after the stock check
     r = attach(r, m612, ["masterfid", "fid"], "orid607")
@@ -132,8 +127,7 @@ def full_report(
     p612 = p612.select(F.col("orid").alias("_p612_o"), F.col("masterfid").alias("_p612_m"), F.col("id").alias("id612"),
                        *[F.col(c).alias(f"{c}_612") for c in codes.extra_places])
     r = _left(r, p612, (F.col("_p612_o") == F.col("t612_orid")) & (F.col("_p612_m") == F.col("_l612_m")))
-    n612 = names.select(F.col("iid").alias("_n612"), F.col("iname").alias("item612_name"))
-    r = _left(r, n612, F.col("_n612") == F.col("id612"))
+    r = r.join(names.selectExpr("iid AS id612", "iname AS item612_name"), on="id612", how="left")
 
     # main places: next document id after the extra places
     r = attach(r, m608, ["masterfid", "fid"], "orid612")
@@ -168,8 +162,7 @@ def full_report(
     p611 = p611.select(F.col("orid").alias("_p611_o"), F.col("masterfid").alias("_p611_m"), F.col("id").alias("id611"),
                        *[(dot_to_comma(c) if c == first else F.col(c)).alias(c) for c in codes.promo_actions])
     r = _left(r, p611, (F.col("_p611_o") == F.col("t611_orid")) & (F.col("_p611_m") == F.col("_l611_m")))
-    n611 = names.select(F.col("iid").alias("_n611"), F.col("iname").alias("item611_name"))
-    r = _left(r, n611, F.col("_n611") == F.col("id611"))
+    r = r.join(names.selectExpr("iid AS id611", "iname AS item611_name"), on="id611", how="left")
 
     # order information: 1-7 document ids after the stock check
     r = attach(r, m610, ["masterfid", "fid"], "orid607")
@@ -181,21 +174,18 @@ def full_report(
     r = _left(r, info, (F.col("_i_o") == F.col("t610_orid")) & (F.col("_i_m") == F.col("_l610_m")))
 
     # people, comment, photo, e-mail
-    emp = faces.select(F.col("fid").alias("_e_f"), F.col("fname").alias("employee_name"),
-                       F.col("nomertt").alias("outlet_no"), F.col("gorod").alias("city"),
-                       F.col("street").alias("street"), F.col("dom").alias("building"))
-    r = _left(r, emp, F.col("_e_f") == F.col("fid"))
-    sup = supervisors.select(F.col("fid").alias("_s_f"), F.col("fname").alias("supervisor_name"))
-    r = _left(r, sup, F.col("_s_f") == F.col("masterfid"))
-    com = visit_comments.select(F.col("fid").alias("_c_f"), F.col("vdate").alias("_c_d"),
-                                F.col("comment").alias("visit_comment"))
-    r = _left(r, com, (F.col("_c_f") == F.col("fid")) & (F.col("_c_d") == F.col("vdate")))
+    emp = faces.selectExpr("fid", "fname AS employee_name", "nomertt AS outlet_no", "gorod AS city",
+                           "street", "dom AS building")
+    r = r.join(emp, on="fid", how="left")
+    sup = supervisors.selectExpr("fid AS masterfid", "fname AS supervisor_name")
+    r = r.join(sup, on="masterfid", how="left")
+    com = visit_comments.selectExpr("fid", "vdate", "comment AS visit_comment")
+    r = r.join(com, on=["fid", "vdate"], how="left")
     photo_docs = tdocs.where((F.col("ortype") == codes.doc_photo) & date_in_period("ordate", day_bounds))
     d5 = photo_docs.groupBy("masterfid", "mfid", "orid").agg(F.max("ordate").alias("d5_date")).select(
         F.col("masterfid").alias("_d5_m"), F.col("mfid").alias("_d5_f"), F.col("orid").alias("d5_orid"), "d5_date")
     vf = visits.select("masterfid", "fid", "datebegin").join(
-        fc.select("_fc_m", "_fc_d", "fc_orid"),
-        (F.col("_fc_m") == F.col("fid")) & (F.col("_fc_d") == F.col("datebegin")), "left",
+        fc.select("fid", "datebegin", "fc_orid"), on=["fid", "datebegin"], how="left",
     ).select("masterfid", "fid", "fc_orid")
     m5 = distance_lookup(vf, d5, [("masterfid", "_d5_m"), ("fid", "_d5_f")], "fc_orid", "d5_orid", offsets=[-1, 1])
     r = attach(r, m5, ["masterfid", "fid"], "fc_orid")
@@ -204,9 +194,9 @@ def full_report(
         F.col("orid").alias("_p_o"))
     r = _left(r, doc5, (F.col("_p_m") == F.col("_d5_m")) & (F.col("_p_f") == F.col("_d5_f"))
               & (F.col("_p_d") == F.col("d5_date")) & (F.col("_p_o") == F.col("d5_orid")))
-    email = master_attribute(objattrs, codes.obj_email_attr, active=True).select(
-        F.col("id").alias("_m_id"), F.col("attrtext").alias("email"))
-    r = _left(r, email, F.col("_m_id") == F.col("fid"))
+    email = master_attribute(objattrs, codes.obj_email_attr, active=True).selectExpr(
+        "id AS fid", "attrtext AS email")
+    r = r.join(email, on="fid", how="left")
 
     out = r.select(
         "employee_name", F.col("datebegin").alias("audit_date"), "outlet_no", F.lit("").alias("store_category"),
