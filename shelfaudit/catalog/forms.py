@@ -42,6 +42,7 @@ def _inputs(spark: SparkSession, d: str, stage_docs: bool = False, stage_facts:
 
 
 def q01_period(spark: SparkSession, d: str) -> DataFrame:
+    """Events of one day by the closed 00:00:00-23:59:59 range, with the day-parts test as a flag."""
     ev = analog.table(spark, d, "events").select("event_id", "ts", "user_id", "event_type")
     b = period_bounds(EVENT_DAY)
     return ev.where(in_period("ts", b)).select(
@@ -51,21 +52,25 @@ def q01_period(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q02_filter_set(spark: SparkSession, d: str) -> DataFrame:
+    """Filter rows built from the visits: agents, outlets (one UNION) and owners."""
     _, visits, _, _ = _inputs(spark, d, facts=False)
     return ext.visit_filter(visits, C).rows
 
 
 def q02_doc_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Filter rows of the document extract: period, type allowlist, flag."""
     _, db = _bounds()
     return ext.document_filter(spark, db, C).rows
 
 
 def q03_filtered_faces(spark: SparkSession, d: str) -> DataFrame:
+    """Outlets through the visit filter: agents OR outlets, AND owners."""
     tables, visits, _, _ = _inputs(spark, d, facts=False)
     return ext.extract_faces(tables.faces, ext.visit_filter(visits, C), C)
 
 
 def q03_filtered_docs(spark: SparkSession, d: str) -> DataFrame:
+    """The document extract: period and type allowlist."""
     _, _, tdocs, _ = _inputs(spark, d, facts=False)
     return tdocs
 
@@ -88,20 +93,24 @@ def _temp(spark, d, stage_docs=False):
 
 
 def q04_banner_visits(spark: SparkSession, d: str) -> DataFrame:
+    """Outlets with banner, visits and the product found by outlet id."""
     return _temp(spark, d)[3]
 
 
 def q05_listing_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Listed counts per (banner, product, visit start), default 0."""
     tables, _, _, temp = _temp(spark, d)
     return stg.listing_counts(temp, tables.objattrs, tables.items, C)
 
 
 def q06_facing_init(spark: SparkSession, d: str) -> DataFrame:
+    """Initial facing rows: outlet x visit x stock-check document x named product."""
     tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
     return stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
 
 
 def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Facing rows with the three counters under their date rules (C4)."""
     tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
     probe = stg.stock_check_probe(tdocs, C)
     init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
@@ -109,11 +118,13 @@ def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q08_order_facts(spark: SparkSession, d: str) -> DataFrame:
+    """Headers x active lines of visited agents and outlets."""
     _, _, _, facts = _inputs(spark, d)
     return facts
 
 
 def q09_assortment(spark: SparkSession, d: str) -> DataFrame:
+    """Distinct stock-document products per visit."""
     _, visits, _, facts = _inputs(spark, d)
     a = sec.assortment(facts, C.doc_stock)
     v = visits.select("masterfid", F.col("fid").alias("mfid"), "vdate")
@@ -121,6 +132,7 @@ def q09_assortment(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q10_stock_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """Stock products per visit with facing, shelf and store text and their total."""
     _, visits, _, facts = _inputs(spark, d, stage_facts=True)  # four reads of the facts
     a = sec.assortment(facts, C.doc_stock)
     v = visits.select("masterfid", F.col("fid").alias("mfid"), "vdate")
@@ -133,26 +145,31 @@ def q10_stock_lookup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q11_latest_info(spark: SparkSession, d: str) -> DataFrame:
+    """Order information of the latest order-info document, type not tested."""
     _, _, tdocs, facts = _inputs(spark, d)
     return sec.order_info(facts, tdocs, C)
 
 
 def q12_extra_places(spark: SparkSession, d: str) -> DataFrame:
+    """Extra places pivot of the latest 612-type document."""
     _, _, tdocs, facts = _inputs(spark, d)
     return sec.extra_places(facts, tdocs, C)
 
 
 def q13_main_places(spark: SparkSession, d: str) -> DataFrame:
+    """Main places pivot by object id of the latest 608-type document."""
     _, _, tdocs, facts = _inputs(spark, d)
     return sec.main_places(facts, tdocs, C)
 
 
 def q14_promo_actions(spark: SparkSession, d: str) -> DataFrame:
+    """Promo pivot of the latest 611-type document with product name."""
     tables, _, tdocs, facts = _inputs(spark, d)
     return sec.with_item_name(sec.promo_actions(facts, tdocs, C), tables.items, "id", "iname")
 
 
 def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
+    """The live 38-column report."""
     tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True, stage_facts=True)
     return rpt.audit_report(visits, tdocs, facts, tables.items, C)
 
@@ -165,12 +182,14 @@ def _turns(spark: SparkSession, d: str):
 
 
 def q16_adjacent(spark: SparkSession, d: str) -> DataFrame:
+    """User turn followed by an assistant turn at distance 1."""
     a, b = _turns(spark, d)
     out = offset_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", [1])
     return out.select(F.col("conv_a").alias("conv_id"), "turn_a", "turn_b")
 
 
 def q17_band(spark: SparkSession, d: str) -> DataFrame:
+    """User turn to assistant turns 1-7 later, flagged when within 4."""
     a, b = _turns(spark, d)
     out = band_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", 1, 7)
     return out.select(
@@ -180,6 +199,7 @@ def q17_band(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q18_neighbour(spark: SparkSession, d: str) -> DataFrame:
+    """User turns left-joined to assistant turns at distance -1 or 1."""
     a, b = _turns(spark, d)
     out = offset_join(a, b, [("conv_a", "conv_b")], "turn_a", "turn_b", [-1, 1], how="left")
     return out.select(F.col("conv_a").alias("conv_id"), "turn_a", "turn_b")
@@ -216,12 +236,14 @@ URL_FIELDS = {
 
 
 def q19_address(spark: SparkSession, d: str) -> DataFrame:
+    """Page URLs split into address parts."""
     pages = analog.table(spark, d, "pages").select(
         F.col("page_id").alias("fid"), F.col("url").alias("faddress"))
     return ext.with_address_parts(pages, _replace(C, address_fields=URL_FIELDS))
 
 
 def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
+    """Visits with outlet and agent names, banner, e-mail, comment and latest photo."""
     tables, visits, tdocs, _ = _inputs(spark, d, facts=False)
     _, db = _bounds()
     vis = visits.select("masterfid", "fid", "vdate", "datebegin")
@@ -259,17 +281,20 @@ def _photo_candidates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q21_top_files(spark: SparkSession, d: str) -> DataFrame:
+    """Documents left-joined to labels, ranked by running count inside source; rank < 4."""
     sel = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid")
     return sel.select("doc_id", "source", "fileid", "rnk")
 
 
 def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
+    """Export names of the selected files."""
     sel = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid")
     named = ph.photo_names(sel, "fileid", "lang", "source", C.labels.photo_extension)
     return named.select("doc_id", "source", "fileid", "rnk", "file_name")
 
 
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
+    """The ordered 42-column full report."""
     tables, visits, tdocs, temp = _temp(spark, d, stage_docs=True)
     vb, _ = _bounds()
     # the facing table is read twice (rows and photo neighbours): staged once;
