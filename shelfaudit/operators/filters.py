@@ -181,8 +181,3 @@ def apply_filters(
             cond = cond | c
         df = df.where(cond)
     return df
-
-
-def select_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Column codes of an extract become a plain projection (pruned at the scan)."""
-    return df.select(*columns)
