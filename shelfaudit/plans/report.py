@@ -10,8 +10,9 @@ same two keys, so the product of the three assortments (which is the
 report's defined output) is built partition-locally, never shuffled again.
 
 The order facts and the document extract are staged once (written under
-the checkpoint folder) because ten branches read them; the base tables are
-scanned once.
+the checkpoint folder) because ten branches read them. The large EAV line
+table is scanned once, cut to the day's document-id range; the day's
+headers are read twice (once measured, once joined).
 """
 
 from __future__ import annotations
