@@ -7,11 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.common import table
+from shelfaudit.llm import quality, toxicity
+from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.exact_dedup import exact_dedup
 from shelfaudit.llm.simhash import simhash_near_dedup
 
 
+def _classified(docs: DataFrame, score, folds: int, held_fold: int, cut: float) -> DataFrame:
+    scored = docs.select("doc_id", (fold_of(F.col("doc_id"), folds) == held_fold).alias("held_out"), score.alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, table(spark, sf_dir, "labels"), folds=4, held_fold=2)
+    return _classified(docs, quality.score_column(model, F.col("text")), 4, 2, quality.CUT)
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"), folds=3, held_fold=1)
+    return _classified(docs, toxicity.score_column(model, F.col("text")), 3, 1, toxicity.CUT)
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_near_dedup(table(spark, sf_dir, "documents"), words=3, max_bits=2)
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -22,6 +40,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": op2_quality,
+    "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
     "op9_exact_dedup": op9_exact_dedup,
 }
