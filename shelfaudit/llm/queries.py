@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfaudit.llm import quality, toxicity
 from shelfaudit.llm.common import fold_of, table
+from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
 from shelfaudit.llm.simhash import simhash_near_dedup
 
@@ -35,6 +36,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).withColumnRenamed("id", "doc_id")
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
@@ -43,5 +48,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
+    "op7_decontaminate": op7_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
 }

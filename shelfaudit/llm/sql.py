@@ -9,6 +9,27 @@ SELECT d.doc_id, g.keep_id, g.group_size, d.doc_id = g.keep_id AS kept, sha256(d
 FROM d JOIN g ON d.t = g.t
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_ALNUM = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+_OP7 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all({_LOWER}, {_ALNUM}) AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, w[p:p + least(10, len(w)) - 1] AS g
+        FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS p FROM i WHERE len(w) > 0)),
+lens AS (SELECT DISTINCT len(g) AS n FROM win),
+spots AS (SELECT doc_id, n, p, w[p:p + n - 1] AS g
+       FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS p FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT s.doc_id, s.p, s.n, win.item_id FROM spots s JOIN win ON s.g = win.g),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM hit) GROUP BY doc_id),
+held AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS ids
+         FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS s FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN held USING (doc_id)
+"""
+
 SQL: dict[str, str] = {
+    "op7_decontaminate": _OP7,
     "op9_exact_dedup": _OP9,
 }
