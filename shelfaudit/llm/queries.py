@@ -11,6 +11,7 @@ from shelfaudit.llm import quality, toxicity
 from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
+from shelfaudit.llm.mixing import mix
 from shelfaudit.llm.simhash import simhash_near_dedup
 
 
@@ -36,6 +37,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).withColumnRenamed("id", "doc_id")
 
@@ -48,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality": op2_quality,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
+    "op6_mixing": op6_mixing,
     "op7_decontaminate": op7_decontaminate,
     "op9_exact_dedup": op9_exact_dedup,
 }

@@ -29,7 +29,33 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN held USING (doc_id)
 """
 
+_OP6 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS w
+      FROM d GROUP BY source),
+t AS (SELECT CAST(sum(source_size) AS DOUBLE) AS total FROM s),
+-- the share of a unit of weight, after more and more sources have reached three times their size
+r(n, share) AS (
+  SELECT 0, (SELECT total FROM t) / (SELECT sum(w) FROM s)
+  UNION ALL
+  SELECT n + 1, (SELECT ((SELECT total FROM t) - coalesce(sum(CASE WHEN w * share > 3 * source_size THEN 3 * source_size END), 0))
+                        / sum(CASE WHEN w * share > 3 * source_size THEN 0 ELSE w END) FROM s)
+  FROM r WHERE n < (SELECT count(*) FROM s)),
+f AS (SELECT arg_max(share, n) AS share FROM r),
+g AS (SELECT source, source_size, CASE WHEN w * share > 3 * source_size THEN CAST(3 * source_size AS DOUBLE) ELSE w * share END AS target FROM s, f),
+k AS (SELECT *, md5('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM d),
+u AS (SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id, size ROWS UNBOUNDED PRECEDING) AS upto FROM k),
+q AS (SELECT u.*, epoch, CAST(epoch * source_size + upto AS DOUBLE) / target AS finish
+      FROM u JOIN g ON u.source IS NOT DISTINCT FROM g.source, (SELECT unnest([0, 1, 2]) AS epoch) WHERE size > 0 AND target > 0),
+o AS (SELECT doc_id, size, sum(size) OVER (ORDER BY finish, source NULLS LAST, epoch, key, doc_id, size ROWS UNBOUNDED PRECEDING) AS so_far FROM q),
+x AS (SELECT doc_id, CAST(sum(size) AS BIGINT) AS taken FROM o, t WHERE so_far <= total GROUP BY doc_id)
+SELECT d.doc_id, d.size, g.source_size, g.target, coalesce(x.taken, 0) AS taken
+FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN x ON d.doc_id = x.doc_id
+"""
+
 SQL: dict[str, str] = {
+    "op6_mixing": _OP6,
     "op7_decontaminate": _OP7,
     "op9_exact_dedup": _OP9,
 }
