@@ -11,10 +11,16 @@ from shelfaudit.llm import quality, toxicity
 from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
+from shelfaudit.llm.license_scan import license_scan
 from shelfaudit.llm.mixing import mix
 from shelfaudit.llm.simhash import simhash_near_dedup
 
 
+def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def _classified(docs: DataFrame, score, folds: int, held_fold: int, cut: float) -> DataFrame:
     scored = docs.select("doc_id", (fold_of(F.col("doc_id"), folds) == held_fold).alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= cut).cast("int"))
@@ -50,6 +56,7 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license": op1_license,
     "op2_quality": op2_quality,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
