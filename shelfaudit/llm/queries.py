@@ -13,7 +13,9 @@ from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
 from shelfaudit.llm.license_scan import license_scan
 from shelfaudit.llm.mixing import mix
+from shelfaudit.llm.secret_scan import KINDS, fit_formats, secret_scan
 from shelfaudit.llm.simhash import simhash_near_dedup
+from shelfaudit.llm.token_counts import token_counts
 
 
 def op1_license(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -51,10 +53,29 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10).withColumnRenamed("id", "doc_id")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secret_scan(docs, fit_formats(docs))
+    base = F.filter("spans", lambda s: s["kind"].isin(*KINDS))
+
+    def written(spans):
+        return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_quality": op2_quality,
@@ -62,5 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op6_mixing": op6_mixing,
     "op7_decontaminate": op7_decontaminate,
+    "op8_secrets": op8_secrets,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_token_counts": op10_token_counts,
 }
