@@ -12,6 +12,7 @@ from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
 from shelfaudit.llm.license_scan import license_scan
+from shelfaudit.llm.lm import lm_scores
 from shelfaudit.llm.mixing import mix
 from shelfaudit.llm.secret_scan import KINDS, fit_formats, secret_scan
 from shelfaudit.llm.simhash import simhash_near_dedup
@@ -45,6 +46,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(table(spark, sf_dir, "documents"), folds=7, held_fold=2).withColumnRenamed("id", "doc_id")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
@@ -79,6 +84,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_quality": op2_quality,
+    "op4_lm": op4_lm,
     "op5_toxicity": op5_toxicity,
     "op3_simhash": op3_simhash,
     "op6_mixing": op6_mixing,
