@@ -40,7 +40,7 @@ from shelfaudit.llm.labelled import best_cut, labelled_sample
 LEXICON = 4000
 #: Shortest word beginning that can be an entry, and the longest.
 SHORTEST, LONGEST = 4, 12
-#: Toxic texts an entry must occur in, and its least log odds.
+#: Toxic texts an entry must occur in (two where there are few), and its least log odds.
 LEAST_TEXTS, LEAST_ODDS = 3, 2.0
 CUT = 0.7
 #: Labelled texts the lexicon is learned from (documented bound).
@@ -134,7 +134,7 @@ def fit(sample: DataFrame) -> Toxicity:
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
     counts = sample.mapInArrow(_doc_counts, "gram string, toxic long, clean long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    least = min(LEAST_TEXTS, max(1, n1 // 5))
+    least = LEAST_TEXTS if n1 >= 5 * LEAST_TEXTS else 2
     found = counts.filter(F.col("toxic") >= least).withColumn("odds", odds).filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "gram").limit(LEXICON).collect()
     counted = {r.gram: (r.toxic, r.clean) for r in found}
 
