@@ -69,8 +69,8 @@ _RULES = r"""
 0.80|agpl|licensed under the agpl|licensed under the agpl
 0.95|gpl-2.0-with-classpath-exception|gpl|gpl(?: 2 0| v2)? with (?:the )?classpath exception
 0.98|apache-2.0|apache license|(?:licensed under the )?apache license(?: asl)? (?:version |v)?2(?: 0)?(?: the license)?
-0.98|apache-1.1|apache license|(?:licensed under the )?apache (?:software )?license (?:version |v)?1 1
-0.98|apache-1.0|apache license|(?:licensed under the )?apache (?:software )?license (?:version |v)?1 0
+0.98|apache-1.1|apache |(?:licensed under the )?apache (?:software )?license (?:version |v)?1 1
+0.98|apache-1.0|apache |(?:licensed under the )?apache (?:software )?license (?:version |v)?1 0
 0.95|apache-2.0|apache org licenses license|(?:http |https )?(?:www )?apache org licenses license 2 0(?: html| txt)?
 0.90|apache-2.0|apache software license|apache software license(?: (?:version |v)?2(?: 0)?)?
 0.90|apache-2.0|apache 2|apache 2(?: 0)?(?: licen[cs]ed?)?
@@ -203,7 +203,7 @@ _RULES = r"""
 0.95|openrail-m|openrail m license|(?:creativeml |bigscience )?openrail m license
 0.95|llama|community license agreement|llama [0-9](?: [0-9])? community license agreement
 0.95|commons-clause|commons clause license|commons clause license condition
-0.95|license|polyform|polyform (?:noncommercial|small business|perimeter|shield|strict) license
+0.95|polyform|license|polyform (?:noncommercial|small business|perimeter|shield|strict) license
 0.98|cc-by-nc-nd-4.0|cc by nc nd|cc by nc nd 4 0
 0.98|cc-by-nc-nd-3.0|cc by nc nd|cc by nc nd 3 0
 0.98|cc-by-nc-sa-4.0|cc by nc sa|cc by nc sa 4 0
