@@ -30,7 +30,7 @@ TEST_CODES = AuditCodes(
     obj_banner_attr=611,
     obj_email_attr=633,
     listing_name_parts=("red", "bolt"),
-    facing_name_prefixes=("red", "blu"),
+    facing_name_prefixes=("red", "blu", "hot", "sma", "lar", "old"),
 )
 
 VISIT_FIRST_DAY, VISIT_LAST_DAY = "1998-01-01", "1998-01-31"

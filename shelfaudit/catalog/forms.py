@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import replace as _replace
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfaudit.catalog.codes import (
@@ -15,7 +15,9 @@ from shelfaudit.functions.period import date_in_period, day_parts_equal, in_peri
 from shelfaudit.functions.text import blank_zero, concat_strict, count_total, presence_percent
 from shelfaudit.operators.adjacent import band_join, offset_join
 from shelfaudit.operators.eav import master_attribute
+from shelfaudit.operators.filters import FilterSet
 from shelfaudit.operators.latest import latest_documents
+from shelfaudit.operators.ranking import running_count_rank
 from shelfaudit.plans import extract as ext
 from shelfaudit.plans import full_report as fr
 from shelfaudit.plans import photos as ph
@@ -32,9 +34,8 @@ def _bounds():
     return period_bounds(VISIT_FIRST_DAY, VISIT_LAST_DAY), period_bounds(DOC_FIRST_DAY, DOC_LAST_DAY)
 
 
-def _inputs(spark: SparkSession, d: str, stage_docs: bool = False, stage_facts: bool = False,
-            item_ids: bool = False, facts: bool = True):
-    tables = analog.tables(spark, d, C, item_ids=item_ids)
+def _inputs(spark: SparkSession, d: str, stage_docs: bool = False, stage_facts: bool = False, facts: bool = True):
+    tables = analog.tables(spark, d, C)
     vb, db = _bounds()
     visits, tdocs, fx = rpt.report_inputs(spark, tables, C, vb, db, stage_docs=stage_docs,
                                           stage_facts=stage_facts, facts=facts)
@@ -57,10 +58,27 @@ def q02_filter_set(spark: SparkSession, d: str) -> DataFrame:
     return ext.visit_filter(visits, C).rows
 
 
-def q02_doc_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Filter rows of the document extract: period, type allowlist, flag."""
+def q02_caller_set(spark: SparkSession, d: str) -> DataFrame:
+    """Visits through a caller's set read from a table: the owners named in `region`, the outlets of
+    `customer` with a positive balance; the rows' types are taken from the rows (S2)."""
+    owners = analog.table(spark, d, "region").where(F.col("r_name").isin("ASIA", "EUROPE")).select(
+        F.lit(C.flt_owner).alias("type"), F.lit(C.flt_owner_dict).alias("id"), F.col("r_regionkey").alias("id2"))
+    outlets = analog.table(spark, d, "customer").where(F.col("c_acctbal") > 0).select(
+        F.lit(C.flt_outlet).alias("type"), F.col("c_custkey").alias("id"), F.lit(None).alias("id2"))
+    rows = owners.unionByName(outlets).withColumns({k: F.lit(None).cast("bigint") for k in ("id3", "id4", "id5")})
+    base = FilterSet.from_rows(rows.withColumn("idstr", F.lit(None).cast("string")))
+    tables = analog.tables(spark, d, C)
+    vb, _ = _bounds()
+    return ext.extract_visits(tables.visit_source, ext.caller_filter(spark, vb, C, base), C)
+
+
+def q02_constant_set(spark: SparkSession, d: str) -> DataFrame:
+    """Documents through the constant set applied as rows: the allowlist as an IN-subquery."""
+    tables = analog.tables(spark, d, C)
     _, db = _bounds()
-    return ext.document_filter(spark, db, C).rows
+    rows = ext.document_filter(spark, db, C).rows
+    fs = replace(FilterSet.from_rows(rows), period=db)
+    return ext.extract_documents(tables.orders, fs, C)
 
 
 def q03_filtered_faces(spark: SparkSession, d: str) -> DataFrame:
@@ -87,7 +105,7 @@ def q03_filtered_extract(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _temp(spark, d, stage_docs=False):
-    tables, visits, tdocs, _ = _inputs(spark, d, stage_docs=stage_docs, facts=False, item_ids=True)
+    tables, visits, tdocs, _ = _inputs(spark, d, stage_docs=stage_docs, facts=False)
     temp = stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C)
     return tables, visits, tdocs, temp
 
@@ -105,16 +123,14 @@ def q05_listing_counts(spark: SparkSession, d: str) -> DataFrame:
 
 def q06_facing_init(spark: SparkSession, d: str) -> DataFrame:
     """Initial facing rows: outlet x visit x stock-check document x named product."""
-    tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
+    tables, visits, tdocs, _ = _inputs(spark, d, facts=False)
     return stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
 
 
 def q07_facing_counts(spark: SparkSession, d: str) -> DataFrame:
     """Facing rows with the three counters under their date rules (C4)."""
-    tables, visits, tdocs, _ = _inputs(spark, d, facts=False, item_ids=True)
-    probe = stg.stock_check_probe(tdocs, C)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
-    return stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe)
+    tables, visits, tdocs, _ = _inputs(spark, d, facts=False)
+    return stg.facing_counts(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
 
 
 def q08_order_facts(spark: SparkSession, d: str) -> DataFrame:
@@ -210,9 +226,7 @@ def q19_format(spark: SparkSession, d: str) -> DataFrame:
     rows against the listed count of the outlet's banner and product."""
     tables, visits, tdocs, temp = _temp(spark, d)
     counts = stg.listed_counts(temp, tables.objattrs, tables.items, C)
-    probe = stg.stock_check_probe(tdocs, C)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
-    fc = stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe)
+    fc = stg.facing_counts(tables.faces, visits, tdocs, tables.attrs, tables.items, C)
     banner = master_attribute(tables.objattrs, C.obj_banner_attr, C.outlet_dict).select(
         F.col("id").alias("_bid"), F.col("attrtext").alias("banner"))
     lst = counts.select(F.col("attrtext").alias("_lb"), F.col("iid").alias("_li"), "listed")
@@ -239,7 +253,7 @@ def q19_address(spark: SparkSession, d: str) -> DataFrame:
     """Page URLs split into address parts."""
     pages = analog.table(spark, d, "pages").select(
         F.col("page_id").alias("fid"), F.col("url").alias("faddress"))
-    return ext.with_address_parts(pages, _replace(C, address_fields=URL_FIELDS))
+    return ext.with_address_parts(pages, replace(C, address_fields=URL_FIELDS))
 
 
 def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
@@ -274,10 +288,11 @@ def q20_role_lookups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _photo_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Documents with the attachments of `labels`, joined once and staged: the selection reads them twice."""
     docs = analog.table(spark, d, "documents").select("doc_id", "source", "lang")
     att = analog.table(spark, d, "labels").select(
         F.col("doc_id").alias("_att_doc"), F.col("doc_id").alias("fileid"))
-    return ph.photo_candidates(docs, att, [("doc_id", "_att_doc")])
+    return stage(ph.photo_candidates(docs, att, [("doc_id", "_att_doc")]), "photo_candidates")
 
 
 def q21_top_files(spark: SparkSession, d: str) -> DataFrame:
@@ -286,6 +301,11 @@ def q21_top_files(spark: SparkSession, d: str) -> DataFrame:
     return sel.select("doc_id", "source", "fileid", "rnk")
 
 
+def q21_every_rank(spark: SparkSession, d: str) -> DataFrame:
+    """The running-count rank of every row."""
+    return running_count_rank(_photo_candidates(spark, d), "source", "fileid").select("doc_id", "source", "fileid", "rnk")
+
+
 def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
     """Export names of the selected files."""
     sel = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid")
@@ -294,27 +314,19 @@ def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
-    """The ordered 42-column full report."""
-    tables, visits, tdocs, temp = _temp(spark, d, stage_docs=True)
-    vb, _ = _bounds()
-    # the facing table is read twice (rows and photo neighbours): staged once;
-    # the listing table is read once and stays a plan
-    listing = stg.listing_counts(temp, tables.objattrs, tables.items, C)
-    probe = stg.stock_check_probe(tdocs, C)
-    init = stg.facing_initial(tables.faces, visits, tdocs, tables.attrs, tables.items, C, probe)
-    facing = stage(stg.facing_counts(init, tdocs, tables.attrs, tables.items, C, probe), "facing")
-    line_attrs = analog.tables(spark, d, C).attrs
-    faces = ext.with_address_parts(tables.faces, C)
-    return fr.full_report(
-        visits, tables.orders, tdocs, line_attrs, tables.objattrs, tables.items, faces, tables.agents,
-        facing, listing, tables.visit_comments, C, vb,
-    )
+    """The 42-column full report through its entry point (C10), with the row's place in the report's
+    order within its supervisor, which the report sorts by first (O1)."""
+    vb, db = _bounds()
+    out = fr.run_full_report(spark, analog.tables(spark, d, C), C, vb, doc_bounds=db, keep_order=True)
+    w = Window.partitionBy("supervisor_name").orderBy(F.asc_nulls_first("audit_date"), F.asc_nulls_first("facing_doc"))
+    return out.withColumn("order_no", F.dense_rank().over(w).cast("long"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q01_period": q01_period,
     "q02_filter_set": q02_filter_set,
-    "q02_doc_filter": q02_doc_filter,
+    "q02_caller_set": q02_caller_set,
+    "q02_constant_set": q02_constant_set,
     "q03_filtered_faces": q03_filtered_faces,
     "q03_filtered_docs": q03_filtered_docs,
     "q03_filtered_extract": q03_filtered_extract,
@@ -337,6 +349,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q19_address": q19_address,
     "q20_role_lookups": q20_role_lookups,
     "q21_top_files": q21_top_files,
+    "q21_every_rank": q21_every_rank,
     "q22_file_names": q22_file_names,
     "q23_full_report": q23_full_report,
 }

@@ -86,16 +86,15 @@ def date_in_period(col: str | Column, bounds: tuple[Column, Column]) -> Column:
     return (c >= lo) & (c < hi)
 
 
-def period_filter(df, col: str, bounds: tuple[Column, Column], by_day: bool = False):
+def period_filter(df, col: str, bounds: tuple[Column, Column], by_day: bool = False, day_col: str | None = None):
     """``df`` restricted to ``col BETWEEN begin AND end`` (or, ``by_day``, to
     ``CAST(col AS DATE) BETWEEN begin AND end``).
 
-    If ``df`` also has ``<col>_day`` (the day of ``col``, typically the
-    partition column), the matching day range is added, so partition
-    pruning applies instead of a scan of every partition.
+    ``day_col`` names a partition column that whoever writes the table
+    guarantees to hold ``CAST(col AS DATE)``; the matching day range is added,
+    so whole partitions are pruned. It is never inferred from column names.
     """
     out = df.where(date_in_period(col, bounds) if by_day else in_period(col, bounds))
-    day_col = f"{col}_day"
-    if day_col in df.columns:
+    if day_col is not None:
         out = out.where(F.col(day_col).between(F.to_date(bounds[0]), F.to_date(bounds[1])))
     return out

@@ -38,13 +38,15 @@ def text_or_zero(col: str | Column) -> Column:
     return F.coalesce(_c(col), F.lit("0"))
 
 
-def to_number(col: str | Column) -> Column:
-    """``ISNULL(CAST(text AS FLOAT), 0)``; empty or bad text counts as 0."""
-    return F.coalesce(_try_double(col), F.lit(0.0))
+# a plain decimal number, with an exponent or not; type suffixes, hexadecimal,
+# NaN and Infinity, which a cast would take, are bad text
+NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 
 
-def _try_double(col: str | Column) -> Column:
-    return _c(col).try_cast("double")
+def to_number(col: str | Column) -> Column:
+    """``ISNULL(CAST(text AS FLOAT), 0)``; empty or bad text counts as 0."""
+    c = _c(col).cast("string")
+    return F.coalesce(F.when(c.rlike(NUMBER), c.try_cast("double")), F.lit(0.0))
 
 
 def row_total(*cols: str | Column) -> Column:

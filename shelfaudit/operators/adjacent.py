@@ -1,12 +1,12 @@
-"""Distance joins on an integer position within equal keys.
-
-``right.pos - left.pos`` equal to a constant, inside a band, or in a list.
-Each is planned as an equi-join: the left side is expanded by the allowed
-offsets and joined on ``keys + (left.pos + offset = right.pos)``. Work per
-row is bounded by the number of offsets, so a hot key never turns into all
-pairs of its group. Wide bands switch to bucket keys of the band's width
-(each right row placed in the at most two left buckets it can reach) plus
-an exact residual test.
+"""Distance joins on a whole-number position within equal keys.
+
+``right.pos - left.pos`` equal to a constant, in a list, or inside a band.
+Both forms expand the right side and stay one equi-join, so work per row is
+bounded by the offsets and a hot key never turns into all pairs of its group;
+a left join is the same join, with unmatched left rows kept once.
+
+Positions must be of an integral type: a fractional position has no exact
+bucket, so it is refused rather than approximated.
 """
 
 from __future__ import annotations
@@ -15,8 +15,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_MAX_EXPLODE = 4  # wider bands: bucket keys (at most two copies of the right side)
+
+def _check(left: DataFrame, right: DataFrame, left_pos: str, right_pos: str, how: str) -> None:
+    for df, col in ((left, left_pos), (right, right_pos)):
+        if not isinstance(df.schema[col].dataType, T.IntegralType):
+            raise TypeError(f"position {col} must be a whole number, not {df.schema[col].dataType.simpleString()}")
+    if how not in ("inner", "left"):
+        raise ValueError(f"inner and left are supported, not {how!r}")
 
 
 def offset_join(
@@ -30,25 +37,15 @@ def offset_join(
 ) -> DataFrame:
     """Rows with ``right_pos - left_pos`` in ``offsets`` and equal keys.
 
-    Columns of ``left`` and ``right`` must not share names.
+    Each right row is repeated at the left positions it can partner with; a
+    pair meets at exactly one of them. Columns must not share names.
     """
-    offs = sorted(set(int(o) for o in offsets))
-    if how == "left" and len(offs) > 1:
-        matched = offset_join(left, right, keys, left_pos, right_pos, offs, "inner")
-        return matched.unionByName(
-            _unmatched(left, right, keys, left_pos, right_pos, offs), allowMissingColumns=True
-        )
-    if how not in ("inner", "left"):
-        raise ValueError(f"offset_join supports inner and left, not {how!r}")
-    if len(offs) == 1:
-        probe = left.withColumn("_probe", F.col(left_pos) + F.lit(offs[0]))
-    else:
-        probe = left.withColumn("_off", F.explode(F.array(*[F.lit(o) for o in offs]))).withColumn(
-            "_probe", F.col(left_pos) + F.col("_off")
-        ).drop("_off")
+    _check(left, right, left_pos, right_pos, how)
+    offs = F.array(*[F.lit(o) for o in sorted(set(int(o) for o in offsets))])
+    back = right.withColumn("_at", F.explode(F.transform(offs, lambda o: F.col(right_pos).cast("long") - o)))
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
-    cond.append(F.col("_probe") == F.col(right_pos))
-    return probe.join(right, on=cond, how=how).drop("_probe")
+    cond.append(F.col(left_pos).cast("long") == F.col("_at"))
+    return left.join(back, on=cond, how=how).drop("_at")
 
 
 def band_join(
@@ -63,49 +60,26 @@ def band_join(
 ) -> DataFrame:
     """Rows with ``right_pos - left_pos BETWEEN lo AND hi`` and equal keys.
 
-    Narrow bands expand the left side by the offsets. Wide bands use bucket
-    keys of the band's width: a left row has one bucket, a right row is
-    expanded into the (at most two) left buckets it can partner with, and an
-    exact residual test follows. Either way no row is expanded by more than
-    the band allows, and a left join keeps unmatched rows once (an anti-join
-    on the same keys, the left side never expanded).
+    Buckets of the band's width, in whole-number arithmetic: a left row lies
+    in one bucket, a right row is repeated in the one or two buckets that
+    hold its partners, and the exact test is part of the join condition.
     """
+    _check(left, right, left_pos, right_pos, how)
     if hi < lo:
         raise ValueError("empty band")
-    if how not in ("inner", "left"):
-        raise ValueError(f"band_join supports inner and left, not {how!r}")
-    if hi - lo + 1 <= _MAX_EXPLODE:
-        return offset_join(left, right, keys, left_pos, right_pos, range(lo, hi + 1), how)
-    width = hi - lo + 1
-    lb = left.withColumn("_lb", F.floor(F.col(left_pos) / width))
-    rb = right.withColumn(
-        "_rb",
-        F.explode(F.array_distinct(F.array(
-            F.floor((F.col(right_pos) - hi) / width),
-            F.floor((F.col(right_pos) - lo) / width),
-        ))),
-    )
+    width = F.lit(hi - lo + 1).cast("long")
+
+    def bucket(pos):
+        return F.call_function("div", pos - F.pmod(pos, width), width)
+
+    at = F.col(right_pos).cast("long")
+    buckets = F.array_distinct(F.array(bucket(at - hi), bucket(at - lo)))
+    lb = left.withColumn("_lb", bucket(F.col(left_pos).cast("long")))
+    rb = right.withColumn("_rb", F.explode(buckets))
     cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
     cond.append(F.col("_lb") == F.col("_rb"))
-    cond.append((F.col(right_pos) - F.col(left_pos)).between(lo, hi))
-    inner = lb.join(rb, on=cond, how="inner").drop("_lb", "_rb")
-    if how == "inner":
-        return inner
-    unmatched = lb.join(rb, on=cond, how="left_anti").drop("_lb")
-    return inner.unionByName(unmatched, allowMissingColumns=True)
-
-
-def _unmatched(left, right, keys, left_pos, right_pos, offs) -> DataFrame:
-    """Left rows with no partner at any offset: an anti-join against the
-    right side moved back by each offset (the left side is not expanded, so
-    its duplicates are kept)."""
-    rkeys = [rk for _, rk in keys]
-    back = right.select(
-        *rkeys, F.col(right_pos).alias("_rpos"), F.explode(F.array(*[F.lit(o) for o in offs])).alias("_off")
-    ).select(*rkeys, (F.col("_rpos") - F.col("_off")).alias("_back"))
-    cond = [F.col(lk) == F.col(rk) for lk, rk in keys]
-    cond.append(F.col(left_pos) == F.col("_back"))
-    return left.join(back, on=cond, how="left_anti")
+    cond.append((at - F.col(left_pos).cast("long")).between(lo, hi))
+    return lb.join(rb, on=cond, how=how).drop("_lb", "_rb")
 
 
 def distance_lookup(
@@ -117,28 +91,23 @@ def distance_lookup(
     offsets: Sequence[int] | None = None,
     band: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """Partners of every distinct ``(keys, left_pos)`` of ``keys_df``; a row
-    with NULL partner columns where there is none (left-join semantics).
+    """Partners of every distinct ``(keys, left_pos)`` of ``keys_df`` with a
+    position; positions without a partner are absent (``attach`` keeps their rows).
 
     Build it from the small inputs that determine the keys (e.g. visit keys
-    times the day's documents), then ``attach`` it to a wide row set: the
-    wide plan is then joined once instead of being repeated in an inner and
-    an anti branch.
+    times the day's documents), then ``attach`` it to a wide row set.
     """
-    lk = [lk for lk, _ in keys]
-    distinct = keys_df.select(*lk, left_pos).distinct()
+    distinct = keys_df.where(F.col(left_pos).isNotNull()).select(*[lk for lk, _ in keys], left_pos).distinct()
     if band is not None:
-        return band_join(distinct, right, keys, left_pos, right_pos, band[0], band[1], how="left")
-    return offset_join(distinct, right, keys, left_pos, right_pos, list(offsets or []), how="left")
+        return band_join(distinct, right, keys, left_pos, right_pos, band[0], band[1])
+    return offset_join(distinct, right, keys, left_pos, right_pos, list(offsets or []))
 
 
 def attach(df: DataFrame, lookup: DataFrame, keys: Sequence[str], pos: str, prefix: str = "_lk") -> DataFrame:
-    """Left-join a ``distance_lookup`` on its keys, NULL-safe on the position
-    (a row whose position is NULL gets the lookup's NULL partner row)."""
+    """Left-join a ``distance_lookup`` on its keys and position."""
     renamed = lookup.select(
         *[F.col(k).alias(f"{prefix}_{k}") for k in [*keys, pos]],
         *[c for c in lookup.columns if c not in (*keys, pos)],
     )
-    cond = [df[k] == renamed[f"{prefix}_{k}"] for k in keys]
-    cond.append(df[pos].eqNullSafe(renamed[f"{prefix}_{pos}"]))
+    cond = [df[k] == renamed[f"{prefix}_{k}"] for k in [*keys, pos]]
     return df.join(renamed, cond, "left").drop(*[f"{prefix}_{k}" for k in [*keys, pos]])

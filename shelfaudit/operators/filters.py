@@ -73,9 +73,15 @@ class FilterSet:
         return FilterSet(spark)
 
     @staticmethod
-    def from_rows(rows: DataFrame, types: Iterable[int]) -> FilterSet:
-        """A caller-supplied set: copy it, dropping columns outside the schema."""
-        types = frozenset(types)
+    def from_rows(rows: DataFrame, types: Iterable[int] = ()) -> FilterSet:
+        """A caller-supplied set: copy it, dropping columns outside the schema.
+
+        Every type found in the rows restricts (one small aggregate reads the
+        distinct types); a type declared in ``types`` restricts even without
+        rows, and then keeps nothing.
+        """
+        found = rows.select("type").where(F.col("type").isNotNull()).distinct().collect()  # type codes, a handful
+        types = frozenset(types) | {r.type for r in found}
         part = (-1, lambda: rows.select("type", *_ID_FIELDS, "idstr"))
         return FilterSet(rows.sparkSession, (part,), types)
 
@@ -156,6 +162,7 @@ def apply_filters(
     fs: FilterSet,
     bindings: Mapping[int, Binding],
     period_column: str | None = None,
+    day_col: str | None = None,
 ) -> DataFrame:
     """Restrict ``df`` by the set: bound types present in ``fs`` only.
 
@@ -164,7 +171,7 @@ def apply_filters(
     nothing.
     """
     if period_column is not None and fs.period is not None:
-        df = period_filter(df, period_column, fs.period)
+        df = period_filter(df, period_column, fs.period, day_col=day_col)
     groups: dict[str, list[Column]] = {}
     consts = dict(fs.constants)
     for type_code, b in bindings.items():

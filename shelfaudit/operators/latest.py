@@ -43,15 +43,11 @@ def latest_documents(
     docs: DataFrame,
     doc_type: int,
     require_type: bool = True,
-    latest: DataFrame | None = None,
     keys: Sequence[str] = KEYS,
     date_col: str = "ordate",
     type_col: str = "ortype",
 ) -> DataFrame:
-    """Rows of ``docs`` dated at the latest ``doc_type`` date of their key.
-
-    ``latest`` (a shared ``latest_dates``) is used by the aggregate form only.
-    """
+    """Rows of ``docs`` dated at the latest ``doc_type`` date of their key."""
     if require_type:
         w = Window.partitionBy(*keys).orderBy(F.col(date_col).desc())
         return (
@@ -60,10 +56,5 @@ def latest_documents(
             .where(F.col("_latest_rank") == 1)
             .drop("_latest_rank")
         )
-    if latest is None:
-        latest = latest_dates(docs, [doc_type], keys, date_col, type_col)
-    lat = latest.where(F.col(type_col) == doc_type).select(
-        *keys, F.col("latest_date").alias(date_col)
-    )
-    cand = docs.where(F.col(type_col) == doc_type) if require_type else docs
-    return cand.join(lat, on=[*keys, date_col], how="inner")
+    newest = latest_dates(docs, [doc_type], keys, date_col, type_col).select(*keys, F.col("latest_date").alias(date_col))
+    return docs.join(newest, on=[*keys, date_col], how="inner")

@@ -21,14 +21,14 @@ def caller_filter(spark: SparkSession, bounds, codes: AuditCodes, base: FilterSe
     return fs.add_period(bounds, codes.flt_period)
 
 
-def extract_visits(visit_source: DataFrame, fs: FilterSet, codes: AuditCodes) -> DataFrame:
+def extract_visits(visit_source: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None) -> DataFrame:
     """Visits inside the period and the caller's agent/outlet/owner filters."""
     bindings = {
         codes.flt_agent: Binding("masterfid"),
         codes.flt_outlet: Binding("fid"),
         codes.flt_owner: Binding("ownerdistid", "id2"),
     }
-    return apply_filters(visit_source, fs, bindings, period_column="vdate").select(*VISIT_COLS)
+    return apply_filters(visit_source, fs, bindings, period_column="vdate", day_col=day_col).select(*VISIT_COLS)
 
 
 def visit_filter(visits: DataFrame, codes: AuditCodes) -> FilterSet:
@@ -62,7 +62,7 @@ def document_filter(spark: SparkSession, bounds, codes: AuditCodes) -> FilterSet
     )
 
 
-def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes) -> DataFrame:
+def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None) -> DataFrame:
     """Document headers inside the period with an allowed type.
 
     The flag row's meaning is not known; it restricts nothing here.
@@ -72,7 +72,7 @@ def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes) -> Da
         codes.flt_agent: Binding("masterfid"),
         codes.flt_outlet: Binding("mfid"),
     }
-    return apply_filters(orders, fs, bindings, period_column="ordate").select(*ORDER_COLS)
+    return apply_filters(orders, fs, bindings, period_column="ordate", day_col=day_col).select(*ORDER_COLS)
 
 
 def with_address_parts(faces: DataFrame, codes: AuditCodes, source_col: str = "faddress") -> DataFrame:

@@ -17,72 +17,58 @@ def order_heads(
     visits: DataFrame,
     bounds: tuple[Column, Column],
     doc_types: Sequence[int],
+    day_col: str | None = None,
 ) -> DataFrame:
     """Headers in the period with a fact type, of a visited agent and of a
     visited outlet.
 
     Agent and outlet are two separate semi-joins, so an agent-outlet pair
     that never met still passes (the original's two INs). Period and type
-    reach the scan as pushed filters; the semi-joins become broadcasts only
-    when the visit keys are known or measured small, else shuffle joins.
+    reach the scan as pushed filters; static sizes and AQE choose the joins.
     """
     return (
-        period_filter(orders, "ordate", bounds).where(F.col("ortype").isin(list(doc_types)))
+        period_filter(orders, "ordate", bounds, day_col=day_col).where(F.col("ortype").isin(list(doc_types)))
         .where(F.col("masterfid").isin(visits.select("masterfid")))
         .where(F.col("mfid").isin(visits.select("fid")))
         .select("masterfid", "mfid", "orid", "ortype", "ordate")
     )
 
 
-# If the line table carries this column (= orid div ORID_BLOCK_SIZE, e.g. as
-# its partition column), the id-range filter also prunes whole partitions.
-ORID_BLOCK_COL = "orid_block"
-ORID_BLOCK_SIZE = 1_000_000
+def id_filter(attrs: DataFrame, lo, hi, block: tuple[str, int] | None = None) -> DataFrame:
+    """``orid BETWEEN lo AND hi``.
 
-
-def id_filter(attrs: DataFrame, lo, hi) -> DataFrame:
-    """``orid BETWEEN lo AND hi``, plus the matching block range when the
-    table has the block column (partition pruning instead of footer reads)."""
+    ``block`` = (column, size) adds the same range on a partition column that
+    whoever writes the lines guarantees to hold ``floor(orid / size)``; whole
+    partitions are then pruned. It is the layout's promise, never inferred.
+    """
     out = attrs.where(F.col("orid").between(F.lit(lo), F.lit(hi)))
-    if ORID_BLOCK_COL in attrs.columns:
-        blo = None if lo is None else lo // ORID_BLOCK_SIZE
-        bhi = None if hi is None else hi // ORID_BLOCK_SIZE
-        out = out.where(F.col(ORID_BLOCK_COL).between(F.lit(blo), F.lit(bhi)))
+    if block is not None and lo is not None:
+        column, size = block
+        out = out.where(F.col(column).between(F.lit(lo // size), F.lit(hi // size)))
     return out
 
 
-# Headers below this many rows (5 narrow columns, ~40 bytes a row) are
-# broadcast to the line scan; above it the join stays a shuffle join.
-BROADCAST_HEAD_ROWS = 2_000_000
-
-
-def facts_from_heads(heads: DataFrame, attrs: DataFrame, id_range: tuple | None = None) -> DataFrame:
+def facts_from_heads(heads: DataFrame, attrs: DataFrame, ids: tuple | None = None,
+                     block: tuple[str, int] | None = None) -> DataFrame:
     """Join headers to their active lines.
 
     The original's outer join is cancelled by its WHERE on the line side,
-    so it is an inner join. ``id_range`` = (smallest id, largest id, header
-    count), measured on the headers:
-
-    * the id range becomes a superset filter on the lines that reaches the
-      scan (row groups skip where lines are clustered by document id) and
-      that drops all other days' lines before any shuffle;
-    * the count is the size check for a broadcast: the day's headers are
-      broadcast to the line scan only when counted small, so the line
-      table is never shuffled for them; otherwise a sort-merge join.
+    so it is an inner join. ``ids`` = (smallest, largest id) of the headers
+    becomes a superset filter on the lines that reaches the scan (row groups
+    skip where lines are clustered by document id) and that drops all other
+    days' lines before any shuffle. Static sizes and AQE choose the join.
     """
     lines = attrs.where(F.col("activeflag") == 1)
-    if id_range is not None:
-        lines = id_filter(lines, id_range[0], id_range[1])
-        if id_range[2] is not None and id_range[2] <= BROADCAST_HEAD_ROWS:
-            heads = F.broadcast(heads)
+    if ids is not None:
+        lines = id_filter(lines, *ids, block)
     lines = lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid")
     return heads.join(lines, on=["masterfid", "orid"], how="inner").select(*FACT_COLS)
 
 
 def id_range(heads: DataFrame) -> tuple:
-    """(min id, max id, row count) of the headers: one aggregate, three scalars."""
-    row = heads.agg(F.min("orid").alias("lo"), F.max("orid").alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    return (row.lo, row.hi, row.n)
+    """(smallest id, largest id) of the headers: one aggregate, two scalars."""
+    row = heads.agg(F.min("orid").alias("lo"), F.max("orid").alias("hi")).first()
+    return (row.lo, row.hi)
 
 
 def order_facts(
@@ -91,18 +77,14 @@ def order_facts(
     visits: DataFrame,
     bounds: tuple[Column, Column],
     doc_types: Sequence[int],
+    day_col: str | None = None,
 ) -> DataFrame:
     """Headers of visited agents and outlets joined to their active lines."""
-    return facts_from_heads(order_heads(orders, visits, bounds, doc_types), attrs)
+    return facts_from_heads(order_heads(orders, visits, bounds, doc_types, day_col), attrs)
 
 
-def lines_of_documents(attrs: DataFrame, docs: DataFrame, probe: tuple | None = None) -> DataFrame:
+def lines_of_documents(attrs: DataFrame, docs: DataFrame, ids: tuple | None = None,
+                       block: tuple[str, int] | None = None) -> DataFrame:
     """The EAV lines restricted to the documents' id range (a pushed superset
     filter; the exact match is the caller's join)."""
-    lo, hi, _ = probe if probe is not None else id_range(docs)
-    return id_filter(attrs, lo, hi)
-
-
-def small_side(df: DataFrame, rows: int | None, limit: int = BROADCAST_HEAD_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when its counted ``rows`` are within ``limit``."""
-    return F.broadcast(df) if rows is not None and rows <= limit else df
+    return id_filter(attrs, *(ids if ids is not None else id_range(docs)), block)

@@ -1,253 +1,226 @@
 """The full 42-column audit report (C10), ordered.
 
-Every section starts from the document headers of the report day, chained
-to the stock-check document by document-id distance (``= 1``, band 1-4,
-band 1-7), then narrowed to the latest document of that type, then to its
-pivoted lines. Distance conditions are equi-joins on ``id + offset``
-(``shelfaudit.operators.adjacent``). The listing and facing staging
-results (C3, C4) are inputs.
+A section is the documents of its type that follow the stock-check document
+by id distance (``= 1``, band 1-4, band 1-7), narrowed to the latest document
+of the type, with its pivoted lines and product names. Each section is
+resolved on its own keys (visit x the period's headers, all of them present)
+and then attached to the visit rows once. The lines are read once: those of
+the extracted documents are staged, and the facing counters and all sections
+read that copy. The wide rows' lookup keys are often NULL (no stock check, no
+product); such rows are spread by a salt instead of meeting in one partition.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.period import date_in_period, period_filter
 from shelfaudit.functions.text import blank_zero, concat_strict, count_total, dot_to_comma, presence_percent
-from shelfaudit.operators.adjacent import attach, distance_lookup
+from shelfaudit.operators.adjacent import distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_documents
 from shelfaudit.plans.facts import lines_of_documents
+from shelfaudit.plans.sections import with_item_name
 from shelfaudit.session import stage
 
-FULL_COLUMNS = (
-    "employee_name", "audit_date", "outlet_no", "store_category", "banner", "city", "district", "street",
-    "building", "store_closed", "item_name", "facing", "shelf_qty", "store_qty", "listed", "total_qty",
-    "order_info", "shelf", "canoe", "pallet", "cold_showcase", "fridge", "basket",
-    "item612_name", "racks_612", "gondola_end_612", "pallet_612", "other_612", "no_extra_place_612",
-    "item611_name", "price_cut", "promo_2plus1", "promo_1plus1", "bundling",
-    "presence_pct", "supervisor_name", "facing_comment", "visit_comment", "photo", "photo_2", "photo_3", "email",
-)
-
-
-def _day_headers(orders: DataFrame, doc_type: int, day_bounds, tag: str) -> DataFrame:
-    """Headers of one type on the report day (the year/month/day test)."""
-    return orders.where((F.col("ortype") == doc_type) & date_in_period("ordate", day_bounds)).select(
-        F.col("masterfid").alias(f"_{tag}_m"), F.col("mfid").alias(f"_{tag}_f"), F.col("orid").alias(f"orid{tag}")
-    )
+#: Partitions' worth of values that rows without a lookup key are spread over.
+SPREAD = 4096
+VISIT = ["masterfid", "fid"]
 
 
-def _keys(tag: str):
-    return [("masterfid", f"_{tag}_m"), ("fid", f"_{tag}_f")]
+def spread_left(df: DataFrame, lookup: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
+    """Left join on ``keys`` (columns of both) that scatters rows with a NULL key.
 
+    Such rows match nothing, but one hash would send all of them to one task:
+    they get a salt from ``by``, every lookup row has salt 0.
+    """
+    missing = F.lit(False)
+    for k in keys:
+        missing = missing | F.col(k).isNull()
+    salt = F.when(missing, 1 + F.pmod(F.xxhash64(*by), F.lit(SPREAD))).otherwise(0).cast("long")
+    right = lookup.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    # computed from a key so that it stays a join key and isn't folded into a filter
+    right = right.withColumn("_r_salt", F.pmod(F.xxhash64(f"_r_{keys[0]}"), F.lit(1)).cast("long"))
+    left = df.withColumn("_salt", salt)
+    cond = [F.col(k) == F.col(f"_r_{k}") for k in keys] + [F.col("_salt") == F.col("_r_salt")]
+    return left.join(right, cond, "left").drop("_salt", "_r_salt", *[f"_r_{k}" for k in keys])
+
+
+def _headers(heads: DataFrame, doc_type: int, name: str) -> DataFrame:
+    return heads.where(F.col("ortype") == doc_type).select(
+        F.col("masterfid").alias("_hm"), F.col("mfid").alias("_hf"), F.col("orid").alias(name))
+
+
+def _after(docs: DataFrame, heads: DataFrame, doc_type: int, pos: str, name: str, **distance) -> DataFrame:
+    """(masterfid, fid, pos, name): documents of a type at a distance from ``pos``."""
+    found = distance_lookup(docs, _headers(heads, doc_type, name), [("masterfid", "_hm"), ("fid", "_hf")], pos, name, **distance)
+    return found.drop("_hm", "_hf")
+
+
+def _latest(tdocs: DataFrame, doc_type: int, name: str) -> DataFrame:
+    return latest_documents(tdocs, doc_type).select("masterfid", F.col("mfid").alias("fid"), F.col("orid").alias(name))
+
+
+def _pivoted(lines: DataFrame, latest: DataFrame, name: str, cond: Column, key: str, mapping) -> DataFrame:
+    """(masterfid, fid, name, id, pivot columns) of the latest documents' lines that pass ``cond``."""
+    own = lines.where(cond & (F.col("activeflag") == 1)).withColumnRenamed("orid", name)
+    return pivot_max(own.join(latest, ["masterfid", name]), ["masterfid", "fid", name, "id"], key, mapping)
+
+
+def sections(visits: DataFrame, heads: DataFrame, tdocs: DataFrame, lines: DataFrame, items: DataFrame,
+             codes: AuditCodes) -> dict[str, DataFrame]:
+    """The four chained sections, keyed by the visit and its stock-check document ``orid607``
+    (the main places also by product ``itid``); a document at the distance that isn't the
+    latest keeps its row, with empty columns."""
+    checks = visits.select(*VISIT).distinct().join(
+        _headers(heads, codes.doc_stock_check, "orid607").withColumnsRenamed({"_hm": "masterfid", "_hf": "fid"}), VISIT)
+    key = [*VISIT, "orid607"]
+    product = F.col("dictid") == codes.product_dict
+
+    extra = _after(checks, heads, codes.doc_extra_places, "orid607", "orid612", offsets=[1])
+    cols = list(codes.extra_places)
+    p612 = _pivoted(lines, _latest(tdocs, codes.doc_extra_places, "orid612"), "orid612",
+                    F.col("attrid").isin(list(codes.extra_places.values())) & product, "attrid", codes.extra_places)
+    p612 = with_item_name(p612, items, "id", "item612_name").select(
+        *VISIT, "orid612", "item612_name", *[F.col(c).alias(f"{c}_612") for c in cols])
+    s612 = extra.join(p612, [*VISIT, "orid612"], "left").drop("orid612")
+
+    main = _after(extra, heads, codes.doc_main_places, "orid612", "orid608", offsets=[1])
+    p608 = _pivoted(lines, _latest(tdocs, codes.doc_main_places, "orid608"), "orid608",
+                    F.col("id").isin(list(codes.main_places.values())) & product, "id", codes.main_places)
+    s608 = extra.join(main, [*VISIT, "orid612"]).join(p608, [*VISIT, "orid608"]).select(
+        *key, F.col("id").alias("itid"), *codes.main_places)
+
+    # the original joins promo lines to documents on the agent only, an existence
+    # test; only lines of latest promo documents survive, and those pass it
+    promo = _after(checks, heads, codes.doc_promo, "orid607", "orid611", band=(1, 4))
+    p611 = _pivoted(lines, _latest(tdocs, codes.doc_promo, "orid611"), "orid611",
+                    F.col("attrid").isin(list(codes.promo_actions.values())), "attrid", codes.promo_actions)
+    first = next(iter(codes.promo_actions))
+    p611 = with_item_name(p611.withColumn(first, dot_to_comma(first)), items, "id", "item611_name").drop("id")
+    s611 = promo.join(p611, [*VISIT, "orid611"], "left").drop("orid611")
 
-def _latest_ids(tdocs: DataFrame, latest: DataFrame, doc_type: int, tag: str) -> DataFrame:
-    return latest_documents(tdocs, doc_type, latest=latest).select(
-        F.col("masterfid").alias(f"_l{tag}_m"), F.col("mfid").alias(f"_l{tag}_f"), F.col("orid").alias(f"t{tag}_orid")
-    )
+    order = _after(checks, heads, codes.doc_order_info, "orid607", "orid610", band=(1, 7))
+    info = lines.where(F.col("attrid") == codes.attr_order_info).select(
+        "masterfid", F.col("orid").alias("orid610"), F.col("attrtext").alias("order_info"))
+    info = info.join(_latest(tdocs, codes.doc_order_info, "orid610"), ["masterfid", "orid610"])
+    s610 = order.join(info, [*VISIT, "orid610"], "left").drop("orid610")
+    return {"checks": checks, "612": s612, "608": s608, "611": s611, "610": s610}
 
 
-def _left(df: DataFrame, other: DataFrame, cond: Column) -> DataFrame:
-    return df.join(other, cond, "left")
+def photo_neighbours(rows: DataFrame, tdocs: DataFrame, codes: AuditCodes, bounds) -> DataFrame:
+    """(masterfid, fid, fc_orid, photo): photo documents of the period next to the facing document."""
+    docs = tdocs.where((F.col("ortype") == codes.doc_photo) & date_in_period("ordate", bounds))
+    newest = docs.groupBy("masterfid", "mfid", "orid").agg(F.max("ordate").alias("ordate"))
+    shown = newest.join(docs.select("masterfid", "mfid", "orid", "ordate"), ["masterfid", "mfid", "orid", "ordate"]).select(
+        F.col("masterfid").alias("_hm"), F.col("mfid").alias("_hf"), F.col("orid").alias("_photo"))
+    near = distance_lookup(rows, shown, [("masterfid", "_hm"), ("fid", "_hf")], "fc_orid", "_photo", offsets=[-1, 1])
+    return near.select(*VISIT, "fc_orid", concat_strict("masterfid", "_photo").alias("photo"))
 
 
 def full_report(
     visits: DataFrame,
-    orders: DataFrame,
+    heads: DataFrame,
     tdocs: DataFrame,
-    attrs: DataFrame,
+    lines: DataFrame,
     objattrs: DataFrame,
     items: DataFrame,
     faces: DataFrame,
-    supervisors: DataFrame,
     facing: DataFrame,
     listing: DataFrame,
     visit_comments: DataFrame,
     codes: AuditCodes,
-    day_bounds,
+    doc_bounds,
+    keep_order: bool = False,
 ) -> DataFrame:
     """42 columns, ordered by supervisor name, visit start, facing document.
 
-    ``faces`` must carry the address parts (``with_address_parts``).
+    ``heads`` are the period's headers of the chained types, ``lines`` the
+    extracted documents' lines; both are read several times, so stage them.
+    ``faces`` holds outlets and persons (the table is joined in both roles)
+    and must carry the address parts (``with_address_parts``). ``keep_order``
+    adds the facing document of the order as ``facing_doc``.
     """
-    latest = None  # every section here tests the document type: rank form
-    # the day's headers of the five chained types, read from the base table
-    # once and staged (small): five chains then read this copy
-    day_types = [codes.doc_stock_check, codes.doc_extra_places, codes.doc_main_places, codes.doc_promo,
-                 codes.doc_order_info]
-    orders = stage(
-        period_filter(orders, "ordate", day_bounds, by_day=True).where(F.col("ortype").isin(day_types))
-        .select("masterfid", "mfid", "orid", "ortype", "ordate"),
-        "day_headers",
-    )
-    # every line lookup below ends in a join to an extracted document, so
-    # only lines inside the extract's id range can matter: cut them at the scan
-    attrs = lines_of_documents(attrs, tdocs)
-    names = items.select("iid", "iname")
-    r = visits.select("masterfid", "fid", "vdate", "datebegin", "otkazstr")
-
-    # stock-check document of the day
-    d607 = _day_headers(orders, codes.doc_stock_check, day_bounds, "607")
-    r = _left(r, d607, (r.masterfid == d607._607_m) & (r.fid == d607._607_f)).drop("_607_m", "_607_f")
-    # distance chains are resolved on (visit keys x day documents), which is
-    # small, and attached to the wide rows afterwards
-    vkeys = visits.select("masterfid", "fid").distinct()
-    k607 = vkeys.join(d607, (vkeys.masterfid == d607._607_m) & (vkeys.fid == d607._607_f), "left").select(
-        "masterfid", "fid", "orid607")
-    d612 = _day_headers(orders, codes.doc_extra_places, day_bounds, "612")
-    m612 = distance_lookup(k607, d612, _keys("612"), "orid607", "orid612", offsets=[1])
-    d608 = _day_headers(orders, codes.doc_main_places, day_bounds, "608")
-    m608 = distance_lookup(m612, d608, _keys("608"), "orid612", "orid608", offsets=[1])
-    d611 = _day_headers(orders, codes.doc_promo, day_bounds, "611")
-    m611 = distance_lookup(k607, d611, _keys("611"), "orid607", "orid611", band=(1, 4))
-    d610 = _day_headers(orders, codes.doc_order_info, day_bounds, "610")
-    m610 = distance_lookup(k607, d610, _keys("610"), "orid607", "orid610", band=(1, 7))
-    banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).selectExpr(
-        "id AS fid", "attrtext AS banner")
-    r = r.join(banner, on="fid", how="left")
+    found = sections(visits, heads, tdocs, lines, items, codes)
+    r = visits.select("masterfid", "fid", "vdate", "datebegin", "otkazstr").join(found["checks"], VISIT, "left")
+    banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).selectExpr("id AS fid", "attrtext AS banner")
     fc = facing.selectExpr("mfid AS fid", "datebegin", "orid AS fc_orid", "itid", "facing AS _facing",
                            "shelf AS _shelf", "store AS _store", "orcomment AS facing_comment")
-    r = r.join(fc, on=["fid", "datebegin"], how="left")
-    r = r.join(names.selectExpr("iid AS itid", "iname AS item_name"), on="itid", how="left")
+    fc = spread_left(fc, items.groupBy(F.col("iid").alias("itid")).agg(F.min("iname").alias("item_name")), ["itid"], ["fid", "datebegin"])
+    r = r.join(banner, "fid", "left").join(fc, ["fid", "datebegin"], "left")
+    by = ["masterfid", "fid", "datebegin", "fc_orid"]
     ls = listing.selectExpr("attrtext AS banner", "datebegin", "iid AS itid", "listed AS _listed")
-    r = r.join(ls, on=["banner", "datebegin", "itid"], how="left")
-
-    # extra places: next document id after the stock check
-    r = attach(r, m612, ["masterfid", "fid"], "orid607")
-    l612 = _latest_ids(tdocs, latest, codes.doc_extra_places, "612")
-    r = _left(r, l612, (F.col("masterfid") == F.col("_l612_m")) & (F.col("fid") == F.col("_l612_f"))
-              & (F.col("orid612") == F.col("t612_orid")))
-    docs612 = tdocs.where(F.col("ortype") == codes.doc_extra_places).select("orid", "masterfid")
-    lines612 = attrs.where(F.col("attrid").isin(list(codes.extra_places.values())) & (F.col("activeflag") == 1)
-                           & (F.col("dictid") == codes.product_dict))
-    p612 = pivot_max(lines612.join(docs612, ["orid", "masterfid"], "left_semi"),
-                     ["orid", "id", "masterfid"], "attrid", codes.extra_places)
-    p612 = p612.select(F.col("orid").alias("_p612_o"), F.col("masterfid").alias("_p612_m"), F.col("id").alias("id612"),
-                       *[F.col(c).alias(f"{c}_612") for c in codes.extra_places])
-    r = _left(r, p612, (F.col("_p612_o") == F.col("t612_orid")) & (F.col("_p612_m") == F.col("_l612_m")))
-    r = r.join(names.selectExpr("iid AS id612", "iname AS item612_name"), on="id612", how="left")
-
-    # main places: next document id after the extra places
-    r = attach(r, m608, ["masterfid", "fid"], "orid612")
-    l608 = _latest_ids(tdocs, latest, codes.doc_main_places, "608")
-    r = _left(r, l608, (F.col("masterfid") == F.col("_l608_m")) & (F.col("fid") == F.col("_l608_f"))
-              & (F.col("orid608") == F.col("t608_orid")))
-    docs608 = tdocs.where(F.col("ortype") == codes.doc_main_places).select("orid", "masterfid")
-    lines608 = attrs.where(F.col("id").isin(list(codes.main_places.values())) & (F.col("activeflag") == 1)
-                           & (F.col("dictid") == codes.product_dict))
-    p608 = pivot_max(lines608.join(docs608, ["orid", "masterfid"], "left_semi"),
-                     ["orid", "masterfid", "id"], "id", codes.main_places)
-    p608 = p608.select(F.col("orid").alias("_p608_o"), F.col("masterfid").alias("_p608_m"),
-                       F.col("id").alias("_p608_i"), *codes.main_places)
-    r = _left(r, p608, (F.col("_p608_o") == F.col("t608_orid")) & (F.col("_p608_m") == F.col("_l608_m"))
-              & (F.col("_p608_i") == F.col("itid")))
-
-    # promo actions: 1-4 document ids after the stock check
-    r = attach(r, m611, ["masterfid", "fid"], "orid607")
-    l611 = _latest_ids(tdocs, latest, codes.doc_promo, "611")
-    r = _left(r, l611, (F.col("masterfid") == F.col("_l611_m")) & (F.col("fid") == F.col("_l611_f"))
-              & (F.col("orid611") == F.col("t611_orid")))
-    # the original joins these lines to documents on the agent only: an
-    # existence test (the MAX hides the fan-out)
-    # Only groups of a latest promo document survive the join below, so the
-    # lines can also be restricted to promo documents' ids (same result).
-    docs611 = tdocs.where(F.col("ortype") == codes.doc_promo)
-    lines611 = attrs.where(F.col("attrid").isin(list(codes.promo_actions.values())) & (F.col("activeflag") == 1)
-                           & F.col("masterfid").isin(docs611.select("masterfid"))
-                           & F.col("orid").isin(docs611.select("orid")))
-    p611 = pivot_max(lines611, ["orid", "id", "masterfid"], "attrid", codes.promo_actions)
-    first = next(iter(codes.promo_actions))
-    p611 = p611.select(F.col("orid").alias("_p611_o"), F.col("masterfid").alias("_p611_m"), F.col("id").alias("id611"),
-                       *[(dot_to_comma(c) if c == first else F.col(c)).alias(c) for c in codes.promo_actions])
-    r = _left(r, p611, (F.col("_p611_o") == F.col("t611_orid")) & (F.col("_p611_m") == F.col("_l611_m")))
-    r = r.join(names.selectExpr("iid AS id611", "iname AS item611_name"), on="id611", how="left")
-
-    # order information: 1-7 document ids after the stock check
-    r = attach(r, m610, ["masterfid", "fid"], "orid607")
-    l610 = _latest_ids(tdocs, latest, codes.doc_order_info, "610")
-    r = _left(r, l610, (F.col("_l610_m") == F.col("masterfid")) & (F.col("_l610_f") == F.col("fid"))
-              & (F.col("t610_orid") == F.col("orid610")))
-    info = attrs.where(F.col("attrid") == codes.attr_order_info).select(
-        F.col("orid").alias("_i_o"), F.col("masterfid").alias("_i_m"), F.col("attrtext").alias("order_info"))
-    r = _left(r, info, (F.col("_i_o") == F.col("t610_orid")) & (F.col("_i_m") == F.col("_l610_m")))
-
-    # people, comment, photo, e-mail
-    emp = faces.selectExpr("fid", "fname AS employee_name", "nomertt AS outlet_no", "gorod AS city",
-                           "street", "dom AS building")
-    r = r.join(emp, on="fid", how="left")
-    sup = supervisors.selectExpr("fid AS masterfid", "fname AS supervisor_name")
-    r = r.join(sup, on="masterfid", how="left")
-    com = visit_comments.selectExpr("fid", "vdate", "comment AS visit_comment")
-    r = r.join(com, on=["fid", "vdate"], how="left")
-    photo_docs = tdocs.where((F.col("ortype") == codes.doc_photo) & date_in_period("ordate", day_bounds))
-    d5 = photo_docs.groupBy("masterfid", "mfid", "orid").agg(F.max("ordate").alias("d5_date")).select(
-        F.col("masterfid").alias("_d5_m"), F.col("mfid").alias("_d5_f"), F.col("orid").alias("d5_orid"), "d5_date")
-    vf = visits.select("masterfid", "fid", "datebegin").join(
-        fc.select("fid", "datebegin", "fc_orid"), on=["fid", "datebegin"], how="left",
-    ).select("masterfid", "fid", "fc_orid")
-    m5 = distance_lookup(vf, d5, [("masterfid", "_d5_m"), ("fid", "_d5_f")], "fc_orid", "d5_orid", offsets=[-1, 1])
-    r = attach(r, m5, ["masterfid", "fid"], "fc_orid")
-    doc5 = tdocs.where(F.col("ortype") == codes.doc_photo).select(
-        F.col("masterfid").alias("_p_m"), F.col("mfid").alias("_p_f"), F.col("ordate").alias("_p_d"),
-        F.col("orid").alias("_p_o"))
-    r = _left(r, doc5, (F.col("_p_m") == F.col("_d5_m")) & (F.col("_p_f") == F.col("_d5_f"))
-              & (F.col("_p_d") == F.col("d5_date")) & (F.col("_p_o") == F.col("d5_orid")))
-    email = master_attribute(objattrs, codes.obj_email_attr, active=True).selectExpr(
-        "id AS fid", "attrtext AS email")
-    r = r.join(email, on="fid", how="left")
-
-    out = r.select(
-        "employee_name", F.col("datebegin").alias("audit_date"), "outlet_no", F.lit("").alias("store_category"),
-        "banner", "city", F.lit("").alias("district"), "street", "building", F.col("otkazstr").alias("store_closed"),
-        "item_name",
-        blank_zero("_facing").alias("facing"), blank_zero("_shelf").alias("shelf_qty"),
-        blank_zero("_store").alias("store_qty"), blank_zero("_listed").alias("listed"),
-        count_total("_facing", "_shelf", "_store", "_listed").alias("total_qty"),
-        "order_info", *codes.main_places,
-        "item612_name", *[f"{c}_612" for c in codes.extra_places],
-        "item611_name", *codes.promo_actions,
-        presence_percent("_facing", "_listed").alias("presence_pct"),
-        "supervisor_name", "facing_comment", "visit_comment",
-        concat_strict("_p_m", "d5_orid").alias("photo"), F.lit("").alias("photo_2"), F.lit("").alias("photo_3"),
-        "email", F.col("fc_orid").alias("_order_orid"),
-    )
-    return out.orderBy(F.col("supervisor_name").asc_nulls_first(), F.col("audit_date").asc_nulls_first(),
-                       F.col("_order_orid").asc_nulls_first()).drop("_order_orid")
+    r = spread_left(r, ls, ["banner", "datebegin", "itid"], by)
+    check = [*VISIT, "orid607"]
+    r = spread_left(r, found["612"], check, by)
+    r = spread_left(r, found["608"], [*check, "itid"], by)
+    r = spread_left(r, found["611"], check, by)
+    r = spread_left(r, found["610"], check, by)
+    r = spread_left(r, photo_neighbours(r.select(*VISIT, "fc_orid"), tdocs, codes, doc_bounds), [*VISIT, "fc_orid"], by)
+
+    # one table in two roles: the outlet and the supervising person
+    outlet = faces.selectExpr("fid", "fname AS employee_name", "nomertt AS outlet_no", "gorod AS city", "street", "dom AS building")
+    person = faces.selectExpr("fid AS masterfid", "fname AS supervisor_name")
+    comment = visit_comments.selectExpr("fid", "vdate", "comment AS visit_comment")
+    email = master_attribute(objattrs, codes.obj_email_attr, active=True).selectExpr("id AS fid", "attrtext AS email")
+    r = r.join(outlet, "fid", "left").join(person, "masterfid", "left").join(comment, ["fid", "vdate"], "left").join(email, "fid", "left")
+
+    given = {
+        "audit_date": F.col("datebegin"), "store_category": F.lit(""), "district": F.lit(""), "store_closed": F.col("otkazstr"),
+        "facing": blank_zero("_facing"), "shelf_qty": blank_zero("_shelf"), "store_qty": blank_zero("_store"),
+        "listed": blank_zero("_listed"), "total_qty": count_total("_facing", "_shelf", "_store", "_listed"),
+        "presence_pct": presence_percent("_facing", "_listed"), "photo_2": F.lit(""), "photo_3": F.lit(""),
+    }
+    out = r.select(*[given.get(c, F.col(c)).alias(c) for c in report_columns(codes)], F.col("fc_orid").alias("facing_doc"))
+    out = out.orderBy(*[F.asc_nulls_first(c) for c in ("supervisor_name", "audit_date", "facing_doc")])
+    return out if keep_order else out.drop("facing_doc")
+
+
+def report_columns(codes: AuditCodes) -> list[str]:
+    """The 42 columns in the report's order; the pivots' names come from the codes."""
+    return [
+        "employee_name", "audit_date", "outlet_no", "store_category", "banner", "city", "district", "street", "building",
+        "store_closed", "item_name", "facing", "shelf_qty", "store_qty", "listed", "total_qty", "order_info",
+        *codes.main_places, "item612_name", *[f"{c}_612" for c in codes.extra_places], "item611_name", *codes.promo_actions,
+        "presence_pct", "supervisor_name", "facing_comment", "visit_comment", "photo", "photo_2", "photo_3", "email",
+    ]
 
 
 def run_full_report(
     spark,
     tables,
     codes: AuditCodes,
-    day_bounds,
+    visit_bounds,
     base_filter=None,
-    staged: bool = True,
+    doc_bounds=None,
+    keep_order: bool = False,
 ) -> DataFrame:
-    """The whole full report for one day, from base tables (the procedure's
-    dormant result): visits, outlets and persons of the visits, the listing
-    and facing staging, then the 42-column ordered report.
+    """The whole full report from base tables (the procedure's dormant result): visits, outlets
+    and persons of the visits, the listing and facing staging, then the 42-column ordered report.
 
-    ``tables.attrs`` must carry product ids in ``id`` (both the facing
-    staging and the report read it).
+    ``doc_bounds`` is the documents' period, the visits' by default.
     """
     from shelfaudit.plans.extract import extract_faces, visit_filter, with_address_parts
     from shelfaudit.plans.report import report_inputs
-    from shelfaudit.plans.staging import (
-        banner_visits, facing_counts, facing_initial, listing_counts, stock_check_probe,
-    )
+    from shelfaudit.plans.staging import banner_visits, facing_counts, listing_counts
 
-    visits, tdocs, _ = report_inputs(spark, tables, codes, day_bounds, None, base_filter,
-                                     stage_docs=staged, facts=False)
+    doc_bounds = visit_bounds if doc_bounds is None else doc_bounds
+    visits, tdocs, _ = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter, facts=False)
     people = extract_faces(tables.faces, visit_filter(visits, codes), codes)
-    temp = banner_visits(people, tables.objattrs, visits, tables.items, codes)
+    chained = [codes.doc_stock_check, codes.doc_extra_places, codes.doc_main_places, codes.doc_promo, codes.doc_order_info]
+    heads = stage(
+        period_filter(tables.orders, "ordate", doc_bounds, by_day=True, day_col=tables.order_day)
+        .where(F.col("ortype").isin(chained)).select("masterfid", "mfid", "orid", "ortype", "ordate"), "day_headers")
+    # every use of a line ends in a join to an extracted document
+    own = tdocs.select("masterfid", "orid").distinct()
+    lines = lines_of_documents(tables.attrs, tdocs, block=tables.line_block)
+    lines = stage(lines.join(own, ["masterfid", "orid"], "left_semi"), "document_lines")
+    temp = stage(banner_visits(people, tables.objattrs, visits, tables.items, codes), "banner_visits")
     listing = listing_counts(temp, tables.objattrs, tables.items, codes)
-    probe = stock_check_probe(tdocs, codes)
-    facing = facing_counts(facing_initial(people, visits, tdocs, tables.attrs, tables.items, codes, probe),
-                           tdocs, tables.attrs, tables.items, codes, probe)
-    if staged:
-        facing = stage(facing, "facing")
-    return full_report(visits, tables.orders, tdocs, tables.attrs, tables.objattrs, tables.items,
-                       with_address_parts(people, codes), people, facing, listing,
-                       tables.visit_comments, codes, day_bounds)
+    facing = stage(facing_counts(people, visits, tdocs, lines, tables.items, codes, cut=False), "facing")
+    return full_report(visits, heads, tdocs, lines, tables.objattrs, tables.items, with_address_parts(people, codes),
+                       facing, listing, tables.visit_comments, codes, doc_bounds, keep_order)

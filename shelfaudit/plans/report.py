@@ -6,8 +6,9 @@ each document section is first assembled as a block keyed by
 (agent, outlet): the 613 block carries its three stock lookups, the main
 places and the product name; the 612 and 611 blocks their pivots and names.
 The blocks and the order-information lookup then join the visit on the
-same two keys, so the product of the three assortments (which is the
-report's defined output) is built partition-locally, never shuffled again.
+same two keys and a part number: the product of the three assortments (the
+report's defined output) is built partition-locally, and the product of a
+large visit in several parts (``visit_parts``).
 
 The order facts and the document extract are staged once (written under
 the checkpoint folder) because ten branches read them. The large EAV line
@@ -22,7 +23,6 @@ from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.operators.filters import FilterSet
-from shelfaudit.operators.latest import latest_dates
 from shelfaudit.plans.extract import caller_filter, document_filter, extract_documents, extract_visits
 from shelfaudit.plans.facts import facts_from_heads, id_range, order_facts, order_heads
 from shelfaudit.plans.sections import (
@@ -38,6 +38,8 @@ from shelfaudit.session import stage
 from shelfaudit.sources.tables import AuditTables
 
 VISIT_KEYS = ["masterfid", "mfid"]
+#: Rows of one visit that one task builds at most, about.
+PART_ROWS = 1_000_000
 
 
 def report_inputs(
@@ -59,27 +61,28 @@ def report_inputs(
     filter over one table and is re-read rather than staged.
     """
     doc_bounds = visit_bounds if doc_bounds is None else doc_bounds
-    visits = extract_visits(tables.visit_source, caller_filter(spark, visit_bounds, codes, base_filter), codes)
-    tdocs = extract_documents(tables.orders, document_filter(spark, doc_bounds, codes), codes)
+    visits = extract_visits(tables.visit_source, caller_filter(spark, visit_bounds, codes, base_filter), codes,
+                            tables.visit_day)
+    tdocs = extract_documents(tables.orders, document_filter(spark, doc_bounds, codes), codes, tables.order_day)
     if stage_docs:
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None
     if not stage_facts:
-        return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types)
+        return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types,
+                                          tables.order_day)
     # the headers are one filtered scan plus two semi-joins: cheap to compute
     # twice (once for their id range, once for the join), never staged
-    heads = order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types)
-    fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads)), "order_facts")
+    heads = order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types, tables.order_day)
+    fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads), tables.line_block), "order_facts")
     return visits, tdocs, fx
 
 
-def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes,
-                latest: DataFrame) -> DataFrame:
+def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
     """613 assortment with stock lookups, main places (by product) and name."""
     base = assortment(facts, codes.doc_stock).withColumnRenamed("id", "id613")
     looked = stock_lookups(base, facts, codes, id_col="id613")
-    mp = main_places(facts, tdocs, codes, latest).selectExpr(
+    mp = main_places(facts, tdocs, codes).selectExpr(
         "masterfid", "mfid", "id AS id613", *[f"`{c}`" for c in codes.main_places])
     joined = looked.join(mp, on=["masterfid", "mfid", "id613"], how="left")
     return with_item_name(joined, items, "id613", "item613_name")
@@ -109,32 +112,52 @@ def report_columns(codes: AuditCodes) -> list[str]:
     )
 
 
+def visit_parts(facts: DataFrame, codes: AuditCodes, part_rows: int) -> DataFrame:
+    """(agent, outlet, _parts): how many parts its three assortments' product is cut into."""
+    kinds = (codes.doc_stock, codes.doc_extra_places, codes.doc_promo)
+    held = facts.where(F.col("ortype").isin(list(kinds))).select(*VISIT_KEYS, "ortype", "id").distinct()
+    counts = held.groupBy(*VISIT_KEYS).agg(*[F.count_if(F.col("ortype") == k).alias(f"_n{k}") for k in kinds])
+    product = F.lit(1.0)
+    for k in kinds:
+        product = product * F.greatest(F.col(f"_n{k}"), F.lit(1))
+    # no more parts than stock products: a part without one is empty
+    parts = F.least(F.ceil(product / part_rows), F.greatest(F.col(f"_n{codes.doc_stock}"), F.lit(1)))
+    return counts.select(*VISIT_KEYS, parts.cast("long").alias("_parts"))
+
+
 def audit_report(
     visits: DataFrame,
     tdocs: DataFrame,
     facts: DataFrame,
     items: DataFrame,
     codes: AuditCodes,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
-    """The 38-column live report from staged visits, documents and facts."""
+    """The 38-column live report from staged visits, documents and facts.
+
+    A visit's rows are the product of its three assortments. Where that
+    exceeds ``part_rows``, the stock block is cut into parts by a hash of the
+    product and the two other blocks are repeated for each part, so that no
+    task builds more than about ``part_rows`` rows of one visit.
+    """
     lab = codes.labels
-    # typed sections take their latest documents by rank; the aggregate form
-    # is needed only for order information (maximum of one type, rows of any)
-    latest = latest_dates(tdocs, [codes.doc_order_info])
-    b613 = stock_block(facts, tdocs, items, codes, latest)
+    b613 = stock_block(facts, tdocs, items, codes)
     b612 = places_block(assortment(facts, codes.doc_extra_places),
-                        extra_places(facts, tdocs, codes, latest), items, codes.extra_places, "612")
+                        extra_places(facts, tdocs, codes), items, codes.extra_places, "612")
     b611 = places_block(assortment(facts, codes.doc_promo),
-                        promo_actions(facts, tdocs, codes, latest), items, codes.promo_actions, "611")
-    info = order_info(facts, tdocs, codes, latest)
+                        promo_actions(facts, tdocs, codes), items, codes.promo_actions, "611")
+    info = order_info(facts, tdocs, codes)
 
     vis = visits.select("masterfid", F.col("fid").alias("mfid"))
-    out = (
-        vis.join(b613, VISIT_KEYS, "inner")
-        .join(info, VISIT_KEYS, "left")
-        .join(b612, VISIT_KEYS, "inner")
-        .join(b611, VISIT_KEYS, "inner")
-    )
+    parts = visit_parts(facts, codes, part_rows)
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part")
+
+    def repeated(block: DataFrame) -> DataFrame:
+        return block.join(parts, VISIT_KEYS).select(*block.columns, each)
+
+    stock = vis.join(b613, VISIT_KEYS).join(info, VISIT_KEYS, "left").join(parts, VISIT_KEYS)
+    stock = stock.withColumn("_part", F.pmod(F.xxhash64("id613"), F.col("_parts"))).drop("_parts")
+    out = stock.join(repeated(b612), [*VISIT_KEYS, "_part"]).join(repeated(b611), [*VISIT_KEYS, "_part"])
     consts = {
         "sec613_open": lab.open_613, "sec613_close": lab.close_613,
         "sec610_open": lab.open_610, "sec610_close": lab.close_610,

@@ -24,52 +24,51 @@ def assortment(facts: DataFrame, doc_type: int) -> DataFrame:
     return facts.where(F.col("ortype") == doc_type).select("masterfid", "mfid", "id").distinct()
 
 
-def _on_latest(facts: DataFrame, tdocs: DataFrame, latest: DataFrame | None, doc_type: int,
-               require_type: bool = True) -> DataFrame:
-    docs = latest_documents(tdocs, doc_type, require_type=require_type, latest=latest).select(*DOC_KEYS)
+def _on_latest(facts: DataFrame, tdocs: DataFrame, doc_type: int, require_type: bool = True) -> DataFrame:
+    docs = latest_documents(tdocs, doc_type, require_type=require_type).select(*DOC_KEYS)
     return facts.join(docs, on=DOC_KEYS, how="inner")
 
 
-def order_info(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest: DataFrame | None = None) -> DataFrame:
+def order_info(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
     """Order-information text of the latest order-info document.
 
     The document's own type is not tested, only the attribute: any document
     dated at the latest order-info date of its key passes (quirk kept).
     """
-    rows = _on_latest(facts, tdocs, latest, codes.doc_order_info, require_type=False)
+    rows = _on_latest(facts, tdocs, codes.doc_order_info, require_type=False)
     return rows.where(F.col("attrid") == codes.attr_order_info).select(
         "masterfid", "mfid", F.col("attrtext").alias("order_info")
     )
 
 
-def _places(facts, tdocs, latest, doc_type, mapping, filter_on, dict_id, pivot_on):
-    rows = _on_latest(facts, tdocs, latest, doc_type)
+def _places(facts, tdocs, doc_type, mapping, filter_on, dict_id, pivot_on):
+    rows = _on_latest(facts, tdocs, doc_type)
     rows = rows.where(F.col(filter_on).isin(list(mapping.values())))
     if dict_id is not None:
         rows = rows.where(F.col("dictid") == dict_id)
     return pivot_max(rows, PIVOT_KEYS, pivot_on, mapping)
 
 
-def main_places(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest: DataFrame | None = None) -> DataFrame:
+def main_places(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
     """Main sales places (C6): pivot by object id, the id kept in the key."""
-    return _places(facts, tdocs, latest, codes.doc_main_places, codes.main_places, "id",
+    return _places(facts, tdocs, codes.doc_main_places, codes.main_places, "id",
                    codes.main_places_dict, "id")
 
 
-def extra_places(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest: DataFrame | None = None) -> DataFrame:
+def extra_places(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
     """Extra display places (C7): rows chosen by ``extra_places_filter_on``
     (object id in the live report), pivoted by attribute id."""
-    return _places(facts, tdocs, latest, codes.doc_extra_places, codes.extra_places,
+    return _places(facts, tdocs, codes.doc_extra_places, codes.extra_places,
                    codes.extra_places_filter_on, codes.extra_places_dict, "attrid")
 
 
-def promo_actions(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest: DataFrame | None = None,
+def promo_actions(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes,
                   comma_column: str | None = None) -> DataFrame:
     """Trade-marketing actions (C8), pivoted by attribute id.
 
     ``comma_column`` (the price cut) gets ``.`` replaced by ``,``.
     """
-    out = _places(facts, tdocs, latest, codes.doc_promo, codes.promo_actions,
+    out = _places(facts, tdocs, codes.doc_promo, codes.promo_actions,
                   codes.promo_filter_on, codes.promo_dict, "attrid")
     if comma_column is None:
         comma_column = next(iter(codes.promo_actions))
@@ -77,8 +76,13 @@ def promo_actions(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, latest:
 
 
 def with_item_name(df: DataFrame, items: DataFrame, id_col: str = "id", name: str = "iname") -> DataFrame:
-    """Product name by id: the scalar lookup as a left join (ids are unique)."""
-    names = items.selectExpr(f"iid AS `{id_col}`", f"iname AS `{name}`")
+    """Product name by id: the scalar lookup as a left join.
+
+    The original's lookup fails on a repeated id; here the dimension is
+    reduced to one name an id (the smallest), so rows are never doubled. The
+    aggregate is keyed as the join is, so it adds no shuffle to it.
+    """
+    names = items.groupBy(F.col("iid").alias(id_col)).agg(F.min("iname").alias(name))
     return df.join(names, on=id_col, how="left")
 
 

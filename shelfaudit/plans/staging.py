@@ -1,10 +1,9 @@
 """Listing and facing staging (C2-C4): outlet banners, listed and faced counts.
 
 In the original these fill temp tables with zero counters and then
-overwrite the counters with ``UPDATE ... FROM`` aggregates. Here each
-update is a left join of the initial rows to one aggregate and a
-``coalesce(count, 0)``; the aggregates are unique on the join key, so the
-row count is unchanged by the update.
+overwrite the counters with ``UPDATE ... FROM`` aggregates. Here initial
+rows and counters come from one aggregate that is unique on the product
+key, so the row count is that of the initial rows.
 """
 
 from __future__ import annotations
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import contains_any, prefix_in
 from shelfaudit.operators.eav import master_attribute
-from shelfaudit.plans.facts import id_range, lines_of_documents, small_side
+from shelfaudit.plans.facts import lines_of_documents
 
 TEMP_COLS = ("fid", "attrtext", "datebegin", "dateend", "vdate", "vdateonly", "iid")
 FACING_COLS = ("mfid", "facing", "shelf", "store", "orcomment", "datebegin", "orid", "itid")
@@ -76,83 +75,67 @@ def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes
     return out.select("attrtext", "iid", F.coalesce("_listed", F.lit(0).cast("long")).alias("listed"), "datebegin")
 
 
-def _stock_docs(tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
-    return tdocs.where(F.col("ortype") == codes.doc_stock_check).select("masterfid", "orid", "mfid", "ordate")
+def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: AuditCodes, attr_ids) -> DataFrame:
+    """Stock-check documents joined to their lines of ``attr_ids`` and to named products."""
+    docs = tdocs.where(F.col("ortype") == codes.doc_stock_check).select("masterfid", "orid", "mfid", "ordate")
+    lines = attrs.where(F.col("attrid").isin(list(attr_ids))).select("masterfid", "orid", "id", "attrid", "objdate")
+    named = items.where(prefix_in("iname", codes.facing_name_prefixes, ci=codes.names_ci)).select("iid").distinct()
+    return docs.join(lines, ["masterfid", "orid"]).join(named, named.iid == lines.id)
 
 
-def stock_check_probe(tdocs: DataFrame, codes: AuditCodes) -> tuple:
-    """Id range and count of the stock-check documents, measured once and
-    shared by ``facing_initial`` and ``facing_counts``."""
-    return id_range(_stock_docs(tdocs, codes))
+def _per_visit(faces: DataFrame, visits: DataFrame, products: DataFrame, codes: AuditCodes) -> DataFrame:
+    """Outlet x visit start x (document, product); both sides hold distinct values
+    only, so a busy outlet multiplies no repetitions."""
+    f = faces.where(F.col("ftype") == codes.outlet_face_type).select("fid").distinct()
+    vis = visits.select(F.col("fid").alias("_vfid"), "datebegin").distinct()
+    out = f.join(vis, f.fid == vis._vfid, "left").join(products, products._mfid == f.fid, "left")
 
+    def counter(name):
+        return F.coalesce(f"_{name}", F.lit(0).cast("long")).alias(name)
 
-def _stock_lines(tdocs: DataFrame, attrs: DataFrame, items: DataFrame, codes: AuditCodes, attr_ids,
-                 probe: tuple | None = None) -> DataFrame:
-    """Stock-check documents joined to their lines of ``attr_ids`` and to named products.
+    return out.select(
+        F.col("fid").alias("mfid"), counter("facing"), counter("shelf"), counter("store"),
+        F.lit("0").alias("orcomment"), "datebegin", F.col("_orid").alias("orid"), F.col("_itid").alias("itid"),
+    )
 
-    The lines are cut to the documents' id range before the join, and the
-    documents are broadcast when counted small (see ``plans.facts``).
-    """
-    docs = _stock_docs(tdocs, codes)
-    probe = probe if probe is not None else id_range(docs)
-    lines = lines_of_documents(attrs, docs, probe).where(F.col("attrid").isin(list(attr_ids))).select(
-        "masterfid", "orid", "id", "attrid", "objdate")
-    named = items.where(prefix_in("iname", codes.facing_name_prefixes, ci=codes.names_ci)).select("iid")
-    return small_side(docs, probe[2]).join(lines, ["masterfid", "orid"]).join(named, named.iid == lines.id)
+
+def _product_key():
+    return [F.col("mfid").alias("_mfid"), F.col("orid").alias("_orid"), F.col("id").alias("_itid")]
 
 
 def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs: DataFrame,
-                   items: DataFrame, codes: AuditCodes, probe: tuple | None = None) -> DataFrame:
+                   items: DataFrame, codes: AuditCodes) -> DataFrame:
     """Initial facing rows: outlet x visit x stock-check document x named
     product, counters 0 and the comment ``'0'`` (C4).
 
     Lines match their document on the exact timestamp. The original's outer
     join to the lines is cancelled by the inner join to products after it.
     """
-    lines = _stock_lines(tdocs, attrs, items, codes, codes.facing_init_attrs, probe).where(
-        F.col("objdate") == F.col("ordate")
-    )
-    docs = lines.select(F.col("orid").alias("_orid"), F.col("mfid").alias("_dmfid"), F.col("id").alias("_itid"))
-    f = faces.where(F.col("ftype") == codes.outlet_face_type).select("fid")
-    # The result is DISTINCT and pairs every visit start of an outlet with
-    # every (document, product) of it: de-duplicate both sides first so a busy
-    # outlet multiplies distinct values only.
-    vis = visits.select(F.col("fid").alias("_vfid"), "datebegin").distinct()
-    docs = docs.select("_orid", "_dmfid", "_itid").distinct()
-    out = f.join(vis, f.fid == vis._vfid, "left").join(docs, F.col("_dmfid") == f.fid, "left")
+    lines = _stock_lines(tdocs, lines_of_documents(attrs, tdocs), items, codes, codes.facing_init_attrs)
     zero = F.lit(0).cast("long")
-    return out.select(
-        F.col("fid").alias("mfid"), zero.alias("facing"), zero.alias("shelf"), zero.alias("store"),
-        F.lit("0").alias("orcomment"), "datebegin", F.col("_orid").alias("orid"), F.col("_itid").alias("itid"),
-    ).distinct()
+    products = lines.where(F.col("objdate") == F.col("ordate")).select(*_product_key()).distinct()
+    products = products.select("*", zero.alias("_facing"), zero.alias("_shelf"), zero.alias("_store"))
+    return _per_visit(faces, visits, products, codes)
 
 
-def facing_counts(initial: DataFrame, tdocs: DataFrame, attrs: DataFrame, items: DataFrame,
-                  codes: AuditCodes, probe: tuple | None = None) -> DataFrame:
-    """Overwrite the three counters of the initial rows (C4).
+def facing_counts(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs: DataFrame, items: DataFrame,
+                  codes: AuditCodes, cut: bool = True) -> DataFrame:
+    """Facing rows with their three counters (C4): one pass over the lines.
 
-    Facing and shelf lines match their document on the calendar day, store
-    lines on no date at all. All three come from one join and one
-    aggregate with conditional counts, one pass over the lines.
+    One aggregate by (outlet, document, product) tells whether the product is
+    an initial row (some line at the document's exact time) and counts its
+    lines: facing and shelf lines match their document on the calendar day,
+    store lines on no date at all. ``cut`` restricts the lines to the
+    documents' id range first; pass False when they already are.
     """
-    every = tuple(codes.facing_attrs) + tuple(codes.shelf_attrs) + tuple(codes.store_attrs)
-    j = _stock_lines(tdocs, attrs, items, codes, every, probe)
-    day = F.to_date("objdate") == F.to_date("ordate")
-    attr = F.col("attrid")
-    d = j.groupBy(
-        F.col("mfid").alias("_mfid"), F.col("orid").alias("_orid"), F.col("id").alias("_itid")
-    ).agg(
-        F.count(F.when(attr.isin(list(codes.facing_attrs)) & day, 1)).alias("_facing"),
-        F.count(F.when(attr.isin(list(codes.shelf_attrs)) & day, 1)).alias("_shelf"),
-        F.count(F.when(attr.isin(list(codes.store_attrs)), 1)).alias("_store"),
+    every = {*codes.facing_init_attrs, *codes.facing_attrs, *codes.shelf_attrs, *codes.store_attrs}
+    lines = _stock_lines(tdocs, lines_of_documents(attrs, tdocs) if cut else attrs, items, codes, sorted(every))
+    attr, day = F.col("attrid"), F.to_date("objdate") == F.to_date("ordate")
+    first = attr.isin(list(codes.facing_init_attrs)) & (F.col("objdate") == F.col("ordate"))
+    products = lines.groupBy(*_product_key()).agg(
+        F.max(F.coalesce(first, F.lit(False))).alias("_first"),
+        F.count_if(attr.isin(list(codes.facing_attrs)) & day).alias("_facing"),
+        F.count_if(attr.isin(list(codes.shelf_attrs)) & day).alias("_shelf"),
+        F.count_if(attr.isin(list(codes.store_attrs))).alias("_store"),
     )
-    cond = (
-        (initial.mfid == d._mfid) & (initial.orid == d._orid) & (initial.itid == d._itid)
-    )
-    out = initial.join(d, cond, "left")
-
-    def upd(name):
-        # an aggregate row with count 0 is no update: the counter keeps its value
-        return F.when(F.col(f"_{name}") > 0, F.col(f"_{name}")).otherwise(F.col(name)).alias(name)
-
-    return out.select("mfid", upd("facing"), upd("shelf"), upd("store"), "orcomment", "datebegin", "orid", "itid")
+    return _per_visit(faces, visits, products.where("_first").drop("_first"), codes)

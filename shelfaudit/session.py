@@ -12,6 +12,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,8 +54,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster (tests): nothing names a shared folder.
-        configured = _SCRATCH.setdefault(application_id(spark), tempfile.mkdtemp(prefix="shelfaudit-ckpt-"))
+        # a folder of this machine serves only where all tasks run on it
+        if not spark.conf.get("spark.master", "").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        app = application_id(spark)
+        if app not in _SCRATCH:
+            _SCRATCH[app] = tempfile.mkdtemp(prefix="shelfaudit-ckpt-")
+        configured = _SCRATCH[app]
     if sc is not None:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
@@ -86,6 +93,29 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staged_tables(spark: SparkSession) -> Iterator[str]:
+    """Remove, at the end of the block, what was staged in it (results must be written by then)."""
+    root = staged_root(spark)
+    names = _listed(spark, root)
+    try:
+        yield root
+    finally:
+        fs, path = _folder(spark, root)
+        for name in _listed(spark, root) - names:
+            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(path, name), True)
+
+
+def _folder(spark: SparkSession, root: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _listed(spark: SparkSession, root: str) -> set[str]:
+    fs, path = _folder(spark, root)
+    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
 def scale_conf(shuffle_bytes: int, total_cores: int, partition_bytes: int = 128 << 20) -> dict[str, str]:
     """Runtime SQL settings for a report run on a cluster.
 

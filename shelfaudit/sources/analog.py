@@ -1,32 +1,37 @@
 """Analog views of the report's inputs over the TPC-H-like test tables.
 
-The DuckDB oracle derives the same views with the SQL in
-``shelfaudit.catalog.oracle``; the two must stay in step.
-
-* orders: orders joined to customer and nation; agent = nation key,
-  outlet = customer key, type from the order priority.
-* attrs: one EAV line per lineitem of that order: id = line number,
-  attribute = round(tax * 100), text = "<int quantity>.<line number>",
-  active if the line is open, dictionary 2 if the return flag is N else 1,
-  line time = order date + 5 hours per line after the first.
+The DuckDB oracle derives the same views with its own SQL in
+``shelfaudit.catalog.oracle``; the two must agree.
+
+* orders: agent = AGENT_BASE + nation key, outlet = customer key; the
+  document id is the customer key x 1000 plus the order's number within the
+  customer (by date, then key), so that an outlet's documents are neighbours,
+  and its documents take the types in turn (TYPE_TURNS).
+* attrs: one EAV line per lineitem of that order: the object is one of six
+  places, the part or the outlet's own product (the customer key), by the
+  quantity mod 4; attribute = round(tax * 100), text = "<int quantity>.<line
+  number>", active if the line is open, dictionary 2 if the return flag is N
+  else 1, line time = order date, 14 hours later for each third line.
 * visits: distinct (agent, outlet, order date) of the orders in a period.
 * items = part; objattrs = outlet banners (market segment), product
   listings per banner (open lines), outlet e-mails.
+* faces: outlets, with an address text, and agents in one table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfaudit.session import application_id, stage
 from shelfaudit.sources.tables import AuditTables
 
-# Fixed values of the analog: priority -> document type, in priority order.
-PRIORITY_TYPES = (("1-URGENT", 608), ("2-HIGH", 610), ("3-MEDIUM", 611), ("4-NOT SPECIFIED", 612))
-OTHER_PRIORITY_TYPE = 613
+# Fixed values of the analog: the types an outlet's documents take in turn.
+TYPE_TURNS = (608, 612, 608, 610, 611, 613)
 LOW_PRIORITY = "5-LOW"
 EMAIL_DOMAIN = "@example.com"
+AGENT_BASE = 1_000_000_000
+DOCS_PER_OUTLET = 1000
 
 
 _TABLES: dict[tuple, DataFrame] = {}
@@ -45,19 +50,19 @@ def _read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_orderstatus")
+    o = _read(spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus")
+    nth = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))
+    o = o.withColumn("_orid", F.col("o_custkey") * DOCS_PER_OUTLET + nth)
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     n = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    pr = F.col("o_orderpriority")
-    ortype = F.lit(OTHER_PRIORITY_TYPE)
-    for text, code in reversed(PRIORITY_TYPES):
-        ortype = F.when(pr == text, F.lit(code)).otherwise(ortype)
+    turn = F.pmod(F.col("_orid") - F.col("o_custkey") * (DOCS_PER_OUTLET - 1), F.lit(len(TYPE_TURNS))).cast("int")
+    ortype = F.get(F.array(*[F.lit(t) for t in TYPE_TURNS]), turn)
     return (
         o.join(c, o.o_custkey == c.c_custkey)
         .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
-            F.col("c_nationkey").alias("masterfid"),
-            F.col("o_orderkey").alias("orid"),
+            (F.col("c_nationkey").cast("long") + AGENT_BASE).alias("masterfid"),
+            F.col("_orid").alias("orid"),
             F.col("o_orderdate").alias("ordate"),
             F.col("n_regionkey").alias("ownerdistid"),
             F.col("o_custkey").alias("mfid"),
@@ -65,28 +70,29 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             ortype.alias("ortype"),
             F.lit(None).cast("bigint").alias("masterdocid"),
             F.col("o_orderstatus").alias("orcomment"),
+            "o_orderkey",
         )
     )
 
 
-def attrs(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None, item_ids: bool = False) -> DataFrame:
-    """EAV lines; ``item_ids`` uses ``partkey % 8`` as the object id (facing forms)."""
-    docs = orders(spark, sf_dir) if docs is None else docs
+def attrs(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+    """EAV lines of ``docs`` (``orders`` with its order key)."""
     li = _read(
         spark, sf_dir, "lineitem",
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_tax", "l_returnflag", "l_linestatus",
     )
-    ln = F.col("l_linenumber")
-    obj_id = (F.col("l_partkey") % 8) if item_ids else ln.cast("bigint")
-    return li.join(docs.select("masterfid", "orid", "ordate"), li.l_orderkey == F.col("orid")).select(
+    ln, quantity = F.col("l_linenumber"), F.col("l_quantity").cast("bigint")
+    small = 1 + (ln + F.col("mfid")) % 6
+    obj_id = F.when(quantity % 4 < 2, small).when(quantity % 4 == 2, F.col("l_partkey")).otherwise(F.col("mfid"))
+    return li.join(docs.select("o_orderkey", "masterfid", "orid", "mfid", "ordate"), li.l_orderkey == F.col("o_orderkey")).select(
         "masterfid",
         "orid",
         obj_id.alias("id"),
         F.when(F.col("l_returnflag") == "N", F.lit(2)).otherwise(F.lit(1)).alias("dictid"),
         F.round(F.col("l_tax") * 100).cast("int").alias("attrid"),
-        F.concat(F.col("l_quantity").cast("bigint").cast("string"), F.lit("."), ln.cast("string")).alias("attrtext"),
+        F.concat(quantity.cast("string"), F.lit("."), ln.cast("string")).alias("attrtext"),
         F.when(F.col("l_linestatus") == "O", F.lit(1)).otherwise(F.lit(0)).alias("activeflag"),
-        (F.col("ordate") + F.make_dt_interval(F.lit(0), (ln - 1) * 5)).alias("objdate"),
+        (F.col("ordate") + F.make_dt_interval(F.lit(0), F.floor((ln - 1) / 3).cast("int") * 14)).alias("objdate"),
     )
 
 
@@ -99,7 +105,7 @@ def visit_source(docs: DataFrame) -> DataFrame:
         F.col("ordate").alias("vdate"),
         F.col("ordate").alias("datebegin"),
         F.col("ordate").alias("dateend"),
-        F.lit("").alias("otkazstr"),
+        F.when(F.col("orcomment") == "F", F.lit("closed")).otherwise(F.lit("")).alias("otkazstr"),
         F.lit(0).alias("pda"),
         F.to_date("ordate").cast("timestamp_ntz").alias("vdateonly"),
     ).distinct()
@@ -139,28 +145,22 @@ def objattrs(spark: SparkSession, sf_dir: str, banner_attr: int, email_attr: int
 
 
 def faces(spark: SparkSession, sf_dir: str, outlet_type: int = 7) -> DataFrame:
+    """Outlets (customers) with an address text, and agents (nations), in one table."""
     c = _read(spark, sf_dir, "customer", "c_custkey", "c_name", "c_nationkey")
-    n = _read(spark, sf_dir, "nation", "n_nationkey", "n_regionkey")
-    return c.join(n, c.c_nationkey == n.n_nationkey).select(
-        F.col("c_custkey").alias("fid"),
-        F.col("c_name").alias("fname"),
-        F.col("c_custkey").cast("string").alias("exid"),
-        F.lit(outlet_type).alias("ftype"),
-        F.col("n_regionkey").alias("ownerdistid"),
-        F.lit(None).cast("string").alias("faddress"),
-    )
-
-
-def agents(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = _read(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
-    return n.select(
-        F.col("n_nationkey").cast("bigint").alias("fid"),
-        F.col("n_name").alias("fname"),
-        F.col("n_nationkey").cast("string").alias("exid"),
-        F.lit(1).alias("ftype"),
-        F.col("n_regionkey").alias("ownerdistid"),
-        F.lit(None).cast("string").alias("faddress"),
+    key = F.col("c_custkey")
+    address = F.format_string(
+        "г. Город %d, ул. Улица %d, д. %d, № %d", F.col("c_nationkey"), key % 50, key % 90 + 1, key)
+    outlets = c.join(n, c.c_nationkey == n.n_nationkey).select(
+        key.alias("fid"), F.col("c_name").alias("fname"), key.cast("string").alias("exid"),
+        F.lit(outlet_type).alias("ftype"), F.col("n_regionkey").alias("ownerdistid"), address.alias("faddress"),
+    )
+    agent = F.col("n_nationkey").cast("bigint") + AGENT_BASE
+    agents = n.select(
+        agent.alias("fid"), F.col("n_name").alias("fname"), agent.cast("string").alias("exid"),
+        F.lit(1).alias("ftype"), F.col("n_regionkey").alias("ownerdistid"), F.lit(None).cast("string").alias("faddress"),
     )
+    return outlets.unionByName(agents)
 
 
 def visit_comments(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,21 +192,22 @@ def _defined(spark: SparkSession, key: tuple, build) -> DataFrame:
     return _TABLES[full]
 
 
-def tables(spark: SparkSession, sf_dir: str, codes, item_ids: bool = False, staged: bool = True) -> AuditTables:
+def tables(spark: SparkSession, sf_dir: str, codes, staged: bool = True) -> AuditTables:
     """The report's inputs over the test tables (staged once unless ``staged=False``)."""
     def get(name, build):
         return _staged(spark, (sf_dir, name), build) if staged else build()
 
     docs = get("orders", lambda: orders(spark, sf_dir))
+    people = get(f"faces_{codes.outlet_face_type}", lambda: faces(spark, sf_dir, codes.outlet_face_type))
     return AuditTables(
         orders=docs,
-        attrs=get(f"attrs_items{int(item_ids)}", lambda: attrs(spark, sf_dir, docs, item_ids=item_ids)),
+        attrs=get("attrs", lambda: attrs(spark, sf_dir, docs)),
         objattrs=get(f"objattrs_{codes.obj_banner_attr}_{codes.obj_email_attr}",
                      lambda: objattrs(spark, sf_dir, codes.obj_banner_attr, codes.obj_email_attr,
                                       codes.outlet_dict, codes.product_dict)),
         items=_defined(spark, (sf_dir, "items"), lambda: items(spark, sf_dir)),
         visit_source=get("visit_source", lambda: visit_source(docs)),
-        faces=get(f"faces_{codes.outlet_face_type}", lambda: faces(spark, sf_dir, codes.outlet_face_type)),
-        agents=_defined(spark, (sf_dir, "agents"), lambda: agents(spark, sf_dir)),
+        faces=people,
+        agents=people,
         visit_comments=get("visit_comments", lambda: visit_comments(spark, sf_dir)),
     )

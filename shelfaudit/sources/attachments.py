@@ -21,6 +21,12 @@ from pyspark.sql import functions as F
 RESULT_SCHEMA = "file_name string, n_bytes long"
 
 
+def _check_target(df: DataFrame, target: str) -> None:
+    """A path without a scheme is the executor's own disk: only a local session may use it."""
+    if "://" not in target and not df.sparkSession.conf.get("spark.master", "").startswith("local["):
+        raise ValueError("the export's target needs a scheme that all executors reach, e.g. hdfs://")
+
+
 def _filesystem(target: str):
     from pyarrow import fs as pafs
 
@@ -36,6 +42,7 @@ def export_files(df: DataFrame, name_col: str, data_col: str, target_dir: str) -
     The guard of the original (export only if documents exist) holds by
     construction: no rows, no files.
     """
+    _check_target(df, target_dir)
     rows = df.where(F.col(name_col).isNotNull()).select(
         F.col(name_col).alias("_name"), F.col(data_col).cast("binary").alias("_data")
     )

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Column sets of each input, as the pipelines use them.
+# The input columns' names, as the pipelines read them.
 ORDER_COLS = ("masterfid", "orid", "ordate", "ownerdistid", "mfid", "ufid", "ortype", "masterdocid", "orcomment")
 ATTR_COLS = ("masterfid", "orid", "id", "dictid", "attrid", "attrtext", "activeflag", "objdate")
 OBJATTR_COLS = ("id", "dictid", "attrid", "attrtext", "activeflag")
@@ -36,29 +36,35 @@ class AuditTables:
     agents: DataFrame          # persons in the agent role (may be ``faces``)
     visit_comments: DataFrame | None = None
     attachments: DataFrame | None = None
+    # layouts that the writer of the tables guarantees; off unless stated
+    order_day: str | None = None                 # column of ``orders`` = CAST(ordate AS DATE)
+    visit_day: str | None = None                 # column of ``visit_source`` = CAST(vdate AS DATE)
+    line_block: tuple[str, int] | None = None    # (column of ``attrs``, size): column = floor(orid / size)
 
     @staticmethod
-    def from_parquet(spark: SparkSession, root: str) -> AuditTables:
-        """Tables stored as ``<root>/<name>`` Parquet folders with the columns above."""
+    def from_parquet(spark: SparkSession, root: str, order_day: str | None = None, visit_day: str | None = None,
+                     line_block: tuple[str, int] | None = None) -> AuditTables:
+        """Tables stored as ``<root>/<name>`` Parquet folders with the columns above.
 
-        def read(name: str, cols) -> DataFrame:
-            df = spark.read.parquet(os.path.join(root, name))
-            # keep day partition columns (e.g. ordate_day) so period filters prune
-            extra = [c for c in df.columns if c.endswith("_day") and c[:-4] in cols]
-            return df.select(*cols, *extra)
+        The three layout arguments are promises of whoever writes the tables
+        (see the fields); filters use them to prune partitions.
+        """
+
+        def read(name: str, cols, *layout: str | None) -> DataFrame:
+            return spark.read.parquet(os.path.join(root, name)).select(*cols, *[c for c in layout if c])
 
         faces = read("faces", FACE_COLS)
-        lines = spark.read.parquet(os.path.join(root, "order_attributes"))
-        # keep the document-id block (a partition column) when the table has one
-        line_cols = ATTR_COLS + (("orid_block",) if "orid_block" in lines.columns else ())
         return AuditTables(
-            orders=read("orders", ORDER_COLS),
-            attrs=lines.select(*line_cols),
+            orders=read("orders", ORDER_COLS, order_day),
+            attrs=read("order_attributes", ATTR_COLS, line_block[0] if line_block else None),
             objattrs=read("object_attributes", OBJATTR_COLS),
             items=read("items", ITEM_COLS),
-            visit_source=read("visits", VISIT_COLS),
+            visit_source=read("visits", VISIT_COLS, visit_day),
             faces=faces,
             agents=faces,
             visit_comments=read("visit_comments", COMMENT_COLS),
             attachments=read("attachments", ATTACHMENT_COLS),
+            order_day=order_day,
+            visit_day=visit_day,
+            line_block=line_block,
         )

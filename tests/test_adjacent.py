@@ -53,3 +53,32 @@ def test_distance_lookup_attach_keeps_rows_and_nulls(spark):
     got = [(r.k, r.pos, r.payload, r.rpos) for r in attach(wide, look, ["k"], "pos").collect()]
     assert sorted(got, key=repr) == sorted([(1, 10, "a", 11), (1, 10, "a", 13), (1, 10, "a", 11), (1, 10, "a", 13),
                                             (1, None, "b", None), (2, 5, "c", None)], key=repr)
+
+
+def test_bands_of_large_and_negative_ids(spark):
+    for base in (2 ** 54, -500_000, 2 ** 62):
+        left = [(1, base + i, f"l{i}") for i in range(200)]
+        right = [(1, base + i, f"r{i}") for i in range(0, 200, 2)]
+        l = spark.createDataFrame(left, "lk int, lp long, lv string")
+        r = spark.createDataFrame(right, "rk int, rp long, rv string")
+        for lo, hi in ((1, 7), (1, 4), (-3, 2)):
+            for how in ("inner", "left"):
+                got = _rows(band_join(l, r, [("lk", "rk")], "lp", "rp", lo, hi, how=how))
+                assert got == _brute(left, right, lo, hi, how), (base, lo, hi, how)
+
+
+def test_fractional_positions_are_refused(spark):
+    import pytest
+
+    l = spark.createDataFrame([(1, 1.0, "x")], "lk int, lp double, lv string")
+    r = spark.createDataFrame([(1, 3.5, "a")], "rk int, rp double, rv string")
+    with pytest.raises(TypeError):
+        band_join(l, r, [("lk", "rk")], "lp", "rp", 1, 4)
+    with pytest.raises(TypeError):
+        offset_join(l, r, [("lk", "rk")], "lp", "rp", [1])
+
+
+def test_left_join_reads_each_side_once(spark):
+    l, r = _lr(spark, [(1, 10, "x")], [(1, 9, "a")])
+    for df in (offset_join(l, r, [("lk", "rk")], "lp", "rp", [-1, 1], "left"), band_join(l, r, [("lk", "rk")], "lp", "rp", 1, 7, "left")):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2

@@ -62,7 +62,7 @@ def test_run_audit_report_from_parquet(spark):
 
 
 def test_run_full_report_from_parquet(spark):
-    from shelfaudit.plans.full_report import FULL_COLUMNS, run_full_report
+    from shelfaudit.plans.full_report import report_columns, run_full_report
 
     root = tempfile.mkdtemp(prefix="audit-full-")
     d = DAY + " 10:00:00"
@@ -82,7 +82,7 @@ def test_run_full_report_from_parquet(spark):
                      ("attachments", att)):
         df.write.parquet(f"{root}/{name}")
     out = run_full_report(spark, AuditTables.from_parquet(spark, root), R, period_bounds(DAY))
-    assert tuple(out.columns) == FULL_COLUMNS
+    assert out.columns == report_columns(R)
     rows = out.collect()
     assert len(rows) == 1
     r = rows[0]
@@ -93,20 +93,34 @@ def test_run_full_report_from_parquet(spark):
 def test_line_blocks_prune_partitions(spark):
     from pyspark.sql import functions as F
 
-    import shelfaudit.plans.facts as facts_mod
-    from shelfaudit.plans.facts import facts_from_heads, id_range
+    from shelfaudit.plans.facts import facts_from_heads, id_filter, id_range
 
     root = tempfile.mkdtemp(prefix="lines-") + "/order_attributes"
     d = DAY + " 10:00:00"
     attrs = H.attrs(spark, [(1, o, 1, 1, 0, "x", 1, d) for o in (5, 1_500_000, 2_500_000, 3_700_000)])
-    attrs.withColumn("orid_block", (F.col("orid") / facts_mod.ORID_BLOCK_SIZE).cast("long")) \
-        .write.partitionBy("orid_block").parquet(root)
+    attrs = attrs.unionByName(H.attrs(spark, [(1, o, 1, 1, 0, "x", 1, d) for o in (-900_000, -100_000)]))
+    attrs.withColumn("orid_block", F.floor(F.col("orid") / 1_000_000)).write.partitionBy("orid_block").parquet(root)
     lines = spark.read.parquet(root)
     heads = H.orders(spark, [(1, 2_500_000, d, 10, 613)]).select("masterfid", "mfid", "orid", "ortype", "ordate")
-    out = facts_from_heads(heads, lines, id_range(heads))
+    block = ("orid_block", 1_000_000)
+    out = facts_from_heads(heads, lines, id_range(heads), block)
     assert [r.orid for r in out.collect()] == [2_500_000]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(orid_block" in plan and "orid_block#" in plan
+    for ids in ((-900_000, -100_000), (-500_000, 5), (5, 2_500_000)):
+        assert id_filter(lines, *ids, block).count() == id_filter(lines, *ids).count() > 0
+    # a column of that name means nothing unless the layout is stated
+    plan = facts_from_heads(heads, lines, id_range(heads))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(orid_block" not in plan
+
+
+def test_a_day_column_is_no_layout_unless_stated(spark):
+    from shelfaudit.functions.period import period_filter
+
+    df = spark.createDataFrame([("2016-08-29 01:00:00", "2016-08-28")], "a string, b string").selectExpr(
+        "cast(a as timestamp_ntz) as ordate", "cast(b as date) as ordate_day")
+    assert period_filter(df, "ordate", period_bounds(DAY)).count() == 1
+    assert period_filter(df, "ordate", period_bounds(DAY), day_col="ordate_day").count() == 0
 
 
 def test_day_partitions_prune_document_extract(spark):
@@ -124,9 +138,9 @@ def test_day_partitions_prune_document_extract(spark):
                       ("visit_comments", "fid long, vdate timestamp_ntz, comment string"),
                       ("attachments", "masterfid int, docid long, fileid long, filedata binary")):
         spark.createDataFrame([], ddl).write.parquet(f"{root}/{name}")
-    tables = AuditTables.from_parquet(spark, root)
-    assert "ordate_day" in tables.orders.columns
-    docs = extract_documents(tables.orders, document_filter(spark, period_bounds(DAY), R), R)
+    tables = AuditTables.from_parquet(spark, root, order_day="ordate_day")
+    assert "ordate_day" in tables.orders.columns and "ordate_day" not in AuditTables.from_parquet(spark, root).orders.columns
+    docs = extract_documents(tables.orders, document_filter(spark, period_bounds(DAY), R), R, tables.order_day)
     assert [r.orid for r in docs.collect()] == [1]
     plan = docs._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ordate_day" in plan

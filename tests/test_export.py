@@ -35,3 +35,62 @@ def test_export_photos_guard_and_selection(spark):
     empty = docs.where("orid < 0")
     assert export_photos(empty, att, [("masterfid", "masterfid"), ("orid", "docid")], "orid", "fileid",
                          "masterfid", "orid", "filedata", target) is None
+
+
+def test_target_without_scheme_only_in_a_local_session(spark, monkeypatch):
+    import pytest
+
+    from shelfaudit.sources import attachments
+
+    class Conf:
+        def get(self, key, default=None):
+            return "spark://host:7077"
+
+    class Frame:
+        class sparkSession:
+            conf = Conf()
+
+    with pytest.raises(ValueError):
+        attachments._check_target(Frame, "/some/folder")
+    attachments._check_target(Frame, "hdfs:///some/folder")
+
+
+def test_a_retry_writes_the_same_files(spark):
+    """A second run over the same target (a lost executor's task, redone) replaces each file."""
+    df = spark.createDataFrame([("a.jpg", b"one"), ("b.jpg", b"two")], "n string, d binary")
+    target = tempfile.mkdtemp(prefix="retry-")
+    for _ in range(2):
+        assert export_files(df, "n", "d", target).count() == 2
+    assert sorted(os.listdir(target)) == ["a.jpg", "b.jpg"]
+    with open(os.path.join(target, "b.jpg"), "rb") as fh:
+        assert fh.read() == b"two"
+
+
+def test_staged_tables_are_removed(spark):
+    from shelfaudit.session import stage, staged_root, staged_tables
+
+    outside = stage(spark.range(3), "kept")
+    with staged_tables(spark):
+        assert stage(spark.range(5), "gone").count() == 5
+    names = os.listdir(staged_root(spark).removeprefix("file:"))
+    assert not any(n.startswith("gone-") for n in names) and outside.count() == 3
+
+
+def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
+    import pytest
+
+    from shelfaudit import session
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "spark://host:7077"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        @property
+        def sparkContext(self):
+            raise RuntimeError("none")
+
+    with pytest.raises(ValueError):
+        session.checkpoint_dir(Session())

@@ -106,28 +106,24 @@ def test_stock_lookups_multiply_and_default(spark):
     assert rows == [(7, "2", "x", "0", 2.0), (7, "3", "x", "0", 3.0), (8, "0", "0", "0", 0.0)]
 
 
-def test_header_broadcast_is_size_checked(spark, monkeypatch):
-    import shelfaudit.plans.facts as facts_mod
+def test_join_settings_are_respected(spark):
+    """No hint overrides a session that switches broadcasts off."""
     from shelfaudit.plans.facts import facts_from_heads, id_range
 
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # no static broadcasts
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
         heads = H.orders(spark, [(1, 500, DAY + " 11:00:00", 20, 613), (1, 501, DAY + " 11:00:00", 20, 613)]) \
             .select("masterfid", "mfid", "orid", "ortype", "ordate")
         at = H.attrs(spark, [(1, 500, 7, 1, 0, "3", 1, None), (1, 900, 7, 1, 0, "3", 1, None)])
-        probe = id_range(heads)
-        assert probe == (500, 501, 2)
-        small = facts_from_heads(heads, at, probe)
-        assert "BroadcastHashJoin" in small._jdf.queryExecution().executedPlan().toString()
-        assert [r.orid for r in small.collect()] == [500]
-        monkeypatch.setattr(facts_mod, "BROADCAST_HEAD_ROWS", 1)
-        big = facts_from_heads(heads, at, probe)
-        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert id_range(heads) == (500, 501)
+        out = facts_from_heads(heads, at, id_range(heads))
+        plan = out._jdf.queryExecution().executedPlan().toString()
         assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
-        assert [r.orid for r in big.collect()] == [500]
+        assert [r.orid for r in out.collect()] == [500]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 

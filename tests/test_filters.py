@@ -105,3 +105,14 @@ def test_filter_semantics_match_brute_force(spark):
     assert got == expect
     empty = FilterSet.empty(spark).add_ids(3, src([]), "v")
     assert apply_filters(df, empty, bind).count() == 0
+
+
+def test_types_found_in_the_rows_restrict(spark):
+    """A caller's set binds by its rows, declared or not; a declared type without rows keeps nothing."""
+    rows = spark.createDataFrame([(7, 1)], "type int, id long")
+    for c in ("id2", "id3", "id4", "id5"):
+        rows = rows.selectExpr("*", f"cast(null as long) as {c}")
+    rows = rows.selectExpr("*", "cast(null as string) as idstr")
+    df = spark.createDataFrame([(1,), (2,)], "a long")
+    assert apply_filters(df, FilterSet.from_rows(rows), {7: Binding("a")}).count() == 1
+    assert apply_filters(df, FilterSet.from_rows(rows, [9]), {7: Binding("a"), 9: Binding("a")}).count() == 0

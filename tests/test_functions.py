@@ -99,3 +99,12 @@ def test_date_in_period_matches_cast_form(spark):
     assert got == [False, True, True, False]
     plan = df.where(P.date_in_period("t", b))._jdf.queryExecution().optimizedPlan().toString()
     assert "cast(" not in plan.split("Filter")[1].split("\n")[0].lower()
+
+
+def test_only_plain_numbers_count(spark):
+    from shelfaudit.functions.text import to_number
+
+    texts = ["5", " -2.5 ", "1e2", ".5", "5.", "5d", "5f", "0x1p3", "NaN", "Infinity", "", None, "1,5", "1e", "--1"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: r.n for r in df.select("t", to_number("t").alias("n")).collect()}
+    assert got == {t: {"5": 5.0, " -2.5 ": -2.5, "1e2": 100.0, ".5": 0.5, "5.": 5.0}.get(t, 0.0) for t in texts}

@@ -31,7 +31,7 @@ def test_facing_date_rules(spark):
     at = H.attrs(spark, rows)
     init = stg.facing_initial(faces, vis, td, at, _items(spark), C)
     assert [(r.mfid, r.orid, r.itid, r.facing, r.orcomment) for r in init.collect()] == [(10, 50, 1, 0, "0")]
-    out = stg.facing_counts(init, td, at, _items(spark), C).collect()
+    out = stg.facing_counts(faces, vis, td, at, _items(spark), C).collect()
     assert [(r.facing, r.shelf, r.store) for r in out] == [(2, 2, 3)]
 
 
@@ -42,7 +42,7 @@ def test_facing_rows_without_documents_keep_zero(spark):
     at = H.attrs(spark, [(1, 50, 3, 1, C.facing_attrs[0], "1", 1, DAY + " 10:00:00"),
                          (1, 50, 4, 1, C.facing_attrs[0], "1", 1, DAY + " 10:00:00")])  # item 4 not named
     init = stg.facing_initial(faces, vis, td, at, _items(spark), C)
-    out = stg.facing_counts(init, td, at, _items(spark), C)
+    out = stg.facing_counts(faces, vis, td, at, _items(spark), C)
     assert init.count() == out.count() == 3
     got = sorted((r.mfid, r.orid, r.itid, r.facing) for r in out.collect())
     assert got == [(10, 50, 3, 1), (10, 50, 3, 1), (11, None, None, 0)]
