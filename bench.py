@@ -32,8 +32,7 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus)))
 
     t0 = time.time()
-    for item_ids in (False, True):
-        analog.tables(spark, sf_dir, TEST_CODES, item_ids=item_ids)
+    analog.tables(spark, sf_dir, TEST_CODES)
     prepare = time.time() - t0
 
     warmup = int(os.environ.get("BENCH_WARMUP", "1"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -24,7 +25,7 @@ from shelfaudit.plans import photos as ph
 from shelfaudit.plans import report as rpt
 from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
-from shelfaudit.session import stage
+from shelfaudit.session import stage, staged_root
 from shelfaudit.sources import analog
 
 C = TEST_CODES
@@ -313,6 +314,23 @@ def q22_file_names(spark: SparkSession, d: str) -> DataFrame:
     return named.select("doc_id", "source", "fileid", "rnk", "file_name")
 
 
+def q24_photo_export(spark: SparkSession, d: str) -> DataFrame:
+    """The photo export (K3, P19, O3): the selected files are written to the shared folder and read
+    back from it. A labelled document's file is the document's text."""
+    docs = analog.table(spark, d, "documents").select("doc_id", "source", "lang")
+    files = analog.table(spark, d, "documents").select(F.col("doc_id").alias("docid"), F.col("doc_id").alias("fileid"),
+                                                       F.col("text").cast("binary").alias("filedata"))
+    files = files.join(analog.table(spark, d, "labels").select(F.col("doc_id").alias("docid")).distinct(), "docid", "left_semi")
+    target = f"{staged_root(spark)}/photos-{uuid.uuid4().hex}"
+    target = target if "://" in target else "file://" + target.removeprefix("file:")
+    written = ph.export_photos(docs, files, [("doc_id", "docid")], "source", "fileid", "lang", "source", "filedata", target)
+    if written is None or not written.count():
+        return spark.createDataFrame([], "file_name string, n_bytes long, sha256 string")
+    found = spark.read.format("binaryFile").load(target)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("n_bytes"),
+                        F.sha2("content", 256).alias("sha256"))
+
+
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
     """The 42-column full report through its entry point (C10), with the row's place in the report's
     order within its supervisor, which the report sorts by first (O1)."""
@@ -352,4 +370,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q21_every_rank": q21_every_rank,
     "q22_file_names": q22_file_names,
     "q23_full_report": q23_full_report,
+    "q24_photo_export": q24_photo_export,
 }

@@ -19,8 +19,8 @@ SHOW = {
     "q08_order_facts": "period and type pushed to the header scan; both visit tests are semi-joins",
     "q05_listing_counts": "two pre-counts joined on the banner; no join of listings to banner-visit rows",
     "q07_facing_counts": "one join and one aggregate for the three counters",
-    "q15_audit_report": "ten branches read the staged facts; final joins on (agent, outlet)",
-    "q17_band": "band join as an equi-join on conversation and turn + offset",
+    "q15_audit_report": "ten branches read the staged facts; final joins on (agent, outlet, part)",
+    "q17_band": "band join as an equi-join on conversation and turn bucket",
     "q21_top_files": "partial count, partial group limit before the shuffle, final group limit",
     "q23_full_report": "calendar-day range pushed to the header scans; no nested-loop join",
 }
