@@ -1,6 +1,5 @@
 import random
 
-from pyspark.sql import functions as F
 
 from shelfaudit.operators.adjacent import attach, band_join, distance_lookup, offset_join
 

@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from shelfaudit.plans.photos import photo_names
 from shelfaudit.sources.attachments import export_files

@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 import helpers as H
 from dataclasses import replace
