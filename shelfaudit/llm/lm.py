@@ -39,9 +39,9 @@ from shelfaudit.llm.common import binary, fold_of, map_batches
 from shelfaudit.session import stage
 
 END = b""  # no word is empty
-WORDS, CLASSES = 1536, 512
+WORDS, CLASSES = 1024, 256
 SYMBOLS = WORDS + CLASSES
-HEAD = 200_000
+HEAD = 100_000
 WIDTH, STEPS, BATCH, NOISE, RATE, SEED = 24, 600, 4096, 256, 0.1, 11
 #: Distinct words a counting task holds before it passes its counts on.
 HELD = 500_000
@@ -95,8 +95,8 @@ def vocabulary(train: DataFrame) -> tuple[Vocabulary, DataFrame]:
     counts = stage(train.mapInArrow(_count_words, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("word")).first()
     # the end first, so that it is a symbol however rare
-    top = counts.orderBy((F.col("word") != F.lit(END)).cast("int"), F.desc("c"), "word").limit(HEAD).collect()
-    words = [bytes(r.word) for r in top] or [END]
+    top = counts.orderBy((F.col("word") != F.lit(END)).cast("int"), F.desc("c"), "word").limit(HEAD).toArrow()
+    words = top.column("word").to_pylist() or [END]
     symbols = set(words[:WORDS])
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,7 +112,7 @@ def vocabulary(train: DataFrame) -> tuple[Vocabulary, DataFrame]:
     n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
     for r in counts.mapInArrow(classes, "k long, n long, v long").groupBy("k").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect():
         n[r.k], v[r.k] = r.n, r.v
-    return Vocabulary(words, np.array([r.c for r in top] or [0], np.int64), int(total), int(distinct), n, v), counts
+    return Vocabulary(words, np.array(top.column("c").to_pylist() or [0], np.int64), int(total), int(distinct), n, v), counts
 
 
 class Reader:
