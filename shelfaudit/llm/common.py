@@ -43,12 +43,23 @@ def fold_of(doc_id: Column, folds: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds, F.lit(0))
 
 
+#: Rows of an Arrow batch that are Python objects at a time.
+SLICE = 512
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of SLICE rows, so that a worker holds few texts as Python objects at once."""
+    for batch in batches:
+        for k in range(0, batch.num_rows, SLICE):
+            yield batch.slice(k, SLICE)
+
+
 def map_batches(df: DataFrame, schema: str, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` where ``setup()`` runs once a task and returns the function of a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
+        for batch in slices(batches):
             work = work or setup()
             yield work(batch)
 

@@ -8,11 +8,11 @@ hash and compare their bytes, and write the finished bucket pages to the
 shared checkpoint folder. Totals of each chain link are then read from those
 pages, which hold no text.
 
-Scale: equal texts of one Arrow batch become one entry (bytes compared)
-before anything moves, so a text that a third of all rows share arrives at
-its owner once a batch; entries move once. The owner streams: it holds one
+Scale: equal texts of a slice of 512 rows become one entry (bytes
+compared) before anything moves, so a text that a third of all rows share
+arrives at its owner once a slice; entries move once. The owner streams: it holds one
 chain (distinct texts of one 64-bit hash). Members ride along as id lists of
-one batch at most. Buckets that no bit can split (one hash) stay over
+one slice at most. Buckets that no bit can split (one hash) stay over
 capacity and are chained. The driver holds the directory only: bucket counts,
 at most 2^MAX_DEPTH slots.
 
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 import xxhash
 
-from shelfaudit.llm.common import binary, map_batches
+from shelfaudit.llm.common import binary, map_batches, slices
 from shelfaudit.session import stage
 
 #: Different texts that a bucket may hold before it splits.
@@ -72,7 +72,7 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY) -> list[tuple[int, in
 
 
 def _entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Equal texts of a batch as one entry: h, sha, its text and its ids, largest first, nulls last."""
+    """Equal texts of a slice of a batch as one entry: h, sha, its text and its ids, largest first, nulls last."""
 
     def setup():
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -95,7 +95,7 @@ def _entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Entries sorted by h: number the distinct texts of each hash by comparing bytes; the texts end here."""
     last, chain = None, []
-    for batch in batches:
+    for batch in slices(batches):
         link, digest = np.empty(batch.num_rows, np.int32), []
         for k, (h, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
             if h != last:

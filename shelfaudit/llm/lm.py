@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.common import binary, fold_of, map_batches
+from shelfaudit.llm.common import binary, fold_of, map_batches, slices
 from shelfaudit.session import stage
 
 END = b""  # no word is empty
@@ -61,7 +61,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
-    for batch in batches:
+    for batch in slices(batches):
         for t in batch.column(0).to_pylist():
             seen.update(tokens(t))
             if len(seen) > HELD:
@@ -101,7 +101,7 @@ def vocabulary(train: DataFrame) -> tuple[Vocabulary, DataFrame]:
 
     def classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n, v = np.zeros(CLASSES, np.int64), np.zeros(CLASSES, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for w, c in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if w not in symbols:
                     k = class_of(w) - WORDS
@@ -145,7 +145,7 @@ def pair_counts(train: DataFrame, known: Vocabulary) -> np.ndarray:
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, seen = Reader(known), np.zeros(SYMBOLS * SYMBOLS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for t in batch.column(0).to_pylist():
                 symbols = reader.read(t)[2]
                 np.add.at(seen, np.concatenate(([0], symbols[:-1])) * SYMBOLS + symbols, 1)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.common import binary
+from shelfaudit.llm.common import binary, slices
 from shelfaudit.llm.labelled import TRAIN_ROWS, best_cut, labelled_sample
 
 PASSAGE, WIDTH, HASHED, SHARES = 64, 16, 256, 9
@@ -88,7 +88,7 @@ class Quality:
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         found = [passages(t) for t in batch.column(0).to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array([f.tobytes() for f in found], pa.binary()), batch.column(1)], ["x", "y"])
 
@@ -146,9 +146,8 @@ def score_column(model: Quality, text: Column) -> Column:
     @F.arrow_udf("double")
     def quality_score(texts: pa.Array) -> pa.Array:
         out = []
-        todo = texts.to_pylist()
-        for k in range(0, len(todo), 64):  # small blocks bound the features held at once
-            bags = [passages(t) for t in todo[k:k + 64]]
+        for k in range(0, len(texts), 64):  # small blocks bound the features held at once
+            bags = [passages(t) for t in texts.slice(k, 64).to_pylist()]
             starts = np.concatenate(([0], np.cumsum([len(b) for b in bags])[:-1]))
             out.append(model.score(np.concatenate(bags), starts))
         return pa.array(np.concatenate(out) if out else np.empty(0), pa.float64())

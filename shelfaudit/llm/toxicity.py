@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.common import binary
+from shelfaudit.llm.common import SLICE, binary, slices
 from shelfaudit.llm.labelled import best_cut, labelled_sample
 
 #: Entries and exceptions the model may hold.
@@ -43,6 +43,8 @@ SHORTEST, LONGEST = 4, 12
 #: Toxic texts an entry must occur in (two where there are few), and its least log odds.
 LEAST_TEXTS, LEAST_ODDS = 3, 2.0
 CUT = 0.7
+#: Candidates a counting task holds before it passes its counts on.
+HELD = 100_000
 #: Labelled texts the lexicon is learned from (documented bound).
 SAMPLE = 12_000
 # fixed values: look-alikes of Latin letters in Cyrillic and Greek, and digits and signs used for letters
@@ -108,11 +110,20 @@ class Toxicity:
 def _doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(gram, toxic texts, clean texts) of a task's part of the sample."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for batch in batches:
+
+    def out() -> pa.RecordBatch:
+        grams = list(seen[0].keys() | seen[1].keys())
+        counts = [pa.array([s[g] for g in grams], pa.int64()) for s in seen]
+        for s in seen:
+            s.clear()
+        return pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), *counts], ["gram", "toxic", "clean"])
+
+    for batch in slices(batches):
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             seen[1 - y].update({g for w in set(fold(t).split()) for g in _grams(w)})
-    grams = list(seen[0].keys() | seen[1].keys())
-    yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array([seen[0][g] for g in grams], pa.int64()), pa.array([seen[1][g] for g in grams], pa.int64())], ["gram", "toxic", "clean"])
+            if len(seen[0]) + len(seen[1]) > HELD:
+                yield out()
+    yield out()
 
 
 def _phrases(folded: str, automaton) -> tuple[list[str], list[str]]:
@@ -190,9 +201,10 @@ def score_column(model: Toxicity, text: Column) -> Column:
         if not kept:
             kept.append(model.automaton())
         out = []
-        for t in texts.to_pylist():
-            folded = fold(t)
-            out.append(model.score(model.features(folded, [w for _, w, _ in model.hits(folded, kept[0])])))
+        for k in range(0, len(texts), SLICE):
+            for t in texts.slice(k, SLICE).to_pylist():
+                folded = fold(t)
+                out.append(model.score(model.features(folded, [w for _, w, _ in model.hits(folded, kept[0])])))
         return pa.array(out, pa.float64())
 
     return toxicity_score(binary(text))
