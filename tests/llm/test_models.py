@@ -211,6 +211,22 @@ def test_formats_are_inferred():
     assert [s[0] for s in spans] == ["format-github"] or spans == []
 
 
+def test_background_counts_all_texts(docs_of):
+    """Texts with one beginning, and one text, count in full: the background has no sample."""
+    rows = [(i, "one long beginning that all the texts of this source have in common: " + f"mail{i}.example.com/index") for i in range(40)] + [(99, "donaudampfschifffahrt")]
+    docs = docs_of(rows)
+    model = secret_scan.with_heads(secret_scan.examples())
+    marks = secret_scan.count_marks(docs, model, set())
+    want = Counter()
+    for _, t in rows:
+        for run in re.findall(r"[A-Za-z0-9+/_.=-]{16,}", t):
+            want.update(model.symbols(run))
+    assert marks == want and sum(marks.values()) > 40 * 20
+    n = sum(want.values()) + 55
+    background = secret_scan.fit_formats(docs).background
+    assert background["."] == pytest.approx(math.log((want["."] + 5) / n))
+
+
 def test_automaton_merges_a_loop():
     draw = random.Random(2)
     strings = [("h", *draw.choices("ab", k=draw.choice((6, 7, 8)))) for _ in range(300)]
