@@ -6,7 +6,9 @@ classes for all others (a hash of a word's last three bytes). The previous
 symbol's vector, through a matrix, predicts the next symbol's: score = (C r) . q + b.
 It is trained on the symbol pairs of *all* training texts, counted in
 Spark (at most SYMBOLS^2 numbers), by noise-contrastive estimation against
-the unigram noise. One product of all contexts with all symbols, normalised by
+the unigram noise. Nothing is drawn: each step takes every counted pair with
+its count and all symbols as noise with their expected number, so its work is
+bounded by SYMBOLS^2 at any corpus size. One product of all contexts with all symbols, normalised by
 rows, then gives every log-probability. A word of a class has the class's
 probability times (c + 1) / (N + V + 1) of the class, so that all words, those
 never seen included, share one distribution.
@@ -39,10 +41,10 @@ from shelfaudit.llm.common import binary, fold_of, map_batches, slices
 from shelfaudit.session import stage
 
 END = b""  # no word is empty
-WORDS, CLASSES = 1024, 256
+WORDS, CLASSES = 1536, 512
 SYMBOLS = WORDS + CLASSES
 HEAD = 100_000
-WIDTH, STEPS, BATCH, NOISE, RATE, SEED = 24, 600, 4096, 256, 0.1, 11
+WIDTH, STEPS, NOISE, RATE, SEED = 24, 200, 256, 0.05, 11
 #: Distinct words a counting task holds before it passes its counts on.
 HELD = 500_000
 
@@ -179,45 +181,49 @@ class LogBilinear:
 
 
 def train_nce(pairs: np.ndarray, steps: int = STEPS) -> LogBilinear:
-    """Noise-contrastive estimation on pairs drawn by their counts; noise is drawn by the unigram counts."""
+    """Noise-contrastive estimation, NOISE noise symbols a pair by the unigram counts; each step is over all counted pairs.
+
+    A symbol that no pair has stays at its smoothed unigram.
+    """
     rng = np.random.default_rng(SEED)
     noise_p = pairs.sum(0) + 0.5
     noise_p = noise_p / noise_p.sum()
-    log_kp = np.log(NOISE * noise_p).astype(np.float32)
+    expected = (NOISE * noise_p).astype(np.float32)
+    log_kp = np.log(expected)
     p = {
         "r": rng.normal(0, 0.3, (SYMBOLS, WIDTH)), "c": np.eye(WIDTH) + rng.normal(0, 0.05, (WIDTH, WIDTH)),
         "q": rng.normal(0, 0.3, (SYMBOLS, WIDTH)), "b": np.log(noise_p),
     }
     p = {k: v.astype(np.float32) for k, v in p.items()}
-    flat = pairs.ravel()
-    at = np.flatnonzero(flat)
-    if not len(at):
-        p["q"][:] = 0
+    of_context = pairs.sum(1)
+    contexts, unseen = np.flatnonzero(of_context), pairs.sum(0) == 0
+    p["r"][of_context == 0] = 0
+    p["q"][unseen] = 0
+    if not len(contexts):
         return LogBilinear(**p)
-    upto = np.cumsum(flat[at])
-    noise_upto = np.cumsum(noise_p)
-    square = {k: np.full_like(v, 1e-3) for k, v in p.items()}
+    share = (pairs[contexts] / of_context.sum()).astype(np.float32)
+    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
     for step in range(steps):
-        drawn = at[np.searchsorted(upto, rng.integers(0, upto[-1], BATCH), "right")]
-        ctx, hit = drawn // SYMBOLS, drawn % SYMBOLS
-        noise = np.minimum(np.searchsorted(noise_upto, rng.random(NOISE)), SYMBOLS - 1)
-        r, q, qn = p["r"][ctx], p["q"][hit], p["q"][noise]
-        guess = r @ p["c"]
-        up = 1 / (1 + np.exp(np.clip(log_kp[hit] - (guess * q).sum(1) - p["b"][hit], -30, 30))) - 1
-        down = 1 / (1 + np.exp(np.clip(log_kp[noise] - guess @ qn.T - p["b"][noise], -30, 30)))
-        up, down = up / BATCH, down / BATCH
-        d_guess = up[:, None] * q + down @ qn
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        np.add.at(g["q"], hit, up[:, None] * guess)
-        np.add.at(g["q"], noise, down.T @ guess)
-        np.add.at(g["b"], hit, up)
-        np.add.at(g["b"], noise, down.sum(0))
-        g["c"] = r.T @ d_guess
-        np.add.at(g["r"], ctx, d_guess @ p["c"].T)
+        for k in range(0, len(contexts), 256):
+            own, data = contexts[k:k + 256], share[k:k + 256]
+            r = p["r"][own]
+            guess = r @ p["c"]
+            # of the pairs and the noise at (context, symbol), the part that the model takes for pairs
+            d = 1 / (1 + np.exp(np.clip(log_kp - guess @ p["q"].T - p["b"], -30, 30)))
+            d *= data + data.sum(1, keepdims=True) * expected
+            d -= data
+            d_guess = d @ p["q"]
+            g["q"] += d.T @ guess
+            g["b"] += d.sum(0)
+            g["c"] += r.T @ d_guess
+            g["r"][own] = d_guess @ p["c"].T
+        g["q"][unseen], g["b"][unseen] = 0, 0
         rate = RATE * (1 - 0.9 * step / steps)
         for k in p:
-            square[k] += (g[k] * BATCH / 64) ** 2
-            p[k] -= rate * (g[k] * BATCH / 64) / np.sqrt(square[k])
+            mean[k] += 0.1 * (g[k] - mean[k])
+            square[k] += 0.01 * (g[k] ** 2 - square[k])
+            p[k] -= rate * (mean[k] / (1 - 0.9 ** (step + 1))) / (np.sqrt(square[k] / (1 - 0.99 ** (step + 1))) + 1e-14)
     return LogBilinear(**p)
 
 

@@ -162,6 +162,18 @@ def test_lm_is_normalised(docs_of):
     assert known.total == 30 * 41 and known.distinct == counts.count() == len(PLAIN) + 1
 
 
+def test_lm_learns_rare_pairs():
+    """Pairs counted once are learned though one pair has nearly all of the counts; symbols never seen keep the unigram."""
+    pairs = np.zeros((lm.SYMBOLS, lm.SYMBOLS), np.int64)
+    pairs[0, 0] = 10**9
+    for k in range(1, 400):
+        pairs[k, 400 + k % 4] = 1
+    table = lm.train_nce(pairs).log10_probabilities()
+    rare = [table[k, 400 + k % 4] for k in range(1, 400)]
+    assert np.mean(rare) > -1 and min(rare) > -3  # a sample of pairs leaves them at the unigram, -7
+    assert table[0, 0] > -0.01 and (10.0 ** table[:, 1000:]).sum() < 0.1 and lm.WORDS >= 1536 and lm.CLASSES >= 512
+
+
 def test_lm_words_beyond_the_head(docs_of, monkeypatch):
     rows = [(i, prose(30) + f" rare{i}") for i in range(60)]
     whole = sorted(map(str, lm.lm_scores(docs_of(rows), steps=5).select("id", "n_known", F.round("base_score", 6)).collect()))
