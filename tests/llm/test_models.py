@@ -223,6 +223,18 @@ def test_formats_are_inferred():
     assert [s[0] for s in spans] == ["format-github"] or spans == []
 
 
+def test_tokens_like_base_values_are_not_base(docs_of):
+    """Keyword-less tokens shaped like the assigned ones become like-assign spans and leave the base spans alone."""
+    draw = random.Random(4)
+    token = lambda: "".join(draw.choices("ABCDEFGHJKLMNPQRSTUVWXYZ23456789", k=24))
+    rows = [(i, f"password={token()} www.example.com/donaudampfschifffahrt") for i in range(150)] + [(1000 + i, f"see {token()} there") for i in range(50)]
+    docs = docs_of(rows)
+    got = secret_scan.secret_scan(docs, secret_scan.fit_formats(docs)).collect()
+    base = lambda r: [f"{s.kind}:{s.start}:{s.end}" for s in r.spans if s.kind in secret_scan.KINDS]
+    assert sorted((r.id, base(r)) for r in got) == sorted((i, brute_spans(t)) for i, t in rows)
+    assert sum(s.kind == "like-assign" for r in got if r.id >= 1000 for s in r.spans) > 40
+
+
 def test_background_counts_all_texts(docs_of):
     """Texts with one beginning, and one text, count in full: the background has no sample."""
     rows = [(i, "one long beginning that all the texts of this source have in common: " + f"mail{i}.example.com/index") for i in range(40)] + [(99, "donaudampfschifffahrt")]
