@@ -223,6 +223,36 @@ def test_formats_are_inferred():
     assert [s[0] for s in spans] == ["format-github"] or spans == []
 
 
+def test_glued_and_real_keys():
+    """Keys behind other token characters, beside base spans, and of the real shapes are found where they are."""
+    draw = random.Random(12)
+    model = secret_scan.learn(secret_scan.examples(), ["mail2.example.com", "4041894974608795", "donaudampfschiff"] * 50)
+    some = lambda n, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "".join(draw.choices(of, k=n))
+    digits = "0123456789"
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+    made = (
+        lambda: ("GH=", "ghp_" + some(36), ""), lambda: ("https://maps.example.com/api?key=", "AIza" + some(35), "&v=3"), lambda: ("https://host/x/", "sk_live_" + some(24), "/y"),
+        lambda: ("KEY=", "ASIA" + some(16, upper), ""), lambda: ("x", "npm_" + some(36), "."), lambda: (some(32, "0123456789abcdef") + "=", "ghp_" + some(36), ""),
+        lambda: ("", f"xoxb-{some(12, digits)}-{some(12, digits)}-{some(24)}", ""), lambda: ("SLACK=", f"xoxb-{some(11, digits)}-{some(24)}", ""),
+        lambda: ("", f"SG.{some(22)}.{some(43)}", ""), lambda: ("mail/", f"SG.{some(22)}.{some(43)}", "/x"),
+    )
+    for n, make in enumerate(made):
+        found = 0
+        for _ in range(40):
+            before, key, after = make()
+            spans = secret_scan.all_spans(f"{before}{key}{after} end", model)
+            found += any((s, e) == (len(before), len(before) + len(key)) for _, s, e, _ in spans)
+            assert all(a[2] <= b[1] for a, b in zip(spans, spans[1:]))
+        assert found >= 34, (n, found)
+    assert secret_scan.all_spans("www.example.com/donaudampfschifffahrt/mail7.example.com=" + "=" * 5000 + "./" * 5000, model) == []
+
+
+def test_free_runs():
+    text = "a" * 20 + "B" * 30 + "c" * 20 + " " + "d" * 15 + "E" * 20
+    assert list(secret_scan.free_runs(text, [(20, 50), (30, 40)])) == [(0, 20), (50, 70), (71, 106)]
+    assert list(secret_scan.free_runs(text, [(60, 86)])) == [(0, 60), (86, 106)] and list(secret_scan.free_runs(text, [(0, 106)])) == []
+
+
 def test_tokens_like_base_values_are_not_base(docs_of):
     """Keyword-less tokens shaped like the assigned ones become like-assign spans and leave the base spans alone."""
     draw = random.Random(4)
