@@ -10,7 +10,8 @@ source_size, target and taken (words the mix takes, repeats counted) of each
 document it takes at least once.
 
 Defined results: null or empty texts are clean, equal each other, and have
-size 0, so the mix leaves them out; of repeated rows one stays; an id that is
+size 0, so the mix leaves them out; the mix takes rows, also those with a null
+or repeated id, each with its own size and taken; of repeated rows one stays; an id that is
 still there twice, with different texts, goes if one of them goes; rows with a
 null id never go as near copies; an empty table runs through; further columns
 are passed on (the mix's own four replace any of these names).
@@ -68,11 +69,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target and taken."""
     figures = ["size", "source_size", "target", "taken"]
-    found = mixing.mix(docs).filter("taken > 0").groupBy(F.col("id").alias("__id"), F.col("source").alias("__source")).agg(*[F.max(c).alias(c) for c in figures])
-    found = stage(found, "pipeline-mix")
+    # written with a number of each row, so that rows with one id, or none, stay apart
+    docs = stage(docs.drop(*figures).withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = stage(mixing.mix(docs, row_col="__row").filter("taken > 0").select(F.col("row").alias("__taken"), *figures), "pipeline-mix")
     few = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    mine = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source"))
-    return docs.drop(*figures).join(F.broadcast(found) if few else found, mine).drop("__id", "__source")
+    return docs.join(F.broadcast(found) if few else found, F.col("__row") == F.col("__taken")).drop("__row", "__taken")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

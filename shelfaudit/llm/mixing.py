@@ -132,20 +132,23 @@ def schedule(sized: DataFrame, targets: DataFrame, max_epochs: int = MAX_EPOCHS,
     return queue.filter(below).unionByName(edge).drop("time")
 
 
-def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Staged (row, id, source, size); row tells repeated ids apart."""
-    sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_size(F.col(text_col)).alias("size"))
-    return stage(sized.withColumn("row", F.monotonically_increasing_id()), "mix-sizes")
+def sizes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """Staged (row, id, source, size); row tells repeated ids apart: the caller's ``row_col``, or a number given here."""
+    row = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    return stage(docs.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), text_size(F.col(text_col)).alias("size"), row.alias("row")), "mix-sizes")
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row (id, source, size, source_size, target, taken) per row of ``docs``; taken counts repeats."""
-    sized = sizes(docs, id_col, text_col, source_col)
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: int = 42, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None) -> DataFrame:
+    """One row (id, source, size, source_size, target, taken) per row of ``docs``; taken counts repeats.
+
+    With ``row_col``, a column of ``docs`` that no two rows share, each row has it as ``row`` too.
+    """
+    sized = sizes(docs, id_col, text_col, source_col, row_col)
     targets = stage(source_targets(sized, weights, max_epochs), "mix-targets")
     taken = schedule(sized, targets, max_epochs, seed).groupBy(F.col("row").alias("t_row")).agg(F.sum("size").alias("taken"))
     named = targets.select(F.col("source").alias("t_source"), "source_size", "target")
     return (
         sized.join(taken, F.col("row") == F.col("t_row"), "left")
         .join(named, F.col("source").eqNullSafe(F.col("t_source")), "left")
-        .select("id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
+        .select(*(["row"] if row_col else []), "id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )

@@ -80,6 +80,20 @@ def test_stages_equal_brute_force(spark, tables):
         assert abs(sum(r.taken for r in own) - own[0].target) <= 2 * max(sizes.values())
 
 
+def test_mix_goes_by_row(spark, docs_of):
+    """Rows with a null or one repeated id come back as the mix took them: each with its size, none that it left out."""
+    from shelfaudit.llm.mixing import mix
+
+    rows = [(None if i % 2 else 7, prose(3 + i), f"s{i % 3}") for i in range(120)]
+    docs = docs_of(rows, clash=False)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = pipeline.mix_sources(spark, docs, "").collect()
+    want = mix(docs).filter("taken > 0").collect()
+    figures = lambda r: (str(r.doc_id if "doc_id" in r else r.id), r.source, r["size"], r.taken)
+    assert sorted(map(figures, got)) == sorted(map(figures, want)) and len(got) < len(rows)
+    assert all(r["size"] == len(r.text.split()) for r in got)
+
+
 def test_run_and_empty_table(spark, tables, docs_of, tmp_path):
     assert pipeline.ORACLE_SQL is None
     assert pipeline.run(spark, tables).filter("taken > 0").count() > 0
