@@ -13,9 +13,3 @@ def spark():
     s = local_session(4, shuffle_partitions=4)
     yield s
     s.stop()
-
-
-def ts(text):
-    import datetime as dt
-
-    return dt.datetime.fromisoformat(text)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import ts
+from helpers import t as ts
 from shelfaudit.catalog.codes import TEST_CODES as C
 from shelfaudit.functions.period import period_bounds
 from shelfaudit.operators.filters import Binding, FilterSet, apply_filters

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import ts
+from helpers import t as ts
 from shelfaudit.functions import period as P
 from shelfaudit.functions import text as T
 
