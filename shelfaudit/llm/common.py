@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,23 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(k, SLICE)
 
 
+#: Bytes of text that a slice by size holds, about: one text at least.
+SLICE_BYTES = 4 << 20
+
+
+def sized_slices(batches: Iterator[pa.RecordBatch], column: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of up to SLICE rows whose binary ``column`` holds ``most`` bytes or little more, for work that takes many times a text's size."""
+    for batch in slices(batches):
+        at, held = 0, 0
+        for k, n in enumerate(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()):
+            if held and held + n > most:
+                yield batch.slice(at, k - at)
+                at, held = k, 0
+            held += n
+        if at < batch.num_rows:
+            yield batch.slice(at)
+
+
 def map_batches(df: DataFrame, schema: str, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]]) -> DataFrame:
     """``mapInArrow`` where ``setup()`` runs once a task and returns the function of a batch."""
 

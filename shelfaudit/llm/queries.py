@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators: each over its whole table."""
+"""The registered queries of the operators: each over its whole table."""
 
 from __future__ import annotations
 
@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfaudit.llm import quality, toxicity
+from shelfaudit.llm.bpe_tree import bpe_encode, decode_column, read_vocabulary
 from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
+from shelfaudit.llm.hard_negatives import hard_negatives
 from shelfaudit.llm.license_scan import license_scan
 from shelfaudit.llm.lm import lm_scores
 from shelfaudit.llm.mixing import mix
@@ -81,6 +83,23 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+#: The byte-level BPE file of the encoding queries.
+BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = read_vocabulary(BYTE_BPE)
+    found = bpe_encode(table(spark, sf_dir, "documents"), vocabulary)
+    return found.select(
+        F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(decode_column(vocabulary, F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license": op1_license,
     "op2_quality": op2_quality,
@@ -92,4 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op12_bpe": op12_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }

@@ -54,8 +54,27 @@ SELECT d.doc_id, d.size, g.source_size, g.target, coalesce(x.taken, 0) AS taken
 FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source LEFT JOIN x ON d.doc_id = x.doc_id
 """
 
+_OP13 = """
+WITH r AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same, CAST(list_dot_product(a.v, r.v) AS BIGINT) AS score
+  FROM r AS a, r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) <= 5
+"""
+
 SQL: dict[str, str] = {
     "op6_mixing": _OP6,
     "op7_decontaminate": _OP7,
     "op9_exact_dedup": _OP9,
+    "op13_hard_negatives": _OP13,
 }

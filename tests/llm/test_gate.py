@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_all_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert QUERIES.keys() <= E.queries().keys() and "pipeline" in E.queries()
     assert SQL.keys() <= E.oracle_sql().keys() and SQL.keys() <= QUERIES.keys()
 
