@@ -34,11 +34,13 @@ from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +55,12 @@ MARGIN = 8
 FIRST_BYTES, FIRST_TOKENS = 64, 8
 #: A word of more bytes is joined by its tokens.
 LONG_WORD = 256
+#: Bytes of short texts that are cut into words at once, about.
+SLICE_BYTES = 1 << 20
+#: Words that a task remembers the tokens of, and their longest in characters.
+WORDS, REMEMBERED = 1 << 18, 64
+# fixed value: how byte-level pre-tokenizers cut a text into words
+WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,6 +78,10 @@ def token_bytes(vocabulary: str) -> list[bytes]:
     return [words.get(i, b"") for i in range(max(words, default=-1) + 1)]
 
 
+def _pack(ids: np.ndarray) -> bytes:
+    return ids.astype("<u4").tobytes()
+
+
 @dataclass
 class Tokens:
     """An encoded text: ids, and which of them start a word of the pre-tokenizer."""
@@ -78,6 +90,50 @@ class Tokens:
     starts: np.ndarray
 
 
+class Words:
+    """The tokens of texts word by word, each word encoded once as long as it is remembered.
+
+    Libraries differ on characters that newer Unicode versions have assigned, so
+    a text that holds one is left to the tokenizer.
+    """
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.known, self.unassigned = tokenizer, {}, {}
+
+    def common(self, text: str) -> bool:
+        """All characters were assigned long ago."""
+        if text.isascii():
+            return True
+        own = self.unassigned
+        for c in set(text):
+            if c not in own:
+                own[c] = unicodedata.category(c) == "Cn"
+            if own[c]:
+                return False
+        return True
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts without special tokens."""
+        rare = [n for n, t in enumerate(texts) if not self.common(t)]
+        out = self._by_word(["" if n in set(rare) else t for n, t in enumerate(texts)] if rare else texts)
+        for n, e in zip(rare, self.tokenizer.encode_batch_fast([texts[n] for n in rare], add_special_tokens=False)):
+            out[n] = _pack(np.array(e.ids))
+        return out
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
+        found = [WORD.findall(t) for t in texts]
+        if len(self.known) > WORDS:
+            self.known.clear()
+        new = list(set().union(*found).difference(self.known))
+        own = {w: _pack(np.array(e.ids)) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
+        long = {w: x for w, x in own.items() if len(w) > REMEMBERED}
+        self.known |= own
+        out = [b"".join(map(self.known.__getitem__, words)) for words in found]
+        for w in long:
+            del self.known[w]
+        return out
+
+
 class Bpe:
     """A byte-level BPE tokenizer with what joining needs. ``vocabulary``: the text of its JSON file."""
 
@@ -91,8 +147,10 @@ class Bpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         file = json.loads(vocabulary)
-        if any(t[k] for t in file["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) or file["normalizer"] or file["pre_tokenizer"]["add_prefix_space"]:
+        cutter = file["pre_tokenizer"]
+        if any(t[k] for t in file["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) or file["normalizer"] or (cutter["type"], cutter["add_prefix_space"], cutter["use_regex"]) != ("ByteLevel", False, True):
             raise ValueError("only plain byte-level tokenizers can be joined")
+        self.by_word = Words(self.tokenizer)
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
         self.special_ids = np.array(sorted(self.special.values()), np.int64)
         names = sorted(map(re.escape, self.special), key=lambda x: (-len(x), x))
@@ -100,8 +158,11 @@ class Bpe:
         self.bytes = token_bytes(vocabulary)
         self.size = np.fromiter(map(len, self.bytes), np.int64, len(self.bytes))
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.int64) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids; special tokens are cut out first."""
+        parts = [self.cut.split(t) if self.cut else [t] for t in texts]
+        plain = iter(self.by_word.encode([p for own in parts for p in own[::2]]))
+        return [b"".join(_pack(np.array([self.special[p]])) if k % 2 else next(plain) for k, p in enumerate(own)) for own in parts]
 
     def leaf(self, text: str) -> Tokens:
         found = self.tokenizer.encode(text, add_special_tokens=False)
@@ -236,17 +297,13 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    return ids.astype("<u4").tobytes()
-
-
 def _short(df: DataFrame, vocabulary: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = None
-        for batch in sized_slices(batches, 1):
+        for batch in sized_slices(batches, 1, SLICE_BYTES):
             bpe = bpe or Bpe(vocabulary)
             found = bpe.encode([t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(map(_pack, found), pa.binary())], ["id", "ids"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "ids"])
 
     return df.select("id", "t").mapInArrow(run, "id long, ids binary")
 

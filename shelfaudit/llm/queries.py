@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfaudit.llm import quality, toxicity
+from shelfaudit.llm.alignment import alignment
 from shelfaudit.llm.bpe_tree import bpe_encode, decode_column, read_vocabulary
 from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
@@ -83,8 +84,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
-#: The byte-level BPE file of the encoding queries.
-BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
+#: Tokenizer files of the encoding and alignment queries.
+BYTE_BPE, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(PIECES, "rb") as f:
+        found = alignment(table(spark, sf_dir, "documents"), read_vocabulary(BYTE_BPE), f.read())
+    return found.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": op8_secrets,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_token_counts": op10_token_counts,
+    "op11_alignment": op11_alignment,
     "op12_bpe": op12_bpe,
     "op13_hard_negatives": op13_hard_negatives,
 }

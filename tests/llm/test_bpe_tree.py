@@ -7,8 +7,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shelfaudit.llm import queries
-from shelfaudit.llm.bpe_tree import Bpe, bpe_encode, decode_column, read_vocabulary, token_bytes
+from shelfaudit.llm import bpe_tree, queries
+from shelfaudit.llm.bpe_tree import WORD, Bpe, bpe_encode, decode_column, read_vocabulary, token_bytes
 from tests.llm.conftest import EDGE
 
 VOCABULARY = read_vocabulary(queries.BYTE_BPE)
@@ -71,6 +71,29 @@ def test_no_leaf_ends_inside_a_special_token(bpe):
     assert tree(bpe, parts).ids.tolist() == whole(bpe, t)
 
 
+def test_words_are_cut_as_the_tokenizer_does(bpe):
+    """Beside letters, digits, signs and spaces, for every character; texts with newly assigned ones are left to it."""
+    cut = bpe.tokenizer.pre_tokenizer.pre_tokenize_str
+    rare = 0
+    for c in map(chr, (*range(0xD800), *range(0xE000, 0x110000))):
+        t = f"a{c}1{c}!{c} {c}{c}x"
+        if bpe.by_word.common(t):
+            assert [len(w.encode()) for w in WORD.findall(t)] == [len(w) for w, _ in cut(t)], hex(ord(c))
+        else:
+            rare += 1
+    assert rare
+    odd = ["a\u0558 \u05581", "b", "\U00010EC6\U00010EC6 x"]
+    assert [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(odd)] == [whole(bpe, t) for t in odd]
+
+
+def test_word_by_word_equals_whole_texts(bpe, monkeypatch):
+    monkeypatch.setattr(bpe_tree, "WORDS", 50)  # forgotten again and again
+    own = [t for _, t in zip(range(400), texts())]
+    for k in range(0, len(own), 20):
+        got = [np.frombuffer(x, "<u4").tolist() for x in bpe.encode(own[k:k + 20])]
+        assert got == [whole(bpe, t) for t in own[k:k + 20]]
+
+
 def test_rows_equal_whole_texts(spark, docs_of, bpe):
     rows = [*EDGE, (20, "x  " + SPECIAL + " y" + SPECIAL), (21, "a" * 9000 + " b"), (None, " " * 5000 + "z"), (22, "=" * 7000)]
     for leaf in (256, 1 << 16):
