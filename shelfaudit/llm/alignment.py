@@ -28,6 +28,7 @@ columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,15 +38,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.llm.bpe_tree import Words, token_bytes
-from shelfaudit.llm.common import binary, sized_slices
+from shelfaudit.llm.common import binary, sized_slices, slices
 from shelfaudit.session import stage
 
 #: Pairs of ids whose counts are sent to all tasks (17 bytes each); more are joined by a shuffle.
 PAIRS = 4_000_000
 #: Distinct pairs a task holds before it passes their counts on, and pairs in one row of them.
-HELD, PART = 500_000, 50_000
+HELD, PART = 200_000, 50_000
 #: Bytes of text in a slice, about.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+
+#: How an id of a link is written.
+ID = np.dtype("<u2")
+#: The end byte's part of a key of (document, end); Spark's strings are shorter.
+END = 1 << 32
 
 _LIST = pa.list_(pa.int32())
 
@@ -64,11 +70,14 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        self.by_word = Words(self.a)
+        words = Tokenizer.from_str(byte_bpe)  # this one knows special tokens, which no word is
+        self.by_word = Words(self.a, {t["content"]: t["id"] for t in json.loads(byte_bpe)["added_tokens"]}, words)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
         a_bytes, b_bytes = token_bytes(byte_bpe), [self._piece(i) for i in range(self.b.get_piece_size())]
         self.bytes = [pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)]
         self.sizes = [pc.binary_length(x) for x in self.bytes]
+        if max(map(len, self.bytes)) > np.iinfo(ID).max + 1:
+            raise ValueError(f"ids of links are written as {ID.name}; the vocabularies have more")
         # how a group writes an id: followed by a comma, or as the last of its side
         written = [f"{i}{mark}" for n, last in ((len(a_bytes), "|"), (len(b_bytes), ";")) for i in range(n) for mark in (",", last)]
         self.written = pa.array(written, pa.large_string())
@@ -101,12 +110,13 @@ def _unlike(ids: pa.ListArray, table: pa.Array, texts: list[bytes]) -> list[int]
 
 
 def _ends(ids: pa.ListArray, sizes: pa.Array, name: str) -> pa.Table:
-    """(doc, end, place) of every token: the document's number, the byte its token ends at, the token's number."""
+    """(end, place) of every token: the document's number and the byte its token ends at, as one key; the token's number."""
     doc, flat = pc.list_parent_indices(ids), ids.flatten()
     running = pc.cumulative_sum(pc.cast(pc.take(sizes, flat), pa.int64()))
     upto = pa.concat_arrays([pa.array([0], pa.int64()), running.combine_chunks() if isinstance(running, pa.ChunkedArray) else running])
     before = pc.take(upto, ids.offsets[:-1])  # of each document
-    return pa.table({"doc": pc.cast(doc, pa.int64()), "end": pc.subtract(running, pc.take(before, doc)), name: pa.array(np.arange(len(flat)))})
+    end = pc.add(pc.multiply(pc.cast(doc, pa.int64()), pa.scalar(END)), pc.subtract(running, pc.take(before, doc)))
+    return pa.table({"end": end, name: pa.array(np.arange(len(flat), dtype=np.int32))})
 
 
 def _before(flags: pa.ChunkedArray) -> pa.ChunkedArray:
@@ -122,18 +132,22 @@ class Aligned:
         self.docs = len(texts)
         self.a, self.b = tokenizers.encode(texts)
         sides = [_ends(x, sizes, name) for x, sizes, name in zip((self.a, self.b), tokenizers.sizes, ("a", "b"))]
-        met = sides[0].join(sides[1], keys=["doc", "end"], join_type="full outer", use_threads=False)
-        met = met.sort_by([("doc", "ascending"), ("end", "ascending")])
+        met = sides[0].join(sides[1], keys="end", join_type="full outer", use_threads=False).sort_by("end")
         self.is_a, self.is_b = pc.is_valid(met["a"]), pc.is_valid(met["b"])
         self.both = pc.and_(self.is_a, self.is_b)
         # the stretch that ends in a row lies in the token that hasn't ended before it
         self.link_a, self.link_b = (_one(pc.take(ids.flatten(), _before(on))) for ids, on in ((self.a, self.is_a), (self.b, self.is_b)))
-        self.starts = np.searchsorted(met["doc"].to_numpy(), np.arange(self.docs + 1))
+        self.starts = np.searchsorted(met["end"].to_numpy(), np.arange(self.docs + 1) * END)
         self.hashes = self._hashes(tokenizers)
 
-    def links(self) -> list[pa.ListArray]:
-        offsets = pa.array(self.starts, pa.int32())
-        return [pa.ListArray.from_arrays(offsets, x) for x in (self.link_a, self.link_b)]
+    def links(self) -> list[pa.Array]:
+        """Each document's A ids and B ids of its links, packed."""
+        ends = (self.starts * ID.itemsize).astype(np.int32)
+        packed = [pa.py_buffer(x.to_numpy().astype(ID).tobytes()) for x in (self.link_a, self.link_b)]
+        return [pa.Array.from_buffers(pa.binary(), self.docs, [None, pa.py_buffer(ends.tobytes()), x]) for x in packed]
+
+    def n_links(self) -> pa.Array:
+        return pa.array(np.diff(self.starts), pa.int64())
 
     def groups(self) -> pa.Array:
         """Groups of each document."""
@@ -173,11 +187,11 @@ def _one(column) -> pa.Array:
 
 _ALIGNED = pa.schema([
     ("row", pa.int64()), ("id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups_sha256", pa.string()),
-    ("link_a", _LIST), ("link_b", _LIST), ("part_a", _LIST), ("part_b", _LIST), ("part_n", pa.list_(pa.int64())),
+    ("link_a", pa.binary()), ("link_b", pa.binary()), ("part_a", _LIST), ("part_b", _LIST), ("part_n", pa.list_(pa.int64())),
 ])
 _ALIGNED_SQL = (
     "row long, id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
-    "link_a array<int>, link_b array<int>, part_a array<int>, part_b array<int>, part_n array<long>"
+    "link_a binary, link_b binary, part_a array<int>, part_b array<int>, part_n array<long>"
 )
 
 
@@ -210,7 +224,7 @@ def align(docs: DataFrame, byte_bpe: str, pieces: bytes, id_col: str = "doc_id",
             link_a, link_b = found.links()
             none = [pa.nulls(batch.num_rows, t) for t in (_LIST, _LIST, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), batch.column(1), *counts, found.groups(), pc.cast(pc.list_value_length(link_a), pa.int64()),
+                batch.column(0), batch.column(1), *counts, found.groups(), found.n_links(),
                 pa.array(found.hashes, pa.string()), link_a, link_b, *none,
             ], schema=_ALIGNED)
             held.append(found.pairs())
@@ -234,6 +248,12 @@ def align(docs: DataFrame, byte_bpe: str, pieces: bytes, id_col: str = "doc_id",
 _FIGURES = ("row", "id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place of the document, A id, B id) of every link of a batch."""
+    a, b = (np.frombuffer(b"".join(x or b"" for x in batch.column(c).to_pylist()), ID).astype(np.int64) for c in ("link_a", "link_b"))
+    return np.repeat(np.arange(batch.num_rows), batch.column("n_links").to_numpy()), a, b
+
+
 def _looked_up(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """Figures of the documents with the counts of all pairs in every task."""
     known = pairs.select((F.shiftleft(F.col("a").cast("long"), 32) + F.col("b")).alias("pair"), "n", "best").toArrow()  # PAIRS rows at most
@@ -243,13 +263,14 @@ def _looked_up(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = tables.value
-        for batch in batches:
-            own, a, b = batch.columns[:7], batch.column("link_a"), batch.column("link_b")
-            at = np.searchsorted(pair, (a.flatten().to_numpy().astype(np.int64) << 32) + b.flatten().to_numpy())
-            links = pa.table({"doc": pc.list_parent_indices(a), "n_best": pa.array(best[at].astype(np.int64)), "count_sum": pa.array(n[at])})
+        for batch in slices(batches):
+            doc, a, b = _unpacked(batch)
+            at = np.searchsorted(pair, (a << 32) + b)
+            links = pa.table({"doc": doc, "n_best": best[at].astype(np.int64), "count_sum": n[at]})
             sums = links.group_by("doc", use_threads=False).aggregate([("n_best", "sum"), ("count_sum", "sum")])
             totals = np.zeros((2, batch.num_rows), np.int64)
             totals[:, sums["doc"].to_numpy()] = sums["n_best_sum"].to_numpy(), sums["count_sum_sum"].to_numpy()
+            own = batch.columns
             yield pa.RecordBatch.from_arrays([*own[:6], pa.array(totals[0]), pa.array(totals[1]), own[6]], list(_FIGURES))
 
     figures = "row long, id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -258,8 +279,15 @@ def _looked_up(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def _joined(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """Figures of the documents by a shuffle of their links, counted by document first."""
-    links = documents.select("row", F.explode(F.arrays_zip("link_a", "link_b")).alias("l"))
-    links = links.groupBy("row", F.col("l.link_a").alias("a"), F.col("l.link_b").alias("b")).agg(F.count(F.lit(1)).alias("times"))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            doc, a, b = _unpacked(batch)
+            found = pa.table({"row": batch.column("row").take(pa.array(doc)), "a": a.astype(np.int32), "b": b.astype(np.int32)})
+            found = found.group_by(["row", "a", "b"], use_threads=False).aggregate([([], "count_all")])
+            yield from found.rename_columns(["row", "a", "b", "times"]).to_batches()
+
+    links = documents.select("row", "n_links", "link_a", "link_b").mapInArrow(count, "row long, a int, b int, times long")
     sums = links.join(pairs, ["a", "b"]).groupBy(F.col("row").alias("of")).agg(
         F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
     zero = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_best", "count_sum")]

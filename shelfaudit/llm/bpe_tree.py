@@ -58,7 +58,7 @@ LONG_WORD = 256
 #: Bytes of short texts that are cut into words at once, about.
 SLICE_BYTES = 1 << 20
 #: Words that a task remembers the tokens of, and their longest in characters.
-WORDS, REMEMBERED = 1 << 18, 64
+WORDS, REMEMBERED = 1 << 17, 64
 # fixed value: how byte-level pre-tokenizers cut a text into words
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -97,8 +97,10 @@ class Words:
     a text that holds one is left to the tokenizer.
     """
 
-    def __init__(self, tokenizer):
-        self.tokenizer, self.known, self.unassigned = tokenizer, {}, {}
+    def __init__(self, tokenizer, special: dict[str, int], of_words=None):
+        """``special``: ids of special tokens, which the tokenizer ``of_words`` (or else ``tokenizer``) knows in a text."""
+        self.tokenizer, self.of_words, self.known, self.unassigned = tokenizer, of_words or tokenizer, {}, {}
+        self.between = next(((t, i) for t, i in special.items() if len(WORD.findall(t)) > 1), None)
 
     def common(self, text: str) -> bool:
         """All characters were assigned long ago."""
@@ -114,8 +116,8 @@ class Words:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of texts without special tokens."""
-        rare = [n for n, t in enumerate(texts) if not self.common(t)]
-        out = self._by_word(["" if n in set(rare) else t for n, t in enumerate(texts)] if rare else texts)
+        rare = {n for n, t in enumerate(texts) if not self.common(t)}
+        out = self._by_word(["" if n in rare else t for n, t in enumerate(texts)])
         for n, e in zip(rare, self.tokenizer.encode_batch_fast([texts[n] for n in rare], add_special_tokens=False)):
             out[n] = _pack(np.array(e.ids))
         return out
@@ -125,14 +127,24 @@ class Words:
         if len(self.known) > WORDS:
             self.known.clear()
         new = list(set().union(*found).difference(self.known))
-        own = {w: _pack(np.array(e.ids)) for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))}
-        long = {w: x for w, x in own.items() if len(w) > REMEMBERED}
-        self.known |= own
+        self.known |= zip(new, self._encoded(new))
         out = [b"".join(map(self.known.__getitem__, words)) for words in found]
-        for w in long:
-            del self.known[w]
+        for w in new:
+            if len(w) > REMEMBERED:
+                del self.known[w]
         return out
 
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        """Packed ids of single words."""
+        if self.between is None:
+            return [_pack(np.array(e.ids)) for e in self.of_words.encode_batch_fast(words, add_special_tokens=False)]
+        # a special token between them: one text costs less than many
+        text, mark = self.between
+        ids = np.array(self.of_words.encode_batch_fast([text.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(ids == mark), len(ids)) * 4
+        raw, begins = ids.tobytes(), np.append(0, ends[:-1] + 4)
+        return [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())] if words else []
+
 
 class Bpe:
     """A byte-level BPE tokenizer with what joining needs. ``vocabulary``: the text of its JSON file."""
@@ -150,8 +162,8 @@ class Bpe:
         cutter = file["pre_tokenizer"]
         if any(t[k] for t in file["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) or file["normalizer"] or (cutter["type"], cutter["add_prefix_space"], cutter["use_regex"]) != ("ByteLevel", False, True):
             raise ValueError("only plain byte-level tokenizers can be joined")
-        self.by_word = Words(self.tokenizer)
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.by_word = Words(self.tokenizer, self.special)
         self.special_ids = np.array(sorted(self.special.values()), np.int64)
         names = sorted(map(re.escape, self.special), key=lambda x: (-len(x), x))
         self.cut = re.compile("(" + "|".join(names) + ")") if names else None

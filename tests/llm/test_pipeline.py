@@ -30,6 +30,41 @@ def pairs(df):
     return sorted(((r.doc_id, r.text) for r in df.select("doc_id", "text").collect()), key=str)
 
 
+def one_of_each_class(rows):
+    """Of each SimHash class of (id, text) rows one with the smallest id; null last."""
+    by_place = [(n, brute_simhash(t)) for n, (_, t) in enumerate(rows)]
+    best = {}
+    for n, c in enumerate(classes(by_place, 2)):
+        key = (rows[n][0] is None, rows[n][0] or 0, n)
+        best[c] = min(best.get(c, key), key)
+    return sorted((rows[k[-1]] for k in best.values()), key=str)
+
+
+def without_leaks(rows):
+    """Rows by themselves, whatever their ids."""
+    return [r for r in rows if not brute_decontaminate([(0, r[1])], [(1, seq(10, 40))])[0][-1]]
+
+
+def test_decisions_go_by_row(spark, docs_of, tables):
+    """Contaminated, copied and near-copied rows under null and repeated ids: those go, rows that share their id stay."""
+    text = [prose(60 + i) for i in range(8)]
+    leak = seq(0, 60)
+    rows = [(None, text[0]), (None, leak), (None, text[1]), (7, text[2]), (7, leak + " x"), (7, text[2]), (7, text[3]), (None, text[3]), (None, text[3]),
+            (9, text[4]), (9, text[5]), (None, text[4] + " tail"), (3, text[4] + " tail"), (None, None), (9, ""), (None, ""), (11, text[6]), (11, text[6] + " tail"), (12, "clean")]
+    docs = docs_of(rows, clash=False)
+    docs = spark.createDataFrame(docs.collect(), docs.schema)
+
+    clean = pairs(pipeline.drop_contaminated(spark, docs, tables))
+    assert clean == sorted(without_leaks(rows), key=str) and len(clean) == len(rows) - 2
+    near = pairs(pipeline.drop_near_copies(spark, docs, tables))
+    assert [r[0] for r in near] == [r[0] for r in one_of_each_class(rows)] and len(near) < len(rows)
+    best = {}
+    for i, t in rows:
+        best[t or ""] = max(best.get(t or "", -1), -1 if i is None else i)
+    got = pairs(pipeline.drop_copies(spark, docs, tables))
+    assert sorted(((-1 if i is None else i), t or "") for i, t in got) == sorted((i, t) for t, i in best.items())
+
+
 def test_stages_equal_brute_force(spark, tables):
     docs = spark.read.parquet(f"{tables}/documents.parquet")
     columns = docs.columns
@@ -57,17 +92,14 @@ def test_stages_equal_brute_force(spark, tables):
     apart = steps["simhash near-dedup"](spark, unique, tables)
     assert apart.columns == columns
     rows = pairs(unique)
-    fps = [(i, brute_simhash(t)) for i, t in rows]
-    gone = {i for (i, _), c in zip(fps, classes(fps, 2)) if i is not None and i != c}
-    assert pairs(apart) == [r for r in rows if r[0] not in gone]
+    assert pairs(apart) == one_of_each_class(rows)
     apart = spark.createDataFrame(apart.collect(), apart.schema)
 
     kept = steps["benchmark decontamination"](spark, apart, tables)
     assert kept.columns == columns
     rows = pairs(apart)
-    leaked = {d[0] for d in brute_decontaminate(rows, [(1, seq(10, 40))]) if d[-1]}
-    assert leaked == {331}
-    assert pairs(kept) == [r for r in rows if r[0] not in leaked]
+    assert pairs(kept) == without_leaks(rows)
+    assert {r[0] for r in rows} - {r[0] for r in pairs(kept)} == {331}
     kept = spark.createDataFrame(kept.collect(), kept.schema)
 
     mixed = steps["mixing to target weights"](spark, kept, tables).collect()
