@@ -9,12 +9,16 @@ last the columns of ``docs``, the last one the columns of ``docs`` with size,
 source_size, target and taken (words the mix takes, repeats counted) of each
 document it takes at least once.
 
+Decisions go by row, never by id: a stage that needs an operator's verdict
+writes its rows once with a number each, gives the operator that number as the
+id, and joins the verdict back by it. Null and repeated ids therefore lose
+nothing; where one row of a group stays, it is chosen by ``doc_id`` (null last),
+then by row.
+
 Defined results: null or empty texts are clean, equal each other, and have
-size 0, so the mix leaves them out; the mix takes rows, also those with a null
-or repeated id, each with its own size and taken; of repeated rows one stays; an id that is
-still there twice, with different texts, goes if one of them goes; rows with a
-null id never go as near copies; an empty table runs through; further columns
-are passed on (the mix's own four replace any of these names).
+size 0, so the mix leaves them out; of equal rows one stays; an empty table
+runs through; further columns are passed on (the mix's own four replace any of
+these names).
 """
 
 from __future__ import annotations
@@ -37,40 +41,47 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.filter(toxicity.score_column(model, F.col("text")) < toxicity.CUT)
 
 
+def _numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with ``__row``, written once, so that the number of a row stays what it is."""
+    return stage(docs.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
+def _one_of_each(rows: DataFrame, groups: DataFrame, largest: bool) -> DataFrame:
+    """``rows`` without those of a group (row, group) that aren't its one row with the largest (smallest) id."""
+    order = F.col("doc_id").cast("long")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), (-order if largest else order).alias("id"), F.col("row").alias("row"))
+    members = stage(groups.join(rows.select(F.col("__row").alias("row"), "doc_id"), "row"), "pipeline-members")
+    stays = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("stays")).filter("n > 1")
+    gone = members.join(stays, "group").filter(F.col("row") != F.col("stays.row")).select("row")
+    return keep_ids(rows, "__row", stage(gone, "pipeline-gone"), "left_anti").drop("__row")
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts: the largest id."""
-    found = stage(exact.exact_dedup(docs), "pipeline-exact")
-    copies = found.filter(~F.col("kept")).select("id")
-    gone = keep_ids(docs, "doc_id", copies, "left_anti")
-    # an id can be there twice, with the same text (then one row stays) or with texts that fare differently
-    twice = found.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("id")
-    if twice.isEmpty():
-        return gone
-    mixed = keep_ids(docs, "doc_id", twice, "left_semi").withColumn("__sha", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
-    stay = found.filter("kept").select(F.col("id").alias("__id"), F.col("text_sha256").alias("__kept")).distinct()
-    mixed = mixed.join(stay, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__kept")), "left_semi")
-    return keep_ids(gone, "doc_id", twice, "left_anti").unionByName(mixed.dropDuplicates(["doc_id", "__sha"]).drop("__sha"))
+    rows = _numbered(docs, "pipeline-exact")
+    found = exact.exact_dedup(rows, id_col="__row")
+    return _one_of_each(rows, found.select(F.col("id").alias("row"), F.col("keep_id").alias("group")), largest=True)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component: the smallest id."""
-    found = simhash.simhash_near_dedup(docs, words=3, max_bits=2)
-    gone = stage(found.filter(F.col("id") != F.col("component_id")).select("id").distinct(), "pipeline-near")
-    return keep_ids(docs, "doc_id", gone, "left_anti")
+    rows = _numbered(docs, "pipeline-near")
+    found = simhash.simhash_near_dedup(rows, words=3, max_bits=2, id_col="__row")
+    return _one_of_each(rows, found.select(F.col("id").alias("row"), F.col("component_id").alias("group")), largest=False)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    found = decon.decontaminate(docs, table(spark, sf_dir, "benchmark"), window=10)
-    gone = stage(found.filter("contaminated").select("id").distinct(), "pipeline-contaminated")
-    return keep_ids(docs, "doc_id", gone, "left_anti")
+    rows = _numbered(docs, "pipeline-leaks")
+    found = decon.decontaminate(rows, table(spark, sf_dir, "benchmark"), window=10, id_col="__row")
+    gone = stage(found.filter("contaminated").select("id"), "pipeline-contaminated")
+    return keep_ids(rows, "__row", gone, "left_anti").drop("__row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with size, source_size, target and taken."""
     figures = ["size", "source_size", "target", "taken"]
-    # written with a number of each row, so that rows with one id, or none, stay apart
-    docs = stage(docs.drop(*figures).withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    docs = _numbered(docs.drop(*figures), "pipeline-rows")
     found = stage(mixing.mix(docs, row_col="__row").filter("taken > 0").select(F.col("row").alias("__taken"), *figures), "pipeline-mix")
     few = found.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     return docs.join(F.broadcast(found) if few else found, F.col("__row") == F.col("__taken")).drop("__row", "__taken")
