@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfaudit.llm.bpe_tree import Words, token_bytes
+from shelfaudit.llm.bpe_tree import Remembered, Words, token_bytes
 from shelfaudit.llm.common import binary, sized_slices, slices
 from shelfaudit.session import stage
 
@@ -53,9 +54,40 @@ ID = np.dtype("<u2")
 #: The end byte's part of a key of (document, end); Spark's strings are shorter.
 END = 1 << 32
 
+#: A piece model's sign for a space, and its words: spaces and what follows them.
+SPACE, BETWEEN_SPACES = "▁", re.compile(r" *[^ ]+(?: +\Z)?| +\Z")
+
 _LIST = pa.list_(pa.int32())
 
 
+class PieceWords(Remembered):
+    """Of a piece model, if none of its pieces goes on over a space: a text's tokens are then those of what stands between
+    spaces, each with the spaces before it. A text that the model rewrites, or that holds its sign for a space, is encoded whole."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model = model
+        pieces = (model.id_to_piece(i) for i in range(model.get_piece_size()))
+        self.apart = not any(SPACE in p.lstrip(SPACE) for p in pieces)
+
+    def by_word(self, text: str) -> bool:
+        return self.apart and SPACE not in text and self.model.normalize(text) == (SPACE + text.replace(" ", SPACE) if text else "")
+
+    def words(self, text: str) -> list[str]:
+        return BETWEEN_SPACES.findall(" " + text) if text else []
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [np.array(ids, "<u4").tobytes() for ids in self.model.encode(texts, num_threads=1)]
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        return self.whole([w[1:] for w in words])  # the model adds a space
+
+
+def _lists(packed: list[bytes]) -> pa.ListArray:
+    ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
 class Tokenizers:
     """Both sides. ``byte_bpe``: the text of a byte-level BPE's JSON file; ``pieces``: the bytes of a piece model's file."""
 
@@ -70,9 +102,10 @@ class Tokenizers:
         self.a.encode_special_tokens = True
         self.a.no_truncation()
         self.a.no_padding()
-        words = Tokenizer.from_str(byte_bpe)  # this one knows special tokens, which no word is
-        self.by_word = Words(self.a, {t["content"]: t["id"] for t in json.loads(byte_bpe)["added_tokens"]}, words)
+        special = {t["content"]: t["id"] for t in json.loads(byte_bpe)["added_tokens"]}
+        self.a_words = Words(self.a, special, Tokenizer.from_str(byte_bpe))
         self.b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
+        self.b_words = PieceWords(self.b)
         a_bytes, b_bytes = token_bytes(byte_bpe), [self._piece(i) for i in range(self.b.get_piece_size())]
         self.bytes = [pa.array(x, pa.large_binary()) for x in (a_bytes, b_bytes)]
         self.sizes = [pc.binary_length(x) for x in self.bytes]
@@ -89,10 +122,7 @@ class Tokenizers:
     def encode(self, texts: list[bytes | None]) -> list[pa.ListArray]:
         """Id lists of A and B; empty on both sides where there is nothing to align."""
         whole = [(t or b"").decode("utf-8", "replace") for t in texts]
-        packed = self.by_word.encode([" " + t if t else "" for t in whole])
-        ends = np.cumsum([0, *(len(p) // 4 for p in packed)])
-        a = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
-        found = [a, pa.array(self.b.encode(whole, num_threads=1), _LIST)]
+        found = [_lists(self.a_words.encode([" " + t if t else "" for t in whole])), _lists(self.b_words.encode(whole))]
         spaced = [b" " + t.encode() if t else b"" for t in whole]
         wrong = {n for side, table in zip(found, self.bytes) for n in _unlike(side, table, spaced)}
         if wrong:

@@ -90,20 +90,60 @@ class Tokens:
     starts: np.ndarray
 
 
-class Words:
-    """The tokens of texts word by word, each word encoded once as long as it is remembered.
+class Remembered:
+    """The tokens of texts word by word, each word encoded once as long as it is remembered."""
+
+    def __init__(self):
+        self.known: dict[str, bytes] = {}
+
+    def by_word(self, text: str) -> bool:
+        """Whether the tokens of a text are those of its words."""
+        raise NotImplementedError
+
+    def words(self, text: str) -> list[str]:
+        raise NotImplementedError
+
+    def whole(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of whole texts."""
+        raise NotImplementedError
+
+    def of_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of single words."""
+        raise NotImplementedError
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of texts."""
+        other = [n for n, t in enumerate(texts) if not self.by_word(t)]
+        left = set(other)
+        found = [[] if n in left else self.words(t) for n, t in enumerate(texts)]
+        if len(self.known) > WORDS:
+            self.known.clear()
+        new = list(set().union(*found).difference(self.known))
+        self.known |= zip(new, self.of_words(new))
+        out = [b"".join(map(self.known.__getitem__, words)) for words in found]
+        for n, ids in zip(other, self.whole([texts[n] for n in other])):
+            out[n] = ids
+        for w in new:
+            if len(w) > REMEMBERED:
+                del self.known[w]
+        return out
+
+
+class Words(Remembered):
+    """Of a byte-level BPE, for texts without special tokens.
 
     Libraries differ on characters that newer Unicode versions have assigned, so
     a text that holds one is left to the tokenizer.
     """
 
-    def __init__(self, tokenizer, special: dict[str, int], of_words=None):
-        """``special``: ids of special tokens, which the tokenizer ``of_words`` (or else ``tokenizer``) knows in a text."""
-        self.tokenizer, self.of_words, self.known, self.unassigned = tokenizer, of_words or tokenizer, {}, {}
-        self.between = next(((t, i) for t, i in special.items() if len(WORD.findall(t)) > 1), None)
+    def __init__(self, tokenizer, special: dict[str, int], knows_special=None):
+        """``special``: ids of special tokens, which the tokenizer ``knows_special`` (or else ``tokenizer``) knows in a text."""
+        super().__init__()
+        self.tokenizer, self.knows_special, self.unassigned = tokenizer, knows_special or tokenizer, {}
+        self.between = next(((t, i) for t, i in special.items() if len(WORD.findall(t)) > 1), None)  # then no word holds it
+        self.words = WORD.findall
 
-    def common(self, text: str) -> bool:
-        """All characters were assigned long ago."""
+    def by_word(self, text: str) -> bool:
         if text.isascii():
             return True
         own = self.unassigned
@@ -114,36 +154,18 @@ class Words:
                 return False
         return True
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Packed ids of texts without special tokens."""
-        rare = {n for n, t in enumerate(texts) if not self.common(t)}
-        out = self._by_word(["" if n in rare else t for n, t in enumerate(texts)])
-        for n, e in zip(rare, self.tokenizer.encode_batch_fast([texts[n] for n in rare], add_special_tokens=False)):
-            out[n] = _pack(np.array(e.ids))
-        return out
+    def whole(self, texts: list[str]) -> list[bytes]:
+        return [_pack(np.array(e.ids)) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _by_word(self, texts: list[str]) -> list[bytes]:
-        found = [WORD.findall(t) for t in texts]
-        if len(self.known) > WORDS:
-            self.known.clear()
-        new = list(set().union(*found).difference(self.known))
-        self.known |= zip(new, self._encoded(new))
-        out = [b"".join(map(self.known.__getitem__, words)) for words in found]
-        for w in new:
-            if len(w) > REMEMBERED:
-                del self.known[w]
-        return out
-
-    def _encoded(self, words: list[str]) -> list[bytes]:
-        """Packed ids of single words."""
-        if self.between is None:
-            return [_pack(np.array(e.ids)) for e in self.of_words.encode_batch_fast(words, add_special_tokens=False)]
+    def of_words(self, words: list[str]) -> list[bytes]:
+        if self.between is None or not words:
+            return self.whole(words)
         # a special token between them: one text costs less than many
         text, mark = self.between
-        ids = np.array(self.of_words.encode_batch_fast([text.join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ids = np.array(self.knows_special.encode_batch_fast([text.join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = np.append(np.flatnonzero(ids == mark), len(ids)) * 4
         raw, begins = ids.tobytes(), np.append(0, ends[:-1] + 4)
-        return [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())] if words else []
+        return [raw[a:b] for a, b in zip(begins.tolist(), ends.tolist())]
 
 
 class Bpe:
@@ -163,7 +185,7 @@ class Bpe:
         if any(t[k] for t in file["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")) or file["normalizer"] or (cutter["type"], cutter["add_prefix_space"], cutter["use_regex"]) != ("ByteLevel", False, True):
             raise ValueError("only plain byte-level tokenizers can be joined")
         self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        self.by_word = Words(self.tokenizer, self.special)
+        self.remembered = Words(self.tokenizer, self.special)
         self.special_ids = np.array(sorted(self.special.values()), np.int64)
         names = sorted(map(re.escape, self.special), key=lambda x: (-len(x), x))
         self.cut = re.compile("(" + "|".join(names) + ")") if names else None
@@ -173,7 +195,7 @@ class Bpe:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids; special tokens are cut out first."""
         parts = [self.cut.split(t) if self.cut else [t] for t in texts]
-        plain = iter(self.by_word.encode([p for own in parts for p in own[::2]]))
+        plain = iter(self.remembered.encode([p for own in parts for p in own[::2]]))
         return [b"".join(_pack(np.array([self.special[p]])) if k % 2 else next(plain) for k, p in enumerate(own)) for own in parts]
 
     def leaf(self, text: str) -> Tokens:

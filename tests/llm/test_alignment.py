@@ -1,8 +1,10 @@
 """Alignment against a plain loop over tokens."""
 
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -101,6 +103,17 @@ def test_texts_that_a_tokenizer_changes_have_no_tokens(spark, docs_of, tokenizer
     assert got[20].n_a > 0 and got[22].n_groups > 0
 
 
+def test_pieces_by_word_equal_whole_texts(tokenizers):
+    draw = random.Random(2)
+    words = al.PieceWords(tokenizers[1])
+    assert words.apart
+    texts = ["".join(draw.choices([" ", "  ", "a", "word", "\n", "\t", "é", "\U0001F600", "▁", ".", "​", "\u00a0", "　", "12"], k=draw.randint(1, 40))) for _ in range(3000)]
+    texts += ["", " ", "   ", "x ", " x", "a \n", "\n", "\x00 b", *(t for _, t in EDGE if t and len(t) < 1000)]
+    got = words.encode(texts)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == tokenizers[1].encode(texts)
+    assert not words.by_word("naïve ▁") and words.by_word("  two")
+
+
 def test_query_on_its_table(spark, tokenizers):
     sf = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
