@@ -278,10 +278,9 @@ def align(docs: DataFrame, byte_bpe: str, pieces: bytes, id_col: str = "doc_id",
 _FIGURES = ("row", "id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
-def _unpacked(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the document, A id, B id) of every link of a batch."""
-    a, b = (np.frombuffer(b"".join(x or b"" for x in batch.column(c).to_pylist()), ID).astype(np.int64) for c in ("link_a", "link_b"))
-    return np.repeat(np.arange(batch.num_rows), batch.column("n_links").to_numpy()), a, b
+def _unpacked(batch: pa.RecordBatch) -> list[np.ndarray]:
+    """A ids and B ids of all links of a batch."""
+    return [np.frombuffer(b"".join(batch.column(c).to_pylist()), ID).astype(np.int64) for c in ("link_a", "link_b")]
 
 
 def _looked_up(documents: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -294,14 +293,13 @@ def _looked_up(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair, n, best = tables.value
         for batch in slices(batches):
-            doc, a, b = _unpacked(batch)
+            a, b = _unpacked(batch)
             at = np.searchsorted(pair, (a << 32) + b)
-            links = pa.table({"doc": doc, "n_best": best[at].astype(np.int64), "count_sum": n[at]})
-            sums = links.group_by("doc", use_threads=False).aggregate([("n_best", "sum"), ("count_sum", "sum")])
-            totals = np.zeros((2, batch.num_rows), np.int64)
-            totals[:, sums["doc"].to_numpy()] = sums["n_best_sum"].to_numpy(), sums["count_sum_sum"].to_numpy()
+            ends = np.cumsum(batch.column("n_links").to_numpy())
+            upto = [np.concatenate(([0], np.cumsum(x[at], dtype=np.int64))) for x in (best, n)]
+            totals = [pa.array(np.diff(x[ends], prepend=0)) for x in upto]
             own = batch.columns
-            yield pa.RecordBatch.from_arrays([*own[:6], pa.array(totals[0]), pa.array(totals[1]), own[6]], list(_FIGURES))
+            yield pa.RecordBatch.from_arrays([*own[:6], *totals, own[6]], list(_FIGURES))
 
     figures = "row long, id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
     return documents.select("row", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "link_a", "link_b").mapInArrow(run, figures)
@@ -312,8 +310,8 @@ def _joined(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            doc, a, b = _unpacked(batch)
-            found = pa.table({"row": batch.column("row").take(pa.array(doc)), "a": a.astype(np.int32), "b": b.astype(np.int32)})
+            a, b = _unpacked(batch)
+            found = pa.table({"row": np.repeat(batch.column("row").to_numpy(), batch.column("n_links").to_numpy()), "a": a.astype(np.int32), "b": b.astype(np.int32)})
             found = found.group_by(["row", "a", "b"], use_threads=False).aggregate([([], "count_all")])
             yield from found.rename_columns(["row", "a", "b", "times"]).to_batches()
 

@@ -57,8 +57,8 @@ FIRST_BYTES, FIRST_TOKENS = 64, 8
 LONG_WORD = 256
 #: Bytes of short texts that are cut into words at once, about.
 SLICE_BYTES = 1 << 20
-#: Words that a task remembers the tokens of, and their longest in characters.
-WORDS, REMEMBERED = 1 << 18, 64
+#: Words that a task remembers the tokens of, as many again of those met before, and their longest in characters.
+WORDS, REMEMBERED = 1 << 17, 64
 # fixed value: how byte-level pre-tokenizers cut a text into words
 WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 
@@ -95,6 +95,7 @@ class Remembered:
 
     def __init__(self):
         self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}  # words that go unless they are met again
 
     def by_word(self, text: str) -> bool:
         """Whether the tokens of a text are those of its words."""
@@ -117,9 +118,12 @@ class Remembered:
         left = set(other)
         found = [[] if n in left else self.words(t) for n, t in enumerate(texts)]
         if len(self.known) > WORDS:
-            self.known.clear()
-        new = list(set().union(*found).difference(self.known))
-        self.known |= zip(new, self.of_words(new))
+            self.known, self.before = {}, self.known
+        new = set().union(*found).difference(self.known)
+        again = new & self.before.keys()
+        self.known.update((w, self.before.pop(w)) for w in again)
+        new = list(new - again)
+        self.known.update(zip(new, self.of_words(new)))
         out = [b"".join(map(self.known.__getitem__, words)) for words in found]
         for n, ids in zip(other, self.whole([texts[n] for n in other])):
             out[n] = ids
@@ -331,15 +335,23 @@ def read_vocabulary(path: str) -> str:
         return f.read()
 
 
-def _short(df: DataFrame, vocabulary: str) -> DataFrame:
+def _text(own: list[bytes], ids: bytes) -> bytes:
+    """The text of packed ids; broken UTF-8 as replacement characters."""
+    return b"".join([own[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace").encode()
+
+
+def _short(df: DataFrame, vocabulary: str, decode: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = None
         for batch in sized_slices(batches, 1, SLICE_BYTES):
             bpe = bpe or Bpe(vocabulary)
             found = bpe.encode([t.decode("utf-8", "replace") for t in batch.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "ids"])
+            columns = {"id": batch.column(0), "ids": pa.array(found, pa.binary())}
+            if decode:
+                columns["text"] = pa.array([_text(bpe.bytes, ids) for ids in found], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return df.select("id", "t").mapInArrow(run, "id long, ids binary")
+    return df.select("id", "t").mapInArrow(run, "id long, ids binary" + ", text string" * decode)
 
 
 _NODE = "row long, id long, height int, k long, ids binary, starts binary"
@@ -391,8 +403,11 @@ def _round(nodes: DataFrame, vocabulary: str, fan: int) -> DataFrame:
     return nodes.groupBy("row", F.floor(F.col("k") / fan).alias("to")).applyInArrow(of_group, _NODE)
 
 
-def bpe_encode(docs: DataFrame, vocabulary: str, leaf: int = LEAF, fan: int = FAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row (id, ids binary) per row of ``docs``; ``vocabulary`` is the text of a byte-level BPE file (``read_vocabulary``)."""
+def bpe_encode(docs: DataFrame, vocabulary: str, leaf: int = LEAF, fan: int = FAN, decode: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row (id, ids binary) per row of ``docs``; ``vocabulary`` is the text of a byte-level BPE file (``read_vocabulary``).
+
+    With ``decode`` also ``text``, decoded from the ids where they are made (as ``decode_column`` does elsewhere).
+    """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), binary(F.col(text_col)).alias("t"))
     # the encoded leaves of texts beyond a leaf; a text that is one leaf already takes no part in any round
     nodes = _leaves(texts.filter(F.length("t") > leaf), vocabulary, leaf)
@@ -400,7 +415,8 @@ def bpe_encode(docs: DataFrame, vocabulary: str, leaf: int = LEAF, fan: int = FA
     while height > 0:
         nodes = _round(nodes, vocabulary, fan)
         height -= fan.bit_length() - 1
-    return _short(texts.filter(F.length("t") <= leaf), vocabulary).unionByName(nodes.select("id", "ids"))
+    nodes = nodes.select("id", "ids", *([decode_column(vocabulary, F.col("ids")).alias("text")] if decode else []))
+    return _short(texts.filter(F.length("t") <= leaf), vocabulary, decode).unionByName(nodes)
 
 
 def decode_column(vocabulary: str, ids: Column) -> Column:
@@ -412,10 +428,6 @@ def decode_column(vocabulary: str, ids: Column) -> Column:
         if not kept:
             kept.append(token_bytes(vocabulary))
         own = kept[0]
-        out = []
-        for v in values:
-            raw = v.as_py()
-            out.append(None if raw is None else b"".join([own[i] for i in np.frombuffer(raw, "<u4").tolist()]).decode("utf-8", "replace"))
-        return pa.array(out, pa.string())
+        return pa.array([None if v is None else _text(own, v) for v in values.to_pylist()], pa.binary()).cast(pa.string())
 
     return bpe_decode(ids)

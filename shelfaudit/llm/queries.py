@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfaudit.llm import quality, toxicity
 from shelfaudit.llm.alignment import alignment
-from shelfaudit.llm.bpe_tree import bpe_encode, decode_column, read_vocabulary
+from shelfaudit.llm.bpe_tree import bpe_encode, read_vocabulary
 from shelfaudit.llm.common import fold_of, table
 from shelfaudit.llm.decontaminate import decontaminate
 from shelfaudit.llm.exact_dedup import exact_dedup
@@ -95,11 +95,10 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vocabulary = read_vocabulary(BYTE_BPE)
-    found = bpe_encode(table(spark, sf_dir, "documents"), vocabulary)
+    found = bpe_encode(table(spark, sf_dir, "documents"), read_vocabulary(BYTE_BPE), decode=True)
     return found.select(
         F.col("id").alias("doc_id"), (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(decode_column(vocabulary, F.col("ids")).cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
