@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfaudit.catalog.codes import (
@@ -18,6 +18,7 @@ from shelfaudit.operators.adjacent import band_join, offset_join
 from shelfaudit.operators.eav import master_attribute
 from shelfaudit.operators.filters import FilterSet
 from shelfaudit.operators.latest import latest_documents
+from shelfaudit.operators.ordering import whole_position
 from shelfaudit.operators.ranking import running_count_rank
 from shelfaudit.plans import extract as ext
 from shelfaudit.plans import full_report as fr
@@ -27,6 +28,7 @@ from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
 from shelfaudit.session import stage, staged_root
 from shelfaudit.sources import analog
+from shelfaudit.sources.tables import with_collation
 
 C = TEST_CODES
 
@@ -74,12 +76,32 @@ def q02_caller_set(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q02_constant_set(spark: SparkSession, d: str) -> DataFrame:
-    """Documents through the constant set applied as rows: the allowlist as an IN-subquery."""
+    """Documents through the constant set applied as rows: the allowlist as an IN-subquery, the period
+    read from its row (U2, P3)."""
     tables = analog.tables(spark, d, C)
     _, db = _bounds()
     rows = ext.document_filter(spark, db, C).rows
-    fs = replace(FilterSet.from_rows(rows), period=db)
-    return ext.extract_documents(tables.orders, fs, C)
+    return ext.extract_documents(tables.orders, ext.caller_rows(rows, C), C)
+
+
+def q02_composite_set(spark: SparkSession, d: str) -> DataFrame:
+    """Visits through a caller's set with the period as a row and owner rows (dictionary, owner): those of
+    `region` by name, AFRICA's in another dictionary, AMERICA's in any (P3, P8)."""
+    name = F.col("r_name")
+    dictionary = F.when(name == "AFRICA", C.flt_owner_dict + 97).when(name != "AMERICA", C.flt_owner_dict)
+    owners = analog.table(spark, d, "region").where(name != "MIDDLE EAST").select(
+        F.lit(C.flt_owner).alias("type"), dictionary.cast("bigint").alias("id"), F.col("r_regionkey").cast("bigint").alias("id2"))
+    vb, _ = _bounds()
+    empty = {k: F.lit(None).cast("bigint") for k in ("id3", "id4", "id5")}
+    rows = owners.withColumns(empty).withColumn("idstr", F.lit(None).cast("string")).unionByName(
+        FilterSet.empty(spark).add_period(vb, C.flt_period).raw)
+    return ext.extract_visits(analog.tables(spark, d, C).visit_source, ext.caller_rows(rows, C), C)
+
+
+def q03_coded_columns(spark: SparkSession, d: str) -> DataFrame:
+    """Documents of the period with the columns of the codes 1, 12, 7 and 5."""
+    _, db = _bounds()
+    return ext.extract_documents(analog.tables(spark, d, C).orders, ext.document_filter(spark, db, C), C, columns="1;12;7;5")
 
 
 def q03_filtered_faces(spark: SparkSession, d: str) -> DataFrame:
@@ -122,6 +144,43 @@ def q05_listing_counts(spark: SparkSession, d: str) -> DataFrame:
     return stg.listing_counts(temp, tables.objattrs, tables.items, C)
 
 
+def _mixed_case(spark: SparkSession, d: str):
+    """The tables with every other banner, product name and line text in capitals, under a collation that ignores case."""
+    def mixed(df, column, by):
+        return df.withColumn(column, F.when(F.col(by) % 2 == 0, F.upper(column)).otherwise(F.lower(column)))
+
+    t = analog.tables(spark, d, C)
+    lines = mixed(t.attrs.withColumn("attrtext", F.concat(F.lit("x"), "attrtext")), "attrtext", "orid")
+    return with_collation(replace(t, objattrs=mixed(t.objattrs, "attrtext", "id"), items=mixed(t.items, "iname", "iid"), attrs=lines))
+
+
+def _lower(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.lower(F.col(c).cast("string")) for c in columns})
+
+
+def q04_collated(spark: SparkSession, d: str) -> DataFrame:
+    """Banner visits over texts of mixed case: product names are found whatever their case (Q10)."""
+    tables = _mixed_case(spark, d)
+    _, visits, _, _ = _inputs(spark, d, facts=False)
+    return _lower(stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C), "attrtext")
+
+
+def q05_collated(spark: SparkSession, d: str) -> DataFrame:
+    """Listed counts where spellings of a banner are one banner: DISTINCT, GROUP BY and joins by the collation (Q10)."""
+    tables = _mixed_case(spark, d)
+    _, visits, _, _ = _inputs(spark, d, facts=False)
+    temp = stg.banner_visits(tables.faces, tables.objattrs, visits, tables.items, C)
+    return _lower(stg.listing_counts(temp, tables.objattrs, tables.items, C), "attrtext")
+
+
+def q12_collated(spark: SparkSession, d: str) -> DataFrame:
+    """The extra places pivot over texts of mixed case: MAX by the collation (Q10)."""
+    tables = _mixed_case(spark, d)
+    vb, db = _bounds()
+    _, tdocs, facts = rpt.report_inputs(spark, tables, C, vb, db)
+    return _lower(sec.extra_places(facts, tdocs, C), *C.extra_places)
+
+
 def q06_facing_init(spark: SparkSession, d: str) -> DataFrame:
     """Initial facing rows: outlet x visit x stock-check document x named product."""
     tables, visits, tdocs, _ = _inputs(spark, d, facts=False)
@@ -332,12 +391,11 @@ def q24_photo_export(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
-    """The 42-column full report through its entry point (C10), with the row's place in the report's
-    order within its supervisor, which the report sorts by first (O1)."""
+    """The 42-column full report through its entry point (C10), with the row's place in the order of
+    the whole report (O1)."""
     vb, db = _bounds()
     out = fr.run_full_report(spark, analog.tables(spark, d, C), C, vb, doc_bounds=db, keep_order=True)
-    w = Window.partitionBy("supervisor_name").orderBy(F.asc_nulls_first("audit_date"), F.asc_nulls_first("facing_doc"))
-    return out.withColumn("order_no", F.dense_rank().over(w).cast("long"))
+    return whole_position(out, fr.REPORT_ORDER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -345,11 +403,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q02_filter_set": q02_filter_set,
     "q02_caller_set": q02_caller_set,
     "q02_constant_set": q02_constant_set,
+    "q02_composite_set": q02_composite_set,
     "q03_filtered_faces": q03_filtered_faces,
     "q03_filtered_docs": q03_filtered_docs,
     "q03_filtered_extract": q03_filtered_extract,
+    "q03_coded_columns": q03_coded_columns,
     "q04_banner_visits": q04_banner_visits,
+    "q04_collated": q04_collated,
     "q05_listing_counts": q05_listing_counts,
+    "q05_collated": q05_collated,
     "q06_facing_init": q06_facing_init,
     "q07_facing_counts": q07_facing_counts,
     "q08_order_facts": q08_order_facts,
@@ -357,6 +419,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q10_stock_lookup": q10_stock_lookup,
     "q11_latest_info": q11_latest_info,
     "q12_extra_places": q12_extra_places,
+    "q12_collated": q12_collated,
     "q13_main_places": q13_main_places,
     "q14_promo_actions": q14_promo_actions,
     "q15_audit_report": q15_audit_report,

@@ -38,6 +38,15 @@ DEFAULT_ADDRESS_FIELDS = {
 }
 
 
+# Column codes of the original's extracts, in the order of their
+# columns; one code of the outlets and persons has no column.
+VISIT_CODES = {1: "ownerdistid", 2: "masterfid", 3: "fid", 4: "vdate", 5: "datebegin", 6: "dateend", 12: "otkazstr",
+               13: "pda", 14: "vdateonly"}
+FACE_CODES = {1: "fid", 2: "fname", 3: "exid", 17: "ftype", 21: "ownerdistid", 20: "faddress", 6: None}
+DOCUMENT_CODES = {6: "masterfid", 1: "orid", 7: "ordate", 20: "ownerdistid", 12: "mfid", 13: "ufid", 5: "ortype",
+                  22: "masterdocid", 17: "orcomment"}
+
+
 @dataclass(frozen=True)
 class AuditCodes:
     """All codes one report run depends on.
@@ -86,6 +95,10 @@ class AuditCodes:
     flt_doc_type: int = 440011
     flt_flag: int = 440200
     flt_period: int = 440001
+    # column codes of the extracts: code -> column, or None for a code without one
+    visit_columns: dict[int, str | None] = field(default_factory=lambda: dict(VISIT_CODES))
+    face_columns: dict[int, str | None] = field(default_factory=lambda: dict(FACE_CODES))
+    document_columns: dict[int, str | None] = field(default_factory=lambda: dict(DOCUMENT_CODES))
     # the original's text tests follow an unknown, often case-insensitive
     # collation; binary by default (Q10)
     names_ci: bool = False

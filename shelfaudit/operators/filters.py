@@ -7,8 +7,15 @@ alternatives (OR); groups are conjuncts (AND). The restriction is an
 under OR) and AQE turns it into a broadcast once the id set is measured
 small; a large id set stays a shuffle join.
 
-The period is kept beside the rows as constant bounds, so it reaches the
-Parquet scan as a pushed filter instead of a range join.
+A row with several ids is matched as a whole: each id that a binding names must
+equal its column (or fixed value) of the extract. A NULL id in a caller's row
+stands for any value; in rows derived from data it matches nothing.
+
+A period given when the plan is built is kept beside the rows as constant
+bounds, so it reaches the Parquet scan as a pushed filter instead of a range
+join. A period that is a row of a caller's set is read from the row: its bounds
+become scalar subqueries, which the scan applies at run time. (Spark 4.1 skips
+no Parquet row groups by timestamp_ntz, so it is a day column that saves reading.)
 """
 
 from __future__ import annotations
@@ -48,6 +55,10 @@ class FilterSet:
     types: frozenset[int] = frozenset()
     period: tuple[Column, Column] | None = None
     period_type: int | None = None
+    # the caller's rows may hold periods too (of ``period_type``)
+    period_in_rows: bool = False
+    # which ids the rows of a type have: (type, ids that aren't NULL), for a caller's rows
+    shapes: frozenset[tuple[int, tuple[str, ...]]] = frozenset()
     # types whose rows are all literal constants, with their ids: applied as
     # a literal IN list, which the scan can use for row-group skipping
     constants: tuple[tuple[int, tuple[int, ...]], ...] = ()
@@ -73,17 +84,22 @@ class FilterSet:
         return FilterSet(spark)
 
     @staticmethod
-    def from_rows(rows: DataFrame, types: Iterable[int] = ()) -> FilterSet:
+    def from_rows(rows: DataFrame, types: Iterable[int] = (), period_type: int | None = None) -> FilterSet:
         """A caller-supplied set: copy it, dropping columns outside the schema.
 
         Every type found in the rows restricts (one small aggregate reads the
-        distinct types); a type declared in ``types`` restricts even without
-        rows, and then keeps nothing.
+        distinct types and which of their ids are filled); a type declared in
+        ``types`` restricts even without rows, and then keeps nothing. Rows of
+        ``period_type`` hold the period, ``begin;end`` in ``idstr``; several
+        are alternatives, and one that can't be read keeps nothing.
         """
-        found = rows.select("type").where(F.col("type").isNotNull()).distinct().collect()  # type codes, a handful
+        filled = [F.col(f).isNotNull().alias(f) for f in _ID_FIELDS]
+        found = rows.select("type", *filled).where(F.col("type").isNotNull()).distinct().collect()  # a handful
+        shapes = frozenset((r.type, tuple(f for f in _ID_FIELDS if r[f])) for r in found)
         types = frozenset(types) | {r.type for r in found}
         part = (-1, lambda: rows.select("type", *_ID_FIELDS, "idstr"))
-        return FilterSet(rows.sparkSession, (part,), types)
+        return FilterSet(rows.sparkSession, (part,), types, period_type=period_type,
+                         period_in_rows=period_type is not None and period_type in types, shapes=shapes)
 
     def _with(self, make: Callable[[], DataFrame], type_code: int,
               const_ids: tuple[int, ...] | None = None) -> FilterSet:
@@ -135,8 +151,8 @@ class FilterSet:
         """An empty set on the same session (the set is rebuilt, not edited)."""
         return FilterSet.empty(self.spark)
 
-    def ids(self, type_code: int, field: str = "id") -> DataFrame:
-        """Ids of one type; built from that type's own rows when it has them."""
+    def rows_of(self, type_code: int) -> DataFrame:
+        """Rows of one type; built from that type's own recipes when it has them."""
         own = [make for t, make in self.parts if t == type_code]
         if own and all(t != -1 for t, _ in self.parts):
             frames = [m() for m in own]
@@ -145,16 +161,73 @@ class FilterSet:
                 out = out.unionByName(f)
         else:
             out = self.raw
-        return out.where(F.col("type") == type_code).select(F.col(field).alias("_fid"))
+        return out.where(F.col("type") == type_code)
+
+    def ids(self, type_code: int, field: str = "id") -> DataFrame:
+        """Ids of one type."""
+        return self.rows_of(type_code).select(F.col(field).alias("_fid"))
+
+    def within_periods(self, df: DataFrame, column: str) -> DataFrame:
+        """``df`` within the periods of the rows, or the one given when the plan was built."""
+        begin, end, every = self.read_period()
+        c, periods = F.col(column), F.col("_periods")
+        found = c.between(begin, end) & F.exists(periods, lambda p: c.between(p["b"], p["e"]))
+        if self.period is not None:
+            found = found | c.between(*self.period)
+        return df.withColumn("_periods", every).where(found).drop("_periods")
+
+    def read_period(self) -> tuple[Column, Column, Column]:
+        """First begin, last end and all (b, e) of the periods in the rows, as scalar subqueries."""
+        part = F.split("idstr", ";")
+        b, e = (F.get(part, F.lit(k)).try_cast("timestamp_ntz") for k in (0, 1))
+        read = self.rows_of(self.period_type).select(b.alias("b"), e.alias("e")).where("b IS NOT NULL AND e IS NOT NULL")
+        # sorted and limited, not aggregated: subqueries of one shape are merged into a struct, which the scan can't apply
+        begin, end = read.select("b").orderBy("b").limit(1), read.select("e").orderBy(F.desc("e")).limit(1)
+        return begin.scalar(), end.scalar(), read.select(F.collect_set(F.struct("b", "e"))).scalar()
 
 
 @dataclass(frozen=True)
 class Binding:
-    """Which column of an extract a filter type restricts, from which id field."""
+    """Which column of an extract a filter type restricts, from which id field.
+
+    ``more`` binds further fields to columns, ``fixed`` to values that all rows
+    of the extract have (such as the dictionary of its ids): a filter row is
+    matched on all of them together.
+    """
 
     column: str
     field: str = "id"
     group: str | None = None  # same group = alternatives
+    more: tuple[tuple[str, str], ...] = ()     # (field, column)
+    fixed: tuple[tuple[str, int], ...] = ()    # (field, value)
+
+
+def _matches(fs: FilterSet, type_code: int, b: Binding) -> Column:
+    """The extract's row equals some filter row of the type in all bound fields that the row fills."""
+    rows = fs.rows_of(type_code)
+    columns = {b.field: b.column, **dict(b.more)}
+    filled = {s for t, s in fs.shapes if t == type_code}
+    if not filled:
+        # rows derived from data: all their bound ids are meant, a NULL matches nothing
+        for field, value in b.fixed:
+            rows = rows.where(F.col(field) == value)
+        return _one_of(columns, tuple(columns), rows)
+    for field, value in b.fixed:
+        rows = rows.where(F.col(field).isNull() | (F.col(field) == value))
+    cond = F.lit(False)
+    for own in sorted({tuple(f for f in columns if f in s) for s in filled}):
+        like_this = rows
+        for f in columns:
+            like_this = like_this.where(F.col(f).isNotNull() if f in own else F.col(f).isNull())
+        cond = cond | (_one_of(columns, own, like_this) if own else like_this.exists())
+    return cond
+
+
+def _one_of(columns: Mapping[str, str], fields: Sequence[str], rows: DataFrame) -> Column:
+    wanted = rows.select(*[F.col(f).alias(f"_{f}") for f in fields])
+    if len(fields) == 1:
+        return F.col(columns[fields[0]]).isin(wanted)
+    return F.struct(*[F.col(columns[f]) for f in fields]).isin(wanted)
 
 
 def apply_filters(
@@ -170,17 +243,22 @@ def apply_filters(
     understands its own types); a bound type present with no rows keeps
     nothing.
     """
-    if period_column is not None and fs.period is not None:
+    if period_column is not None and fs.period_in_rows:
+        df = fs.within_periods(df, period_column)
+        if day_col is not None and fs.period is None:
+            begin, end, _ = fs.read_period()
+            df = df.where(F.col(day_col).between(F.to_date(begin), F.to_date(end)))
+    elif period_column is not None and fs.period is not None:
         df = period_filter(df, period_column, fs.period, day_col=day_col)
     groups: dict[str, list[Column]] = {}
     consts = dict(fs.constants)
     for type_code, b in bindings.items():
         if type_code not in fs.types:
             continue
-        if type_code in consts and b.field == "id":
+        if type_code in consts and b.field == "id" and not b.more and not b.fixed:
             cond = F.col(b.column).isin(list(consts[type_code]))
         else:
-            cond = F.col(b.column).isin(fs.ids(type_code, b.field))
+            cond = _matches(fs, type_code, b)
         groups.setdefault(b.group or f"_t{type_code}", []).append(cond)
     for conds in groups.values():
         cond = conds[0]

@@ -1,9 +1,9 @@
 """Extracts of visits, outlets/persons and documents through filter sets.
 
 The helper procedures of the original take column codes and a filter table
-by name; here each is a DataFrame function with a fixed projection and a
-``FilterSet``. Their bodies are not in the original; the contracts below
-are inferred from the call sites (see README).
+by name; here each is a DataFrame function with a text of column codes (all
+columns by default) and a ``FilterSet``. Their bodies are not in the original;
+the contracts below are inferred from the call sites (see README).
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.operators.filters import Binding, FilterSet, apply_filters
+from shelfaudit.sources.columns import coded_columns
 from shelfaudit.sources.tables import FACE_COLS, ORDER_COLS, VISIT_COLS
 
 
@@ -21,14 +22,26 @@ def caller_filter(spark: SparkSession, bounds, codes: AuditCodes, base: FilterSe
     return fs.add_period(bounds, codes.flt_period)
 
 
-def extract_visits(visit_source: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None) -> DataFrame:
+def caller_rows(rows: DataFrame, codes: AuditCodes) -> FilterSet:
+    """A caller's filter table, in which the report's period is a row."""
+    return FilterSet.from_rows(rows, period_type=codes.flt_period)
+
+
+def _owner(codes: AuditCodes) -> Binding:
+    """Owner rows are (dictionary, owner): those of another dictionary name no owner of these extracts."""
+    return Binding("ownerdistid", "id2", fixed=(("id", codes.flt_owner_dict),))
+
+
+def extract_visits(visit_source: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None,
+                   columns: str | None = None) -> DataFrame:
     """Visits inside the period and the caller's agent/outlet/owner filters."""
     bindings = {
         codes.flt_agent: Binding("masterfid"),
         codes.flt_outlet: Binding("fid"),
-        codes.flt_owner: Binding("ownerdistid", "id2"),
+        codes.flt_owner: _owner(codes),
     }
-    return apply_filters(visit_source, fs, bindings, period_column="vdate", day_col=day_col).select(*VISIT_COLS)
+    found = apply_filters(visit_source, fs, bindings, period_column="vdate", day_col=day_col)
+    return found.select(*coded_columns(columns, codes.visit_columns, VISIT_COLS))
 
 
 def visit_filter(visits: DataFrame, codes: AuditCodes) -> FilterSet:
@@ -42,14 +55,14 @@ def visit_filter(visits: DataFrame, codes: AuditCodes) -> FilterSet:
     )
 
 
-def extract_faces(faces: DataFrame, fs: FilterSet, codes: AuditCodes) -> DataFrame:
+def extract_faces(faces: DataFrame, fs: FilterSet, codes: AuditCodes, columns: str | None = None) -> DataFrame:
     """Outlets and persons of the set: agents OR outlets, AND the owners."""
     bindings = {
         codes.flt_agent: Binding("fid", group="person"),
         codes.flt_outlet: Binding("fid", group="person"),
-        codes.flt_owner: Binding("ownerdistid", "id2"),
+        codes.flt_owner: _owner(codes),
     }
-    return apply_filters(faces, fs, bindings).select(*FACE_COLS)
+    return apply_filters(faces, fs, bindings).select(*coded_columns(columns, codes.face_columns, FACE_COLS))
 
 
 def document_filter(spark: SparkSession, bounds, codes: AuditCodes) -> FilterSet:
@@ -62,7 +75,8 @@ def document_filter(spark: SparkSession, bounds, codes: AuditCodes) -> FilterSet
     )
 
 
-def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None) -> DataFrame:
+def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes, day_col: str | None = None,
+                      columns: str | None = None) -> DataFrame:
     """Document headers inside the period with an allowed type.
 
     The flag row's meaning is not known; it restricts nothing here.
@@ -72,7 +86,8 @@ def extract_documents(orders: DataFrame, fs: FilterSet, codes: AuditCodes, day_c
         codes.flt_agent: Binding("masterfid"),
         codes.flt_outlet: Binding("mfid"),
     }
-    return apply_filters(orders, fs, bindings, period_column="ordate", day_col=day_col).select(*ORDER_COLS)
+    found = apply_filters(orders, fs, bindings, period_column="ordate", day_col=day_col)
+    return found.select(*coded_columns(columns, codes.document_columns, ORDER_COLS))
 
 
 def with_address_parts(faces: DataFrame, codes: AuditCodes, source_col: str = "faddress") -> DataFrame:

@@ -30,6 +30,8 @@ from shelfaudit.session import stage
 #: Partitions' worth of values that rows without a lookup key are spread over.
 SPREAD = 4096
 VISIT = ["masterfid", "fid"]
+#: The report's order: supervisor, visit start, facing document, NULL first.
+REPORT_ORDER = ("supervisor_name", "audit_date", "facing_doc")
 
 
 def spread_left(df: DataFrame, lookup: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:
@@ -176,7 +178,7 @@ def full_report(
         "presence_pct": presence_percent("_facing", "_listed"), "photo_2": F.lit(""), "photo_3": F.lit(""),
     }
     out = r.select(*[given.get(c, F.col(c)).alias(c) for c in report_columns(codes)], F.col("fc_orid").alias("facing_doc"))
-    out = out.orderBy(*[F.asc_nulls_first(c) for c in ("supervisor_name", "audit_date", "facing_doc")])
+    out = out.orderBy(*[F.asc_nulls_first(c) for c in REPORT_ORDER])
     return out if keep_order else out.drop("facing_doc")
 
 

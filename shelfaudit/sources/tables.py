@@ -10,9 +10,10 @@ uses, so the scan's ``ReadSchema`` stays narrow.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # The input columns' names, as the pipelines read them.
 ORDER_COLS = ("masterfid", "orid", "ordate", "ownerdistid", "mfid", "ufid", "ortype", "masterdocid", "orcomment")
@@ -68,3 +69,18 @@ class AuditTables:
             visit_day=visit_day,
             line_block=line_block,
         )
+
+
+def with_collation(tables: AuditTables, collation: str = "UTF8_LCASE") -> AuditTables:
+    """The tables with their compared texts under a Spark string collation.
+
+    Attribute texts and product names then compare by it wherever a pipeline
+    compares them: join keys, IN lists, substring and prefix tests, DISTINCT,
+    GROUP BY and MAX. Which spelling a DISTINCT or MAX shows among equal ones is
+    not defined.
+    """
+    def collated(df: DataFrame, column: str) -> DataFrame:
+        return df.withColumn(column, F.collate(column, collation))
+
+    return replace(tables, attrs=collated(tables.attrs, "attrtext"), objattrs=collated(tables.objattrs, "attrtext"),
+                   items=collated(tables.items, "iname"))
