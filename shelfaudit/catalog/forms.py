@@ -28,6 +28,7 @@ from shelfaudit.plans import sections as sec
 from shelfaudit.plans import staging as stg
 from shelfaudit.session import stage, staged_root
 from shelfaudit.sources import analog
+from shelfaudit.sources.named_files import stored_at, write_files
 from shelfaudit.sources.tables import with_collation
 
 C = TEST_CODES
@@ -390,6 +391,23 @@ def q24_photo_export(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2("content", 256).alias("sha256"))
 
 
+def q24_committed_export(spark: SparkSession, d: str) -> DataFrame:
+    """The export from an attachment store by key (S6, K3): the labelled documents' texts are the store's files; the
+    selection is made on ids alone, and only its files are opened, copied in pieces and committed as a whole."""
+    docs = analog.table(spark, d, "documents").select("doc_id", "source", "lang", F.col("text").cast("binary").alias("data"))
+    labels = analog.table(spark, d, "labels").select(F.col("doc_id").alias("fileid")).distinct()
+    root = f"{staged_root(spark)}/attachments-{uuid.uuid4().hex}"
+    root = root if "://" in root else "file://" + root.removeprefix("file:")
+    stored = docs.join(labels, F.col("doc_id") == F.col("fileid")).withColumn("name", F.col("doc_id").cast("string"))
+    write_files(stored, "name", "data", f"{root}/store")
+    selected = ph.photo_selection(_photo_candidates(spark, d), "source", "fileid").where("fileid IS NOT NULL")
+    named = ph.photo_names(selected, "fileid", "lang", "source", C.labels.photo_extension)
+    write_files(named.withColumn("path", stored_at(f"{root}/store", F.col("fileid").cast("string"))), "file_name", "path", f"{root}/photos")
+    found = spark.read.format("binaryFile").option("pathGlobFilter", f"*{C.labels.photo_extension}").load(f"{root}/photos")
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), F.col("length").alias("n_bytes"),
+                        F.sha2("content", 256).alias("sha256"))
+
+
 def q23_full_report(spark: SparkSession, d: str) -> DataFrame:
     """The 42-column full report through its entry point (C10), with the row's place in the order of
     the whole report (O1)."""
@@ -434,4 +452,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q22_file_names": q22_file_names,
     "q23_full_report": q23_full_report,
     "q24_photo_export": q24_photo_export,
+    "q24_committed_export": q24_committed_export,
 }
