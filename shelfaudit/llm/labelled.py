@@ -2,27 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfaudit.llm.common import binary, fold_of
+from shelfaudit.session import stage
 
-#: Documented bound: labelled rows a classifier is fitted on, the first by a hash of their id.
-TRAIN_ROWS = 4000
+#: Documented bounds: labelled rows a classifier is fitted on, the first by a hash of their id; bytes of their texts; and of one text.
+TRAIN_ROWS, TRAIN_BYTES, LONGEST = 4000, 24 << 20, 1 << 20
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_fold: int, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(t binary, y int): up to ``rows`` whole labelled texts outside the held-out fold.
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label_col: str, folds: int, held_fold: int, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Staged (t binary, y int): up to ``rows`` whole labelled texts of ``most_bytes`` together, outside the held-out fold.
 
     A null label or id is no label; an id labelled twice counts with its larger
-    label. The id list is bounded by ``rows``, so it is broadcast and texts don't move.
+    label, a row that is there twice once; texts beyond LONGEST bytes train
+    nothing. The ids, then the rows, are chosen by (id, hash, size) alone, ``rows`` of each
+    at most, so both lists are broadcast and only the sample's texts move.
     """
     known = (
         labels.filter(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & (fold_of(F.col(id_col), folds) != held_fold))
         .groupBy(F.col(id_col).cast("long").alias("__id")).agg(F.max(F.col(label_col)).cast("int").alias("y"))
         .orderBy(F.xxhash64("__id"), "__id").limit(rows)
     )
-    return docs.select(F.col(id_col).cast("long").alias("__id"), binary(F.col(text_col)).alias("t")).join(F.broadcast(known), "__id").select("t", "y")
+    texts = docs.select(F.col(id_col).cast("long").alias("__id"), binary(F.col(text_col)).alias("t")).join(F.broadcast(known), "__id")
+    texts = texts.filter(F.length("t") <= LONGEST).withColumn("h", F.xxhash64("t"))
+    # an id may be that of many rows
+    found = texts.groupBy("__id", "h").agg(F.max(F.length("t")).alias("size")).orderBy(F.xxhash64("__id"), "__id", "h").limit(rows)
+    upto = F.sum("size").over(Window.orderBy(F.xxhash64("__id"), "__id", "h").rowsBetween(Window.unboundedPreceding, 0))  # of ``rows`` rows
+    chosen = stage(found.withColumn("upto", upto).filter(F.col("upto") <= most_bytes).select("__id", "h"), "labelled-rows")
+    return stage(texts.join(F.broadcast(chosen), ["__id", "h"]).dropDuplicates(["__id", "h"]).select("t", "y"), "labelled-sample")
 
 
 def best_cut(scores, y) -> float:

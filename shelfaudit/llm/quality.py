@@ -7,8 +7,10 @@ attention w . (tanh(V h) * sigmoid(U h)), a softmax over the passages, weighs
 them; the weighted passage representation is scored by a logistic unit. All
 weights are learned together from document labels by Adam, in numpy.
 
-Scale: fitted on a bounded sample (labelled.TRAIN_ROWS whole texts, a
-parameter); scoring is one pass without a shuffle.
+Scale: fitted on a bounded sample (labelled.TRAIN_ROWS whole texts of TRAIN_BYTES
+together, parameters), whose features the executors compute: the driver holds
+1 KB a passage, up to about three times the sample's bytes. Scoring is one pass
+without a shuffle.
 
 Defined results: a null or empty text is one passage of zeros; labels, source,
 language and id are never inputs; without two label values in training every
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.llm.common import binary, slices
-from shelfaudit.llm.labelled import TRAIN_ROWS, best_cut, labelled_sample
+from shelfaudit.llm.labelled import TRAIN_BYTES, TRAIN_ROWS, best_cut, labelled_sample
 
 PASSAGE, WIDTH, HASHED, SHARES = 64, 16, 256, 9
 CUT = 0.7
@@ -155,5 +157,5 @@ def score_column(model: Quality, text: Column) -> Column:
     return quality_score(binary(text))
 
 
-def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text") -> Quality:
-    return fit(labelled_sample(docs, labels, "quality", folds, held_fold, rows, id_col, text_col))
+def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_fold: int = 2, rows: int = TRAIN_ROWS, most_bytes: int = TRAIN_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Quality:
+    return fit(labelled_sample(docs, labels, "quality", folds, held_fold, rows, most_bytes, id_col, text_col))

@@ -9,9 +9,11 @@ entry with the word before or after it that clean texts hold and toxic ones
 don't) match longer and cancel it. The summed weight is normalised by the
 length in words and mapped to 0..1 by a logistic curve.
 
-Scale: the lexicon is learned from a bounded sample (SAMPLE whole
-texts, a parameter) and is itself bounded (LEXICON entries), so scoring is one
-pass without a shuffle.
+Scale: the lexicon is learned from a bounded sample (SAMPLE whole texts of
+SAMPLE_BYTES together, parameters) and is itself bounded (LEXICON entries). Texts of
+the sample stay on the executors, which count beginnings and phrases and
+compute each text's features; the driver gets LEXICON entries, LEXICON phrases
+and four numbers a text. Scoring is one pass without a shuffle.
 
 Defined results: a null or empty text has no hits and gets the score of a text
 without hits; without any toxic training text the lexicon is empty; labels,
@@ -45,8 +47,8 @@ LEAST_TEXTS, LEAST_ODDS = 3, 2.0
 CUT = 0.7
 #: Candidates a counting task holds before it passes its counts on.
 HELD = 100_000
-#: Labelled texts the lexicon is learned from (documented bound).
-SAMPLE = 12_000
+#: Labelled texts the lexicon is learned from, and their bytes (documented bounds).
+SAMPLE, SAMPLE_BYTES = 12_000, 64 << 20
 # fixed values: look-alikes of Latin letters in Cyrillic and Greek, and digits and signs used for letters
 LOOKALIKES = dict(zip("асеорхуівкмтнѕјԁԛһɡαορνικτυεɑ", "aceopxyibkmthsjdqhgaopviktuea"))
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
@@ -107,8 +109,8 @@ class Toxicity:
         return float(1 / (1 + np.exp(-np.clip(x @ self.slope, -30, 30))))
 
 
-def _doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, toxic texts, clean texts) of a task's part of the sample."""
+def _counted(batches: Iterator[pa.RecordBatch], found_in) -> Iterator[pa.RecordBatch]:
+    """(gram, toxic texts, clean texts) of a task's part of the sample; ``found_in(text)`` gives a text's grams."""
     seen: tuple[Counter, Counter] = (Counter(), Counter())
 
     def out() -> pa.RecordBatch:
@@ -120,12 +122,18 @@ def _doc_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in slices(batches):
         for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            seen[1 - y].update({g for w in set(fold(t).split()) for g in _grams(w)})
+            seen[1 - y].update(found_in(fold(t)))
             if len(seen[0]) + len(seen[1]) > HELD:
                 yield out()
     yield out()
 
 
+def _totals(sample: DataFrame, make_found_in) -> DataFrame:
+    """(gram, toxic, clean) over the sample; ``make_found_in()`` makes a task's function of a folded text."""
+    counts = sample.mapInArrow(lambda batches: _counted(batches, make_found_in()), "gram string, toxic long, clean long")
+    return counts.groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
 def _phrases(folded: str, automaton) -> tuple[list[str], list[str]]:
     """(entries hit, phrases of a hit word with the word before or after it)."""
     words = folded.split()
@@ -139,12 +147,12 @@ def _phrases(folded: str, automaton) -> tuple[list[str], list[str]]:
 
 
 def fit(sample: DataFrame) -> Toxicity:
-    """Learn lexicon, exceptions and curve from a bounded sample (t, y)."""
-    sample = sample.repartition(8).cache()  # bounded
+    """Learn lexicon, exceptions and curve from a bounded sample (t, y) that can be read again."""
     sizes = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     odds = F.log((F.col("toxic") + 0.5) / (n1 + 1)) - F.log((F.col("clean") + 0.5) / (n0 + 1))
-    counts = sample.mapInArrow(_doc_counts, "gram string, toxic long, clean long").groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    sample = sample.repartition(8)  # bounded
+    counts = _totals(sample, lambda: lambda folded: {g for w in set(folded.split()) for g in _grams(w)})
     least = LEAST_TEXTS if n1 >= 5 * LEAST_TEXTS else 2
     found = counts.filter(F.col("toxic") >= least).withColumn("odds", odds).filter(F.col("odds") >= LEAST_ODDS).orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "gram").limit(LEXICON).collect()
     counted = {r.gram: (r.toxic, r.clean) for r in found}
@@ -153,24 +161,29 @@ def fit(sample: DataFrame) -> Toxicity:
         return max(0.0, float(np.log((toxic + 0.5) / (n1 + 1)) - np.log((clean + 0.5) / (n0 + 1))))
 
     model = Toxicity({g: weight(*c) for g, c in counted.items()}, [], np.zeros(4))
-    automaton = model.automaton()
-    # the sample's hits: what entries and phrases each text holds (bounded by the sample)
-    rows, phrase_texts = [], (Counter(), Counter())
-    for part in sample.select("t", "y").toLocalIterator():
-        folded = fold(bytes(part.t))
-        _, phrases = _phrases(folded, automaton)
-        phrase_texts[1 - part.y].update(set(phrases))
-        rows.append((folded, part.y))
-    model.exceptions = [p for p, n in phrase_texts[1].most_common(LEXICON) if n >= 2 and not phrase_texts[0][p]]
-    automaton = model.automaton()
-    x, y = [], []
-    for folded, label in rows:
-        # leave-one-out weights: a text doesn't vouch for its own entries
-        own = [weight(counted[g][0] - (label == 1), counted[g][1] - (label == 0)) if counted[g][0] - (label == 1) > 0 else 0.0 for g, _, _ in model.hits(folded, automaton)]
-        x.append(model.features(folded, own))
-        y.append(label)
-    sample.unpersist()
-    model.slope = _logistic(np.array(x).reshape(-1, 4), np.array(y, float))
+
+    def make_phrases():
+        automaton = model.automaton()
+        return lambda folded: set(_phrases(folded, automaton)[1])
+
+    # phrases around the entries that clean texts hold and toxic ones don't
+    cancel = _totals(sample, make_phrases).filter("clean >= 2 AND toxic = 0").orderBy(F.desc("clean"), "gram").limit(LEXICON)
+    exceptions = [r.gram for r in cancel.collect()] if counted else []
+    model = Toxicity(model.weights, exceptions, model.slope)
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = model.automaton()
+        for batch in slices(batches):
+            rows = []
+            for t, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                folded = fold(t)
+                # leave-one-out weights: a text doesn't vouch for its own entries
+                own = [weight(counted[g][0] - (label == 1), counted[g][1] - (label == 0)) if counted[g][0] - (label == 1) > 0 else 0.0 for g, _, _ in model.hits(folded, automaton)]
+                rows.append(model.features(folded, own).tolist())
+            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.float64())), batch.column(1)], ["x", "y"])
+
+    rows = sorted((r.x, r.y) for r in sample.mapInArrow(features, "x array<double>, y int").collect())  # four numbers a text, in one order
+    model.slope = _logistic(np.array([x for x, _ in rows]).reshape(-1, 4), np.array([y for _, y in rows], float))
     return model
 
 
@@ -210,5 +223,5 @@ def score_column(model: Toxicity, text: Column) -> Column:
     return toxicity_score(binary(text))
 
 
-def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int = 1, rows: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Toxicity:
-    return fit(labelled_sample(docs, labels, "toxic", folds, held_fold, rows, id_col, text_col))
+def fit_toxicity(docs: DataFrame, labels: DataFrame, folds: int = 3, held_fold: int = 1, rows: int = SAMPLE, most_bytes: int = SAMPLE_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Toxicity:
+    return fit(labelled_sample(docs, labels, "toxic", folds, held_fold, rows, most_bytes, id_col, text_col))

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from shelfaudit.llm import lm, quality, secret_scan, token_counts, toxicity
 from shelfaudit.llm.automata import Automaton
 from shelfaudit.llm.common import fold_of
+from shelfaudit.llm import labelled as labelled_module
 from shelfaudit.llm.labelled import best_cut, labelled_sample
 from tests.llm.conftest import EDGE
 
@@ -105,10 +106,114 @@ def test_quality_on_held_out(labelled, docs_of):
     assert len(edge) == len(EDGE) and all(0 <= r.p <= 1 for r in edge)
 
 
-def test_attention_finds_the_passage():
-    """The junk passages of a mixed text get more attention than an even share."""
-    x = np.concatenate([quality.passages((prose(200) + " " + junk(64)).encode())])
-    assert len(x) == 5 and quality.passages(b"").shape == (1, quality.HASHED + quality.SHARES)
+def plain_passages(text):
+    """Passage features by plain loops: hashed byte pairs, kinds of bytes, three shares."""
+    words = text.split()
+    if not words:
+        return [[0.0] * (quality.HASHED + quality.SHARES)]
+    out = []
+    for k in range(0, len(words), quality.PASSAGE):
+        own = words[k:k + quality.PASSAGE]
+        raw = b" " * (k > 0) + b" ".join(own)  # the space between two passages is the second one's
+        more = raw + b" " * (k + quality.PASSAGE < len(words))
+        pairs, kinds = [0.0] * quality.HASHED, [0.0] * 6
+        for x, y in zip(more, more[1:]):
+            pairs[(x * 31 + y) % quality.HASHED] += 8 / len(raw)
+        for c in raw:
+            kind = 5 if c > 127 else 0 if c in b" \t\n\v\f\r" else 1 if chr(c).isdigit() else 2 if chr(c).isupper() else 3 if chr(c).isalpha() else 4
+            kinds[kind] += 4 / len(raw)
+        shares = [len(set(own)) / len(own), sum(a == b for a, b in zip(own, own[1:])) / len(own), min(3.0, len(raw) / len(own) / 8)]
+        out.append(pairs + kinds + shares)
+    return out
+
+
+def plain_attention(p, bag):
+    """(attention of each passage, score) by plain loops."""
+    dot = lambda m, x: [sum(float(m[i][j]) * x[i] for i in range(len(x))) for j in range(len(m[0]))]
+    hidden = [[math.tanh(v + float(b)) for v, b in zip(dot(p["We"], x), p["be"])] for x in bag]
+    energy = [sum(float(w) * math.tanh(v) / (1 + math.exp(-u)) for w, v, u in zip(p["w"], dot(p["V"], h), dot(p["U"], h))) for h in hidden]
+    top = max(energy)
+    total = sum(math.exp(e - top) for e in energy)
+    attention = [math.exp(e - top) / total for e in energy]
+    z = [sum(a * h[i] for a, h in zip(attention, hidden)) for i in range(quality.WIDTH)]
+    return attention, 1 / (1 + math.exp(-(sum(float(w) * v for w, v in zip(p["ws"], z)) + float(p["bs"][0]))))
+
+
+def test_quality_equals_plain_loops(labelled, docs_of):
+    """Features, attention and score of every row, whole texts, by brute force."""
+    docs, labels, _ = labelled
+    model = quality.fit_quality(docs, labels, rows=300)
+    rows = [(i, t if t is None or len(t) < 60_000 else t[:9000]) for i, t in EDGE] + [(50, prose(300) + " " + junk(130)), (50, prose(64)), (51, prose(65))]
+    got = docs_of(rows).select("doc_id", quality.score_column(model, F.col("text")).alias("p")).collect()
+    for (i, t), r in zip(rows, got):
+        raw = (t or "").encode()
+        bag = plain_passages(raw)
+        assert np.allclose(quality.passages(raw), bag, atol=1e-4)
+        attention, score = plain_attention(model.p, bag)
+        o = model.forward(quality.passages(raw), np.array([0]))
+        assert np.allclose(o["a"], attention, atol=1e-3)
+        assert r.doc_id == i and abs(r.p - score) < 1e-3
+
+
+def test_attention_finds_the_passage(labelled):
+    """The junk passage of a mixed text gets more attention than an even share, whichever place it has."""
+    docs, labels, _ = labelled
+    model = quality.fit_quality(docs, labels)
+    found = 0
+    for place in range(5):
+        parts = [prose(64) for _ in range(5)]
+        parts[place] = junk(64)
+        x = quality.passages(" ".join(parts).encode())
+        a = model.forward(x, np.array([0]))["a"]
+        assert len(x) == 5 and abs(a.sum() - 1) < 1e-5
+        found += a[place] > 1 / 5
+    assert found == 5
+
+
+def test_sample_is_bounded_by_rows_and_bytes(spark, docs_of):
+    """One labelled id on half of all rows: no more rows, and no more bytes, than asked for."""
+    rows = [(7 if i % 2 else i, f"text {i} " + "x" * (i % 50)) for i in range(4000)] + [(9000, "y" * (labelled_module.LONGEST + 1))]
+    labels = spark.createDataFrame([(i, i % 2) for i in (*range(0, 4000, 2), 7, 9000)], "doc_id long, toxic int")
+    found = labelled_sample(docs_of(rows), labels, "toxic", 3, 1, rows=100).collect()
+    assert 0 < len(found) <= 100
+    few = labelled_sample(docs_of(rows), labels, "toxic", 3, 1, rows=100, most_bytes=500).collect()
+    assert 0 < len(few) < len(found) and sum(len(r.t) for r in few) <= 500
+    every = labelled_sample(docs_of(rows), labels, "toxic", 3, 1, rows=10_000)
+    assert every.filter(F.length("t") > labelled_module.LONGEST).count() == 0 and every.count() > 3000
+    assert sorted(bytes(r.t) for r in found) == sorted(bytes(r.t) for r in labelled_sample(docs_of(rows), labels, "toxic", 3, 1, rows=100).collect())
+
+
+def plain_hits(model, folded):
+    """Leftmost longest matches of entries and exceptions that don't overlap, by trying every place."""
+    text, out, i = folded.replace(" ", "  "), [], 0
+    entries = {**{e: 0.0 for e in model.exceptions}, **model.weights}
+    while i < len(text):
+        best = max((e for e in entries if text.startswith(e, i)), key=len, default=None)
+        if best is None:
+            i += 1
+        else:
+            out += [(best, entries[best])] if entries[best] else []
+            i += len(best)
+    return out
+
+
+def test_toxicity_equals_plain_loops(labelled, docs_of):
+    docs, labels, _ = labelled
+    model = toxicity.fit_toxicity(docs, labels)
+    assert model.weights
+    model.exceptions = [" river  grobnik ", *model.exceptions]
+    rows = [(i, t if t is None or len(t) < 60_000 else t[:5000]) for i, t in EDGE]
+    rows += [(60 + k, toxic(40) + " river grobnik! grobniks classic") for k in range(20)] + [(60, "grobnik"), (None, "grobnik river grobnik")]
+    got = docs_of(rows).select("doc_id", toxicity.score_column(model, F.col("text")).alias("p")).collect()
+    a = model.automaton()
+    for (i, t), r in zip(rows, got):
+        folded = toxicity.fold((t or "").encode())
+        hits = plain_hits(model, folded)
+        assert [(g, w) for g, w, _ in model.hits(folded, a)] == hits
+        words, total = len(folded.split()), sum(w for _, w in hits)
+        x = (math.log1p(total), min(3.0, 10 * total / (max(1, words) + 20)), math.log(max(1, words) + 20) / 5, 1.0)
+        z = max(-30.0, min(30.0, sum(a * float(b) for a, b in zip(x, model.slope))))
+        assert r.doc_id == i and abs(r.p - 1 / (1 + math.exp(-z))) < 1e-9
 
 
 def test_quality_without_two_labels(labelled):
