@@ -37,16 +37,19 @@ from shelfaudit.session import stage
 
 #: Different texts that a bucket may hold before it splits.
 CAPACITY = 16_384
+#: Buckets of an owner task, at least, where there are texts enough.
+BUCKETS = 4
 #: The histogram is read at these depths; the second only under prefixes that are over capacity at the first.
 LEVELS = (12, 20)
 MAX_DEPTH = LEVELS[-1]
 
 
-def directory(hashes: DataFrame, capacity: int = CAPACITY) -> list[tuple[int, int]]:
+def directory(hashes: DataFrame, capacity: int = CAPACITY, owners: int = 1) -> list[tuple[int, int]]:
     """Buckets (local depth, prefix) in key order for the distinct values of the column ``h``.
 
     A bucket over capacity splits in two by the next bit; the deepest bucket sets the
-    directory's depth. At most 2^12 counts and those under overfull prefixes are read.
+    directory's depth. At most 2^12 counts and those under overfull prefixes are read. The capacity is
+    lowered until each of ``owners`` can have BUCKETS of them.
     """
     counts: dict[tuple[int, int], int] = {}
     full: list[int] | None = None
@@ -58,6 +61,7 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY) -> list[tuple[int, in
             for depth in range(0 if full is None else LEVELS[0] + 1, level + 1):
                 key = (depth, r.slot >> (level - depth))
                 counts[key] = counts.get(key, 0) + r.n
+        capacity = max(1, min(capacity, counts.get((0, 0), 0) // (BUCKETS * owners)))
         full = [p for (d, p), n in counts.items() if d == LEVELS[0] and n > capacity]
         if not full:
             break
@@ -113,7 +117,8 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capac
     """The staged index pages: h, link (place in the chain), text_sha256, ids, page_row."""
     spark = docs.sparkSession
     hashes = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
-    buckets = directory(hashes, capacity)
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = directory(hashes, capacity, tasks)
     depth = max(d for d, _ in buckets)
     rows = [(n, prefix << (depth - d), 1 << (depth - d)) for n, (d, prefix) in enumerate(buckets)]
     slots = spark.createDataFrame(rows, "bucket int, first long, width long")  # 2^MAX_DEPTH slots at most
@@ -121,10 +126,9 @@ def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capac
     entries = _entries(docs, id_col, text_col)
     slot = F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
     placed = entries.withColumn("slot", slot).join(F.broadcast(slots), "slot")
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # owner tasks: contiguous key ranges, several buckets each
-    owner = (F.col("bucket") * F.lit(tasks) / F.lit(len(buckets))).cast("int")
-    owned = placed.withColumn("owner", owner).repartition(tasks, "owner").sortWithinPartitions("h")
+    # owner tasks: contiguous key ranges, several buckets each; the owner's number is the partition's
+    owner = F.floor(F.col("bucket").cast("long") * F.lit(tasks) / F.lit(len(buckets))).cast("int")
+    owned = placed.repartitionById(tasks, owner).sortWithinPartitions("h")
     pages = owned.select("h", "text", "ids").mapInArrow(_chain, "h long, link int, text_sha256 string, ids array<long>")
     return stage(pages.withColumn("page_row", F.monotonically_increasing_id()), "exact-index")
 

@@ -5,6 +5,7 @@ import random
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from shelfaudit.llm import exact_dedup as exact
 from shelfaudit.llm import simhash
@@ -123,3 +124,16 @@ def test_simhash_near_dedup(docs_of):
     want = {(str(i), x - (1 << 64) if x >> 63 else x): c for (i, x), c in zip(fps, classes(fps, 2))}
     assert got == want
     assert simhash.simhash_near_dedup(docs_of(rows).limit(0)).count() == 0
+
+
+def test_no_owner_is_idle(spark, docs_of):
+    """16 owners of key ranges: each has rows, and none many more than another."""
+    docs = docs_of([(i, f"text {i}") for i in range(4000)], clash=False)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        pages = exact.index(docs)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    owners = [r["n"] for r in pages.groupBy(F.shiftright("page_row", 33).alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(owners) == 16 and sum(owners) == 4000 and max(owners) <= 2 * min(owners)
