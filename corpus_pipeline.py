@@ -51,8 +51,8 @@ def _one_of_each(rows: DataFrame, groups: DataFrame, largest: bool) -> DataFrame
     order = F.col("doc_id").cast("long")
     first = F.struct(F.col("doc_id").isNull().alias("none"), (-order if largest else order).alias("id"), F.col("row").alias("row"))
     members = stage(groups.join(rows.select(F.col("__row").alias("row"), "doc_id"), "row"), "pipeline-members")
-    stays = members.groupBy("group").agg(F.count(F.lit(1)).alias("n"), F.min(first).alias("stays")).filter("n > 1")
-    gone = members.join(stays, "group").filter(F.col("row") != F.col("stays.row")).select("row")
+    stays = members.groupBy("group").agg(F.min(first)["row"].alias("row"))
+    gone = members.join(stays, "row", "left_anti").select("row")  # by row: a group may hold a third of all
     return keep_ids(rows, "__row", stage(gone, "pipeline-gone"), "left_anti").drop("__row")
 
 
