@@ -9,12 +9,15 @@ shared checkpoint folder. Totals of each chain link are then read from those
 pages, which hold no text.
 
 Scale: equal texts of a slice of 512 rows become one entry (bytes
-compared) before anything moves, so a text that a third of all rows share
-arrives at its owner once a slice; entries move once. The owner streams: it holds one
+compared) before anything moves; entries move once. A hash that holds more rows
+than an owner's fair share is spread over as many owners as it holds shares.
+Each of them chains it and writes one copy of each of its texts; those
+copies, a few a hash, meet in a second round, where bytes are compared again and
+the owners' chains become one. The owner streams: it holds one
 chain (distinct texts of one 64-bit hash). Members ride along as id lists of
 one slice at most. Buckets that no bit can split (one hash) stay over
 capacity and are chained. The driver holds the directory only: bucket counts,
-at most 2^MAX_DEPTH slots.
+at most 2^MAX_DEPTH slots. Fewer than 1 / HOT_PART hashes can be spread; their list is broadcast.
 
 Defined results: null text equals the empty text; of equal texts the row with
 the largest id stays, null ids last; of fully repeated rows exactly one
@@ -24,6 +27,7 @@ stays; an empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +46,8 @@ BUCKETS = 4
 #: The histogram is read at these depths; the second only under prefixes that are over capacity at the first.
 LEVELS = (12, 20)
 MAX_DEPTH = LEVELS[-1]
+#: A hash is spread over owners if it holds more than HOT_ROWS rows and more than this part of all.
+HOT_ROWS, HOT_PART = 2048, 1 / 65_536
 
 
 def directory(hashes: DataFrame, capacity: int = CAPACITY, owners: int = 1) -> list[tuple[int, int]]:
@@ -76,9 +82,11 @@ def directory(hashes: DataFrame, capacity: int = CAPACITY, owners: int = 1) -> l
 
 
 def _entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Equal texts of a slice of a batch as one entry: h, sha, its text and its ids, largest first, nulls last."""
+    """Equal texts of a slice of a batch as one entry: h, its text, its ids (largest first, nulls last) and its number in the task."""
 
     def setup():
+        seen = itertools.count()
+
         def work(batch: pa.RecordBatch) -> pa.RecordBatch:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             found: dict[bytes, list] = {}
@@ -89,53 +97,96 @@ def _entries(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 pa.array(np.array([r[0] for r in rows], np.uint64).view(np.int64)),
                 pa.array([r[1] for r in rows], pa.binary()),
                 pa.array([r[2] for r in rows], pa.list_(pa.int64())),
-            ], ["h", "text", "ids"])
+                pa.array([next(seen) for _ in rows], pa.int64()),
+            ], ["h", "text", "ids", "nth"])
 
         return work
 
-    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), binary(F.col(text_col)).alias("t")), "h long, text binary, ids array<long>", setup)
+    return map_batches(docs.select(F.col(id_col).cast("long").alias("id"), binary(F.col(text_col)).alias("t")), "h long, text binary, ids array<long>, nth long", setup)
 
 
 def _chain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries sorted by h: number the distinct texts of each hash by comparing bytes; the texts end here."""
+    """Entries (h, text, ids, share, shares) sorted by h: number the distinct texts of each hash by comparing bytes.
+
+    The texts end here, but for the first of its kind where the hash has several owners.
+    """
     last, chain = None, []
     for batch in slices(batches):
-        link, digest = np.empty(batch.num_rows, np.int32), []
-        for k, (h, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())):
+        link, digest, first = np.empty(batch.num_rows, np.int32), [], []
+        for k, (h, text, shares) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(4).to_pylist())):
             if h != last:
                 last, chain = h, []
             at = next((n for n, (t, _) in enumerate(chain) if t == text), -1)
+            first.append(text if at < 0 and shares > 1 else None)
             if at < 0:
                 at = len(chain)
                 chain.append((text, hashlib.sha256(text).hexdigest()))
             link[k] = at
             digest.append(chain[at][1])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(link), pa.array(digest, pa.string()), batch.column(2)], ["h", "link", "text_sha256", "ids"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(link), pa.array(digest, pa.string()), batch.column(2), batch.column(3), pa.array(first, pa.binary())],
+            ["h", "link", "text_sha256", "ids", "share", "first"])
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Owners' first texts (h, share, link, first) sorted by h: the place of each in the hash's whole chain, by comparing bytes."""
+    last, chain = None, []
+    for batch in slices(batches):
+        place = np.empty(batch.num_rows, np.int32)
+        for k, (h, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())):
+            if h != last:
+                last, chain = h, []
+            if text not in chain:
+                chain.append(text)
+            place[k] = chain.index(text)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(place)], ["h", "share", "link", "place"])
+
+
+def hot_hashes(counts: DataFrame, tasks: int) -> DataFrame:
+    """(h, shares): hashes of ``counts`` (h, n) that hold more than an owner's fair share, and over how many owners they go."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    shares = F.least(F.ceil(F.col("n") * F.lit(tasks) / F.lit(max(total, 1))), F.lit(tasks)).cast("int")
+    hot = counts.filter(F.col("n") > F.lit(max(HOT_ROWS, total * HOT_PART)))
+    return hot.select("h", shares.alias("shares")).filter("shares > 1")
 
 
 def index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The staged index pages: h, link (place in the chain), text_sha256, ids, page_row."""
+    """The staged index pages: h, link (place in the chain), text_sha256, ids, page_row, share (the owner's, of a hash of
+    several) and first (a text, once an owner, of such a hash); link and share together name an owner's text."""
     spark = docs.sparkSession
-    hashes = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = directory(hashes, capacity, tasks)
+    hashes = docs.select(F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    counts = stage(hashes.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "exact-hashes")
+    buckets = directory(counts.select("h"), capacity, tasks)
     depth = max(d for d, _ in buckets)
     rows = [(n, prefix << (depth - d), 1 << (depth - d)) for n, (d, prefix) in enumerate(buckets)]
     slots = spark.createDataFrame(rows, "bucket int, first long, width long")  # 2^MAX_DEPTH slots at most
     slots = slots.select("bucket", F.explode(F.sequence(F.col("first"), F.col("first") + F.col("width") - 1)).alias("slot"))
     entries = _entries(docs, id_col, text_col)
     slot = F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
-    placed = entries.withColumn("slot", slot).join(F.broadcast(slots), "slot")
+    placed = entries.withColumn("slot", slot).join(F.broadcast(slots), "slot").join(F.broadcast(hot_hashes(counts, tasks)), "h", "left")
+    shares = F.coalesce("shares", F.lit(1))
+    placed = placed.withColumn("share", F.pmod(F.xxhash64("ids", "nth"), shares).cast("int"))
     # owner tasks: contiguous key ranges, several buckets each; the owner's number is the partition's
     owner = F.floor(F.col("bucket").cast("long") * F.lit(tasks) / F.lit(len(buckets))).cast("int")
-    owned = placed.repartitionById(tasks, owner).sortWithinPartitions("h")
-    pages = owned.select("h", "text", "ids").mapInArrow(_chain, "h long, link int, text_sha256 string, ids array<long>")
+    owned = placed.repartitionById(tasks, F.pmod(owner + F.col("share"), F.lit(tasks)).cast("int")).sortWithinPartitions("h")
+    schema = "h long, link int, text_sha256 string, ids array<long>, share int, first binary"
+    pages = owned.select("h", "text", "ids", "share", shares.alias("shares")).mapInArrow(_chain, schema)
     return stage(pages.withColumn("page_row", F.monotonically_increasing_id()), "exact-index")
 
 
+def _whole_chains(pages: DataFrame) -> DataFrame:
+    """``pages`` with one ``link`` a text, also where several owners hold its hash."""
+    several = pages.filter(F.col("first").isNotNull()).select("h", "share", "link", "first")
+    met = several.repartition("h").sortWithinPartitions("h").mapInArrow(_settle, "h long, share int, link int, place int")
+    met = stage(met, "exact-places")
+    out = pages.drop("first").join(met, ["h", "share", "link"], "left")
+    return out.withColumn("link", F.coalesce("place", "link")).drop("place", "share")
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
     """One row (id, keep_id, group_size, kept, text_sha256) per row of ``docs``."""
-    pages = index(docs, id_col, text_col, capacity)
+    pages = _whole_chains(index(docs, id_col, text_col, capacity))
     best = F.struct(F.get("ids", F.lit(0)).alias("id"), (-F.col("page_row")).alias("at"))
     totals = pages.groupBy("h", "link").agg(F.sum(F.size("ids")).cast("long").alias("group_size"), F.max(best).alias("best"))
     members = pages.join(totals, ["h", "link"])

@@ -3,6 +3,7 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -38,10 +39,8 @@ def test_exact_dedup(docs_of):
 
 def test_equal_hashes_are_chained(docs_of, monkeypatch):
     """Different texts of one hash stay apart, because bytes are compared."""
-    import pyarrow as pa
-
     texts = [b"a", b"b", b"a", b"c", b"b"]
-    batch = pa.RecordBatch.from_arrays([pa.array([7] * 5, pa.int64()), pa.array(texts, pa.binary()), pa.array([[k] for k in range(5)], pa.list_(pa.int64()))], ["h", "text", "ids"])
+    batch = pa.RecordBatch.from_arrays([pa.array([7] * 5, pa.int64()), pa.array(texts, pa.binary()), pa.array([[k] for k in range(5)], pa.list_(pa.int64())), pa.array([0] * 5, pa.int32()), pa.array([1] * 5, pa.int32())], ["h", "text", "ids", "share", "shares"])
     (out,) = exact._chain(iter([batch]))
     assert out.column(1).to_pylist() == [0, 1, 0, 2, 1]
 
@@ -137,3 +136,30 @@ def test_no_owner_is_idle(spark, docs_of):
         spark.conf.set("spark.sql.shuffle.partitions", old)
     owners = [r["n"] for r in pages.groupBy(F.shiftright("page_row", 33).alias("task")).agg(F.count(F.lit(1)).alias("n")).collect()]
     assert len(owners) == 16 and sum(owners) == 4000 and max(owners) <= 2 * min(owners)
+
+
+def test_a_hot_text_has_many_owners(spark, docs_of, monkeypatch):
+    """A third of all rows share a text: it goes to several owners, arrives at each about as often as there are slices
+    for it, and the second round makes one chain; other hashes keep one owner."""
+    monkeypatch.setattr(exact, "HOT_ROWS", 100)
+    rows = [(i if i % 50 else None, f"text {i}" if i % 3 else "hot") for i in range(9000)] + [(i, None) for i in range(1500)]
+    docs = docs_of(rows).repartition(12)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "16")
+        pages = exact.index(docs)
+        owners = pages.filter("first IS NOT NULL").groupBy("text_sha256").agg(F.countDistinct(F.shiftright("page_row", 33)).alias("n"), F.count(F.lit(1)).alias("copies")).collect()
+        got = exact.exact_dedup(docs).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert len(owners) == 2 and all(2 <= r.n <= 6 and r.copies == r.n for r in owners)
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_exact(rows)))
+
+
+def test_second_round_compares_bytes():
+    """Two texts of one hash in several owners, numbered differently by each."""
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([7, 7, 7, 7, 9]), pa.array([0, 0, 1, 1, 0], pa.int32()), pa.array([0, 1, 0, 1, 0], pa.int32()), pa.array([b"a", b"b", b"b", b"a", b"a"])],
+        ["h", "share", "link", "first"])
+    (out,) = exact._settle(iter([batch]))
+    assert out.column(3).to_pylist() == [0, 1, 1, 0, 0]
