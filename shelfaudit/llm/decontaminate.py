@@ -10,9 +10,11 @@ starts at the place's offset (position), and are verified by comparing every
 shingle of the window with the document's at consecutive places, which is
 exact containment of the window's words.
 
-Scale: documents are read once. Their words meet the benchmark's shingles in
-a broadcast join, by blocks of ``BLOCK`` shingles (a larger benchmark makes
-more passes and loses nothing); what goes on are only the places that hold
+Scale: documents are read once, whatever the items' lengths. Their words meet
+the benchmark's shingles in a broadcast join if these are up to ``BLOCK``. Of a
+larger benchmark only a bitmap of its shingles' hashes is broadcast (at most
+2^SIEVE_BITS bits); the places that pass it, few more than those that hold a
+shingle, are joined by a shuffle. What goes on are only the places that hold
 some benchmark shingle, as numbers, and one row a document. Texts never move.
 Rows of one document meet in one task, never those of a shingle or window;
 the join of places with prefixes can be split by AQE.
@@ -32,8 +34,12 @@ from pyspark.sql import functions as F
 from shelfaudit.llm.common import ALNUM_WORD, lower_az
 from shelfaudit.session import stage
 
-#: Shingles in one broadcast (about 100 bytes each).
+#: Shingles that are broadcast (about 100 bytes each); more are joined by a shuffle.
 BLOCK = 200_000
+#: The bitmap in front of that shuffle has at least SIEVE_SPACE bits a shingle, up to 2^SIEVE_BITS (64 MiB).
+SIEVE_SPACE, SIEVE_BITS = 16, 29
+#: Bits of one bitmap row, as Spark's bitmap functions have it.
+BITMAP = 32_768
 
 
 def words(text: Column) -> Column:
@@ -59,30 +65,56 @@ def _places(docs: DataFrame, grams: DataFrame, shingle: int, id_col: str, text_c
     w = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("th"), words(text).alias("w"))
     lanes = F.arrays_zip(*[(F.slice("w", j + 1, F.size("w")) if j else F.col("w")).alias(f"w{j}") for j in range(shingle)])
     at = w.select("id", "th", F.size("w").alias("n_words"), F.posexplode_outer(lanes).alias("pos", "x"))
-    blocks = max(1, -(-grams.count() // BLOCK))
-    out = None
-    for k in sorted(r.k for r in grams.select("k").distinct().collect()) or [shingle]:  # 1 to shingle
+    n = grams.count()
+    lengths = sorted(r.k for r in grams.select("k").distinct().collect()) or [shingle]  # 1 to shingle
+
+    def start(k: int) -> Column:
         own = [F.col("x").getField(f"w{j}") for j in range(k)]
-        keyed = at.select("id", "th", "n_words", "pos", *[c.alias(f"v{j}") for j, c in enumerate(own)], F.xxhash64(*own).alias("h"))
-        known = grams.filter(F.col("k") == k).select("gram_id", "k", *[F.get("g", F.lit(j)).alias(f"g{j}") for j in range(k)])
-        known = known.withColumn("gh", F.xxhash64(*[f"g{j}" for j in range(k)]))
-        same = F.lit(True)
-        for j in range(k):
-            same = same & (F.col(f"v{j}") == F.col(f"g{j}"))
-        for b in range(blocks):
-            part = known.filter(F.pmod("gram_id", F.lit(blocks)) == b)
-            # the hash is the join key; the words themselves are compared on each hit
-            met = keyed.join(F.broadcast(part), (F.col("h") == F.col("gh")) & F.coalesce(same, F.lit(False)), "left")
-            head = (F.coalesce("pos", F.lit(0)) == 0) if out is None else F.lit(False)
-            met = met.select("id", "th", "n_words", head.alias("head"), "pos", "gram_id", "k").filter(F.col("head") | F.col("gram_id").isNotNull())
-            out = met if out is None else out.unionByName(met)
-    return out
+        # where the text ends earlier there is no shingle, and a document's own hash keeps such rows apart
+        h = F.when(own[-1].isNotNull(), F.xxhash64(*own)).otherwise(F.xxhash64("th", "id", "pos"))
+        rest = [F.lit(None).cast("string").alias(f"v{j}") for j in range(k, shingle)]
+        return F.struct(F.lit(k).alias("k"), h.alias("h"), *[c.alias(f"v{j}") for j, c in enumerate(own)], *rest)
+
+    starts = [start(k) for k in lengths]
+    one = F.explode(F.array(*starts)) if len(starts) > 1 else starts[0]
+    keyed = at.select("id", "th", "n_words", "pos", one.alias("s")).select("id", "th", "n_words", "pos", "s.*")
+    keyed = keyed.withColumn("head", (F.coalesce("pos", F.lit(0)) == 0) & (F.col("k") == lengths[0]))
+    known = grams.select("gram_id", F.col("k").alias("gk"), *[F.get("g", F.lit(j)).alias(f"g{j}") for j in range(shingle)])
+    gh = F.lit(None).cast("long")
+    for k in lengths:
+        gh = F.when(F.col("gk") == k, F.xxhash64(*[f"g{j}" for j in range(k)])).otherwise(gh)
+    known = known.withColumn("gh", gh)
+    if n > BLOCK:
+        keyed = _sieved(keyed, known, n)
+    # the hash and the length are the join key; the words themselves are compared on each hit
+    same = (F.col("h") == F.col("gh")) & (F.col("k") == F.col("gk"))
+    for j in range(shingle):
+        same = same & F.col(f"v{j}").eqNullSafe(F.col(f"g{j}"))
+    met = keyed.join(known if n > BLOCK else F.broadcast(known), same, "left")
+    return met.select("id", "th", "n_words", "head", "pos", "gram_id", F.col("gk").alias("k")).filter(F.col("head") | F.col("gram_id").isNotNull())
+
+
+def _sieved(keyed: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """Rows of ``keyed`` that are a document's head or whose hash ``h`` has its bit in a bitmap of ``known``'s hashes ``gh``."""
+    bits = 1 << min(SIEVE_BITS, max(BITMAP, n * SIEVE_SPACE).bit_length())
+
+    def row(h: str) -> Column:
+        return F.floor(F.pmod(F.col(h), F.lit(bits)) / BITMAP).cast("int")
+
+    def bit(h: str) -> Column:
+        return F.pmod(F.col(h), F.lit(BITMAP)).cast("int")
+
+    maps = known.groupBy(row("gh").alias("m")).agg(F.bitmap_construct_agg(bit("gh").cast("long")).alias("bitmap"))
+    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit("h") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    known_bit = F.coalesce(F.getbit(byte, bit("h") % 8) == 1, F.lit(False))
+    met = keyed.join(F.broadcast(maps), row("h") == F.col("m"), "left")  # bits / 8 bytes in all
+    return met.filter(F.col("head") | known_bit).drop("m", "bitmap")
 
 
 def _verified(places: DataFrame, parts: DataFrame, windows: DataFrame, window: int) -> DataFrame:
     """Occurrences (id, th, start, len, window_id) from the prefix join."""
     found = places.filter(F.col("gram_id").isNotNull()).select("id", "th", "n_words", "pos", "gram_id", "k")
-    found = found.repartition("id", "th").dropDuplicates(["id", "th", "pos", "gram_id"])  # repeated documents
+    found = found.dropDuplicates(["id", "th", "pos", "gram_id"])  # repeated documents, combined before they move
     rarity = places.filter(F.col("gram_id").isNotNull()).groupBy("gram_id").agg(F.count(F.lit(1)).alias("seen"))
     prefix = (
         parts.join(rarity, "gram_id").groupBy("window_id")

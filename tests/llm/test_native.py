@@ -131,6 +131,25 @@ def test_decontaminate_in_blocks(spark, docs_of, monkeypatch):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_decontaminate(DOCS, ITEMS)))
 
 
+@pytest.mark.parametrize("block", [200_000, 3])
+def test_decontaminate_reads_documents_once(spark, tmp_path, monkeypatch, block):
+    """Items of one, two and twelve words, with and without the bitmap in front of a shuffle."""
+    from pyspark.sql import functions as F
+
+    from shelfaudit.llm import decontaminate as module
+
+    monkeypatch.setattr(module, "BLOCK", block)
+    spark.createDataFrame([(1, seq(0, 30) + " solo two words")], "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    windows, _ = module._windows(items_of(spark, [(1, "solo"), (2, "two words"), (3, seq(4, 16))]), 10, 3, "item_id", "text")
+    grams = windows.select("k", F.explode("grams").alias("g")).distinct().withColumn("gram_id", F.monotonically_increasing_id())
+    places = module._places(docs, grams, 3, "doc_id", "text")
+    plan = places._jdf.queryExecution().executedPlan().toString()
+    assert sum("FileScan" in x and str(tmp_path) in x for x in plan.splitlines()) == 1
+    assert sorted(r.pos for r in places.filter("gram_id is not null").collect()) == [*range(4, 14), 30, 31]
+    assert ("bitmap_construct_agg" in plan) == (block == 3)
+
+
 def test_mix_fills_targets(docs_of):
     rows = [(i, "w " * (1 + i % 7), f"s{i % 3}" if i % 11 else None) for i in range(400)] + [(i, t, "e") for i, t in EDGE]
     got = mix(docs_of(rows)).collect()
