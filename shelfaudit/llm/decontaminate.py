@@ -12,8 +12,8 @@ exact containment of the window's words.
 
 Scale: documents are read once, whatever the items' lengths. Their words meet
 the benchmark's shingles in a broadcast join if these are up to ``BLOCK``. Of a
-larger benchmark only a bitmap of its shingles' hashes is broadcast (at most
-2^SIEVE_BITS bits); the places that pass it, few more than those that hold a
+larger benchmark only bitmaps of its shingles' hashes are broadcast (one a
+length, 2^SIEVE_BITS bits at most); the places that pass one, few more than those that hold a
 shingle, are joined by a shuffle. What goes on are only the places that hold
 some benchmark shingle, as numbers, and one row a document. Texts never move.
 Rows of one document meet in one task, never those of a shingle or window;
@@ -36,7 +36,7 @@ from shelfaudit.session import stage
 
 #: Shingles that are broadcast (about 100 bytes each); more are joined by a shuffle.
 BLOCK = 200_000
-#: The bitmap in front of that shuffle has at least SIEVE_SPACE bits a shingle, up to 2^SIEVE_BITS (64 MiB).
+#: A bitmap in front of that shuffle has at least SIEVE_SPACE bits a shingle, up to 2^SIEVE_BITS (64 MiB).
 SIEVE_SPACE, SIEVE_BITS = 16, 29
 #: Bits of one bitmap row, as Spark's bitmap functions have it.
 BITMAP = 32_768
@@ -67,35 +67,33 @@ def _places(docs: DataFrame, grams: DataFrame, shingle: int, id_col: str, text_c
     at = w.select("id", "th", F.size("w").alias("n_words"), F.posexplode_outer(lanes).alias("pos", "x"))
     n = grams.count()
     lengths = sorted(r.k for r in grams.select("k").distinct().collect()) or [shingle]  # 1 to shingle
-
-    def start(k: int) -> Column:
-        own = [F.col("x").getField(f"w{j}") for j in range(k)]
-        # where the text ends earlier there is no shingle, and a document's own hash keeps such rows apart
-        h = F.when(own[-1].isNotNull(), F.xxhash64(*own)).otherwise(F.xxhash64("th", "id", "pos"))
-        rest = [F.lit(None).cast("string").alias(f"v{j}") for j in range(k, shingle)]
-        return F.struct(F.lit(k).alias("k"), h.alias("h"), *[c.alias(f"v{j}") for j, c in enumerate(own)], *rest)
-
-    starts = [start(k) for k in lengths]
-    one = F.explode(F.array(*starts)) if len(starts) > 1 else starts[0]
-    keyed = at.select("id", "th", "n_words", "pos", one.alias("s")).select("id", "th", "n_words", "pos", "s.*")
-    keyed = keyed.withColumn("head", (F.coalesce("pos", F.lit(0)) == 0) & (F.col("k") == lengths[0]))
-    known = grams.select("gram_id", F.col("k").alias("gk"), *[F.get("g", F.lit(j)).alias(f"g{j}") for j in range(shingle)])
-    gh = F.lit(None).cast("long")
+    known = {
+        k: grams.filter(F.col("k") == k)
+        .select(F.col("gram_id").alias(f"gram{k}"), *[F.get("g", F.lit(j)).alias(f"g{k}_{j}") for j in range(k)])
+        .withColumn(f"gh{k}", F.xxhash64(*[f"g{k}_{j}" for j in range(k)]))
+        for k in lengths
+    }
     for k in lengths:
-        gh = F.when(F.col("gk") == k, F.xxhash64(*[f"g{j}" for j in range(k)])).otherwise(gh)
-    known = known.withColumn("gh", gh)
+        own = [F.col("x").getField(f"w{j}") for j in range(k)]
+        # a place too near the text's end holds no shingle; a hash of its own keeps such places apart in a shuffle
+        at = at.withColumn(f"h{k}", F.when(own[-1].isNotNull(), F.xxhash64(*own)).otherwise(F.xxhash64("th", "id", "pos")))
+    head = F.coalesce("pos", F.lit(0)) == 0
     if n > BLOCK:
-        keyed = _sieved(keyed, known, n)
-    # the hash and the length are the join key; the words themselves are compared on each hit
-    same = (F.col("h") == F.col("gh")) & (F.col("k") == F.col("gk"))
-    for j in range(shingle):
-        same = same & F.col(f"v{j}").eqNullSafe(F.col(f"g{j}"))
-    met = keyed.join(known if n > BLOCK else F.broadcast(known), same, "left")
-    return met.select("id", "th", "n_words", "head", "pos", "gram_id", F.col("gk").alias("k")).filter(F.col("head") | F.col("gram_id").isNotNull())
-
-
-def _sieved(keyed: DataFrame, known: DataFrame, n: int) -> DataFrame:
-    """Rows of ``keyed`` that are a document's head or whose hash ``h`` has its bit in a bitmap of ``known``'s hashes ``gh``."""
+        at = _sieved(at, known, n, head)
+    for k in lengths:
+        # the hash is the join key; the words themselves are compared on each hit
+        same = F.col(f"h{k}") == F.col(f"gh{k}")
+        for j in range(k):
+            same = same & (F.col("x").getField(f"w{j}") == F.col(f"g{k}_{j}"))
+        at = at.join(known[k] if n > BLOCK else F.broadcast(known[k]), same, "left")
+    held = F.array_compact(F.array(*[F.when(F.col(f"gram{k}").isNotNull(), F.struct(F.lit(k).alias("k"), F.col(f"gram{k}").alias("gram_id"))) for k in lengths]))
+    met = at.select("id", "th", "n_words", "pos", head.alias("first"), held.alias("held")).filter(F.col("first") | (F.size("held") > 0))
+    met = met.select("id", "th", "n_words", "first", "pos", F.posexplode_outer("held").alias("nth", "one"))
+    return met.select("id", "th", "n_words", (F.col("first") & (F.coalesce("nth", F.lit(0)) == 0)).alias("head"), "pos", "one.gram_id", "one.k")
+
+
+def _sieved(at: DataFrame, known: dict[int, DataFrame], n: int, head: Column) -> DataFrame:
+    """Rows of ``at`` that are a document's head or whose hash of some length has its bit in a bitmap of the known hashes."""
     bits = 1 << min(SIEVE_BITS, max(BITMAP, n * SIEVE_SPACE).bit_length())
 
     def row(h: str) -> Column:
@@ -104,11 +102,13 @@ def _sieved(keyed: DataFrame, known: DataFrame, n: int) -> DataFrame:
     def bit(h: str) -> Column:
         return F.pmod(F.col(h), F.lit(BITMAP)).cast("int")
 
-    maps = known.groupBy(row("gh").alias("m")).agg(F.bitmap_construct_agg(bit("gh").cast("long")).alias("bitmap"))
-    byte = F.conv(F.hex(F.substring("bitmap", F.floor(bit("h") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    known_bit = F.coalesce(F.getbit(byte, bit("h") % 8) == 1, F.lit(False))
-    met = keyed.join(F.broadcast(maps), row("h") == F.col("m"), "left")  # bits / 8 bytes in all
-    return met.filter(F.col("head") | known_bit).drop("m", "bitmap")
+    passes = head
+    for k, grams in known.items():
+        maps = grams.groupBy(row(f"gh{k}").alias(f"m{k}")).agg(F.bitmap_construct_agg(bit(f"gh{k}").cast("long")).alias(f"bitmap{k}"))
+        byte = F.conv(F.hex(F.substring(f"bitmap{k}", F.floor(bit(f"h{k}") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        at = at.join(F.broadcast(maps), row(f"h{k}") == F.col(f"m{k}"), "left")  # bits / 8 bytes at most
+        passes = passes | F.coalesce(F.getbit(byte, bit(f"h{k}") % 8) == 1, F.lit(False))
+    return at.filter(passes).drop(*[f"{name}{k}" for k in known for name in ("m", "bitmap")])
 
 
 def _verified(places: DataFrame, parts: DataFrame, windows: DataFrame, window: int) -> DataFrame:
