@@ -21,6 +21,7 @@ from shelfaudit.operators.latest import latest_documents
 from shelfaudit.operators.ordering import whole_position
 from shelfaudit.operators.ranking import running_count_rank
 from shelfaudit.plans import extract as ext
+from shelfaudit.plans import factors as fct
 from shelfaudit.plans import full_report as fr
 from shelfaudit.plans import photos as ph
 from shelfaudit.plans import report as rpt
@@ -251,6 +252,24 @@ def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
     return rpt.audit_report(visits, tdocs, facts, tables.items, C)
 
 
+def _factors(spark: SparkSession, d: str) -> fct.ReportFactors:
+    """The live report's factors, written and read again."""
+    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True, stage_facts=True)
+    path = f"{staged_root(spark)}/factors-{uuid.uuid4().hex}"
+    fct.report_factors(visits, tdocs, facts, tables.items, C).write(path)
+    return fct.ReportFactors.read(spark, path)
+
+
+def q15_factors(spark: SparkSession, d: str) -> DataFrame:
+    """The live report expanded from its written factors (K1)."""
+    return fct.expand(_factors(spark, d), C)
+
+
+def q15_row_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The live report's rows of each (agent, outlet), from the factors alone."""
+    return fct.visit_rows(_factors(spark, d)).select("masterfid", F.col("mfid").alias("fid"), F.col("rows").alias("report_rows"))
+
+
 def _turns(spark: SparkSession, d: str):
     conv = analog.table(spark, d, "conversations").select("conv_id", "turn", "role")
     a = conv.where(F.col("role") == "user").select(F.col("conv_id").alias("conv_a"), F.col("turn").alias("turn_a"))
@@ -441,6 +460,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q13_main_places": q13_main_places,
     "q14_promo_actions": q14_promo_actions,
     "q15_audit_report": q15_audit_report,
+    "q15_factors": q15_factors,
+    "q15_row_counts": q15_row_counts,
     "q16_adjacent": q16_adjacent,
     "q17_band": q17_band,
     "q18_neighbour": q18_neighbour,

@@ -23,6 +23,7 @@ from shelfaudit.functions.text import blank_zero, concat_strict, count_total, do
 from shelfaudit.operators.adjacent import distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_documents
+from shelfaudit.operators.promises import KeyChecks, one_value
 from shelfaudit.plans.facts import lines_of_documents
 from shelfaudit.plans.sections import with_item_name
 from shelfaudit.session import stage
@@ -74,7 +75,7 @@ def _pivoted(lines: DataFrame, latest: DataFrame, name: str, cond: Column, key:
 
 
 def sections(visits: DataFrame, heads: DataFrame, tdocs: DataFrame, lines: DataFrame, items: DataFrame,
-             codes: AuditCodes) -> dict[str, DataFrame]:
+             codes: AuditCodes, promises: KeyChecks | None = None) -> dict[str, DataFrame]:
     """The four chained sections, keyed by the visit and its stock-check document ``orid607``
     (the main places also by product ``itid``); a document at the distance that isn't the
     latest keeps its row, with empty columns."""
@@ -87,7 +88,7 @@ def sections(visits: DataFrame, heads: DataFrame, tdocs: DataFrame, lines: DataF
     cols = list(codes.extra_places)
     p612 = _pivoted(lines, _latest(tdocs, codes.doc_extra_places, "orid612"), "orid612",
                     F.col("attrid").isin(list(codes.extra_places.values())) & product, "attrid", codes.extra_places)
-    p612 = with_item_name(p612, items, "id", "item612_name").select(
+    p612 = with_item_name(p612, items, "id", "item612_name", promises).select(
         *VISIT, "orid612", "item612_name", *[F.col(c).alias(f"{c}_612") for c in cols])
     s612 = extra.join(p612, [*VISIT, "orid612"], "left").drop("orid612")
 
@@ -103,7 +104,7 @@ def sections(visits: DataFrame, heads: DataFrame, tdocs: DataFrame, lines: DataF
     p611 = _pivoted(lines, _latest(tdocs, codes.doc_promo, "orid611"), "orid611",
                     F.col("attrid").isin(list(codes.promo_actions.values())), "attrid", codes.promo_actions)
     first = next(iter(codes.promo_actions))
-    p611 = with_item_name(p611.withColumn(first, dot_to_comma(first)), items, "id", "item611_name").drop("id")
+    p611 = with_item_name(p611.withColumn(first, dot_to_comma(first)), items, "id", "item611_name", promises).drop("id")
     s611 = promo.join(p611, [*VISIT, "orid611"], "left").drop("orid611")
 
     order = _after(checks, heads, codes.doc_order_info, "orid607", "orid610", band=(1, 7))
@@ -138,6 +139,7 @@ def full_report(
     codes: AuditCodes,
     doc_bounds,
     keep_order: bool = False,
+    checks: KeyChecks | None = None,
 ) -> DataFrame:
     """42 columns, ordered by supervisor name, visit start, facing document.
 
@@ -145,14 +147,18 @@ def full_report(
     extracted documents' lines; both are read several times, so stage them.
     ``faces`` holds outlets and persons (the table is joined in both roles)
     and must carry the address parts (``with_address_parts``). ``keep_order``
-    adds the facing document of the order as ``facing_doc``.
+    adds the facing document of the order as ``facing_doc``; ``checks`` counts
+    repeated keys of the name, banner and e-mail lookups, or fails on them.
     """
-    found = sections(visits, heads, tdocs, lines, items, codes)
+    found = sections(visits, heads, tdocs, lines, items, codes, checks)
     r = visits.select("masterfid", "fid", "vdate", "datebegin", "otkazstr").join(found["checks"], VISIT, "left")
     banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).selectExpr("id AS fid", "attrtext AS banner")
     fc = facing.selectExpr("mfid AS fid", "datebegin", "orid AS fc_orid", "itid", "facing AS _facing",
                            "shelf AS _shelf", "store AS _store", "orcomment AS facing_comment")
-    fc = spread_left(fc, items.groupBy(F.col("iid").alias("itid")).agg(F.min("iname").alias("item_name")), ["itid"], ["fid", "datebegin"])
+    if checks:
+        banner = checks.joined(banner, "banner", ["fid"])
+    names = one_value(items.select(F.col("iid").alias("itid"), F.col("iname").alias("item_name")), "itid", "item_name", "item_name", checks)
+    fc = spread_left(fc, names, ["itid"], ["fid", "datebegin"])
     r = r.join(banner, "fid", "left").join(fc, ["fid", "datebegin"], "left")
     by = ["masterfid", "fid", "datebegin", "fc_orid"]
     ls = listing.selectExpr("attrtext AS banner", "datebegin", "iid AS itid", "listed AS _listed")
@@ -169,6 +175,8 @@ def full_report(
     person = faces.selectExpr("fid AS masterfid", "fname AS supervisor_name")
     comment = visit_comments.selectExpr("fid", "vdate", "comment AS visit_comment")
     email = master_attribute(objattrs, codes.obj_email_attr, active=True).selectExpr("id AS fid", "attrtext AS email")
+    if checks:
+        email = checks.joined(email, "email", ["fid"])
     r = r.join(outlet, "fid", "left").join(person, "masterfid", "left").join(comment, ["fid", "vdate"], "left").join(email, "fid", "left")
 
     given = {
@@ -200,6 +208,7 @@ def run_full_report(
     base_filter=None,
     doc_bounds=None,
     keep_order: bool = False,
+    checks: KeyChecks | None = None,
 ) -> DataFrame:
     """The whole full report from base tables (the procedure's dormant result): visits, outlets
     and persons of the visits, the listing and facing staging, then the 42-column ordered report.
@@ -225,4 +234,4 @@ def run_full_report(
     listing = listing_counts(temp, tables.objattrs, tables.items, codes)
     facing = stage(facing_counts(people, visits, tdocs, lines, tables.items, codes, cut=False), "facing")
     return full_report(visits, heads, tdocs, lines, tables.objattrs, tables.items, with_address_parts(people, codes),
-                       facing, listing, tables.visit_comments, codes, doc_bounds, keep_order)
+                       facing, listing, tables.visit_comments, codes, doc_bounds, keep_order, checks)

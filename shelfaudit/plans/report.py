@@ -18,11 +18,12 @@ headers are read twice (once measured, once joined).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.operators.filters import FilterSet
+from shelfaudit.operators.promises import KeyChecks
 from shelfaudit.plans.extract import caller_filter, document_filter, extract_documents, extract_visits
 from shelfaudit.plans.facts import facts_from_heads, id_range, order_facts, order_heads
 from shelfaudit.plans.sections import (
@@ -78,23 +79,25 @@ def report_inputs(
     return visits, tdocs, fx
 
 
-def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
+def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes,
+                checks: KeyChecks | None = None) -> DataFrame:
     """613 assortment with stock lookups, main places (by product) and name."""
     base = assortment(facts, codes.doc_stock).withColumnRenamed("id", "id613")
     looked = stock_lookups(base, facts, codes, id_col="id613")
     mp = main_places(facts, tdocs, codes).selectExpr(
         "masterfid", "mfid", "id AS id613", *[f"`{c}`" for c in codes.main_places])
     joined = looked.join(mp, on=["masterfid", "mfid", "id613"], how="left")
-    return with_item_name(joined, items, "id613", "item613_name")
+    return with_item_name(joined, items, "id613", "item613_name", checks)
 
 
-def places_block(assort: DataFrame, pivot: DataFrame, items: DataFrame, cols, suffix: str) -> DataFrame:
+def places_block(assort: DataFrame, pivot: DataFrame, items: DataFrame, cols, suffix: str,
+                 checks: KeyChecks | None = None) -> DataFrame:
     """An assortment with its pivot joined on the product, and the name."""
     key = f"id{suffix}"
     base = assort.withColumnRenamed("id", key)
     pv = pivot.selectExpr("masterfid", "mfid", f"id AS {key}", *[f"`{c}` AS `{c}_{suffix}`" for c in cols])
     joined = base.join(pv, on=["masterfid", "mfid", key], how="left")
-    return with_item_name(joined, items, key, f"item{suffix}_name")
+    return with_item_name(joined, items, key, f"item{suffix}_name", checks)
 
 
 def report_columns(codes: AuditCodes) -> list[str]:
@@ -112,17 +115,57 @@ def report_columns(codes: AuditCodes) -> list[str]:
     )
 
 
-def visit_parts(facts: DataFrame, codes: AuditCodes, part_rows: int) -> DataFrame:
-    """(agent, outlet, _parts): how many parts its three assortments' product is cut into."""
+def visit_parts(visits: DataFrame, facts: DataFrame, codes: AuditCodes, part_rows: int) -> DataFrame:
+    """(agent, outlet, _parts): how many parts its three assortments' product is cut into.
+
+    A product with repeated stock lines, repeated order information and
+    repeated visits count as often as the report's joins repeat them.
+    """
     kinds = (codes.doc_stock, codes.doc_extra_places, codes.doc_promo)
-    held = facts.where(F.col("ortype").isin(list(kinds))).select(*VISIT_KEYS, "ortype", "id").distinct()
-    counts = held.groupBy(*VISIT_KEYS).agg(*[F.count_if(F.col("ortype") == k).alias(f"_n{k}") for k in kinds])
-    product = F.lit(1.0)
-    for k in kinds:
+    looked = (codes.attr_facing, codes.attr_shelf, codes.attr_store)
+    info = F.col("attrid") == codes.attr_order_info
+    held = facts.where(F.col("ortype").isin(list(kinds)) | info).groupBy(*VISIT_KEYS, "ortype", "id").agg(
+        *[F.count_if(F.col("attrid") == a).cast("double").alias(f"_a{k}") for k, a in enumerate(looked)],
+        F.count_if(info).alias("_info"))
+    rows = F.lit(1.0)
+    for k in range(len(looked)):
+        rows = rows * F.greatest(F.col(f"_a{k}"), F.lit(1.0))
+    counts = held.groupBy(*VISIT_KEYS).agg(
+        F.sum(F.when(F.col("ortype") == codes.doc_stock, rows)).alias("_stock"),
+        *[F.count_if(F.col("ortype") == k).alias(f"_n{k}") for k in kinds], F.sum("_info").alias("_info"))
+    repeats = visits.groupBy(*VISIT_KEYS).agg(F.count(F.lit(1)).alias("_visits"))
+    product = F.coalesce("_stock", F.lit(1.0)) * F.greatest(F.col("_info"), F.lit(1)) * F.col("_visits")
+    for k in kinds[1:]:
         product = product * F.greatest(F.col(f"_n{k}"), F.lit(1))
     # no more parts than stock products: a part without one is empty
     parts = F.least(F.ceil(product / part_rows), F.greatest(F.col(f"_n{codes.doc_stock}"), F.lit(1)))
-    return counts.select(*VISIT_KEYS, parts.cast("long").alias("_parts"))
+    return counts.join(repeats, VISIT_KEYS).select(*VISIT_KEYS, parts.cast("long").alias("_parts"))
+
+
+def report_blocks(visits: DataFrame, tdocs: DataFrame, facts: DataFrame, items: DataFrame, codes: AuditCodes,
+                  checks: KeyChecks | None = None) -> tuple[DataFrame, ...]:
+    """The visits' keys, the 613, 612 and 611 blocks and the order information, each by (agent, outlet)."""
+    b613 = stock_block(facts, tdocs, items, codes, checks)
+    b612 = places_block(assortment(facts, codes.doc_extra_places),
+                        extra_places(facts, tdocs, codes), items, codes.extra_places, "612", checks)
+    b611 = places_block(assortment(facts, codes.doc_promo),
+                        promo_actions(facts, tdocs, codes), items, codes.promo_actions, "611", checks)
+    vis = visits.select("masterfid", F.col("fid").alias("mfid"))
+    return vis, b613, b612, b611, order_info(facts, tdocs, codes)
+
+
+def report_values(codes: AuditCodes) -> list[Column]:
+    """The 38 columns from the joined blocks."""
+    lab = codes.labels
+    given = {
+        "sec613_open": lab.open_613, "sec613_close": lab.close_613,
+        "sec610_open": lab.open_610, "sec610_close": lab.close_610,
+        "sec608_open": lab.open_608, "sec608_close": lab.close_608,
+        "sec612_open": lab.open_612, "sec612_close": lab.close_612,
+        "sec611_open": lab.open_611, "sec611_close": lab.close_611,
+        "out_of_stock": lab.empty, "listed": lab.empty, "presence_pct": lab.empty,
+    }
+    return [F.lit(given[n]).alias(n) if n in given else F.col("mfid" if n == "fid" else n).alias(n) for n in report_columns(codes)]
 
 
 def audit_report(
@@ -132,6 +175,7 @@ def audit_report(
     items: DataFrame,
     codes: AuditCodes,
     part_rows: int = PART_ROWS,
+    checks: KeyChecks | None = None,
 ) -> DataFrame:
     """The 38-column live report from staged visits, documents and facts.
 
@@ -139,17 +183,10 @@ def audit_report(
     exceeds ``part_rows``, the stock block is cut into parts by a hash of the
     product and the two other blocks are repeated for each part, so that no
     task builds more than about ``part_rows`` rows of one visit.
+    ``plans.factors`` keeps the blocks unexpanded instead.
     """
-    lab = codes.labels
-    b613 = stock_block(facts, tdocs, items, codes)
-    b612 = places_block(assortment(facts, codes.doc_extra_places),
-                        extra_places(facts, tdocs, codes), items, codes.extra_places, "612")
-    b611 = places_block(assortment(facts, codes.doc_promo),
-                        promo_actions(facts, tdocs, codes), items, codes.promo_actions, "611")
-    info = order_info(facts, tdocs, codes)
-
-    vis = visits.select("masterfid", F.col("fid").alias("mfid"))
-    parts = visit_parts(facts, codes, part_rows)
+    vis, b613, b612, b611, info = report_blocks(visits, tdocs, facts, items, codes, checks)
+    parts = visit_parts(vis, facts, codes, part_rows)
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part")
 
     def repeated(block: DataFrame) -> DataFrame:
@@ -158,23 +195,7 @@ def audit_report(
     stock = vis.join(b613, VISIT_KEYS).join(info, VISIT_KEYS, "left").join(parts, VISIT_KEYS)
     stock = stock.withColumn("_part", F.pmod(F.xxhash64("id613"), F.col("_parts"))).drop("_parts")
     out = stock.join(repeated(b612), [*VISIT_KEYS, "_part"]).join(repeated(b611), [*VISIT_KEYS, "_part"])
-    consts = {
-        "sec613_open": lab.open_613, "sec613_close": lab.close_613,
-        "sec610_open": lab.open_610, "sec610_close": lab.close_610,
-        "sec608_open": lab.open_608, "sec608_close": lab.close_608,
-        "sec612_open": lab.open_612, "sec612_close": lab.close_612,
-        "sec611_open": lab.open_611, "sec611_close": lab.close_611,
-        "out_of_stock": lab.empty, "listed": lab.empty, "presence_pct": lab.empty,
-    }
-    exprs = []
-    for name in report_columns(codes):
-        if name in consts:
-            exprs.append(F.lit(consts[name]).alias(name))
-        elif name == "fid":
-            exprs.append(F.col("mfid").alias("fid"))
-        else:
-            exprs.append(F.col(name))
-    return out.select(*exprs)
+    return out.select(*report_values(codes))
 
 
 def run_audit_report(
@@ -184,7 +205,8 @@ def run_audit_report(
     visit_bounds,
     doc_bounds=None,
     base_filter: FilterSet | None = None,
+    checks: KeyChecks | None = None,
 ) -> DataFrame:
     """Whole live report for one period (the procedure's entry point)."""
     visits, tdocs, facts = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter)
-    return audit_report(visits, tdocs, facts, tables.items, codes)
+    return audit_report(visits, tdocs, facts, tables.items, codes, checks=checks)

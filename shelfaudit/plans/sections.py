@@ -14,6 +14,7 @@ from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import dot_to_comma, row_total, text_or_zero
 from shelfaudit.operators.eav import pivot_max
 from shelfaudit.operators.latest import latest_documents
+from shelfaudit.operators.promises import KeyChecks, one_value
 
 DOC_KEYS = ["masterfid", "mfid", "orid"]
 PIVOT_KEYS = ["orid", "masterfid", "mfid", "id"]
@@ -75,14 +76,16 @@ def promo_actions(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes,
     return out.withColumn(comma_column, dot_to_comma(comma_column))
 
 
-def with_item_name(df: DataFrame, items: DataFrame, id_col: str = "id", name: str = "iname") -> DataFrame:
+def with_item_name(df: DataFrame, items: DataFrame, id_col: str = "id", name: str = "iname",
+                   checks: KeyChecks | None = None) -> DataFrame:
     """Product name by id: the scalar lookup as a left join.
 
     The original's lookup fails on a repeated id; here the dimension is
     reduced to one name an id (the smallest), so rows are never doubled. The
     aggregate is keyed as the join is, so it adds no shuffle to it.
+    ``checks`` counts repeated ids, or fails on them.
     """
-    names = items.groupBy(F.col("iid").alias(id_col)).agg(F.min("iname").alias(name))
+    names = one_value(items.select(F.col("iid").alias(id_col), F.col("iname").alias(name)), id_col, name, name, checks)
     return df.join(names, on=id_col, how="left")
 
 

@@ -8,32 +8,37 @@ key, so the row count is that of the initial rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import contains_any, prefix_in
 from shelfaudit.operators.eav import master_attribute
+from shelfaudit.operators.promises import KeyChecks
 from shelfaudit.plans.facts import lines_of_documents
+from shelfaudit.session import stage
 
 TEMP_COLS = ("fid", "attrtext", "datebegin", "dateend", "vdate", "vdateonly", "iid")
 FACING_COLS = ("mfid", "facing", "shelf", "store", "orcomment", "datebegin", "orid", "itid")
 
 
 def banner_visits(faces: DataFrame, objattrs: DataFrame, visits: DataFrame, items: DataFrame,
-                  codes: AuditCodes) -> DataFrame:
+                  codes: AuditCodes, checks: KeyChecks | None = None) -> DataFrame:
     """Outlets of the outlet type with their banner, visits and a product
     whose id equals the outlet id and whose name matches (C2).
 
     The product is joined on the banner row's object id, which is the
     outlet's id: a product is found only where the two ids coincide
     (kept as in the original). Constant ON predicates filter the right
-    sides before the left joins.
+    sides before the left joins. An outlet with several banners has a row for
+    each; ``checks`` counts such outlets, or fails on them.
     """
     f = faces.where(F.col("ftype") == codes.outlet_face_type).select("fid")
     banner = master_attribute(objattrs, codes.obj_banner_attr, codes.outlet_dict).select(
         F.col("id").alias("_oid"), "attrtext"
     )
+    if checks:
+        banner = checks.joined(banner, "banner", ["_oid"])
     vis = visits.select(F.col("fid").alias("_vfid"), "datebegin", "dateend", "vdate", "vdateonly")
     named = items.where(contains_any("iname", codes.listing_name_parts, ci=codes.names_ci)).select("iid")
     out = (
@@ -44,15 +49,18 @@ def banner_visits(faces: DataFrame, objattrs: DataFrame, visits: DataFrame, item
     return out.select(*TEMP_COLS)
 
 
-def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
+def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes,
+                  rows: Column | None = None) -> DataFrame:
     """Listed count per (banner, named product): the source of C3's update.
 
     The original counts listing rows joined to every banner-visit row of the
     same banner, i.e. ``listing rows x banner-visit rows``. That product is
     computed from two pre-counts instead of materialising the join, which
     would be quadratic in the rows of a popular banner. Banners absent from
-    the banner-visit rows drop out (the original's IN test).
+    the banner-visit rows drop out (the original's IN test). ``rows`` is how
+    many banner-visit rows a row of ``temp`` stands for, one by default.
     """
+    rows = F.lit(1) if rows is None else rows
     named = items.where(contains_any("iname", codes.listing_name_parts, ci=codes.names_ci)).select("iid")
     listed = master_attribute(objattrs, codes.obj_banner_attr, codes.product_dict, active=True)
     n_list = (
@@ -60,7 +68,7 @@ def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes:
         .groupBy("attrtext", F.col("id").alias("iid"))
         .agg(F.count(F.lit(1)).alias("_n_list"))
     )
-    n_temp = temp.where(F.col("attrtext").isNotNull()).groupBy("attrtext").agg(F.count(F.lit(1)).alias("_n_temp"))
+    n_temp = temp.where(F.col("attrtext").isNotNull()).groupBy("attrtext").agg(F.sum(rows).alias("_n_temp"))
     return n_list.join(n_temp, "attrtext").select(
         "attrtext", "iid", (F.col("_n_list") * F.col("_n_temp")).alias("listed")
     )
@@ -68,9 +76,13 @@ def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes:
 
 def listing_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes: AuditCodes) -> DataFrame:
     """Distinct (banner, product, visit start) with the listed count, 0 where
-    the update finds no row (C3)."""
-    initial = temp.select("attrtext", "iid", "datebegin").distinct()
-    counts = listed_counts(temp, objattrs, items, codes).withColumnRenamed("listed", "_listed")
+    the update finds no row (C3).
+
+    One aggregate of ``temp`` gives the distinct rows and how many rows each
+    stands for; it is written once, and a banner's rows are summed from it.
+    """
+    initial = stage(temp.groupBy("attrtext", "iid", "datebegin").agg(F.count(F.lit(1)).alias("_rows")), "listing-rows")
+    counts = listed_counts(initial, objattrs, items, codes, F.col("_rows")).withColumnRenamed("listed", "_listed")
     out = initial.join(counts, ["attrtext", "iid"], "left")
     return out.select("attrtext", "iid", F.coalesce("_listed", F.lit(0).cast("long")).alias("listed"), "datebegin")
 
