@@ -81,13 +81,17 @@ def _places(docs: DataFrame, grams: DataFrame, shingle: int, id_col: str, text_c
     if n > BLOCK:
         at = _sieved(at, known, n, head)
     for k in lengths:
-        # the hash is the join key; the words themselves are compared on each hit
-        same = F.col(f"h{k}") == F.col(f"gh{k}")
+        # the hash alone is the join key, a whole number; the words themselves are compared on each hit
+        same = F.lit(True)
         for j in range(k):
             same = same & (F.col("x").getField(f"w{j}") == F.col(f"g{k}_{j}"))
-        at = at.join(known[k] if n > BLOCK else F.broadcast(known[k]), same, "left")
+        met = (F.col(f"h{k}") == F.col(f"gh{k}")) & F.coalesce(same, F.lit(False))
+        at = at.join(known[k] if n > BLOCK else F.broadcast(known[k]), met, "left")
     held = F.array_compact(F.array(*[F.when(F.col(f"gram{k}").isNotNull(), F.struct(F.lit(k).alias("k"), F.col(f"gram{k}").alias("gram_id"))) for k in lengths]))
-    met = at.select("id", "th", "n_words", "pos", head.alias("first"), held.alias("held")).filter(F.col("first") | (F.size("held") > 0))
+    stays = head
+    for k in lengths:
+        stays = stays | F.col(f"gram{k}").isNotNull()
+    met = at.filter(stays).select("id", "th", "n_words", "pos", head.alias("first"), held.alias("held"))
     met = met.select("id", "th", "n_words", "first", "pos", F.posexplode_outer("held").alias("nth", "one"))
     return met.select("id", "th", "n_words", (F.col("first") & (F.coalesce("nth", F.lit(0)) == 0)).alias("head"), "pos", "one.gram_id", "one.k")
 
