@@ -9,8 +9,9 @@ documents of all sources are put in ranges of virtual finish time, and taken
 in that order as long as the running total stays within the budget, the total
 size.
 
-Scale: a source may hold a third of all rows, so running sums are two-level:
-totals of hash slices of a source, then sums within a slice. The global order
+Scale: a source, or an id, may hold a third of all rows, so running sums are
+two-level: totals of slices of the order, then sums within a slice. Targets take
+a fixed number of jobs, whatever the number of sources. The global order
 is never sorted in one task: a histogram over 2^RANGE_BITS ranges of finish time
 finds the range where the budget ends, that range is divided again until it
 holds at most ``LAST_RANGE`` rows, and only its rows are summed in order.
@@ -48,44 +49,51 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, max_e
     Sources take ``weights`` in turn, by code point, null last.
     """
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    ranged = stage(totals.orderBy(F.asc_nulls_last("source")).withColumn("part", F.spark_partition_id()), "mix-sources")
-    # a source's rank: rows of the ranges before, and its row in its own range
-    before, offsets = 0, []
-    for r in ranged.groupBy("part").agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect():  # one row a range
-        offsets.append((r.part, before))
-        before += r.n
-    offset = ranged.sparkSession.createDataFrame(offsets, "part int, before long")
-    rank = F.row_number().over(Window.partitionBy("part").orderBy(F.asc_nulls_last("source"))) - 1 + F.col("before")
-    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(rank, F.lit(len(weights))).cast("int"))
-    sources = stage(ranged.join(F.broadcast(offset), "part").select("source", "source_size", weight.alias("weight")), "mix-weights")
-
+    ranked = _with_before(totals.withColumn("one", F.lit(1)), [F.asc_nulls_last("source")], ["one"], "mix-sources")
+    turn = F.pmod(F.col("before_one"), F.lit(len(weights))).cast("int")
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), turn)
     cap = F.col("source_size") * max_epochs
-    total = sources.agg(F.sum("source_size")).first()[0] or 0
-    share, capped = 0.0, -1
-    above = F.lit(False)
-    while True:  # as often as further sources reach their cap
-        row = sources.agg(
-            F.sum(F.when(above, 1).otherwise(0)).alias("n"),
-            F.sum(F.when(above, cap).otherwise(0)).alias("cap"),
-            F.sum(F.when(above, 0.0).otherwise(F.col("weight"))).alias("weight"),
-        ).first()
-        if row.n == capped or row.n is None:
-            break
-        capped = row.n
-        share = (total - row.cap) / row.weight if row.weight else 0.0
-        above = F.col("weight") * F.lit(share) > cap
-    target = F.when(above, cap.cast("double")).otherwise(F.col("weight") * F.lit(share))
-    return sources.select("source", "source_size", target.alias("target"))
+    weighed = ranked.select("source", "source_size", weight.alias("weight"), cap.alias("cap"))
+    # sources reach their caps in the order of cap to weight: one does if the share that is left,
+    # with all before it at their caps, is above its cap
+    order = [F.asc_nulls_last(F.when(F.col("weight") > 0, F.col("cap") / F.col("weight"))), F.asc_nulls_last("source")]
+    ordered = _with_before(weighed, order, ["cap", "weight"], "mix-weights")
+    whole = ordered.agg(F.sum("source_size").alias("size"), F.sum("weight").alias("weight")).first()
+    total, weight_sum = whole.size or 0, whole.weight or 0.0
+    above = F.col("weight") * (F.lit(total) - F.col("before_cap")) > F.col("cap") * (F.lit(weight_sum) - F.col("before_weight"))
+    at_cap = ordered.agg(F.sum(F.when(above, F.col("cap"))).alias("cap"), F.sum(F.when(above, F.col("weight"))).alias("weight")).first()
+    left = weight_sum - (at_cap.weight or 0.0)
+    share = (total - (at_cap.cap or 0)) / left if left > 0 else 0.0
+    target = F.when(above, F.col("cap").cast("double")).otherwise(F.col("weight") * F.lit(share))
+    return ordered.select("source", "source_size", target.alias("target"))
+
+
+def _with_before(table: DataFrame, order: list[Column], sums: list[str], name: str) -> DataFrame:
+    """``table`` with ``before_<c>`` for each column of ``sums``: its sum over the rows before, in ``order``.
+
+    The sorted rows are staged with the number of their range; a range's own sums are added to those of the ranges before.
+    """
+    ranged = stage(table.orderBy(*order).withColumn("part", F.spark_partition_id()), name)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
+    parts = ranged.groupBy("part").agg(*[F.sum(c).alias(c) for c in sums])
+    parts = parts.select(F.col("part").alias("p"), *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"p_{c}") for c in sums])
+    within = Window.partitionBy("part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = ranged.select("*", *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(f"w_{c}") for c in sums]).join(parts, F.col("part") == F.col("p"))
+    return out.select(*table.columns, *[(F.col(f"p_{c}") + F.col(f"w_{c}")).alias(f"before_{c}") for c in sums])
 
 
 def _in_order(sized: DataFrame, seed: int) -> DataFrame:
-    """``sized`` with ``key`` and ``upto``: the source's words up to and with the row, in hash order."""
+    """``sized`` with ``key`` and ``upto``: the source's words up to and with the row, in hash order.
+
+    Slices are ranges of (source, key, id, size, row), so rows of one id, or without one, are cut as any others.
+    """
     key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("id").cast("string"), F.lit(""))).cast("binary"))
-    keyed = sized.withColumn("key", key).withColumn("slice", F.conv(F.substring("key", 1, 3), 16, 10).cast("int"))
+    ranged = sized.withColumn("key", key).repartitionByRange("source", "key", "id", "size", "row")
+    keyed = stage(ranged.withColumn("slice", F.spark_partition_id()), "mix-slices")
     slices = keyed.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1))
     slices = slices.select(F.col("source").alias("s"), F.col("slice").alias("l"), F.coalesce(before, F.lit(0)).alias("before"))
-    within = F.sum("size").over(Window.partitionBy("source", "slice").orderBy("key", "id", "size").rowsBetween(Window.unboundedPreceding, 0))
+    within = F.sum("size").over(Window.partitionBy("source", "slice").orderBy("key", "id", "size", "row").rowsBetween(Window.unboundedPreceding, 0))
     return (
         keyed.withColumn("within", within)
         .join(slices, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("l")))

@@ -185,6 +185,37 @@ def test_targets_stop_at_their_cap(spark):
     assert got == {"a": 3.0, None: 6.0, "c": 30.0, "b": 974.0}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_targets_equal_a_plain_loop(spark, seed):
+    import random
+
+    rng = random.Random(seed)
+    size = {f"s{i:03d}": rng.choice([0, 1, 7, 50, 4_000, 100_000, 9_000_000]) for i in range(120)}
+    got = {r.source: r.target for r in source_targets(spark.createDataFrame(list(size.items()), "source string, size long")).collect()}
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(size))}
+    total, full = sum(size.values()), set()
+    while True:
+        share = (total - sum(3 * size[s] for s in full)) / sum(w for s, w in weight.items() if s not in full)
+        more = {s for s in size if weight[s] * share > 3 * size[s]} | full
+        if more == full:
+            break
+        full = more
+    want = {s: 3.0 * size[s] if s in full else weight[s] * share for s in size}
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], rel=1e-12) for s in want)
+
+
+def test_mix_cuts_rows_of_one_id(docs_of):
+    from shelfaudit.llm import mixing
+
+    rows = [(None, "w " * (1 + i % 3), "hot") for i in range(3_000)] + [(i, "w", "b") for i in range(50)]
+    sized = mixing.sizes(docs_of(rows).repartition(8))
+    ordered = mixing._in_order(sized, 42).filter("source = 'hot'").collect()
+    upto, so_far = sorted(r.upto for r in ordered), 0
+    for size, end in zip(sorted(r.size for r in ordered), upto, strict=True):  # one id: by size
+        so_far += size
+        assert end == so_far
+
+
 def test_empty_tables(spark, docs_of):
     none = docs_of(EDGE).limit(0)
     assert license_scan(none).count() == 0
