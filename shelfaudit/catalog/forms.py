@@ -248,13 +248,13 @@ def q14_promo_actions(spark: SparkSession, d: str) -> DataFrame:
 
 def q15_audit_report(spark: SparkSession, d: str) -> DataFrame:
     """The live 38-column report."""
-    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True, stage_facts=True)
+    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True)
     return rpt.audit_report(visits, tdocs, facts, tables.items, C)
 
 
 def _factors(spark: SparkSession, d: str) -> fct.ReportFactors:
     """The live report's factors, written and read again."""
-    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True, stage_facts=True)
+    tables, visits, tdocs, facts = _inputs(spark, d, stage_docs=True)
     path = f"{staged_root(spark)}/factors-{uuid.uuid4().hex}"
     fct.report_factors(visits, tdocs, facts, tables.items, C).write(path)
     return fct.ReportFactors.read(spark, path)

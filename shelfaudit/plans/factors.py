@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfaudit.config import AuditCodes
+from shelfaudit.plans.one_pass import staged_sections
 from shelfaudit.plans.report import PART_ROWS, VISIT_KEYS, report_blocks, report_values
 from shelfaudit.session import stage
 
@@ -60,7 +61,7 @@ def _classes(df: DataFrame) -> DataFrame:
 
 def report_factors(visits: DataFrame, tdocs: DataFrame, facts: DataFrame, items: DataFrame, codes: AuditCodes) -> ReportFactors:
     """The factors of the live report; no product is formed."""
-    vis, stock, places, promo, info = report_blocks(visits, tdocs, facts, items, codes)
+    vis, stock, places, promo, info = report_blocks(visits, tdocs, staged_sections(facts, tdocs, codes), items, codes)
     return ReportFactors(*[_classes(df) for df in (vis.join(info, VISIT_KEYS, "left"), stock, places, promo)])
 
 

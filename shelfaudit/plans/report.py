@@ -10,10 +10,12 @@ same two keys and a part number: the product of the three assortments (the
 report's defined output) is built partition-locally, and the product of a
 large visit in several parts (``visit_parts``).
 
-The order facts and the document extract are staged once (written under
-the checkpoint folder) because ten branches read them. The large EAV line
-table is scanned once, cut to the day's document-id range; the day's
-headers are read twice (once measured, once joined).
+The order facts are aggregated once, into the state of all sections by
+document and product (``plans.one_pass``); these rows and the document
+extract are staged (written under the checkpoint folder), as every branch
+reads them. The large EAV line table is scanned and shuffled once, cut to the
+day's document-id range; the day's headers are read twice (once measured, once
+joined).
 """
 
 from __future__ import annotations
@@ -25,16 +27,9 @@ from shelfaudit.config import AuditCodes
 from shelfaudit.operators.filters import FilterSet
 from shelfaudit.operators.promises import KeyChecks
 from shelfaudit.plans.extract import caller_filter, document_filter, extract_documents, extract_visits
-from shelfaudit.plans.facts import facts_from_heads, id_range, order_facts, order_heads
-from shelfaudit.plans.sections import (
-    assortment,
-    extra_places,
-    main_places,
-    order_info,
-    promo_actions,
-    stock_lookups,
-    with_item_name,
-)
+from shelfaudit.plans.facts import facts_from_heads, id_range, order_heads
+from shelfaudit.plans.one_pass import TIMES, section_info, section_pivot, section_stock, staged_sections
+from shelfaudit.plans.sections import assortment, with_item_name
 from shelfaudit.session import stage
 from shelfaudit.sources.tables import AuditTables
 
@@ -57,8 +52,8 @@ def report_inputs(
     """Visits, document extract and order facts of one report run.
 
     Stage what several branches read: the document extract (latest dates
-    and section joins) and the order facts (every section). A consumer that
-    reads them once should not stage them. The visit extract is a pushed
+    and section joins) and, for separate sections, the order facts. A consumer
+    that reads them once, as the live report does, should not stage them. The visit extract is a pushed
     filter over one table and is re-read rather than staged.
     """
     doc_bounds = visit_bounds if doc_bounds is None else doc_bounds
@@ -69,22 +64,18 @@ def report_inputs(
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None
-    if not stage_facts:
-        return visits, tdocs, order_facts(tables.orders, tables.attrs, visits, doc_bounds, codes.fact_doc_types,
-                                          tables.order_day)
     # the headers are one filtered scan plus two semi-joins: cheap to compute
     # twice (once for their id range, once for the join), never staged
     heads = order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types, tables.order_day)
-    fx = stage(facts_from_heads(heads, tables.attrs, id_range(heads), tables.line_block), "order_facts")
-    return visits, tdocs, fx
+    fx = facts_from_heads(heads, tables.attrs, id_range(heads), tables.line_block)
+    return visits, tdocs, stage(fx, "order_facts") if stage_facts else fx
 
 
-def stock_block(facts: DataFrame, tdocs: DataFrame, items: DataFrame, codes: AuditCodes,
-                checks: KeyChecks | None = None) -> DataFrame:
+def stock_block(rows: DataFrame, items: DataFrame, codes: AuditCodes, checks: KeyChecks | None = None) -> DataFrame:
     """613 assortment with stock lookups, main places (by product) and name."""
-    base = assortment(facts, codes.doc_stock).withColumnRenamed("id", "id613")
-    looked = stock_lookups(base, facts, codes, id_col="id613")
-    mp = main_places(facts, tdocs, codes).selectExpr(
+    base = assortment(rows, codes.doc_stock).withColumnRenamed("id", "id613")
+    looked = section_stock(base, rows, codes, "id613")
+    mp = section_pivot(rows, "main", codes).selectExpr(
         "masterfid", "mfid", "id AS id613", *[f"`{c}`" for c in codes.main_places])
     joined = looked.join(mp, on=["masterfid", "mfid", "id613"], how="left")
     return with_item_name(joined, items, "id613", "item613_name", checks)
@@ -120,13 +111,15 @@ def visit_parts(visits: DataFrame, facts: DataFrame, codes: AuditCodes, part_row
 
     A product with repeated stock lines, repeated order information and
     repeated visits count as often as the report's joins repeat them.
+    ``facts`` may be the staged section rows, which stand for ``times`` lines.
     """
+    lines = F.col(TIMES) if TIMES in facts.columns else F.lit(1)
     kinds = (codes.doc_stock, codes.doc_extra_places, codes.doc_promo)
     looked = (codes.attr_facing, codes.attr_shelf, codes.attr_store)
     info = F.col("attrid") == codes.attr_order_info
     held = facts.where(F.col("ortype").isin(list(kinds)) | info).groupBy(*VISIT_KEYS, "ortype", "id").agg(
-        *[F.count_if(F.col("attrid") == a).cast("double").alias(f"_a{k}") for k, a in enumerate(looked)],
-        F.count_if(info).alias("_info"))
+        *[F.sum(F.when(F.col("attrid") == a, lines).otherwise(0)).cast("double").alias(f"_a{k}") for k, a in enumerate(looked)],
+        F.sum(F.when(info, lines).otherwise(0)).alias("_info"))
     rows = F.lit(1.0)
     for k in range(len(looked)):
         rows = rows * F.greatest(F.col(f"_a{k}"), F.lit(1.0))
@@ -142,16 +135,18 @@ def visit_parts(visits: DataFrame, facts: DataFrame, codes: AuditCodes, part_row
     return counts.join(repeats, VISIT_KEYS).select(*VISIT_KEYS, parts.cast("long").alias("_parts"))
 
 
-def report_blocks(visits: DataFrame, tdocs: DataFrame, facts: DataFrame, items: DataFrame, codes: AuditCodes,
+def report_blocks(visits: DataFrame, tdocs: DataFrame, rows: DataFrame, items: DataFrame, codes: AuditCodes,
                   checks: KeyChecks | None = None) -> tuple[DataFrame, ...]:
-    """The visits' keys, the 613, 612 and 611 blocks and the order information, each by (agent, outlet)."""
-    b613 = stock_block(facts, tdocs, items, codes, checks)
-    b612 = places_block(assortment(facts, codes.doc_extra_places),
-                        extra_places(facts, tdocs, codes), items, codes.extra_places, "612", checks)
-    b611 = places_block(assortment(facts, codes.doc_promo),
-                        promo_actions(facts, tdocs, codes), items, codes.promo_actions, "611", checks)
+    """The visits' keys, the 613, 612 and 611 blocks and the order information, each by (agent, outlet).
+
+    ``rows`` are the staged section rows of the facts."""
+    b613 = stock_block(rows, items, codes, checks)
+    b612 = places_block(assortment(rows, codes.doc_extra_places), section_pivot(rows, "extra", codes), items,
+                        codes.extra_places, "612", checks)
+    b611 = places_block(assortment(rows, codes.doc_promo), section_pivot(rows, "promo", codes), items,
+                        codes.promo_actions, "611", checks)
     vis = visits.select("masterfid", F.col("fid").alias("mfid"))
-    return vis, b613, b612, b611, order_info(facts, tdocs, codes)
+    return vis, b613, b612, b611, section_info(rows, tdocs, codes)
 
 
 def report_values(codes: AuditCodes) -> list[Column]:
@@ -177,7 +172,7 @@ def audit_report(
     part_rows: int = PART_ROWS,
     checks: KeyChecks | None = None,
 ) -> DataFrame:
-    """The 38-column live report from staged visits, documents and facts.
+    """The 38-column live report from visits, staged documents and facts, which are read once.
 
     A visit's rows are the product of its three assortments. Where that
     exceeds ``part_rows``, the stock block is cut into parts by a hash of the
@@ -185,8 +180,9 @@ def audit_report(
     task builds more than about ``part_rows`` rows of one visit.
     ``plans.factors`` keeps the blocks unexpanded instead.
     """
-    vis, b613, b612, b611, info = report_blocks(visits, tdocs, facts, items, codes, checks)
-    parts = visit_parts(vis, facts, codes, part_rows)
+    rows = staged_sections(facts, tdocs, codes)
+    vis, b613, b612, b611, info = report_blocks(visits, tdocs, rows, items, codes, checks)
+    parts = visit_parts(vis, rows, codes, part_rows)
     each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part")
 
     def repeated(block: DataFrame) -> DataFrame:
@@ -208,5 +204,5 @@ def run_audit_report(
     checks: KeyChecks | None = None,
 ) -> DataFrame:
     """Whole live report for one period (the procedure's entry point)."""
-    visits, tdocs, facts = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter)
+    visits, tdocs, facts = report_inputs(spark, tables, codes, visit_bounds, doc_bounds, base_filter, stage_facts=False)
     return audit_report(visits, tdocs, facts, tables.items, codes, checks=checks)

@@ -30,15 +30,16 @@ def _on_latest(facts: DataFrame, tdocs: DataFrame, doc_type: int, require_type:
     return facts.join(docs, on=DOC_KEYS, how="inner")
 
 
-def order_info(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes) -> DataFrame:
+def order_info(facts: DataFrame, tdocs: DataFrame, codes: AuditCodes, *more: str) -> DataFrame:
     """Order-information text of the latest order-info document.
 
     The document's own type is not tested, only the attribute: any document
     dated at the latest order-info date of its key passes (quirk kept).
+    ``more`` columns of the facts are kept.
     """
     rows = _on_latest(facts, tdocs, codes.doc_order_info, require_type=False)
     return rows.where(F.col("attrid") == codes.attr_order_info).select(
-        "masterfid", "mfid", F.col("attrtext").alias("order_info")
+        "masterfid", "mfid", F.col("attrtext").alias("order_info"), *more
     )
 
 
