@@ -114,3 +114,53 @@ def test_columns_and_places_are_checked(spark, tmp_path):
         with pytest.raises(ValueError, match="all executors"):
             nf.shared(Cluster, uri)
     assert nf.shared(Cluster, "hdfs://h/x") == "hdfs://h/x"
+
+
+def test_a_cluster_writes_below_its_shared_folder(tmp_path):
+    """The checkpoint folder is on all machines, whatever form its path has; its neighbours are not."""
+    class Cluster:
+        class sparkSession:
+            class conf:
+                @staticmethod
+                def get(key, default=None):
+                    return {"spark.master": "local-cluster[2,1,1024]", "spark.checkpoint.dir": f"file://{tmp_path}/shared"}.get(key, default)
+
+    for uri in (f"file://{tmp_path}/shared/a", f"file:{tmp_path}/shared/a/b", f"{tmp_path}/shared/a"):
+        assert nf.shared(Cluster, uri) == uri
+    for uri in (f"file://{tmp_path}/shared-not/a", f"file://{tmp_path}/shared/../a", str(tmp_path)):
+        with pytest.raises(ValueError, match="all executors"):
+            nf.shared(Cluster, uri)
+
+
+def test_tasks_that_outlive_an_abort_leave_no_file(tmp_path):
+    """The job is aborted while one attempt writes and another hasn't begun."""
+    target = str(tmp_path)
+    writer = nf.FileWriter(target)
+
+    def aborted_halfway():
+        yield batch(("a", b"1"))
+        writer.abort([None])
+        yield batch(("b", b"22"))
+
+    with pytest.raises(OSError):
+        writer.write(aborted_halfway())
+    with pytest.raises(OSError):
+        writer.write([batch(("c", b"333"))])
+    assert files(target) == {} and not os.path.exists(f"{target}/_pending")
+
+
+def test_notes_are_by_batch_and_an_abort_follows_them(tmp_path):
+    """One note a batch, whatever stands in the names; a batch that fails half-way is taken back too."""
+    target, odd = str(tmp_path), 'a "b"\nc'
+    writer, seen = nf.FileWriter(target), []
+
+    def given():
+        yield batch(*[(f"{odd}{k}", b"1") for k in range(50)])
+        seen.extend(n for _, _, found in os.walk(os.path.join(target, "_pending")) for n in found)
+        raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        writer.write(given())
+    assert seen == ["0.names"] and len(files(target)) == 50
+    writer.abort([None])
+    assert files(target) == {} and not os.path.exists(f"{target}/_pending")
