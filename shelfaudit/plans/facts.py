@@ -56,12 +56,13 @@ def facts_from_heads(heads: DataFrame, attrs: DataFrame, ids: tuple | None = Non
     so it is an inner join. ``ids`` = (smallest, largest id) of the headers
     becomes a superset filter on the lines that reaches the scan (row groups
     skip where lines are clustered by document id) and that drops all other
-    days' lines before any shuffle. Static sizes and AQE choose the join.
+    days' lines before any shuffle. Static sizes and AQE choose the join. Where
+    the lines are themselves a join with documents, ``own_lines`` goes below it.
     """
     lines = attrs.where(F.col("activeflag") == 1)
     if ids is not None:
         lines = id_filter(lines, *ids, block)
-    lines = lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid")
+    lines = own_lines(lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid"), heads)
     return heads.join(lines, on=["masterfid", "orid"], how="inner").select(*FACT_COLS)
 
 
@@ -88,3 +89,9 @@ def lines_of_documents(attrs: DataFrame, docs: DataFrame, ids: tuple | None = No
     """The EAV lines restricted to the documents' id range (a pushed superset
     filter; the exact match is the caller's join)."""
     return id_filter(attrs, *(ids if ids is not None else id_range(docs)), block)
+
+
+def own_lines(lines: DataFrame, docs: DataFrame) -> DataFrame:
+    """The lines of exactly these documents: an IN, keyed as the join that follows, so it adds no shuffle of
+    the lines; where the lines are a join with documents, Spark moves it to the documents' side as a predicate."""
+    return lines.where(F.struct("masterfid", "orid").isin(docs.select("masterfid", "orid")))

@@ -24,7 +24,7 @@ from shelfaudit.operators.adjacent import distance_lookup
 from shelfaudit.operators.eav import master_attribute, pivot_max
 from shelfaudit.operators.latest import latest_documents
 from shelfaudit.operators.promises import KeyChecks, one_value
-from shelfaudit.plans.facts import lines_of_documents
+from shelfaudit.plans.facts import lines_of_documents, own_lines
 from shelfaudit.plans.sections import with_item_name
 from shelfaudit.session import stage
 
@@ -200,6 +200,14 @@ def report_columns(codes: AuditCodes) -> list[str]:
     ]
 
 
+def used_lines(codes: AuditCodes) -> Column:
+    """Which lines some part of the report can use: those of its attributes, and the main places, told by their object."""
+    attributes = {*codes.facing_init_attrs, *codes.facing_attrs, *codes.shelf_attrs, *codes.store_attrs,
+                  *codes.extra_places.values(), *codes.promo_actions.values(), codes.attr_order_info}
+    places = F.col("id").isin(list(codes.main_places.values())) & (F.col("dictid") == codes.product_dict)
+    return F.col("attrid").isin(sorted(attributes)) | places
+
+
 def run_full_report(
     spark,
     tables,
@@ -227,9 +235,8 @@ def run_full_report(
         period_filter(tables.orders, "ordate", doc_bounds, by_day=True, day_col=tables.order_day)
         .where(F.col("ortype").isin(chained)).select("masterfid", "mfid", "orid", "ortype", "ordate"), "day_headers")
     # every use of a line ends in a join to an extracted document
-    own = tdocs.select("masterfid", "orid").distinct()
-    lines = lines_of_documents(tables.attrs, tdocs, block=tables.line_block)
-    lines = stage(lines.join(own, ["masterfid", "orid"], "left_semi"), "document_lines")
+    lines = lines_of_documents(tables.attrs, tdocs, block=tables.line_block).where(used_lines(codes))
+    lines = stage(own_lines(lines, tdocs), "document_lines")
     temp = stage(banner_visits(people, tables.objattrs, visits, tables.items, codes), "banner_visits")
     listing = listing_counts(temp, tables.objattrs, tables.items, codes)
     facing = stage(facing_counts(people, visits, tdocs, lines, tables.items, codes, cut=False), "facing")

@@ -15,7 +15,7 @@ from shelfaudit.config import AuditCodes
 from shelfaudit.functions.text import contains_any, prefix_in
 from shelfaudit.operators.eav import master_attribute
 from shelfaudit.operators.promises import KeyChecks
-from shelfaudit.plans.facts import lines_of_documents
+from shelfaudit.plans.facts import lines_of_documents, own_lines
 from shelfaudit.session import stage
 
 TEMP_COLS = ("fid", "attrtext", "datebegin", "dateend", "vdate", "vdateonly", "iid")
@@ -63,6 +63,8 @@ def listed_counts(temp: DataFrame, objattrs: DataFrame, items: DataFrame, codes:
     rows = F.lit(1) if rows is None else rows
     named = items.where(contains_any("iname", codes.listing_name_parts, ci=codes.names_ci)).select("iid")
     listed = master_attribute(objattrs, codes.obj_banner_attr, codes.product_dict, active=True)
+    # first as a predicate, which goes below whatever the listings are made of
+    listed = listed.where(F.col("id").isin(named))
     n_list = (
         listed.join(named, named.iid == listed.id)
         .groupBy("attrtext", F.col("id").alias("iid"))
@@ -123,7 +125,7 @@ def facing_initial(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs:
     Lines match their document on the exact timestamp. The original's outer
     join to the lines is cancelled by the inner join to products after it.
     """
-    lines = _stock_lines(tdocs, lines_of_documents(attrs, tdocs), items, codes, codes.facing_init_attrs)
+    lines = _stock_lines(tdocs, own_lines(lines_of_documents(attrs, tdocs), tdocs), items, codes, codes.facing_init_attrs)
     zero = F.lit(0).cast("long")
     products = lines.where(F.col("objdate") == F.col("ordate")).select(*_product_key()).distinct()
     products = products.select("*", zero.alias("_facing"), zero.alias("_shelf"), zero.alias("_store"))
@@ -141,7 +143,7 @@ def facing_counts(faces: DataFrame, visits: DataFrame, tdocs: DataFrame, attrs:
     documents' id range first; pass False when they already are.
     """
     every = {*codes.facing_init_attrs, *codes.facing_attrs, *codes.shelf_attrs, *codes.store_attrs}
-    lines = _stock_lines(tdocs, lines_of_documents(attrs, tdocs) if cut else attrs, items, codes, sorted(every))
+    lines = _stock_lines(tdocs, own_lines(lines_of_documents(attrs, tdocs), tdocs) if cut else attrs, items, codes, sorted(every))
     attr, day = F.col("attrid"), F.to_date("objdate") == F.to_date("ordate")
     first = attr.isin(list(codes.facing_init_attrs)) & (F.col("objdate") == F.col("ordate"))
     products = lines.groupBy(*_product_key()).agg(
