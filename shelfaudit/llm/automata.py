@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 FLOOR = 1e-4
 #: Lengths near an example's are likely too: shares of the two kernels, and their widths as (symbols, part of the length).
@@ -113,6 +113,23 @@ class Automaton:
                 found.append(out + end + self.log_length(n))
         return found
 
+    def walk(self, head: str, s: Sequence[str], at: int, ends: Sequence[int]) -> Iterator[tuple[int, float, bool]]:
+        """(end, log probability without the length's, whether the last step was seen) of head and s[at:end], by rising
+        ends in one walk that copies nothing; the head, or else the first symbol, is a step from the start."""
+        q, out, k = 0, 0.0, at
+        if head:
+            q, times = self.next[0][head]
+            out = math.log(times / max(1, self.seen[0]))
+        for end in ends:
+            while k < end and (step := self.next[q].get(s[k])) is not None:
+                out += math.log(step[1] / max(1, self.seen[q]))
+                q = step[0]
+                k += 1
+            if k < end:
+                yield end, out + (end - k + 1) * math.log(FLOOR), False
+            else:
+                yield end, out + math.log(max(FLOOR, self.ends[q] / max(1, self.seen[q]))), True
+
     def log_length(self, n: int) -> float:
         """Natural log of the probability of a length: the examples' lengths, each spread over those around it."""
         if n not in self._log_length:

@@ -32,6 +32,7 @@ from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 from itertools import accumulate
 
 import pyarrow as pa
@@ -59,8 +60,6 @@ _ASSIGN = re.compile(r"(%s)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)" % "|"
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")  # the runs of [0-9a-f]+ that have 24 or more
 LEAST = 16
-#: Parts that a format may have, with separators between them.
-PARTS = 3
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % LEAST)
 _AFTER = re.compile(r"[=/.](?![=/.])")  # a part starts behind the last of separators
 _BEFORE = re.compile(r"(?<![=/.-])[=/.]")  # and ends before the first
@@ -129,9 +128,10 @@ class Formats:
         """Fitting parts of a run that don't overlap, as (start, end, label, likelihood ratio a symbol).
 
         The run itself is one; others start after a separator or at a known
-        head, and end before one of the next PARTS separators or with the run,
-        whatever their length. Of parts that overlap the one with the largest
-        likelihood ratio goes first.
+        head, and end before any later separator or with the run, whatever
+        their length. Of parts that overlap the one with the largest
+        likelihood ratio goes first. Only each start's best part is held; it
+        is looked for again when a part that went first cuts it.
         """
         size = len(run)
         while size and run[size - 1] in ".=-":  # sentence ends; padding is no part of a format
@@ -139,37 +139,48 @@ class Formats:
         if size < LEAST:
             return []
         fit = self.format_of(run[:size])
-        found = [(fit[1] * len(self.symbols(run[:size])), 0, size, *fit)] if fit else []
+        found = [(-fit[1] * len(self.symbols(run[:size])), 0, size, *fit)] if fit else []
         heads = {m.start() for h in self.heads for m in re.finditer(f"(?={re.escape(h)})", run[:size])}
         starts = {m.end() for m in _AFTER.finditer(run, 0, size)} | heads | {0}
         ends = sorted({m.start() for m in _BEFORE.finditer(run, 0, size)} | {size})
         marks = [_CLASS.get(c, c) for c in run]
         ground = [0.0, *accumulate(self.background.get(c, math.log(FLOOR)) for c in marks)]
-        for start in sorted(s for s in starts if s + LEAST <= size):
+
+        def best(start: int, limit: int) -> tuple[float, int, int, str, float] | None:
             head = next((h for h in self.heads if run.startswith(h, start)), "")
             body = start + len(head)
-            near = bisect_right(ends, body)
-            own = ends[near:near + PARTS]
-            if (start == 0 or start in heads) and own[-1] != size:
-                own.append(size)
             # the run itself is done
-            own = [e for e in own if e >= start + LEAST and not (start == 0 and e == size)]
-            if not own:
-                continue
-            x = [head, *marks[body:own[-1]]] if head else marks[start:own[-1]]
-            lengths = [e - body + bool(head) for e in own]
-            for label, a in self.automata.items():
-                if x[0] not in a.next[0]:
+            own = ends[bisect_left(ends, max(body + 1, start + LEAST)):bisect_right(ends, limit - (start == 0 and limit == size))]
+            before = ground[body] - (self.background.get(head, math.log(FLOOR)) if head else 0.0)
+            most = None
+            for label, a in self.automata.items() if own else ():
+                if (head or marks[start]) not in a.next[0]:
                     continue  # no automaton's floor is above the background
-                for e, n, p in zip(own, lengths, a.log_probabilities(x, lengths)):
-                    gain = p - (ground[e] - ground[body]) - (self.background.get(head, math.log(FLOOR)) if head else 0.0)
+                for e, p, seen in a.walk(head, marks, body, own):
+                    gain = p - (ground[e] - before)  # more than with the length's
+                    if gain <= 0:
+                        if seen:
+                            continue
+                        break  # behind an unseen step it only falls: no symbol is rarer than the floor
+                    n = e - body + bool(head)
+                    gain += a.log_length(n)
                     if gain > 0 and gain / n >= self.least[label]:
-                        found.append((gain, start, e, label, gain / n))
+                        most = min(most or (math.inf,), (-gain, start, e, label, gain / n))
+            return most
+
+        found += [b for s in starts if s + LEAST <= size and (b := best(s, size))]
+        heapify(found)
         out: list[tuple[int, int, str, float]] = []
-        for _, s, e, label, v in sorted(found, key=lambda f: (-f[0], f[1], f[2], f[3])):
+        while found:
+            _, s, e, label, v = heappop(found)
             at = bisect_left(out, (s,))
-            if (at == 0 or out[at - 1][1] <= s) and (at == len(out) or out[at][0] >= e):
+            if at and out[at - 1][1] > s:
+                continue
+            limit = out[at][0] if at < len(out) else size
+            if e <= limit:
                 out.insert(at, (s, e, label, v))
+            elif (s, e) != (0, size) and (b := best(s, limit)):
+                heappush(found, b)
         return out
 
 
@@ -197,7 +208,8 @@ def fit(model: Formats, labelled: dict[str, list[str]], marks: Counter) -> Forma
             model.automata[label] = Automaton([model.symbols(v) for v in values])
     for label, values in labelled.items():
         own = sorted(model.likelihoods(v)[label] for v in values)
-        model.least[label] = own[len(own) // 50] if own else math.inf
+        # a hair less: the same value's sums differ by rounding when they are made within a run
+        model.least[label] = own[len(own) // 50] - 1e-9 if own else math.inf
     return model
 
 

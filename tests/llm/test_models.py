@@ -474,3 +474,35 @@ def test_queries_hold_their_contracts(spark, tmp_path):
         assert df.columns[0] == "doc_id" and df.count() == n, name
     r = QUERIES["op8_secrets"](spark, sf).filter("spans = ''").first()
     assert r.base_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_parts_of_a_run_may_hold_any_separators():
+    """A format of seven parts is found whole inside a longer run, and the parts are those of scoring every start with every end."""
+    draw = random.Random(8)
+    word = lambda n: "".join(draw.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    key = lambda: "key7-" + "/".join("".join(draw.choices("0123456789", k=9)) for _ in range(7))
+    given = secret_scan.examples() | {"seven": [key() for _ in range(200)]}
+    model = secret_scan.learn(given, [f"{word(5)}/{word(7)}.{word(6)}" for _ in range(300)])
+    found = 0
+    for _ in range(20):
+        token = key()
+        run = f"{word(6)}/{word(9)}={token}/{word(8)}/{word(12)}.{word(4)}"
+        at = run.index(token)
+        found += (at, at + len(token), "seven") in [p[:3] for p in model.parts(run)]
+    assert found >= 18
+
+    def every(run):
+        starts = {0} | {m.end() for m in re.finditer(r"[=/.](?![=/.])", run)} | {m.start() for h in model.heads for m in re.finditer(f"(?={re.escape(h)})", run)}
+        ends = {len(run)} | {m.start() for m in re.finditer(r"(?<![=/.-])[=/.]", run)}
+        fits = [(-v * len(model.symbols(run[s:e])), s, e, k) for s in starts for e in ends if e - s >= secret_scan.LEAST
+                for k, v in model.likelihoods(run[s:e]).items() if v > 0 and v >= model.least[k]]
+        out = []
+        for _, s, e, k in sorted(fits):
+            if all(e <= a or s >= b for a, b, _ in out):
+                out.append((s, e, k))
+        return sorted(out)
+
+    pieces = [v for values in given.values() for v in values[:3]]
+    for _ in range(60):
+        run = "".join(draw.choice(pieces + [word(9)]) + draw.choice("/.=") for _ in range(draw.randrange(1, 9))) + word(3)
+        assert [p[:3] for p in model.parts(run)] == every(run), run
