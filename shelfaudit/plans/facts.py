@@ -49,7 +49,7 @@ def id_filter(attrs: DataFrame, lo, hi, block: tuple[str, int] | None = None) ->
 
 
 def facts_from_heads(heads: DataFrame, attrs: DataFrame, ids: tuple | None = None,
-                     block: tuple[str, int] | None = None) -> DataFrame:
+                     block: tuple[str, int] | None = None, own: DataFrame | None = None) -> DataFrame:
     """Join headers to their active lines.
 
     The original's outer join is cancelled by its WHERE on the line side,
@@ -57,12 +57,13 @@ def facts_from_heads(heads: DataFrame, attrs: DataFrame, ids: tuple | None = Non
     becomes a superset filter on the lines that reaches the scan (row groups
     skip where lines are clustered by document id) and that drops all other
     days' lines before any shuffle. Static sizes and AQE choose the join. Where
-    the lines are themselves a join with documents, ``own_lines`` goes below it.
+    the lines are themselves a join with documents, ``own_lines`` goes below it;
+    ``own`` are the headers' staged ids, if there are any.
     """
     lines = attrs.where(F.col("activeflag") == 1)
     if ids is not None:
         lines = id_filter(lines, *ids, block)
-    lines = own_lines(lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid"), heads)
+    lines = own_lines(lines.select("masterfid", "orid", "attrid", "attrtext", "id", "dictid"), heads if own is None else own)
     return heads.join(lines, on=["masterfid", "orid"], how="inner").select(*FACT_COLS)
 
 

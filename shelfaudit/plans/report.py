@@ -14,8 +14,8 @@ The order facts are aggregated once, into the state of all sections by
 document and product (``plans.one_pass``); these rows and the document
 extract are staged (written under the checkpoint folder), as every branch
 reads them. The large EAV line table is scanned and shuffled once, cut to the
-day's document-id range; the day's headers are staged, as they are read three
-times (measured, and joined twice).
+day's documents; the day's headers are read twice (once for their staged ids,
+once joined).
 """
 
 from __future__ import annotations
@@ -64,9 +64,10 @@ def report_inputs(
         tdocs = stage(tdocs, "documents")
     if not facts:
         return visits, tdocs, None
-    # the headers, a small part of the documents, are read three times: for their id range, the semi-join and the join
-    heads = stage(order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types, tables.order_day), "fact_headers")
-    fx = facts_from_heads(heads, tables.attrs, id_range(heads), tables.line_block)
+    # the headers are one filtered scan plus two semi-joins: computed twice, for their staged ids (range and lines) and for the join
+    heads = order_heads(tables.orders, visits, doc_bounds, codes.fact_doc_types, tables.order_day)
+    ids = stage(heads.select("masterfid", "orid"), "fact_documents")
+    fx = facts_from_heads(heads, tables.attrs, id_range(ids), tables.line_block, ids)
     return visits, tdocs, stage(fx, "order_facts") if stage_facts else fx
 
 

@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", "16g")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.maxMetadataStringLength", "1000")  # plans name their files in full
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
